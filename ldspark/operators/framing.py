@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -166,23 +166,28 @@ def flat_document_json(nodes: DataFrame, id_field: str = "uri") -> DataFrame:
     return nodes.select(F.col("uri").alias("key"), F.to_json(fields).alias("value"))
 
 
-def _nested_fields(document, frame: Frame, id_field: str) -> Column:
+def _nested_fields(document: Callable[[str], Column], frame: Frame, id_field: str) -> Column:
     """``map<string, variant>`` of one framed document; ``document`` looks up a field."""
-    fields = document_fields(document("uri"), document("types"), document("props"), id_field)
-    for prop, sub in frame.edges.items():
-        children = F.transform(
-            document(prop),
-            lambda c, sub=sub: F.to_variant_object(
-                _nested_fields(lambda name: c[name], sub, id_field)
-            ),
+
+    def child_variants(children: Column, sub: Frame) -> Column:
+        return F.transform(
+            children, lambda c: F.to_variant_object(_nested_fields(lambda f: c[f], sub, id_field))
         )
+
+    def with_edge(fields: Column, prop: str, sub: Frame) -> Column:
+        children = document(prop)
         rest = F.coalesce(
             value_variants(document("props")[prop]), F.array().cast("array<variant>")
         )
-        both = F.create_map(F.lit(prop), one_or_list(F.concat(children, rest)))
-        others = F.map_filter(fields, lambda k, _, prop=prop: k != prop)
-        fields = F.when(children.isNull(), fields).otherwise(F.map_concat(others, both))
-    return fields
+        both = one_or_list(F.concat(child_variants(children, sub), rest))
+        others = F.map_filter(fields, lambda k, _: k != prop)
+        joined = F.map_concat(others, F.create_map(F.lit(prop), both))
+        return F.when(children.isNull(), fields).otherwise(joined)
+
+    out = document_fields(document("uri"), document("types"), document("props"), id_field)
+    for prop, sub in frame.edges.items():
+        out = with_edge(out, prop, sub)
+    return out
 
 
 def framed_document_json(framed: DataFrame, frame: Frame, id_field: str = "uri") -> DataFrame:

@@ -126,6 +126,9 @@ def apply_models(df: DataFrame, models: Sequence[Model], keep: Sequence[str] = (
             F.col(s).alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("kind")
         )
 
+    def statement_each(s: str, p: str, values: Column, kind: str) -> Column:
+        return F.transform(values, lambda o: statement(s, p, o, kind))
+
     for model in models:
         nodes = model.reachable()
         subjects = {n.id: inputs.subject(n, model.base) for n in nodes}
@@ -140,9 +143,7 @@ def apply_models(df: DataFrame, models: Sequence[Model], keep: Sequence[str] = (
                 name, many = inputs.value(source.source if isinstance(source, Iri) else source)
                 if many:
                     values = F.coalesce(F.col(name), F.array().cast("array<string>"))
-                    several.append(
-                        F.transform(values, lambda v, s=s, p=predicate, k=kind: statement(s, p, v, k))
-                    )
+                    several.append(statement_each(s, predicate, values, kind))
                 else:
                     single.append(statement(s, predicate, F.col(name), kind))
 

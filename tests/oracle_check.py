@@ -47,7 +47,7 @@ if __name__ == "__main__":
     only = sys.argv[2:] or list(QUERIES)
     session = build_session(
         "check", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     db = connect(sf)
