@@ -33,6 +33,11 @@ def json_strings(value: Column, path: str) -> Column:
     )
 
 
+def is_object(value: Column) -> Column:
+    """Whether a variant holds a JSON object."""
+    return F.schema_of_variant(value).startswith("OBJECT")
+
+
 def value_variants(values: Column) -> Column:
     """An array of variants from a property's ``array<struct<kind, v>>``."""
     return F.transform(values, lambda x: x["v"].cast("variant"))

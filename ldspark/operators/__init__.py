@@ -16,6 +16,7 @@ from ldspark.operators.cells import (
     scan_cells,
 )
 from ldspark.operators.context import apply_context, parse_contexts
+from ldspark.operators.documents import document_statements, node_statements
 from ldspark.operators.filters import (
     constant_key,
     drop_keys,
@@ -56,6 +57,7 @@ __all__ = [
     "constant_key",
     "distinct_statements",
     "docs_to_cells",
+    "document_statements",
     "drop_keys",
     "flat_document_json",
     "frame_documents",
@@ -66,6 +68,7 @@ __all__ = [
     "latest_by_id",
     "list_frames",
     "model_documents",
+    "node_statements",
     "node_values",
     "ntriples",
     "pair_models",

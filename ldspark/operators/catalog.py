@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ldspark.functions.documents import JSON_MAP, json_strings
+from ldspark.functions.documents import JSON_MAP, is_object, json_strings
 
 MAX_FRAME_DEPTH = 12
 
@@ -58,8 +58,6 @@ def frame_types(frames: DataFrame, max_depth: int = MAX_FRAME_DEPTH) -> DataFram
     skipped, and a list of types gives each. A frame deeper than ``max_depth``
     is an error, never cut short.
     """
-    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
-
     def below(objects: Column) -> Column:
         return F.flatten(
             F.transform(

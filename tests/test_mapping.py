@@ -1,0 +1,270 @@
+import datetime
+
+import pytest
+
+from helpers import plan, rows
+from ldspark import Const, Field, Iri, JsonPath, Model, Node, Template
+from ldspark.operators import (
+    apply_model,
+    apply_models,
+    flat_document_json,
+    model_documents,
+    ntriples,
+)
+from ldspark.plans import RDF_TYPE
+
+B = "http://b.example/"
+
+PERSON = Model(
+    B,
+    "person",
+    [
+        Node("person", "Person", "person/{id}", {"name": "name"}, {"city": "city"}),
+        Node("city", "City", "city/{city}"),
+        Node("orphan", "Orphan", "orphan/{id}", {"name": "name"}, {"of": "person"}),
+    ],
+)
+
+
+def people(spark, data):
+    return spark.createDataFrame(data, "id BIGINT, name STRING, city STRING")
+
+
+def test_statements_links_and_unreachable_nodes(spark):
+    got = rows(apply_model(people(spark, [(1, "Ann", "a b")]), PERSON))
+    s, c = f"{B}person/1", f"{B}city/a%20b"
+    assert got == sorted(
+        [
+            (s, RDF_TYPE, "Person", "type"),
+            (s, "city", c, "iri"),
+            (s, "name", "Ann", "literal"),
+            (c, RDF_TYPE, "City", "type"),
+        ],
+        key=repr,
+    )
+
+
+def test_another_root_selects_other_nodes(spark):
+    df = people(spark, [(1, "Ann", "x")])
+    assert {r[0] for r in rows(apply_model(df, PERSON, root="city"))} == {f"{B}city/x"}
+    assert f"{B}orphan/1" in {r[0] for r in rows(apply_model(df, PERSON, root="orphan"))}
+
+
+def test_base_and_context_are_options(spark):
+    df = people(spark, [(1, "Ann", None)])
+    got = rows(apply_model(df, PERSON, base="u:", context={"label": "name", "Human": "Person"}))
+    assert ("u:person/1", "label", "Ann", "literal") in got
+    assert ("u:person/1", RDF_TYPE, "Human", "type") in got
+
+
+def test_null_subject_drops_the_node_and_links_to_it(spark):
+    got = rows(apply_model(people(spark, [(1, None, None), (None, "Bob", "x")]), PERSON))
+    assert got == sorted(
+        [(f"{B}person/1", RDF_TYPE, "Person", "type"), (f"{B}city/x", RDF_TYPE, "City", "type")], key=repr
+    )
+
+
+def test_empty_input_gives_no_statements(spark):
+    assert rows(apply_model(people(spark, []), PERSON)) == []
+
+
+def test_values_keep_tabs_newlines_quotes_and_emoji(spark):
+    text = 'tab\there\nline "q" \\ 😀'
+    got = rows(apply_model(people(spark, [(1, text, None)]), PERSON))
+    assert (f"{B}person/1", "name", text, "literal") in got
+
+
+def test_arrays_nested_paths_and_scalar_types(spark):
+    data = [
+        (
+            1,
+            ["a", None, "b"],
+            {"n": 5, "tags": [["x"], ["y", "z"]]},
+            datetime.datetime(2024, 1, 2, 3, 4, 5, 60000),
+            True,
+            [{"k": "p"}, {"k": "q"}],
+        ),
+        (2, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(
+        data,
+        "id INT, words ARRAY<STRING>, a STRUCT<n: INT, tags: ARRAY<ARRAY<STRING>>>, "
+        "at TIMESTAMP_NTZ, ok BOOLEAN, items ARRAY<STRUCT<k: STRING>>",
+    )
+    model = Model(
+        B,
+        "t",
+        [
+            Node(
+                "t",
+                ["T", "U"],
+                "t/{id}",
+                {
+                    "word": "words",
+                    "n": "a.n",
+                    "tag": "a.tags",
+                    "at": "at",
+                    "ok": "ok",
+                    "item": "items.k",
+                    "const": Const("c d"),
+                    "both": [Const("1"), Template("{a.n}-{id}")],
+                    "ref": Iri(Template("http://r.example/{a.n}")),
+                },
+            )
+        ],
+    )
+    got = rows(apply_model(df, model))
+    one = {(r[1], r[2], r[3]) for r in got if r[0] == f"{B}t/1"}
+    assert one == {
+        (RDF_TYPE, "T", "type"), (RDF_TYPE, "U", "type"),
+        ("word", "a", "literal"), ("word", "b", "literal"),
+        ("n", "5", "literal"),
+        ("tag", "x", "literal"), ("tag", "y", "literal"), ("tag", "z", "literal"),
+        ("at", "2024-01-02T03:04:05.06", "literal"),
+        ("ok", "true", "literal"),
+        ("item", "p", "literal"), ("item", "q", "literal"),
+        ("const", "c d", "literal"),
+        ("both", "1", "literal"), ("both", "5-1", "literal"),
+        ("ref", "http://r.example/5", "iri"),
+    }
+    two = {(r[1], r[2]) for r in got if r[0] == f"{B}t/2"}
+    assert two == {(RDF_TYPE, "T"), (RDF_TYPE, "U"), ("const", "c d"), ("both", "1")}
+
+
+def test_records_of_json_text(spark):
+    df = spark.createDataFrame(
+        [
+            ("k1", '{"id": "x y", "n": 1.50, "list": [1, "b", null], "in": {"d": "deep"}}'),
+            ("k2", "{not json"),
+            ("k3", '{"n": 2}'),
+        ],
+        "key STRING, value STRING",
+    )
+    model = Model(
+        B,
+        "d",
+        [
+            Node(
+                "d", "D", "d/{value:$.id}",
+                {
+                    "n": JsonPath("value", "$.n"),
+                    "item": JsonPath("value", "$.list"),
+                    "deep": JsonPath("value", "$.in.d"),
+                    "none": JsonPath("value", "$.absent"),
+                },
+            )
+        ],
+    )
+    s = f"{B}d/x%20y"
+    got = rows(apply_model(df, model, keep=["key"]))
+    assert {r[0] for r in got} == {"k1"}
+    assert {r[1:] for r in got} == {
+        (s, RDF_TYPE, "D", "type"), (s, "n", "1.5", "literal"),
+        (s, "item", "1", "literal"), (s, "item", "b", "literal"), (s, "deep", "deep", "literal"),
+    }
+
+
+def test_golden_pair_of_records_and_documents(spark):
+    source = spark.createDataFrame(
+        [
+            ("7", '{"date": "1/2/1903", "text": "Hi ★  two spaces", "uri": "7"}'),
+            ("8", '{"date": "12/31/2002", "text": "Smile 😀", "uri": "8"}'),
+        ],
+        "key STRING, value STRING",
+    )
+    model = Model(
+        "http://t.example/",
+        "page",
+        [
+            Node(
+                "page", "schema:WebPage", JsonPath("value", "$.uri"),
+                {
+                    "schema:dateCreated": JsonPath("value", "$.date"),
+                    "schema:text": JsonPath("value", "$.text"),
+                },
+            )
+        ],
+    )
+    got = rows(flat_document_json(model_documents(source, model), id_field="@id"))
+    assert got == [
+        (
+            "http://t.example/7",
+            '{"@id":"http://t.example/7","@type":"schema:WebPage",'
+            '"schema:dateCreated":"1/2/1903","schema:text":"Hi ★  two spaces"}',
+        ),
+        (
+            "http://t.example/8",
+            '{"@id":"http://t.example/8","@type":"schema:WebPage",'
+            '"schema:dateCreated":"12/31/2002","schema:text":"Smile 😀"}',
+        ),
+    ]
+
+
+def test_several_models_scan_the_input_once(spark, tmp_path):
+    path = str(tmp_path / "people")
+    people(spark, [(1, "Ann", "x"), (2, "Bob", "y")]).write.parquet(path)
+    df = spark.read.parquet(path)
+    other = PERSON.with_options(root="orphan", base="u:")
+    both = apply_models(df, [PERSON, other])
+    apart = apply_model(df, PERSON).union(apply_model(df, other))
+    assert rows(both) == rows(apart)
+    assert plan(both).count("FileScan") == 1
+
+
+def test_mapping_reads_only_mapped_columns_and_stays_in_generated_code(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.sql("SELECT 1L AS id, 'n' AS name, 'c' AS city, 'x' AS unused").write.parquet(path)
+    text = plan(apply_model(spark.read.parquet(path), PERSON))
+    assert "unused" not in text
+    assert "Python" not in text and "BatchEvalPython" not in text
+    assert "Exchange" not in text
+
+
+def test_many_rules_in_one_model(spark):
+    names = [f"c{n}" for n in range(300)]
+    df = spark.range(2).selectExpr("id", *[f"concat('v{n}-', id) AS c{n}" for n in range(300)])
+    model = Model(B, "r", [Node("r", "R", "r/{id}", {n: n for n in names})])
+    assert apply_model(df, model).count() == 2 * 301
+
+
+def test_links_to_absolute_and_field_subjects(spark):
+    df = spark.createDataFrame([("http://x.example/1", "rel/2")], "a STRING, b STRING")
+    model = Model(B, "a", [Node("a", "A", Field("a"), {}, {"b": "b"}), Node("b", "B", Field("b"))])
+    assert ("http://x.example/1", "b", f"{B}rel/2", "iri") in rows(apply_model(df, model))
+
+
+def test_ntriples_lines(spark):
+    got = [r[0] for r in rows(ntriples(apply_model(people(spark, [(1, 'a"\n', None)]), PERSON)))]
+    assert f'<{B}person/1> <name> "a\\"\\n" .' in got
+
+
+def test_model_errors():
+    with pytest.raises(ValueError, match="unknown"):
+        Model(B, "a", [Node("a", "A", "a/{x}", links={"p": "zzz"})])
+    with pytest.raises(ValueError, match="root"):
+        Model(B, "b", [Node("a", "A", "a/{x}")])
+    with pytest.raises(ValueError, match="share"):
+        Model(B, "a", [Node("a", "A", "a/{x}"), Node("a", "A", "a/{x}")])
+
+
+def test_unmappable_columns_are_named(spark):
+    df = spark.sql("SELECT named_struct('a', 1) AS s, array(1) AS l, 1 AS id")
+    with pytest.raises(ValueError, match="as one value"):
+        apply_model(df, Model(B, "a", [Node("a", "A", "a/{id}", {"p": "s"})]))
+    with pytest.raises(ValueError, match="template"):
+        apply_model(df, Model(B, "a", [Node("a", "A", "a/{l}")]))
+
+
+def test_model_from_json(spark):
+    text = """{"base": "http://b.example/", "root": "p", "nodes": [
+        {"id": "p", "cls": "P", "subject": "p/{id}",
+         "props": {"name": "name", "k": {"const": "v"}, "t": {"template": "x/{city}"},
+                   "i": {"iri": {"template": "http://i.example/{id}"}}},
+         "links": {"c": "c"}},
+        {"id": "c", "cls": ["C"], "subject": {"field": "city"}}]}"""
+    got = rows(apply_model(people(spark, [(1, "Ann", "u:x")]), Model.from_json(text)))
+    s = f"{B}p/1"
+    assert {r[1:] for r in got if r[0] == s} == {
+        (RDF_TYPE, "P", "type"), ("name", "Ann", "literal"), ("k", "v", "literal"),
+        ("t", "x/u%3Ax", "literal"), ("i", "http://i.example/1", "iri"), ("c", "u:x", "iri"),
+    }
