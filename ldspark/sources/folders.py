@@ -12,10 +12,9 @@ MAX_FRAMES = 1_000
 def read_files(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False) -> DataFrame:
     """``path, text``: every file that matches, whole."""
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive)
-        .text(folder)
+        spark.read.text(
+            folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=recursive
+        )
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     )
 

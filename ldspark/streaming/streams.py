@@ -41,9 +41,8 @@ def read_json_stream(
 def read_message_files(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
     """``key, value``: each file of a folder as one message keyed by its path."""
     return (
-        spark.readStream.option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .text(folder)
+        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+        .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("key"), "value")
     )
 

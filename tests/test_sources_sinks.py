@@ -1,0 +1,137 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from helpers import plan, rows
+from ldspark import sinks, sources
+from ldspark.functions import drop_json_fields
+from ldspark.operators import constant_key, keep_keys, key_by_field, swap_alias, values_only
+from ldspark.sources import connectors
+
+PAIRS = [
+    ("u:1", '{"t":"tab\\t and 😀"}'),
+    ("u:2", '{"t":"line\\n"}'),
+    ("u:3", "plain\twith\ttabs\r"),
+]
+
+
+def pairs(spark, data=PAIRS):
+    return spark.createDataFrame(data, "key STRING, value STRING")
+
+
+def test_pairs_as_text_keep_the_whole_value(spark, tmp_path):
+    sinks.write_kv_text(pairs(spark), f"{tmp_path}/t")
+    assert rows(sources.read_records(spark, f"{tmp_path}/t", "text")) == sorted(PAIRS, key=repr)
+
+
+@pytest.mark.parametrize("bad", [("a\tb", "v"), (None, "v"), ("k", "two\nlines"), ("k", None)])
+def test_pairs_that_need_two_lines_are_refused(spark, tmp_path, bad):
+    with pytest.raises(Exception, match="one-line pair"):
+        sinks.write_kv_text(pairs(spark, [bad]), f"{tmp_path}/t")
+
+
+def test_sequence_files(spark, tmp_path):
+    sinks.write_sequence(pairs(spark), f"{tmp_path}/s")
+    assert rows(sources.read_records(spark, f"{tmp_path}/s", "sequence")) == sorted(PAIRS, key=repr)
+
+
+def test_csv_with_quotes_separators_and_emoji(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "q" \t 😀'), (2, None)], "id INT, text STRING")
+    sinks.write_csv(df, f"{tmp_path}/c", sep="\t")
+    got = sources.read_records(spark, f"{tmp_path}/c", "csv", sep="\t", schema=df.schema)
+    assert rows(got) == rows(df)
+    names = sources.read_records(spark, f"{tmp_path}/c", "csv", sep="\t").columns
+    assert names == ["id", "text"]
+
+
+def test_json_lines_with_and_without_schema(spark, tmp_path):
+    path = f"{tmp_path}/j"
+    spark.createDataFrame([("a", 1)], "k STRING, n INT").write.json(path)
+    assert rows(sources.read_records(spark, path, "json", schema="n INT, k STRING")) == [(1, "a")]
+    assert rows(sources.read_records(spark, path, "json")) == [('{"k":"a","n":1}',)]
+
+
+def test_unknown_input_kind(spark):
+    with pytest.raises(ValueError, match="kind"):
+        sources.read_records(spark, "x", "xml")
+
+
+def test_index_query_is_pushed_down_and_pruned(spark, tmp_path):
+    path = f"{tmp_path}/i"
+    spark.range(10).selectExpr("id", "id * 2 AS n", "'x' AS unused").write.parquet(path)
+    found = sources.read_index(spark, path, F.col("n") > 10).select("id")
+    assert rows(found) == [(6,), (7,), (8,), (9,)]
+    text = plan(found)
+    assert "GreaterThan(n,10)" in text and "unused" not in text
+
+
+def test_missing_index(spark, tmp_path):
+    path = f"{tmp_path}/absent"
+    schema = "id BIGINT, n BIGINT"
+    empty = sources.read_index(spark, path, "n > 1", schema=schema, missing_as_empty=True)
+    assert empty.count() == 0 and empty.columns == ["id", "n"]
+    with pytest.raises(AnalysisException):
+        sources.read_index(spark, path, schema=schema)
+    with pytest.raises(ValueError, match="schema"):
+        sources.read_index(spark, path, missing_as_empty=True)
+
+
+def test_key_by_field_and_rejects(spark):
+    df = spark.createDataFrame(
+        [('{"cdr_id": "a", "x": {"y": 1}}',), ('{"x": 2}',), ("{broken",), (None,)], "value STRING"
+    )
+    keyed, rejects = key_by_field(df, "$.cdr_id")
+    assert [(r["key"], r["value"]) for r in keyed.collect()] == [("a", '{"cdr_id": "a", "x": {"y": 1}}')]
+    assert {r[0] for r in rejects.collect()} == {'{"x": 2}', "{broken", None}
+
+
+def test_drop_fields_keeps_nesting(spark):
+    df = spark.createDataFrame(
+        [('{"a": {"b": [1, {"c": "😀"}]}, "extractions": {"z": 1}, "n": null}',), ('{"k": 1}',)], "value STRING"
+    )
+    got = [r[0] for r in df.select(drop_json_fields(F.col("value"), "extractions")).collect()]
+    assert got == ['{"a":{"b":[1,{"c":"😀"}]},"n":null}', '{"k":1}']
+
+
+def test_key_filters(spark):
+    df = pairs(spark)
+    assert {r[0] for r in keep_keys(df, ["u:1", "u:9"]).collect()} == {"u:1"}
+    wanted = spark.createDataFrame([("u:2",), ("u:2",), (None,), ("u:9",)], "uri STRING")
+    assert [r[0] for r in keep_keys(df, wanted).collect()] == ["u:2"]
+    assert keep_keys(df, []).count() == 0
+
+
+def test_key_list_is_pushed_to_the_scan(spark, tmp_path):
+    pairs(spark).write.parquet(f"{tmp_path}/p")
+    assert "In(key" in plan(keep_keys(spark.read.parquet(f"{tmp_path}/p"), ["u:1", "u:2"]))
+
+
+def test_constant_keys_and_bare_values(spark):
+    assert {r[0] for r in constant_key(pairs(spark), "one").select("key").collect()} == {"one"}
+    assert values_only(pairs(spark)).columns == ["value"]
+
+
+def test_alias_names_exactly_the_given_tables(spark):
+    a = spark.createDataFrame([(1, "x")], "id INT, a STRING")
+    b = spark.createDataFrame([(2, "y")], "id INT, b STRING")
+    swap_alias(spark, "both", [a, b])
+    assert rows(spark.table("both")) == [(1, "x", None), (2, None, "y")]
+    b.createOrReplaceTempView("b_view")
+    swap_alias(spark, "both", ["b_view"])
+    assert rows(spark.table("both")) == [(2, "y")]
+    with pytest.raises(ValueError):
+        swap_alias(spark, "both", [])
+
+
+def test_connector_options():
+    write = connectors.index_write_options("h", 9200, "i/t", batch_docs=500)
+    assert write["es.mapping.id"] == "uri"
+    assert write["es.batch.size.entries"] == "500" and write["es.batch.size.bytes"] == "512000"
+    read = connectors.index_read_options("h", "i/t", '{"query": {}}')
+    assert read["es.query"] == '{"query": {}}' and read["es.index.read.missing.as.empty"] == "true"
+    load = connectors.bulk_load_options("h", 9200, "i/t", **{"es.http.retries": "1"})
+    assert load["es.mapping.id"] == "cdr_id" and load["es.http.retries"] == "1"
+    topic = connectors.topic_read_options("b:9092", ["t1", "t2"], from_oldest=True)
+    assert topic["subscribe"] == "t1,t2" and topic["startingOffsets"] == "earliest"
+    assert connectors.topic_read_options("b", ["t"])["startingOffsets"] == "latest"
+    assert connectors.cell_options("z", "t", **{"hbase.table": "u"})["hbase.table"] == "u"
