@@ -428,11 +428,17 @@ def frame_multi_root(spark, sf_dir):
 def frame_capped(spark, sf_dir):
     """At most three embedded orders per customer; the rest stay references."""
     framed = ops.frame_documents(m.order_nodes(spark, sf_dir), m.ORDERS_FRAME, merge_limit=3)
-    embedded = framed.select("uri", F.explode("orders.uri").alias("order_uri"), F.lit(True).alias("embedded"))
-    left = framed.select("uri", F.explode(F.col("props")["orders"]).alias("x")).select(
-        "uri", F.col("x.v").alias("order_uri"), F.lit(False).alias("embedded")
+
+    def listed(uris, embedded):
+        return F.transform(
+            F.coalesce(uris, F.array().cast("array<string>")),
+            lambda u: F.struct(u.alias("order_uri"), F.lit(embedded).alias("embedded")),
+        )
+
+    left = F.transform(F.col("props")["orders"], lambda x: x["v"])
+    return framed.select(
+        "uri", F.inline(F.concat(listed(F.col("orders.uri"), True), listed(left, False)))
     )
-    return embedded.unionByName(left)
 
 
 @query

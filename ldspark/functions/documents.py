@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, functions as F
 
 JSON_MAP = "map<string, variant>"
@@ -43,19 +45,52 @@ def value_variants(values: Column) -> Column:
     return F.transform(values, lambda x: x["v"].cast("variant"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times.
+
+    Inside higher-order functions Spark shares no subexpressions, and nested
+    documents would be built again for every mention.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def one_or_list(variants: Column) -> Column:
-    """A lone value as itself, several as a list."""
-    return F.when(F.size(variants) == 1, variants[0]).otherwise(F.to_variant_object(variants))
+    """A lone value as itself, several as a list, none as null."""
+    return let(
+        variants,
+        lambda v: F.when(F.size(v) == 1, v[0]).when(F.size(v) > 1, F.to_variant_object(v)),
+    )
 
 
-def document_fields(uri: Column, types: Column, props: Column, id_field: str = "uri") -> Column:
-    """``map<string, variant>`` with the fields of one flat document."""
-    head = F.map_filter(
-        F.create_map(
-            F.lit(id_field), uri.cast("variant"),
-            F.lit("@type"), one_or_list(F.transform(types, lambda t: t.cast("variant"))),
-        ),
-        lambda k, _: (k == id_field) | (F.size(types) > 0),
+def document_fields(
+    uri: Column,
+    types: Column,
+    props: Column,
+    id_field: str = "uri",
+    embedded: Mapping[str, Column] | None = None,
+) -> Column:
+    """``map<string, variant>`` with the fields of one document.
+
+    ``embedded`` gives, per property, an array of variants to write there before
+    the property's own values.
+    """
+    embedded = embedded or {}
+    none = F.array().cast("array<variant>")
+    head = F.create_map(
+        F.lit(id_field),
+        uri.cast("variant"),
+        F.lit("@type"),
+        one_or_list(F.transform(types, lambda t: t.cast("variant"))),
     )
-    body = F.transform_values(props, lambda _, values: one_or_list(value_variants(values)))
-    return F.map_concat(head, body)
+    plain = F.map_filter(props, lambda k, _: ~k.isin(*embedded)) if embedded else props
+    body = F.transform_values(plain, lambda _, values: one_or_list(value_variants(values)))
+    edges = [
+        F.create_map(
+            F.lit(prop),
+            one_or_list(
+                F.concat(F.coalesce(documents, none), F.coalesce(value_variants(props[prop]), none))
+            ),
+        )
+        for prop, documents in embedded.items()
+    ]
+    return F.map_filter(F.map_concat(head, body, *edges), lambda _, value: value.isNotNull())

@@ -6,8 +6,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ldspark.functions.documents import document_fields, one_or_list, value_variants
-from ldspark.operators.skew import ROWS_PER_TASK, salted_join
+from ldspark.functions.documents import document_fields
+from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, salted_join
 from ldspark.plans.frame import Frame
 
 # up to this limit Spark ranks per input partition before the shuffle
@@ -100,19 +100,18 @@ def _embed(
         F.col("part").alias("parent_part"),
         F.explode(F.transform(references, lambda x: x["v"])).alias("target"),
     )
+    # one list of hot targets serves both joins: salting more than needed is harmless
+    hot = hot_keys(links, ["target"], rows_per_task)
+    spread = ["parent", "parent_part"]
     if merge_limit is not None:
-        uris = members.select(F.col("uri").alias("target")).distinct()
-        resolved = salted_join(
-            links, uris, "target", ["parent", "parent_part"], "left_semi", rows_per_task
-        )
-        links = _ranked(resolved, merge_limit)
+        # every document has a part 0, so identifiers are unique without a distinct
+        uris = members.filter(F.col("part") == 0).select(F.col("uri").alias("target"))
+        links = _ranked(salted_join(links, uris, "target", spread, "left_semi", hot=hot), merge_limit)
     documents = children.select(
         F.col("uri").alias("target"),
         F.struct(*[F.col(f"`{c}`") for c in children.columns]).alias("child"),
     )
-    pairs = salted_join(
-        links, documents, "target", ["parent", "parent_part"], "inner", rows_per_task
-    )
+    pairs = salted_join(links, documents, "target", spread, "inner", hot=hot)
     # at most a part's share of links per group, whoever the parent is
     grouped = pairs.groupBy("parent", "parent_part").agg(
         F.array_sort(F.collect_list("child"), _by_uri).alias("_children")
@@ -169,25 +168,16 @@ def flat_document_json(nodes: DataFrame, id_field: str = "uri") -> DataFrame:
 def _nested_fields(document: Callable[[str], Column], frame: Frame, id_field: str) -> Column:
     """``map<string, variant>`` of one framed document; ``document`` looks up a field."""
 
-    def child_variants(children: Column, sub: Frame) -> Column:
+    def below(prop: str, sub: Frame) -> Column:
         return F.transform(
-            children, lambda c: F.to_variant_object(_nested_fields(lambda f: c[f], sub, id_field))
-        )
-
-    def with_edge(fields: Column, prop: str, sub: Frame) -> Column:
-        children = document(prop)
-        rest = F.coalesce(
-            value_variants(document("props")[prop]), F.array().cast("array<variant>")
+            document(prop),
+            lambda c: F.to_variant_object(_nested_fields(lambda name: c[name], sub, id_field)),
         )
-        both = one_or_list(F.concat(child_variants(children, sub), rest))
-        others = F.map_filter(fields, lambda k, _: k != prop)
-        joined = F.map_concat(others, F.create_map(F.lit(prop), both))
-        return F.when(children.isNull(), fields).otherwise(joined)
 
-    out = document_fields(document("uri"), document("types"), document("props"), id_field)
-    for prop, sub in frame.edges.items():
-        out = with_edge(out, prop, sub)
-    return out
+    embedded = {prop: below(prop, sub) for prop, sub in frame.edges.items()}
+    return document_fields(
+        document("uri"), document("types"), document("props"), id_field, embedded
+    )
 
 
 def framed_document_json(framed: DataFrame, frame: Frame, id_field: str = "uri") -> DataFrame:

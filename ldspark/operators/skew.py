@@ -58,13 +58,16 @@ def salted_join(
     spread: Sequence[str],
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which a key of ``many`` may hold any share of the rows.
 
     Hot keys get a salt on the left, and only their rows of ``one`` are repeated
-    per salt; every other row is joined as it is.
+    per salt; every other row is joined as it is. A list of hot keys that is known
+    already may be given; any list gives the same rows.
     """
-    hot = hot_keys(many, [on], rows_per_task)
+    if hot is None:
+        hot = hot_keys(many, [on], rows_per_task)
     left = _with_parts(many, [on], hot).withColumn("_salt", part_of(spread)).drop("parts")
     right = (
         _with_parts(one, [on], hot)
