@@ -208,6 +208,18 @@ ORACLE: dict[str, str] = {
         f"FROM supplier UNION ALL SELECT DISTINCT {SN}, '{{\"uri\":\"' || {SN} || "
         "'\",\"@type\":\"Nation\"}' FROM supplier"
     ),
+    "documents_to_statements": (
+        "SELECT DISTINCT * FROM ("
+        + short(
+            " UNION ALL ".join(
+                [
+                    statements("customer", [r for r in CUSTOMER if r[0] != CN]),
+                    statements(f"{customer_nation} JOIN region ON n_regionkey = r_regionkey", NATION + REGION),
+                ]
+            )
+        )
+        + ")"
+    ),
     "apply_model_ntriples": ntriples(
         statements(
             "documents",
@@ -306,5 +318,11 @@ ORACLE: dict[str, str] = {
         "SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER "
         "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1"
     ),
+    "stream_upsert_documents": (
+        f"SELECT {E_} AS key, '{{\"uri\":\"' || {E_} || '\",\"@type\":\"{VOCAB}Event\",\"{VOCAB}at\":\"' || "
+        f"{stamp('ts')} || '\",\"{VOCAB}k\":\"' || json_extract_string(props, '$.k') || '\",\"{VOCAB}kind\":\"' || "
+        f"event_type || '\",\"{VOCAB}user\":\"' || {EU} || '\"}}' AS value FROM events "
+        f"UNION ALL SELECT DISTINCT {EU}, '{{\"uri\":\"' || {EU} || '\",\"@type\":\"{VOCAB}User\"}}' FROM events"
+    ),
     "stream_files_as_messages": "SELECT c_custkey, c_name FROM customer",
 }

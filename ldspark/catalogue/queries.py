@@ -255,6 +255,13 @@ def documents_json(spark, sf_dir):
     return ops.flat_document_json(ops.to_nodes(ops.distinct_statements(statements)))
 
 
+@query
+def documents_to_statements(spark, sf_dir):
+    """Framed documents taken apart again: nested documents become their own."""
+    documents = frame_json(spark, sf_dir)
+    return ops.distinct_statements(ops.document_statements(documents, "uri"))
+
+
 @query
 def apply_model_ntriples(spark, sf_dir):
     texts = m.table(spark, sf_dir, "documents")
@@ -579,3 +586,14 @@ def stream_files_as_messages(spark, sf_dir):
         json_value(F.col("doc"), "$.c_custkey", "bigint").alias("c_custkey"),
         json_value(F.col("doc"), "$.c_name").alias("c_name"),
     )
+
+
+@query
+def stream_upsert_documents(spark, sf_dir):
+    """Events mapped and reduced per batch, the latest document kept per identifier."""
+    out = scratch_path(spark, "stream-documents")
+    streaming.upsert_documents_stream(
+        event_files(spark, sf_dir), [m.EVENT], out, f"{out}-checkpoint", available_now=True
+    ).awaitTermination()
+    stored = ops.read_latest(spark.read.parquet(out), "key", ["batch_seq"])
+    return stored.select("key", "value")

@@ -7,6 +7,16 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, functions as F
 
 JSON_MAP = "map<string, variant>"
+PART_OF = "part_of"
+
+
+def document_id(uri: Column, part: Column) -> Column:
+    """A document's own identifier: the entity's, with the part from the second on.
+
+    Stores keyed by identifier must not let one part overwrite another.
+    """
+    continued = F.concat(uri, F.lit("#part="), part.cast("string"))
+    return F.when(part == 0, uri).otherwise(continued)
 
 
 def drop_json_fields(value: Column, *names: str) -> Column:
@@ -40,6 +50,28 @@ def is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT")
 
 
+def walk(
+    root: Column, below: Callable[[Column], Column], max_depth: int, too_deep: Column
+) -> Column:
+    """Every variant reached from ``root``, an array of one, level by level.
+
+    ``below`` maps the variants of one level to those of the next. One fold per
+    row: the expression does not grow with the depth, and levels that are empty
+    cost nothing. Anything below ``max_depth`` levels raises ``too_deep``.
+    """
+    none = F.array().cast("array<variant>")
+    start = F.struct(none.alias("found"), F.coalesce(root, none).alias("level"))
+
+    def step(state: Column, _: Column) -> Column:
+        found = F.concat(state["found"], state["level"])
+        return F.struct(found.alias("found"), below(state["level"]).alias("level"))
+
+    def finish(state: Column) -> Column:
+        return F.when(F.size(state["level"]) > 0, F.raise_error(too_deep)).otherwise(state["found"])
+
+    return F.reduce(F.sequence(F.lit(1), F.lit(max_depth)), start, step, finish)
+
+
 def value_variants(values: Column) -> Column:
     """An array of variants from a property's ``array<struct<kind, v>>``."""
     return F.transform(values, lambda x: x["v"].cast("variant"))
@@ -64,6 +96,7 @@ def one_or_list(variants: Column) -> Column:
 
 def document_fields(
     uri: Column,
+    part: Column,
     types: Column,
     props: Column,
     id_field: str = "uri",
@@ -71,14 +104,17 @@ def document_fields(
 ) -> Column:
     """``map<string, variant>`` with the fields of one document.
 
-    ``embedded`` gives, per property, an array of variants to write there before
+    Parts after the first carry their own identifier and name their entity in
+    ``part_of``. ``embedded`` gives, per property, an array of variants to write there before
     the property's own values.
     """
     embedded = embedded or {}
     none = F.array().cast("array<variant>")
     head = F.create_map(
         F.lit(id_field),
-        uri.cast("variant"),
+        document_id(uri, part).cast("variant"),
+        F.lit(PART_OF),
+        F.when(part > 0, uri).cast("variant"),
         F.lit("@type"),
         one_or_list(F.transform(types, lambda t: t.cast("variant"))),
     )

@@ -112,11 +112,18 @@ def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Map topic records as they arrive and keep the statements as parquet."""
+    """Map topic records as they arrive; keep the latest document per identifier."""
     records = streaming.read_topics(spark, args.brokers, args.topics.split(","), args.from_oldest)
-    statements = ops.apply_models(records, _models(spark, args))
-    streaming.write_stream(
-        statements, "parquet", args.checkpoint, {"path": args.output}
+    streaming.upsert_documents_stream(
+        records, _models(spark, args), args.output, args.checkpoint
+    ).awaitTermination()
+
+
+def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Send each file of a folder to a topic as one message."""
+    options = connectors.topic_write_options(args.brokers, args.topic)
+    streaming.publish_folder(
+        spark, args.input, connectors.TOPIC_FORMAT, args.checkpoint, options
     ).awaitTermination()
 
 
@@ -174,6 +181,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--topics", required=True)
     p.add_argument("--from-oldest", action="store_true")
     p.add_argument("--checkpoint", required=True)
+    p = job("publish", run_publish, output=False)
+    p.add_argument("--brokers", required=True)
+    p.add_argument("--topic", required=True)
+    p.add_argument("--checkpoint", required=True)
     return top
 
 

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ldspark.functions.documents import JSON_MAP, is_object, json_strings
+from ldspark.functions.documents import JSON_MAP, is_object, json_strings, walk
 
-MAX_FRAME_DEPTH = 12
+MAX_FRAME_DEPTH = 64
 
 
 def _file_name(path: str = "path") -> Column:
@@ -71,18 +71,11 @@ def frame_types(frames: DataFrame, max_depth: int = MAX_FRAME_DEPTH) -> DataFram
             )
         )
 
-    levels = frames.select("name", F.array(F.try_parse_json("text")).alias("l0"))
-    for depth in range(max_depth):
-        levels = levels.withColumn(f"l{depth + 1}", below(F.col(f"l{depth}")))
-    deepest = F.col(f"l{max_depth}")
-    every = F.concat(*[F.col(f"l{n}") for n in range(max_depth)])
-    checked = F.when(
-        F.size(deepest) > 0,
-        F.raise_error(F.concat(F.lit(f"frame deeper than {max_depth}: "), F.col("name"))),
-    ).otherwise(every)
-    named = F.flatten(F.transform(checked, lambda v: json_strings(v, "$['@type']")))
+    too_deep = F.concat(F.lit(f"frame deeper than {max_depth}: "), F.col("name"))
+    every = walk(F.array(F.try_parse_json("text")), below, max_depth, too_deep)
+    named = F.flatten(F.transform(every, lambda v: json_strings(v, "$['@type']")))
     return (
-        levels.select("name", F.explode(named).alias("type"))
+        frames.select("name", F.explode(named).alias("type"))
         .filter(F.col("type").isNotNull())
         .distinct()
     )

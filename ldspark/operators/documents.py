@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ldspark.functions.documents import JSON_MAP, is_object, json_value
+from ldspark.functions.documents import JSON_MAP, PART_OF, is_object, json_value, walk
 from ldspark.plans.model import RDF_TYPE
 
-MAX_DEPTH = 12
+MAX_DEPTH = 64
 
 
 def node_statements(nodes: DataFrame) -> DataFrame:
@@ -53,36 +53,36 @@ def document_statements(
 ) -> DataFrame:
     """Statements of JSON documents in ``key, value`` records.
 
-    A document without its identifier is named by the record's key. Objects with
+    A document without its identifier is named by the record's key; the parts of
+    a large one join their entity again. Objects with
     an identifier are links to it and documents of their own, at any depth;
     ``{"@value": ...}`` is text. Plain text is text, unless its property is one
     of ``links``. Text that does not parse gives nothing; a nested object without
     identifier, or nesting below ``max_depth``, is an error.
     """
-    levels = records.select("key", F.array(F.try_parse_json("value")).alias("l0"))
-    for depth in range(max_depth):
-        levels = levels.withColumn(f"l{depth + 1}", _inner_nodes(F.col(f"l{depth}")))
-    too_deep = F.raise_error(F.concat(F.lit(f"nested below {max_depth} levels: "), F.col("key")))
-    every = F.concat(*[F.col(f"l{n}") for n in range(max_depth)])
-    checked = F.when(F.size(f"l{max_depth}") > 0, too_deep).otherwise(every)
+    too_deep = F.concat(F.lit(f"nested below {max_depth} levels: "), F.col("key"))
+    every = walk(F.array(F.try_parse_json("value")), _inner_nodes, max_depth, too_deep)
 
     path = f"$['{id_field}']"
-    nodes = levels.select("key", F.posexplode(checked).alias("n", "node"))
+    nodes = records.select("key", F.posexplode(every).alias("n", "node"))
     unnamed = F.raise_error(F.concat(F.lit("nested object without identifier in "), F.col("key")))
     named = F.coalesce(
-        json_value(F.col("node"), path), F.when(F.col("n") == 0, F.col("key")).otherwise(unnamed)
+        json_value(F.col("node"), f"$['{PART_OF}']"),
+        json_value(F.col("node"), path),
+        F.when(F.col("n") == 0, F.col("key")).otherwise(unnamed),
     )
     fields = (
         nodes.select(
             named.alias("s"),
             F.explode(F.try_variant_get(F.col("node"), "$", JSON_MAP)).alias("p", "raw"),
         )
-        .filter(F.col("p") != id_field)
+        .filter(~F.col("p").isin(id_field, PART_OF))
         .select("s", "p", F.explode(_listed(F.col("raw"))).alias("x"))
     )
     x = F.col("x")
     is_type = F.col("p") == "@type"
-    target = F.when(is_object(x), json_value(x, path))
+    entity = F.coalesce(json_value(x, f"$['{PART_OF}']"), json_value(x, path))
+    target = F.when(is_object(x), entity)
     text = F.when(is_object(x), json_value(x, "$['@value']")).otherwise(json_value(x, "$"))
     kind = (
         F.when(is_type, "type")

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ldspark.functions.documents import document_fields
+from ldspark.functions.documents import document_fields, document_id
 from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, salted_join
 from ldspark.plans.frame import Frame
 
@@ -101,8 +101,8 @@ def _embed(
         F.explode(F.transform(references, lambda x: x["v"])).alias("target"),
     )
     # one list of hot targets serves both joins: salting more than needed is harmless
-    hot = hot_keys(links, ["target"], rows_per_task)
     spread = ["parent", "parent_part"]
+    hot = hot_keys(links, ["target"], spread, rows_per_task)
     if merge_limit is not None:
         # every document has a part 0, so identifiers are unique without a distinct
         uris = members.filter(F.col("part") == 0).select(F.col("uri").alias("target"))
@@ -161,8 +161,9 @@ def apply_frames(
 
 def flat_document_json(nodes: DataFrame, id_field: str = "uri") -> DataFrame:
     """``key, value`` with the JSON text of flat documents."""
-    fields = document_fields(F.col("uri"), F.col("types"), F.col("props"), id_field)
-    return nodes.select(F.col("uri").alias("key"), F.to_json(fields).alias("value"))
+    fields = document_fields(*[F.col(c) for c in ("uri", "part", "types", "props")], id_field)
+    key = document_id(F.col("uri"), F.col("part"))
+    return nodes.select(key.alias("key"), F.to_json(fields).alias("value"))
 
 
 def _nested_fields(document: Callable[[str], Column], frame: Frame, id_field: str) -> Column:
@@ -175,12 +176,12 @@ def _nested_fields(document: Callable[[str], Column], frame: Frame, id_field: st
         )
 
     embedded = {prop: below(prop, sub) for prop, sub in frame.edges.items()}
-    return document_fields(
-        document("uri"), document("types"), document("props"), id_field, embedded
-    )
+    parts = [document(c) for c in ("uri", "part", "types", "props")]
+    return document_fields(*parts, id_field, embedded)
 
 
 def framed_document_json(framed: DataFrame, frame: Frame, id_field: str = "uri") -> DataFrame:
     """``key, value`` with the JSON text of nested documents."""
     fields = _nested_fields(lambda name: F.col(f"`{name}`"), frame, id_field)
-    return framed.select(F.col("uri").alias("key"), F.to_json(fields).alias("value"))
+    key = document_id(F.col("uri"), F.col("part"))
+    return framed.select(key.alias("key"), F.to_json(fields).alias("value"))

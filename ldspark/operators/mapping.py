@@ -29,12 +29,13 @@ class _Inputs:
 
     def __init__(self, df: DataFrame) -> None:
         self.df = df
+        self.types = {f.name: f.dataType for f in df.schema}
         self.parsed: dict[str, Column] = {}
         self.columns: dict[str, Column] = {}
         self._names: dict[object, tuple[str, bool]] = {}
 
     def _type_of(self, path: str) -> T.DataType:
-        return self.df.select(path).schema[0].dataType
+        return self.types[path] if path in self.types else self.df.select(path).schema[0].dataType
 
     def _variant(self, column: str) -> Column:
         name = f"_json_{column}"

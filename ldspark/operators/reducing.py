@@ -76,8 +76,8 @@ def to_nodes(statements: DataFrame, values_per_row: int = VALUES_PER_ROW) -> Dat
     """Document view of a *set* of statements.
 
     ``uri, part, types ARRAY<STRING>, props MAP<STRING, ARRAY<STRUCT<kind, v>>>``
-    with every array sorted. A subject with up to ``values_per_row`` values is
-    one row with part 0. A larger one continues in further parts, each with its
+    with every array sorted. A subject with up to about ``values_per_row`` values
+    is one row with part 0. A larger one continues in further parts, each with its
     types and some of its values; together the parts hold every value. That is
     how no task ever gathers an unbounded group. Node objects that share an
     identifier describe one node in JSON-LD, so part documents stay valid.

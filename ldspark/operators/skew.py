@@ -6,6 +6,12 @@ keys can be hot, whatever the data. The list carries a 64-bit hash and a count
 per key, about 16 MB at most, so it is the one thing here that may be broadcast.
 Keys below the bound hold at most a millionth of the rows each.
 
+Finding hot keys must not cost a shuffle as large as the work itself. Rows are
+counted in a share picked by hash, so that a key at the limit still has about
+``COUNTED_AT_LIMIT`` rows in it; small limits are counted in full. The share only
+decides how finely a key is split: every row is processed, and any list of hot
+keys gives the same rows.
+
 Splitting is by hash of the row's own values, never by position, so a task that
 runs again puts every row where it was.
 """
@@ -18,15 +24,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_HOT_KEYS = 1_000_000
 ROWS_PER_TASK = 500_000
+COUNTED_AT_LIMIT = 200
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_part: int) -> DataFrame:
-    """``key_hash, parts`` for the keys to split; counted map-side first."""
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], spread: Sequence[str], rows_per_part: int
+) -> DataFrame:
+    """``key_hash, parts`` for the keys to split; counted map-side first.
+
+    ``keys`` and ``spread`` together should tell rows apart.
+    """
+    share = max(1, rows_per_part // COUNTED_AT_LIMIT)
+    if share > 1:
+        picked = F.pmod(F.xxhash64(*keys, *spread, F.lit(share)), F.lit(share)) == 0
+        df = df.filter(picked)
+    per_part = rows_per_part / share
     counts = df.groupBy(F.xxhash64(*keys).alias("key_hash")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("n"))
-    limit = F.greatest(F.lit(float(rows_per_part)), total.scalar() / F.lit(float(MAX_HOT_KEYS)))
+    limit = F.greatest(F.lit(per_part), total.scalar() / F.lit(float(MAX_HOT_KEYS)))
     return counts.filter(F.col("n") > limit).select(
-        "key_hash", F.ceil(F.col("n") / rows_per_part).cast("int").alias("parts")
+        "key_hash", F.ceil(F.col("n") / per_part).cast("int").alias("parts")
     )
 
 
@@ -47,7 +64,7 @@ def split_groups(
     df: DataFrame, keys: Sequence[str], spread: Sequence[str], rows_per_part: int
 ) -> DataFrame:
     """Adds ``part`` and ``parts``: a hot key's rows go to several parts by ``spread``."""
-    marked = _with_parts(df, keys, hot_keys(df, keys, rows_per_part))
+    marked = _with_parts(df, keys, hot_keys(df, keys, spread, rows_per_part))
     return marked.withColumn("part", part_of(spread))
 
 
@@ -67,7 +84,7 @@ def salted_join(
     already may be given; any list gives the same rows.
     """
     if hot is None:
-        hot = hot_keys(many, [on], rows_per_task)
+        hot = hot_keys(many, [on], spread, rows_per_task)
     left = _with_parts(many, [on], hot).withColumn("_salt", part_of(spread)).drop("parts")
     right = (
         _with_parts(one, [on], hot)

@@ -6,6 +6,7 @@ from ldspark.streaming.streams import (
     read_json_stream,
     read_message_files,
     read_topics,
+    upsert_documents_stream,
     upsert_stream,
     write_stream,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "read_json_stream",
     "read_message_files",
     "read_topics",
+    "upsert_documents_stream",
     "upsert_stream",
     "write_stream",
 ]

@@ -8,7 +8,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ldspark.operators.framing import flat_document_json
+from ldspark.operators.mapping import apply_models
+from ldspark.operators.reducing import reduce_documents
 from ldspark.operators.upsert import write_batch
+from ldspark.plans.model import Model
 from ldspark.sources.connectors import TOPIC_FORMAT, topic_read_options
 from ldspark.sources.records import Schema
 
@@ -107,3 +111,26 @@ def upsert_stream(
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(available_now, every)).start()
+
+
+def upsert_documents_stream(
+    stream: DataFrame,
+    models: Sequence[Model],
+    path: str,
+    checkpoint: str,
+    every: str = EVERY_BATCH,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Map, reduce and store each batch's documents as ``key, value, batch_seq``.
+
+    A document of a later batch replaces the one before it as a whole; read them
+    with ``read_latest(df, "key", ["batch_seq"])``.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        documents = flat_document_json(reduce_documents(apply_models(batch, models)))
+        numbered = documents.withColumn("batch_seq", F.lit(batch_id).cast("bigint"))
+        write_batch(numbered, path, batch_id, "key", ["batch_seq"])
+
+    writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(available_now, every)).start()

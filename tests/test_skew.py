@@ -15,10 +15,10 @@ def skewed(spark, n=900):
 
 
 def test_only_heavy_keys_are_hot(spark):
-    hot = hot_keys(skewed(spark), ["k"], 50).collect()
+    hot = hot_keys(skewed(spark), ["k"], ["v"], 50).collect()
     assert [r["parts"] for r in hot] == [6]
-    assert hot_keys(skewed(spark), ["k"], 300).count() == 0
-    assert hot_keys(skewed(spark).limit(0), ["k"], 1).count() == 0
+    assert hot_keys(skewed(spark), ["k"], ["v"], 300).count() == 0
+    assert hot_keys(skewed(spark).limit(0), ["k"], ["v"], 1).count() == 0
 
 
 def test_split_spreads_a_hot_key_and_leaves_the_others(spark):
@@ -55,3 +55,14 @@ def test_only_the_bounded_list_is_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_large_limits_count_a_share_only(spark):
+    df = skewed(spark, 300_000)
+    (row,) = hot_keys(df, ["k"], ["v"], 10_000).collect()
+    assert 8 <= row["parts"] <= 12
+    assert hot_keys(df, ["k"], ["v"], 200_000).count() == 0
+    sizes = collections.Counter(
+        r["part"] for r in split_groups(df, ["k"], ["v"], 10_000).filter("k = 'hot'").collect()
+    )
+    assert sum(sizes.values()) == 100_000 and max(sizes.values()) < 15_000
