@@ -87,6 +87,7 @@ def _without_embedded(prop: str, children: Column) -> Column:
 
 
 def _embed(
+    out: DataFrame,
     parents: DataFrame,
     prop: str,
     children: DataFrame,
@@ -94,6 +95,7 @@ def _embed(
     merge_limit: int | None,
     rows_per_task: int,
 ) -> DataFrame:
+    """Adds the documents ``prop`` leads to; the links come from the plain parents."""
     references = F.filter(F.col("props")[prop], lambda x: x["kind"] == "iri")
     links = parents.select(
         F.col("uri").alias("parent"),
@@ -117,12 +119,13 @@ def _embed(
         F.array_sort(F.collect_list("child"), _by_uri).alias("_children")
     )
     children_of = F.col("_children")
-    joined = parents.join(
+    # both sides arrive by (uri, part), so a second edge does not shuffle parents again
+    joined = out.join(
         grouped,
-        (parents["uri"] == grouped["parent"]) & (parents["part"] == grouped["parent_part"]),
+        (out["uri"] == grouped["parent"]) & (out["part"] == grouped["parent_part"]),
         "left",
     )
-    carried = [F.col(f"`{c}`") for c in parents.columns if c != "props"]
+    carried = [F.col(f"`{c}`") for c in out.columns if c != "props"]
     return joined.select(
         *carried, _without_embedded(prop, children_of).alias("props"), children_of.alias(prop)
     )
@@ -144,11 +147,12 @@ def frame_documents(
     Several frames, or a frame of several levels, read the documents several
     times: pass a materialized table.
     """
-    out = of_type(nodes, frame.type).select("uri", "part", "types", "props")
+    parents = of_type(nodes, frame.type).select("uri", "part", "types", "props")
+    out = parents
     for prop, sub in frame.edges.items():
         children = frame_documents(nodes, sub, merge_limit, rows_per_task)
         members = of_type(nodes, sub.type)
-        out = _embed(out, prop, children, members, merge_limit, rows_per_task)
+        out = _embed(out, parents, prop, children, members, merge_limit, rows_per_task)
     return out
 
 

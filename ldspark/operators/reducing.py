@@ -32,8 +32,15 @@ def distinct_statements(statements: DataFrame) -> DataFrame:
     return statements.select(*COLUMNS).distinct()
 
 
-def _rank(o: Column, as_type: str | None) -> Column:
-    return F.struct(o.try_cast(as_type), o) if as_type else F.struct(o)
+def _best(p: str, how: str, as_type: str | None) -> Column:
+    """The greatest or least value of a property; values that do not cast come last."""
+    fields = [F.col("o"), F.col("kind")]
+    if as_type:
+        number = F.col("o").try_cast(as_type)
+        last = number.isNotNull() if how == "max" else number.isNull()
+        fields = [last.alias("last"), number.alias("number"), *fields]
+    ranked = F.when(F.col("p") == p, F.struct(*fields))
+    return F.max(ranked) if how == "max" else F.min(ranked)
 
 
 def reduce_statements(
@@ -56,19 +63,20 @@ def reduce_statements(
     if wrong:
         raise ValueError(f"single-valued properties take 'min' or 'max', not {wrong}")
 
-    value = F.struct("kind", "o")
-    one_of = F.col("p").isin(*rules)
-    picks = []
-    for n, (p, (how, as_type)) in enumerate(rules.items()):
-        best = F.max_by if how == "max" else F.min_by
-        mine = F.col("p") == p
-        rank = F.when(mine, F.struct(_rank(F.col("o"), as_type), F.col("kind")))
-        picks.append(best(F.struct("kind", "o"), rank).alias(f"_pick{n}"))
+    names = [f"_pick{n}" for n in range(len(rules))]
+    picks = [_best(p, *rule).alias(name) for name, (p, rule) in zip(names, rules.items())]
+    other = F.when(~F.col("p").isin(*rules), F.struct("o", "kind"))
     return (
-        statements.groupBy("s", "p", F.when(~one_of, value).alias("_value"))
+        statements.groupBy("s", "p", other.alias("_other"))
         .agg(*picks)
-        .select("s", "p", F.coalesce("_value", *[f"_pick{n}" for n in range(len(rules))]).alias("v"))
-        .select("s", "p", "v.o", "v.kind")
+        .select(
+            "s",
+            "p",
+            *[
+                F.coalesce(*[F.col(f"{c}.{field}") for c in ("_other", *names)]).alias(field)
+                for field in ("o", "kind")
+            ],
+        )
     )
 
 

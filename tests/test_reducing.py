@@ -98,6 +98,10 @@ def test_single_valued_properties(spark):
         ],
         key=repr,
     )
+    least = reduce_statements(
+        statements(spark, data + [("u:1", "n", "none", "literal")]), single_valued={"n": ("min", "int")}
+    )
+    assert ("u:1", "n", "9", "literal") in rows(least)
     with pytest.raises(ValueError):
         reduce_statements(statements(spark, data), single_valued={"n": "avg"})
 
