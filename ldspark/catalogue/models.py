@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ldspark.operators import apply_model, reduce_statements, to_nodes
+from ldspark.operators import apply_model, reduce_statements, store_by_type, to_nodes
 from ldspark.plans import Field, Frame, Iri, JsonPath, Model, Node, Template
 from ldspark.session import materialize
 
@@ -206,10 +206,16 @@ def entity_statements(spark: SparkSession, sf_dir: str, context: dict[str, str]
 
 
 def entity_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Their documents under the short names, written once for the frames to read."""
+    """Their documents under the short names, written once."""
     return materialize(to_nodes(entity_statements(spark, sf_dir, CONTEXT)), "nodes")
 
 
-def order_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def entity_types(spark: SparkSession, sf_dir: str, *frames: Frame) -> dict[str, DataFrame]:
+    """The same documents, written once by type for the frames to read."""
+    classes = set().union(*[f.types() for f in frames])
+    return store_by_type(to_nodes(entity_statements(spark, sf_dir, CONTEXT)), classes)
+
+
+def order_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     statements = reduce_statements(apply_model(orders(spark, sf_dir), CUSTOMER_ORDERS))
-    return materialize(to_nodes(statements), "order-nodes")
+    return store_by_type(to_nodes(statements), ORDERS_FRAME.types())

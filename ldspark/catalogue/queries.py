@@ -401,7 +401,7 @@ def first(props: str, name: str):
 
 @query
 def frame_one_level(spark, sf_dir):
-    framed = ops.frame_documents(m.entity_nodes(spark, sf_dir), m.CUSTOMER_FRAME)
+    framed = ops.frame_documents(m.entity_types(spark, sf_dir, m.CUSTOMER_FRAME), m.CUSTOMER_FRAME)
     return framed.select("uri", first("props", "name").alias("name"), F.explode("nation").alias("n")).select(
         "uri",
         "name",
@@ -412,7 +412,7 @@ def frame_one_level(spark, sf_dir):
 
 @query
 def frame_two_level(spark, sf_dir):
-    framed = ops.frame_documents(m.entity_nodes(spark, sf_dir), m.DEEP_FRAME)
+    framed = ops.frame_documents(m.entity_types(spark, sf_dir, m.DEEP_FRAME), m.DEEP_FRAME)
     nations = framed.select("uri", first("props", "name").alias("name"), F.explode("nation").alias("n"))
     return nations.select("uri", "name", F.col("n.uri").alias("nation_uri"), F.explode("n.region").alias("r")).select(
         "uri", "name", "nation_uri", first("r.props", "name").alias("region_name")
@@ -422,7 +422,7 @@ def frame_two_level(spark, sf_dir):
 @query
 def frame_multi_root(spark, sf_dir):
     frames = {"customer": m.CUSTOMER_FRAME, "supplier": m.SUPPLIER_FRAME}
-    framed = ops.apply_frames(m.entity_nodes(spark, sf_dir), frames)
+    framed = ops.apply_frames(m.entity_types(spark, sf_dir, *frames.values()), frames)
     return ops.union_all(
         *[
             df.select(F.lit(name).alias("root"), "uri", F.explode("nation.uri").alias("nation_uri"))
@@ -434,7 +434,7 @@ def frame_multi_root(spark, sf_dir):
 @query
 def frame_capped(spark, sf_dir):
     """At most three embedded orders per customer; the rest stay references."""
-    framed = ops.frame_documents(m.order_nodes(spark, sf_dir), m.ORDERS_FRAME, merge_limit=3)
+    framed = ops.frame_documents(m.order_types(spark, sf_dir), m.ORDERS_FRAME, merge_limit=3)
 
     def listed(uris, embedded):
         return F.transform(
@@ -450,7 +450,7 @@ def frame_capped(spark, sf_dir):
 
 @query
 def frame_json(spark, sf_dir):
-    framed = ops.frame_documents(m.entity_nodes(spark, sf_dir), m.DEEP_FRAME)
+    framed = ops.frame_documents(m.entity_types(spark, sf_dir, m.DEEP_FRAME), m.DEEP_FRAME)
     return ops.framed_document_json(framed, m.DEEP_FRAME)
 
 
@@ -458,7 +458,7 @@ def frame_json(spark, sf_dir):
 def write_frames(spark, sf_dir):
     """Frames written to one folder each, then read back."""
     frames = {"customer": m.CUSTOMER_FRAME, "supplier": m.SUPPLIER_FRAME}
-    framed = ops.apply_frames(m.entity_nodes(spark, sf_dir), frames)
+    framed = ops.apply_frames(m.entity_types(spark, sf_dir, *frames.values()), frames)
     out = scratch_path(spark, "frames")
     names = sinks.write_frames(framed, frames, out)
     return ops.union_all(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ldspark import operators as ops, sinks, sources, streaming
 from ldspark.functions import drop_json_fields
 from ldspark.plans import Model
-from ldspark.session import build_session, materialize
+from ldspark.session import build_session
 from ldspark.sources import connectors
 
 KINDS = ("text", "sequence", "json", "csv")
@@ -70,9 +70,10 @@ def run_context(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_frame(spark: SparkSession, args: argparse.Namespace) -> None:
     """Apply models, reduce, frame; one output folder per frame."""
     statements = ops.distinct_statements(ops.apply_models(_records(spark, args), _models(spark, args)))
-    nodes = materialize(ops.to_nodes(statements), "nodes")
     files = sources.read_files(spark, args.frames, "*.json")
     frames = sources.load_frames(ops.list_frames(files))
+    classes = set().union(*[frame.types() for frame in frames.values()])
+    nodes = ops.store_by_type(ops.to_nodes(statements), classes)
     publish = None
     if args.index:
         def publish(name: str, documents: DataFrame) -> None:

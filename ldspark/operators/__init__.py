@@ -30,6 +30,7 @@ from ldspark.operators.framing import (
     frame_documents,
     framed_document_json,
     partition_on_types,
+    store_by_type,
     type_members,
 )
 from ldspark.operators.mapping import apply_model, apply_models, model_documents, ntriples
@@ -80,6 +81,7 @@ __all__ = [
     "salted_join",
     "scan_cells",
     "split_groups",
+    "store_by_type",
     "swap_alias",
     "to_nodes",
     "type_members",

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from ldspark.functions.documents import json_value
 
 
+SHORT_LIST = 1000
+
+
 def key_by_field(records: DataFrame, path: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Key JSON text by one of its fields.
 
@@ -31,7 +34,9 @@ def keep_keys(records: DataFrame, wanted: Sequence[str] | DataFrame, key: str =
     when measured and splits hot record keys otherwise.
     """
     if not isinstance(wanted, DataFrame):
-        return records.filter(F.col(key).isin(list(wanted)))
+        if len(wanted) <= SHORT_LIST:
+            return records.filter(F.col(key).isin(list(wanted)))
+        wanted = records.sparkSession.createDataFrame([(k,) for k in wanted], "key STRING")
     (name,) = wanted.columns
     keys = wanted.select(F.col(name).alias(key)).filter(F.col(key).isNotNull()).distinct()
     return records.join(keys, key, "left_semi").select(*records.columns)

@@ -2,23 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from typing import Union
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ldspark.functions.documents import document_fields, document_id
 from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, salted_join
 from ldspark.plans.frame import Frame
+from ldspark.session import materialize_by
 
 # up to this limit Spark ranks per input partition before the shuffle
 RANK_BEFORE_SHUFFLE = 1000
 RANK_SALTS = 64
 
 
-def of_type(nodes: DataFrame, cls: str) -> DataFrame:
+Nodes = Union[DataFrame, Mapping[str, DataFrame]]
+
+
+def of_type(nodes: Nodes, cls: str) -> DataFrame:
+    """The documents that carry a type, from all documents or from a split by type."""
+    if isinstance(nodes, Mapping):
+        return nodes[cls]
     return nodes.filter(F.array_contains("types", cls))
 
 
+def store_by_type(nodes: DataFrame, classes: Iterable[str], label: str = "types") -> dict[str, DataFrame]:
+    """Write documents once, one folder per type, and return type to documents.
+
+    Each frame then reads the types it names and nothing else. A document with
+    several of the types is in each folder; one with none of them is left out.
+    """
+    names = sorted(set(classes))
+    wanted = F.array(*[F.lit(c) for c in names])
+    placed = nodes.withColumn("class", F.explode(F.array_intersect("types", wanted)))
+    stored = materialize_by(placed, "class", label)
+    return {c: stored.filter(F.col("class") == c).drop("class") for c in names}
+
+
 def partition_on_types(nodes: DataFrame, types: Sequence[Mapping[str, str]]) -> dict[str, DataFrame]:
     """Per ``{"name", "uri"}`` entry the documents that carry the type.
 
@@ -132,7 +153,7 @@ def _embed(
 
 
 def frame_documents(
-    nodes: DataFrame,
+    nodes: Nodes,
     frame: Frame,
     merge_limit: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
@@ -144,8 +165,8 @@ def frame_documents(
     target is absent, has another type or falls beyond ``merge_limit`` stays a
     reference in ``props``. The depth is the frame's, so cycles end.
 
-    Several frames, or a frame of several levels, read the documents several
-    times: pass a materialized table.
+    The documents are read several times: pass the result of
+    :func:`store_by_type`, or at least a materialized table.
     """
     parents = of_type(nodes, frame.type).select("uri", "part", "types", "props")
     out = parents
@@ -157,7 +178,7 @@ def frame_documents(
 
 
 def apply_frames(
-    nodes: DataFrame, frames: Mapping[str, Frame], merge_limit: int | None = None
+    nodes: Nodes, frames: Mapping[str, Frame], merge_limit: int | None = None
 ) -> dict[str, DataFrame]:
     """One lazy collection per named frame over the same documents."""
     return {name: frame_documents(nodes, f, merge_limit) for name, f in frames.items()}

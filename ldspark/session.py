@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -67,6 +67,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Like :func:`materialize`, in one folder per value of ``column``.
+
+    For a handful of values. The rebalance gathers each value's rows into files
+    of a good size, splitting the values that hold most rows.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Cache ``df`` for the plans inside a ``with`` block, then release it.

@@ -3,12 +3,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows, statements
+from helpers import plan, rows, statements
 from ldspark.operators import (
     apply_frames,
     frame_documents,
     framed_document_json,
     partition_on_types,
+    store_by_type,
     to_nodes,
     type_members,
 )
@@ -120,6 +121,16 @@ def test_partition_on_types(spark):
     } | {("ns", "n:1"), ("ns", "n:2")}
 
 
+def test_documents_stored_by_type_frame_alike(spark):
+    nodes = to_nodes(statements(spark, DATA))
+    stored = store_by_type(nodes, TWO.types())
+    assert set(stored) == {"C", "N", "R"}
+    assert stored["C"].columns == nodes.columns
+    assert rows(stored["C"].select("uri")) == [(f"c:{n}",) for n in range(1, 5)] + [("n:2",)]
+    assert docs(frame_documents(stored, TWO), TWO) == docs(frame_documents(nodes, TWO), TWO)
+    assert "PartitionFilters: [isnotnull(class" in plan(stored["N"])
+
+
 def test_several_frames_over_one_collection(spark):
     framed = apply_frames(to_nodes(statements(spark, DATA)), {"c": ONE, "r": Frame("R")})
     assert framed["c"].count() == 5 and framed["r"].count() == 1

@@ -99,6 +99,8 @@ def test_key_filters(spark):
     wanted = spark.createDataFrame([("u:2",), ("u:2",), (None,), ("u:9",)], "uri STRING")
     assert [r[0] for r in keep_keys(df, wanted).collect()] == ["u:2"]
     assert keep_keys(df, []).count() == 0
+    many = [f"x:{n}" for n in range(2000)] + ["u:3"]
+    assert [r[0] for r in keep_keys(df, many).collect()] == ["u:3"]
 
 
 def test_key_list_is_pushed_to_the_scan(spark, tmp_path):
