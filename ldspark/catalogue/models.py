@@ -168,6 +168,15 @@ PART_WORDS = Model(
     ],
 )
 
+PART_WORD_ENTITIES = Model(
+    base=BASE,
+    root="part",
+    nodes=[
+        Node("part", v("Part"), "part/{p_partkey}", links={v("word"): "word"}),
+        Node("word", v("Word"), "word/{_}", {v("text"): "_"}, {v("usedBy"): "part"}, each="words"),
+    ],
+)
+
 EVENT = Model(
     base=BASE,
     root="event",

@@ -244,6 +244,17 @@ ORACLE: dict[str, str] = {
             (P, "label", "url_encode(p_name) || '/' || url_encode(p_type)", "literal"),
         ],
     ),
+    "apply_model_each": statements("part", [(P, "", "Part", "type")])
+    + " UNION ALL "
+    + statements(
+        "(SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part)",
+        [
+            (P, "word", iri("word", "url_encode(w)"), "iri"),
+            (iri("word", "url_encode(w)"), "", "Word", "type"),
+            (iri("word", "url_encode(w)"), "text", "w", "literal"),
+            (iri("word", "url_encode(w)"), "usedBy", P, "iri"),
+        ],
+    ),
     "apply_model_json": statements("events", EVENT),
     "apply_model_absolute": statements(
         "pages", [("url", "", "WebPage", "type"), ("url", "id", "CAST(page_id AS VARCHAR)", "literal")]

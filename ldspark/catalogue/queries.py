@@ -305,6 +305,13 @@ def apply_model_arrays(spark, sf_dir):
     return ops.apply_model(part, m.PART_WORDS)
 
 
+@query
+def apply_model_each(spark, sf_dir):
+    """An entity per element of a list, linked to and from the row's entity."""
+    part = m.table(spark, sf_dir, "part").withColumn("words", F.split("p_name", " "))
+    return ops.apply_model(part, m.PART_WORD_ENTITIES)
+
+
 @query
 def apply_model_json(spark, sf_dir):
     return ops.apply_model(m.table(spark, sf_dir, "events"), m.EVENT)

@@ -45,6 +45,11 @@ def json_strings(value: Column, path: str) -> Column:
     )
 
 
+def json_elements(value: Column) -> Column:
+    """A variant's elements if it is a list, else the variant alone."""
+    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
+
+
 def is_object(value: Column) -> Column:
     """Whether a variant holds a JSON object."""
     return F.schema_of_variant(value).startswith("OBJECT")

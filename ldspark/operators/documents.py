@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ldspark.functions.documents import JSON_MAP, PART_OF, is_object, json_value, walk
+from ldspark.functions.documents import JSON_MAP, PART_OF, is_object, json_elements, json_value, walk
 from ldspark.plans.model import RDF_TYPE
 
 MAX_DEPTH = 64
@@ -29,17 +29,12 @@ def node_statements(nodes: DataFrame) -> DataFrame:
     return types.distinct().unionByName(values)
 
 
-def _listed(value: Column) -> Column:
-    """A variant's elements if it is a list, else the variant alone."""
-    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
-
-
 def _inner_nodes(nodes: Column) -> Column:
     """The node objects one level below some node objects."""
 
     def below(node: Column) -> Column:
         values = F.flatten(
-            F.transform(F.map_values(F.try_variant_get(node, "$", JSON_MAP)), _listed)
+            F.transform(F.map_values(F.try_variant_get(node, "$", JSON_MAP)), json_elements)
         )
         return F.filter(
             values, lambda x: is_object(x) & json_value(x, "$['@value']").isNull()
@@ -77,7 +72,7 @@ def document_statements(
             F.explode(F.try_variant_get(F.col("node"), "$", JSON_MAP)).alias("p", "raw"),
         )
         .filter(~F.col("p").isin(id_field, PART_OF))
-        .select("s", "p", F.explode(_listed(F.col("raw"))).alias("x"))
+        .select("s", "p", F.explode(json_elements(F.col("raw"))).alias("x"))
     )
     x = F.col("x")
     is_type = F.col("p") == "@type"

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ldspark.functions.documents import json_strings, json_value
+from ldspark.functions.documents import json_elements, json_strings, json_value
 from ldspark.functions.terms import (
     ABSOLUTE_IRI,
     encode_part,
@@ -17,14 +17,30 @@ from ldspark.functions.terms import (
     resolve_iri,
 )
 from ldspark.operators.reducing import to_nodes
-from ldspark.plans.model import RDF_TYPE, Const, Field, Iri, JsonPath, Model, Node, Source, Template
+from ldspark.plans.model import (
+    ELEMENT,
+    RDF_TYPE,
+    Const,
+    Field,
+    Iri,
+    JsonPath,
+    Model,
+    Node,
+    Source,
+    Template,
+)
+
+
+# an element of a list, inside the expression that maps the list
+Element = tuple[Column, T.DataType]
 
 
 class _Inputs:
     """Names the columns a model needs, so each is computed once per row.
 
     Subjects and values go into a projection below the generator; the generator
-    then only refers to attributes and stays inside generated code.
+    then only refers to attributes and stays inside generated code. Values of a
+    list element are expressions of that element and have no column.
     """
 
     def __init__(self, df: DataFrame) -> None:
@@ -32,22 +48,42 @@ class _Inputs:
         self.types = {f.name: f.dataType for f in df.schema}
         self.parsed: dict[str, Column] = {}
         self.columns: dict[str, Column] = {}
-        self._names: dict[object, tuple[str, bool]] = {}
+        self._names: dict[object, str] = {}
 
     def _type_of(self, path: str) -> T.DataType:
         return self.types[path] if path in self.types else self.df.select(path).schema[0].dataType
 
-    def _variant(self, column: str) -> Column:
+    def _variant(self, column: str, element: Element | None) -> Column:
+        if column == ELEMENT and element is not None:
+            value, dtype = element
+            return value if isinstance(dtype, T.VariantType) else F.try_parse_json(value)
         name = f"_json_{column}"
         if isinstance(self._type_of(column), T.VariantType):
             self.parsed[name] = F.col(column)
         else:
             self.parsed[name] = F.try_parse_json(F.col(column))
-        return F.col(name)
+        return F.col(name) if element is None else self._named(("json", column), F.col(name))
+
+    def _field(self, path: str, element: Element | None) -> Element:
+        first, *rest = path.split(".")
+        if first != ELEMENT or element is None:
+            column = F.col(path)
+            if element is not None:
+                column = self._named(("field", path), column)
+            return column, self._type_of(path)
+        column, dtype = element
+        for name in rest:
+            inner, many = dtype, isinstance(dtype, T.ArrayType)
+            if many:
+                inner = inner.elementType
+            inner = inner[name].dataType
+            column, dtype = column[name], T.ArrayType(inner) if many else inner
+        return column, dtype
 
-    def _flat_values(self, path: str) -> tuple[Column, T.DataType, bool]:
-        """The column, the type of one value, and whether a row holds several."""
-        column, dtype, many = F.col(path), self._type_of(path), False
+    def _flat(self, path: str, element: Element | None) -> tuple[Column, T.DataType, bool]:
+        """The value, the type of one of it, and whether there are several."""
+        column, dtype = self._field(path, element)
+        many = False
         while isinstance(dtype, T.ArrayType):
             dtype = dtype.elementType
             if many:
@@ -55,60 +91,134 @@ class _Inputs:
             many = True
         return column, dtype, many
 
-    def _template(self, template: Template) -> Column:
+    def _template(self, template: Template, element: Element | None) -> Column:
         parts = []
         for piece in template.pieces():
             if isinstance(piece, str):
                 parts.append(F.lit(piece))
             elif isinstance(piece, JsonPath):
-                parts.append(encode_part(json_value(self._variant(piece.column), piece.path)))
+                text = json_value(self._variant(piece.column, element), piece.path)
+                parts.append(encode_part(text))
             else:
-                column, dtype, many = self._flat_values(piece.path)
+                column, dtype, many = self._flat(piece.path, element)
                 if many:
                     raise ValueError(f"{piece.path!r} holds a list and cannot fill a template")
                 text = lexical(dtype)(column)
                 parts.append(encode_part(text) if needs_encoding(dtype) else text)
         return F.concat(*parts)
 
-    def _named(self, key: object, column: Column, many: bool) -> tuple[str, bool]:
+    def _named(self, key: object, column: Column) -> Column:
         if key not in self._names:
-            name = f"_c{len(self._names)}"
-            self.columns[name] = column
-            self._names[key] = (name, many)
-        return self._names[key]
+            self._names[key] = f"_c{len(self._names)}"
+            self.columns[self._names[key]] = column
+        return F.col(self._names[key])
 
-    def value(self, source: Source) -> tuple[str, bool]:
-        """The name of a value's column and whether it is an array."""
+    def value(self, source: Source, element: Element | None = None) -> tuple[Column, bool]:
+        """The value as text, and whether it is an array of texts."""
+        many = False
         if isinstance(source, Const):
-            return self._named(source, F.lit(source.value), False)
-        if isinstance(source, Template):
-            return self._named(source, self._template(source), False)
-        if isinstance(source, JsonPath):
-            return self._named(source, json_strings(self._variant(source.column), source.path), True)
-        if isinstance(source, Field):
-            column, dtype, many = self._flat_values(source.path)
-            write = lexical(dtype)
-            text = F.transform(column, write) if many else write(column)
-            return self._named(source, text, many)
-        raise ValueError(f"not a value source: {source!r}")
-
-    def subject(self, node: Node, base: str) -> str:
+            text = F.lit(source.value)
+        elif isinstance(source, Template):
+            text = self._template(source, element)
+        elif isinstance(source, JsonPath):
+            text, many = json_strings(self._variant(source.column, element), source.path), True
+        elif isinstance(source, Field):
+            column, dtype, many = self._flat(source.path, element)
+            text = F.transform(column, lexical(dtype)) if many else lexical(dtype)(column)
+        else:
+            raise ValueError(f"not a value source: {source!r}")
+        return (text if element is not None else self._named(source, text)), many
+
+    def subject(self, node: Node, base: str, element: Element | None = None) -> Column:
         source = node.subject_source
         if isinstance(source, Template):
             first = source.pieces()[0]
             absolute = isinstance(first, str) and re.match(ABSOLUTE_IRI, first)
-            text = self._template(source)
+            text = self._template(source, element)
             iri = text if absolute else F.concat(F.lit(base), text)
         elif isinstance(source, JsonPath):
-            iri = resolve_iri(json_value(self._variant(source.column), source.path), base)
+            text = json_value(self._variant(source.column, element), source.path)
+            iri = resolve_iri(text, base)
         elif isinstance(source, Field):
-            column, dtype, many = self._flat_values(source.path)
+            column, dtype, many = self._flat(source.path, element)
             if many:
                 raise ValueError(f"{source.path!r} holds a list and cannot be a subject")
             iri = resolve_iri(lexical(dtype)(column), base)
         else:
             raise ValueError(f"node {node.id!r} needs a template, a field or a JSON path as subject")
-        return self._named((base, source), iri, False)[0]
+        return iri if element is not None else self._named((base, source), iri)
+
+    def elements(self, source: Source) -> tuple[Column, T.DataType]:
+        """The list a node is made for each element of, and the element's type."""
+        if isinstance(source, JsonPath):
+            value = F.try_variant_get(self._variant(source.column, None), source.path, "variant")
+            return self._named(("each", source), json_elements(value)), T.VariantType()
+        column, dtype, many = self._flat(source.path, None)
+        if not many:
+            raise ValueError(f"{source.path!r} holds no list")
+        return self._named(("each", source), column), dtype
+
+
+def _statement(s: Column, p: str, o: Column, kind: str) -> Column:
+    return F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("kind"))
+
+
+def _statements_of(
+    inputs: _Inputs, nodes: Sequence[Node], subjects: Mapping[str, Column], element: Element | None
+) -> tuple[list[Column], list[Column]]:
+    """Types, properties and links of some nodes, as single statements and as arrays.
+
+    Links to nodes that are not in ``subjects`` belong to a list and are left to it.
+    """
+    single, several = [], []
+    for node in nodes:
+        s = subjects[node.id]
+        single += [_statement(s, RDF_TYPE, F.lit(cls), "type") for cls in node.classes]
+        for predicate, target in node.link_targets():
+            if target in subjects:
+                single.append(_statement(s, predicate, subjects[target], "iri"))
+        for predicate, source in node.property_sources():
+            kind = "iri" if isinstance(source, Iri) else "literal"
+            value, many = inputs.value(source.source if isinstance(source, Iri) else source, element)
+            if many:
+                several.append(_each_value(s, predicate, value, kind))
+            else:
+                single.append(_statement(s, predicate, value, kind))
+    return single, several
+
+
+def _each_value(s: Column, p: str, values: Column, kind: str) -> Column:
+    known = F.coalesce(values, F.array().cast("array<string>"))
+    return F.transform(known, lambda o: _statement(s, p, o, kind))
+
+
+def _joined(single: list[Column], several: list[Column]) -> Column:
+    return F.concat(F.array(*single), *several) if several else F.array(*single)
+
+
+def _list_statements(
+    inputs: _Inputs, model: Model, source: Source, nodes: Sequence[Node], outer: Mapping[str, Column]
+) -> Column:
+    """Statements of the nodes made for each element of one list, and links to them."""
+    elements, dtype = inputs.elements(source)
+    ids = {n.id for n in nodes}
+    into = [
+        (n.id, predicate, target)
+        for n in model.reachable()
+        if n.id in outer
+        for predicate, target in n.link_targets()
+        if target in ids
+    ]
+
+    def of_element(value: Column) -> Column:
+        element = (value, dtype)
+        own = {n.id: inputs.subject(n, model.base, element) for n in nodes}
+        single, several = _statements_of(inputs, nodes, {**outer, **own}, element)
+        single += [_statement(outer[n], predicate, own[t], "iri") for n, predicate, t in into]
+        return _joined(single, several)
+
+    none = F.array().cast("array<struct<s: string, p: string, o: string, kind: string>>")
+    return F.coalesce(F.flatten(F.transform(elements, of_element)), none)
 
 
 def apply_models(df: DataFrame, models: Sequence[Model], keep: Sequence[str] = ()) -> DataFrame:
@@ -121,41 +231,27 @@ def apply_models(df: DataFrame, models: Sequence[Model], keep: Sequence[str] = (
     inputs = _Inputs(df)
     single: list[Column] = []
     several: list[Column] = []
-
-    def statement(s: str, p: str, o: Column, kind: str) -> Column:
-        return F.struct(
-            F.col(s).alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("kind")
-        )
-
-    def statement_each(s: str, p: str, values: Column, kind: str) -> Column:
-        return F.transform(values, lambda o: statement(s, p, o, kind))
-
     for model in models:
         nodes = model.reachable()
-        subjects = {n.id: inputs.subject(n, model.base) for n in nodes}
+        plain = [n for n in nodes if n.each is None]
+        subjects = {n.id: inputs.subject(n, model.base) for n in plain}
+        one, many = _statements_of(inputs, plain, subjects, None)
+        single += one
+        several += many
+        lists: dict[Source, list[Node]] = {}
         for node in nodes:
-            s = subjects[node.id]
-            for cls in node.classes:
-                single.append(statement(s, RDF_TYPE, F.lit(cls), "type"))
-            for predicate, target in node.link_targets():
-                single.append(statement(s, predicate, F.col(subjects[target]), "iri"))
-            for predicate, source in node.property_sources():
-                kind = "iri" if isinstance(source, Iri) else "literal"
-                name, many = inputs.value(source.source if isinstance(source, Iri) else source)
-                if many:
-                    values = F.coalesce(F.col(name), F.array().cast("array<string>"))
-                    several.append(statement_each(s, predicate, values, kind))
-                else:
-                    single.append(statement(s, predicate, F.col(name), kind))
-
-    rules = F.array(*single)
-    if several:
-        rules = F.concat(rules, *several)
+            if node.each is not None:
+                lists.setdefault(node.each_source, []).append(node)
+        several += [
+            _list_statements(inputs, model, source, members, subjects)
+            for source, members in lists.items()
+        ]
+
     if inputs.parsed:
         df = df.select("*", *[c.alias(n) for n, c in inputs.parsed.items()])
     return (
         df.select(*keep, *[c.alias(n) for n, c in inputs.columns.items()])
-        .select(*keep, F.inline(rules))
+        .select(*keep, F.inline(_joined(single, several)))
         .filter(F.col("s").isNotNull() & F.col("o").isNotNull())
     )
 

@@ -10,6 +10,9 @@ from typing import Any, Union
 
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 
+# the name of the current element in a node made for each element of a list
+ELEMENT = "_"
+
 _PLACEHOLDER = re.compile(r"\{([^{}]+)\}")
 
 
@@ -87,13 +90,23 @@ def as_source(spec: Any) -> Source:
 
 @dataclass(frozen=True)
 class Node:
-    """One entity minted per input row."""
+    """One entity minted per input row.
+
+    With ``each``, a list-valued field or JSON path, one per element of that
+    list: ``_`` is the element, ``_.name`` a field of it, ``{_:$.name}`` a JSON
+    path into it.
+    """
 
     id: str
     cls: Union[str, Sequence[str]]
     subject: Any
     props: Mapping[str, Any] = field(default_factory=dict)
     links: Mapping[str, Union[str, Sequence[str]]] = field(default_factory=dict)
+    each: Any = None
+
+    @property
+    def each_source(self) -> Source:
+        return as_source(self.each)
 
     @property
     def classes(self) -> tuple[str, ...]:
@@ -135,6 +148,11 @@ class Model:
             missing = [t for _, t in node.link_targets() if t not in known]
             if missing:
                 raise ValueError(f"node {node.id!r} links to unknown {missing}")
+        lists = {n.id: n.each_source for n in self.nodes if n.each is not None}
+        for node in self.nodes:
+            for _, target in node.link_targets():
+                if node.id in lists and lists.get(target, lists[node.id]) != lists[node.id]:
+                    raise ValueError(f"{node.id!r} and {target!r} belong to different lists")
         if self.root not in known:
             raise ValueError(f"root {self.root!r} is not a node")
 
@@ -185,6 +203,7 @@ class Model:
                 subject=n["subject"],
                 props=n.get("props", {}),
                 links=n.get("links", {}),
+                each=n.get("each"),
             )
             for n in spec["nodes"]
         ]

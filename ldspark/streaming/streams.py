@@ -13,6 +13,7 @@ from ldspark.operators.mapping import apply_models
 from ldspark.operators.reducing import reduce_documents
 from ldspark.operators.upsert import write_batch
 from ldspark.plans.model import Model
+from ldspark.session import persisted
 from ldspark.sources.connectors import TOPIC_FORMAT, topic_read_options
 from ldspark.sources.records import Schema
 
@@ -128,9 +129,11 @@ def upsert_documents_stream(
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        documents = flat_document_json(reduce_documents(apply_models(batch, models)))
-        numbered = documents.withColumn("batch_seq", F.lit(batch_id).cast("bigint"))
-        write_batch(numbered, path, batch_id, "key", ["batch_seq"])
+        # reducing reads its input twice; the source should deliver a batch once
+        with persisted(apply_models(batch, models)) as statements:
+            documents = flat_document_json(reduce_documents(statements))
+            numbered = documents.withColumn("batch_seq", F.lit(batch_id).cast("bigint"))
+            write_batch(numbered, path, batch_id, "key", ["batch_seq"])
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(available_now, every)).start()

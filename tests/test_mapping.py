@@ -268,3 +268,54 @@ def test_model_from_json(spark):
         (RDF_TYPE, "P", "type"), ("name", "Ann", "literal"), ("k", "v", "literal"),
         ("t", "x/u%3Ax", "literal"), ("i", "http://i.example/1", "iri"), ("c", "u:x", "iri"),
     }
+
+
+PHONES = {
+    ("u:p/1", RDF_TYPE, "P", "type"), ("u:p/1", "phone", "u:t/a%20b", "iri"), ("u:p/1", "phone", "u:t/c", "iri"),
+    ("u:t/a%20b", RDF_TYPE, "T", "type"), ("u:t/a%20b", "number", "a b", "literal"),
+    ("u:t/a%20b", "tag", "x", "literal"), ("u:t/a%20b", "tag", "y", "literal"),
+    ("u:t/a%20b", "owner", "u:p/1", "iri"), ("u:t/a%20b", "of", "u:m/1-a%20b", "iri"),
+    ("u:m/1-a%20b", RDF_TYPE, "M", "type"),
+    ("u:t/c", RDF_TYPE, "T", "type"), ("u:t/c", "number", "c", "literal"), ("u:t/c", "owner", "u:p/1", "iri"),
+    ("u:t/c", "of", "u:m/1-c", "iri"), ("u:m/1-c", RDF_TYPE, "M", "type"),
+    ("u:p/2", RDF_TYPE, "P", "type"),
+}
+
+
+def test_one_entity_per_element_of_a_list(spark):
+    df = spark.createDataFrame(
+        [(1, [("a b", ["x", "y"]), ("c", None), None]), (2, None)],
+        "id INT, phones ARRAY<STRUCT<n: STRING, tags: ARRAY<STRING>>>",
+    )
+    model = Model(
+        "u:", "p",
+        [
+            Node("p", "P", "p/{id}", {}, {"phone": "t"}),
+            Node("t", "T", "t/{_.n}", {"number": "_.n", "tag": "_.tags"}, {"owner": "p", "of": "m"}, each="phones"),
+            Node("m", "M", "m/{id}-{_.n}", each="phones"),
+        ],
+    )
+    assert {tuple(r) for r in apply_model(df, model).collect()} == PHONES
+
+
+def test_one_entity_per_element_of_a_json_list(spark):
+    df = spark.createDataFrame(
+        [('{"id": 1, "phones": [{"n": "a b", "tags": ["x", "y"]}, {"n": "c"}, null]}',), ('{"id": 2}',)], "value STRING"
+    )
+    text = """{"base": "u:", "root": "p", "nodes": [
+        {"id": "p", "cls": "P", "subject": "p/{value:$.id}", "links": {"phone": "t"}},
+        {"id": "t", "cls": "T", "subject": "t/{_:$.n}", "each": {"json": "value:$.phones"},
+         "props": {"number": {"json": "_:$.n"}, "tag": {"json": "_:$.tags"}}, "links": {"owner": "p", "of": "m"}},
+        {"id": "m", "cls": "M", "subject": "m/{value:$.id}-{_:$.n}", "each": {"json": "value:$.phones"}}]}"""
+    assert {tuple(r) for r in apply_model(df, Model.from_json(text)).collect()} == PHONES
+
+
+def test_plain_list_elements_and_list_errors(spark):
+    df = spark.createDataFrame([(1, ["a", None], ["b"])], "id INT, x ARRAY<STRING>, y ARRAY<STRING>")
+    node = Node("e", "E", "e/{_}", {"v": "_"}, each="x")
+    got = rows(apply_model(df, Model("u:", "e", [node])))
+    assert got == [("u:e/a", RDF_TYPE, "E", "type"), ("u:e/a", "v", "a", "literal")]
+    with pytest.raises(ValueError, match="different lists"):
+        Model("u:", "e", [Node("e", "E", "e/{_}", {}, {"p": "f"}, each="x"), Node("f", "F", "f/{_}", each="y")])
+    with pytest.raises(ValueError, match="no list"):
+        apply_model(df, Model("u:", "e", [Node("e", "E", "e/{_}", each="id")]))

@@ -1,3 +1,6 @@
+from urllib.parse import quote
+
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ldspark.functions import encode_part, ntriples_line, resolve_iri
@@ -39,3 +42,18 @@ def test_ntriples_escapes(spark):
         "<u:1> <u:p> <u:a\\u0020b\\u003Cc\\u003E> .",
         "<u:1> <u:t> <u:C> .",
     ]
+
+
+texts = st.lists(
+    st.text(st.characters(exclude_categories=["Cs"], exclude_characters="\x00"), max_size=20),
+    min_size=30,
+    max_size=60,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts)
+def test_any_text_is_encoded_like_the_standard_library_does(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x STRING")
+    got = [r[0] for r in df.select(encode_part(F.col("x"))).collect()]
+    assert got == [quote(v, safe="") for v in values]
