@@ -136,14 +136,16 @@ def _embed(
     )
     pairs = salted_join(links, documents, "target", spread, "inner", hot=hot)
     # at most a part's share of links per group, whoever the parent is
-    grouped = pairs.groupBy("parent", "parent_part").agg(
+    grouped = pairs.groupBy(F.xxhash64("parent").alias("_parent"), "parent", "parent_part").agg(
         F.array_sort(F.collect_list("child"), _by_uri).alias("_children")
     )
     children_of = F.col("_children")
-    # both sides arrive by (uri, part), so a second edge does not shuffle parents again
+    # both sides arrive by these keys, so a second edge does not shuffle parents again
     joined = out.join(
         grouped,
-        (out["uri"] == grouped["parent"]) & (out["part"] == grouped["parent_part"]),
+        (out["_hash"] == grouped["_parent"])
+        & (out["uri"] == grouped["parent"])
+        & (out["part"] == grouped["parent_part"]),
         "left",
     )
     carried = [F.col(f"`{c}`") for c in out.columns if c != "props"]
@@ -169,12 +171,12 @@ def frame_documents(
     :func:`store_by_type`, or at least a materialized table.
     """
     parents = of_type(nodes, frame.type).select("uri", "part", "types", "props")
-    out = parents
+    out = parents.withColumn("_hash", F.xxhash64("uri"))
     for prop, sub in frame.edges.items():
         children = frame_documents(nodes, sub, merge_limit, rows_per_task)
         members = of_type(nodes, sub.type)
         out = _embed(out, parents, prop, children, members, merge_limit, rows_per_task)
-    return out
+    return out.drop("_hash")
 
 
 def apply_frames(

@@ -98,16 +98,17 @@ def to_nodes(statements: DataFrame, values_per_row: int = VALUES_PER_ROW) -> Dat
             F.when(is_type, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
         ),
     )
-    # both aggregates below run on this one shuffle
+    # both aggregates below run on this one shuffle; with a number as the first key
+    # they sort without comparing identifiers that share long prefixes
     by_property = (
         placed.repartition("s", "part")
-        .groupBy("s", "part", "p")
+        .groupBy(F.xxhash64("s").alias("_hash"), "s", "part", "p")
         .agg(F.sort_array(F.collect_list(F.struct("kind", F.col("o").alias("v")))).alias("vals"))
     )
     entries = F.sort_array(F.collect_list(F.struct("p", "vals")))
     props = F.map_from_entries(entries)
     return (
-        by_property.groupBy("s", "part")
+        by_property.groupBy("_hash", "s", "part")
         .agg(props.alias("all"))
         .select(
             F.col("s").alias("uri"),

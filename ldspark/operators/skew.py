@@ -51,7 +51,7 @@ def _with_parts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame
     marked = df.withColumn("_hash", F.xxhash64(*keys))
     return (
         marked.join(F.broadcast(hot), marked["_hash"] == hot["key_hash"], "left")
-        .drop("_hash", "key_hash")
+        .drop("key_hash")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
     )
 
@@ -65,7 +65,7 @@ def split_groups(
 ) -> DataFrame:
     """Adds ``part`` and ``parts``: a hot key's rows go to several parts by ``spread``."""
     marked = _with_parts(df, keys, hot_keys(df, keys, spread, rows_per_part))
-    return marked.withColumn("part", part_of(spread))
+    return marked.withColumn("part", part_of(spread)).drop("_hash")
 
 
 def salted_join(
@@ -91,4 +91,5 @@ def salted_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .drop("parts")
     )
-    return left.join(right, [on, "_salt"], how).drop("_salt")
+    # identifiers share long prefixes; with the hash first the join sorts by a number
+    return left.join(right, ["_hash", on, "_salt"], how).drop("_hash", "_salt")
