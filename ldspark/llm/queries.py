@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, packing, quality_rules, simhash_dedup, token_cache
+from . import content_sort, license_scan, packing, quality_rules, secret_scan, simhash_dedup, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,12 +46,29 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_quality_rules, op3_token_counts, op4_simhash_dedup, op5_exact_dedup, op8_packing)
+    f.__name__: f
+    for f in (
+        op2_quality_rules,
+        op3_token_counts,
+        op4_simhash_dedup,
+        op5_exact_dedup,
+        op6_license_scan,
+        op7_secret_scan,
+        op8_packing,
+    )
 }
 
 ORACLE: dict[str, str] = {
