@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ldspark.llm import content_sort, packing, quality_rules, simhash_dedup
+from ldspark.llm import content_sort, mixing, packing, quality_rules, simhash_dedup
+from ldspark.llm.queries import MIX_SEED, mixture_levels
 from ldspark.session import scratch_path
 
+BUDGET_PERCENT = 80
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -24,6 +26,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_dedup.drop_near_duplicates(docs)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs, mixture_levels(), budget_percent=BUDGET_PERCENT, seed=MIX_SEED)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs).withColumnRenamed("id", "doc_id")
 
@@ -32,6 +38,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality),
     ("exact dedup", exact_dedup),
     ("near dedup", near_dedup),
+    ("mixing", mix),
     ("packing", pack),
 ]
 ORACLE_SQL: str | None = None  # fingerprints and token ids are beyond SQL; tests hold run() against brute force

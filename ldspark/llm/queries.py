@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, license_scan, packing, quality_rules, secret_scan, simhash_dedup, token_cache
+from . import content_sort, license_scan, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,31 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def mixture_levels() -> list[mixing.Level]:
+    """A made-up domain, by the number that ends a source's name, then language, then source."""
+    domain = F.expr("'d' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) AS int) % 4)")
+    return [
+        mixing.Level("mix_domain", domain, DOMAIN_WEIGHTS),
+        mixing.Level("mix_lang", F.col("lang"), LANG_WEIGHTS),
+        mixing.Level("mix_source", F.col("source"), SOURCE_WEIGHTS),
+    ]
+
+
+DOMAIN_WEIGHTS = {"d0": 4, "d1": 3, "d2": 2, "d3": 1}
+LANG_WEIGHTS = {"en": 4, "de": 3, "fr": 2, "es": 1}
+SOURCE_WEIGHTS = {"src0": 3}
+MIX_PERCENT, MIX_EPOCHS, MIX_SEED = 60, 2, 7
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(
+        documents(spark, sf_dir), mixture_levels(), budget_percent=MIX_PERCENT, max_epochs=MIX_EPOCHS, seed=MIX_SEED
+    )
+    return mixed.select(
+        F.col("id").alias("doc_id"), "mix_domain", "mix_lang", "mix_source", "n_tokens", "epoch", "target"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,9 +93,70 @@ QUERIES = {
         op6_license_scan,
         op7_secret_scan,
         op8_packing,
+        op10_mixing,
     )
 }
 
+def _weight_sql(column: str, weights: dict[str, int]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{v}' THEN {w}" for v, w in weights.items()) + " ELSE 1 END"
+
+
+def mixture_sql(percent: int, epochs: int, seed: int) -> str:
+    """The mixture as SQL: shares of the three levels one after the other, then the prefix of each leaf."""
+    names = ["mix_domain", "mix_lang", "mix_source"]
+    weights = [DOMAIN_WEIGHTS, LANG_WEIGHTS, SOURCE_WEIGHTS]
+    parts = [
+        f"""WITH d AS (
+            SELECT doc_id, coalesce('d' || (try_cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INT) % 4), '') AS mix_domain,
+                   coalesce(lang, '') AS mix_lang, coalesce(source, '') AS mix_source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+            FROM documents
+        ), leaf AS (
+            SELECT mix_domain, mix_lang, mix_source, sum(n_tokens) AS tokens, {epochs} * sum(n_tokens) AS capacity FROM d GROUP BY ALL
+        )"""
+    ]
+    for k, (name, weight) in enumerate(zip(names, weights), start=1):
+        own, parents = ", ".join(names[:k]), ", ".join(names[: k - 1])
+        family = f"PARTITION BY {parents}" if parents else ""
+        order = f"{family} ORDER BY capacity / weight, {name}"
+        budget = (
+            f"least((SELECT sum(tokens) FROM leaf) * {percent} // 100, (SELECT sum(capacity) FROM leaf))"
+            if k == 1
+            else "any_value(above.target)"
+        )
+        above = "" if k == 1 else f" JOIN t{k - 1} AS above USING ({parents})"
+        parts.append(
+            f"""n{k} AS (
+            SELECT {own}, sum(capacity) AS capacity, {budget} AS budget, {_weight_sql(name, weight)} AS weight FROM leaf{above} GROUP BY {own}
+        ), o{k} AS (
+            SELECT *, sum(capacity) OVER ({order} ROWS UNBOUNDED PRECEDING) - capacity AS before_it,
+                   sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS onward FROM n{k}
+        ), f{k} AS (
+            SELECT *, capacity * onward <= greatest(budget - before_it, 0) * weight AS filled FROM o{k}
+        ), r{k} AS (
+            SELECT *, budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({family}) AS open_budget,
+                   sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({family}) AS open_weights,
+                   sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({order} ROWS UNBOUNDED PRECEDING) AS open_upto FROM f{k}
+        ), t{k} AS (
+            SELECT {own}, CASE WHEN filled THEN capacity ELSE
+                   open_budget * open_upto // open_weights - open_budget * (open_upto - weight) // open_weights END AS target FROM r{k}
+        )"""
+        )
+    parts.append(
+        f"""p AS (
+            SELECT *, target // tokens AS whole, target % tokens AS rest FROM t3 JOIN leaf USING ({", ".join(names)}) WHERE target > 0
+        ), k AS (
+            SELECT *, sha256('{seed}:' || whole::BIGINT || ':' || doc_id) AS key FROM d JOIN p USING ({", ".join(names)})
+        ), c AS (
+            SELECT *, sum(n_tokens) OVER (PARTITION BY {", ".join(names)} ORDER BY key ROWS UNBOUNDED PRECEDING) - n_tokens AS before_it FROM k
+        ), e AS (
+            SELECT *, (whole + CASE WHEN rest > 0 AND before_it < rest THEN 1 ELSE 0 END)::BIGINT AS times FROM c
+        )
+        SELECT doc_id, {", ".join(names)}, n_tokens, unnest(range(times)) AS epoch, target::BIGINT AS target FROM e WHERE times > 0"""
+    )
+    return ", ".join(parts)
+
+
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": r"""
         WITH n AS (
@@ -80,4 +166,5 @@ ORACLE: dict[str, str] = {
                doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY norm)
     """,
+    "op10_mixing": mixture_sql(MIX_PERCENT, MIX_EPOCHS, MIX_SEED),
 }
