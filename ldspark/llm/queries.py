@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, license_scan, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
+from . import content_sort, license_scan, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_corpus(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def mixture_levels() -> list[mixing.Level]:
     """A made-up domain, by the number that ends a source's name, then language, then source."""
     domain = F.expr("'d' || (try_cast(regexp_extract(source, '([0-9]+)$', 1) AS int) % 4)")
@@ -93,6 +97,7 @@ QUERIES = {
         op6_license_scan,
         op7_secret_scan,
         op8_packing,
+        op9_lm_scoring,
         op10_mixing,
     )
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ldspark.session import scratch_path
 
-from .common import SPACE, map_text, text_of, whole_row
+from .common import SPACE, map_text, text_of, whole_row, write_scratch
 
 CACHE_SCHEMA = "content STRING, n_tokens BIGINT"
 KEPT_WORDS = 400_000
@@ -65,16 +66,21 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(file.read() + SPACE.encode()).hexdigest()
 
 
+def _folder(cache_dir: str, version: str) -> str:
+    return f"{cache_dir}/tokenizer={version}"
+
+
 def read_cache(spark, cache_dir: str, version: str) -> DataFrame:
-    """Stored counts of one tokenizer version, one row per content; empty when there are none yet.
+    """Counts that earlier runs stored for one tokenizer version, one row per content; empty when there are none.
 
-    Two runs that raced may both have stored a content; their counts are equal and one is taken.
+    Runs that raced may both have stored a content; their counts are equal and one is taken.
     """
-    path = f"{cache_dir}/tokenizer={version}"
+    path = _folder(cache_dir, version)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], CACHE_SCHEMA)
-    return spark.read.schema(CACHE_SCHEMA).parquet(path).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    stored = spark.read.schema(CACHE_SCHEMA).parquet(f"{path}/*")
+    return write_scratch(stored.groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "known-counts")
 
 
 def count_tokens(
@@ -91,7 +97,8 @@ def count_tokens(
     * Texts are shuffled once, by digest and after one copy per task is left, so copies, however many, meet as
       one row per task. The join of rows with counts moves digests and other columns only.
     * ``cache_dir`` is any folder Spark can write; without one the counts live in the shared scratch folder for
-      this call. Misses are appended, never overwritten, so a run that ends early loses nothing that was stored.
+      this call. Misses are appended in a folder of their own, so a run that ends early loses nothing stored, and
+      the join finds each content once without aggregating again: its hot keys can be split.
     * Null text counts as empty, with no tokens; an empty table gives no rows; rows and identifiers may repeat.
     """
     spark = docs.sparkSession
@@ -118,10 +125,9 @@ def count_tokens(
                 [batch.column("content"), pa.array(counts, pa.int64())], names=["content", "n_tokens"]
             )
 
-    map_text(misses, {"content": F.col("content"), "text": F.col("text")}, encode, CACHE_SCHEMA).write.mode(
-        "append"
-    ).parquet(f"{cache_dir}/tokenizer={version}")
-    counts = read_cache(spark, cache_dir, version)
+    fresh = f"{_folder(cache_dir, version)}/run={uuid.uuid4().hex}"
+    map_text(misses, {"content": F.col("content"), "text": F.col("text")}, encode, CACHE_SCHEMA).write.parquet(fresh)
+    counts = known.union(spark.read.schema(CACHE_SCHEMA).parquet(fresh))
     rows = docs.select(
         whole_row(docs.select(*others)).alias("row"),
         F.col(id_col).alias("id"),
