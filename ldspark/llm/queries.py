@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, license_scan, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
+from . import content_sort, license_scan, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).withColumnsRenamed({"id": "doc_id", "keep_id": "keep_doc_id"})
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, strict = quality_rules.POLICIES
     return quality_rules.ledger(documents(spark, sf_dir)).select(
@@ -90,6 +94,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_quality_rules,
         op3_token_counts,
         op4_simhash_dedup,

@@ -1,0 +1,119 @@
+import collections
+import itertools
+import random
+
+import cases
+import xxhash
+
+from ldspark.llm import line_dedup as d
+
+
+def h64(word):
+    return xxhash.xxh64_intdigest(word.encode(), 42)
+
+
+def simhash(words):
+    hashes = [h64(w) for w in words]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def linked(a, b):
+    a_words, b_words = a.split(" "), b.split(" ")
+    if min(len(a_words), len(b_words)) < d.LEAST_WORDS:
+        return False
+    x, y = simhash(a_words), simhash(b_words)
+    same = sum((x >> at & ((1 << w) - 1)) == (y >> at & ((1 << w) - 1)) for at, w in d.BLOCKS)
+    longest = max(len(a_words), len(b_words))
+    return same >= d.EQUAL_BLOCKS and (x ^ y).bit_count() <= d.FAR_BITS and edits(a_words, b_words) <= int(0.2 * longest + 1e-9)
+
+
+def expected(rows):
+    lines = []
+    for doc, text, *_ in rows:
+        for no, raw in enumerate((text or "").split("\n")):
+            line = " ".join(raw.lower().translate({c: " " for c in range(9, 14)}).split(" ")).strip(" ")
+            line = " ".join(w for w in line.split(" ") if w)
+            if line:
+                lines.append((doc, no, line))
+    lines = sorted(set(lines), key=repr)
+    names = sorted({x[2] for x in lines})
+    root = cases.groups([(a, b) for a, b in itertools.combinations(names, 2) if linked(a, b)], names)
+    groups = collections.defaultdict(list)
+    for doc, no, line in lines:
+        groups[root[line]].append((doc is None, doc or 0, no, doc))
+    out = []
+    for doc, no, line in lines:
+        own = groups[root[line]]
+        _, _, keep_no, keep = min(own, key=lambda x: x[:3])
+        out.append((doc, no, keep, keep_no, len(own), (doc, no) == (keep, keep_no)))
+    return out
+
+
+def variants(seed, n):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = cases.prose(rng, rng.randint(12, 40)).replace("\n", " ").split()
+        lines = [" ".join(words)]
+        for _ in range(4):
+            other = list(words)
+            for _ in range(rng.randint(1, max(1, len(words) // 8))):
+                other[rng.randrange(len(other))] = "new" + str(rng.randrange(1000))
+            lines.append("  ".join(other).upper() if rng.random() < 0.3 else " ".join(other))
+        rows += [(100 + 2 * i, "\n".join(lines[:3]), None, None, 0), (101 + 2 * i, "\r\n".join(lines[2:]) + "\n\n", None, None, 0)]
+    return rows
+
+
+def found(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+def test_groups_equal_brute_force(spark):
+    rows = variants(1, 14) + [r for r in cases.documents(n=12) if not r[1] or len(r[1]) < 20_000]
+    told = expected(rows)
+    assert sum(not x[5] for x in told) > 20
+    assert found(d.dedup_lines(cases.clashing(spark, rows))) == sorted(map(str, told))
+
+
+def test_many_variants_of_one_line_and_outsiders(spark):
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join([*words[:29], f"n{i}"]), None, None, 0) for i in range(40)]
+    rows += [(100 + i, " ".join([*words[:20], *(f"m{j}" for j in range(9)), f"k{i}"]), None, None, 0) for i in range(10)]
+    assert found(d.dedup_lines(cases.frame(spark, rows))) == sorted(map(str, expected(rows)))
+
+
+def test_fingerprints_equal_the_long_way(spark):
+    rows = [(0, "a b c d e\nA  b\tc d e f g\n" + "w " * 70_000 + "x\n\n", None, None, 0)]
+    told = {r.line_no: (r.n_words, r.fp & (2**64 - 1)) for r in d.fingerprints(cases.frame(spark, rows)).collect()}
+    assert told == {
+        0: (5, simhash("abcde")),
+        1: (7, simhash("abcdefg")),
+        2: (70_001, simhash(["w"])),
+    }
+
+
+def test_texts_without_repeated_lines(spark):
+    rows = [(1, "keep this one line here\nother words stand in it\n", "en", None, 3), (2, "x\nkeep this one line here\n\nx", None, None, 4), (3, None, None, None, 0), (4, "", None, None, 0)]
+    docs = cases.clashing(spark, rows)
+    kept = d.drop_repeated_lines(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id: r.text for r in kept.collect()} == {1: rows[0][1], 2: "x\n", 3: None, 4: ""}
+
+
+def test_empty_table(spark):
+    assert d.dedup_lines(cases.frame(spark, [])).count() == 0
+    assert d.drop_repeated_lines(cases.frame(spark, [])).count() == 0
+
+
+def test_no_python(spark):
+    plan = d.fingerprints(cases.frame(spark, cases.documents()))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,79 @@
+import re
+from collections import Counter
+
+import cases
+
+from ldspark.llm import quality_rules as q
+
+
+def plain(text):
+    """The measurements, the long way."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(windows)
+    inside = {i + d for i, w in enumerate(windows) if times[w] > 1 for d in range(3)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines),
+        sum(line in lines[:i] for i, line in enumerate(lines)),
+        len(inside),
+        len(set(words)),
+        sum(w[-1] in ".,;:!?" for w in words),
+        sum(any(c.isascii() and c.isalpha() or ord(c) > 127 for c in w) for w in words),
+    )
+
+
+def test_measures_equal_the_long_way():
+    texts = [r[1] for r in cases.documents()] + ["a b c a b c a", "# * | x <>\n# * | x <>\n\n", "p q r " * 30]
+    for text in texts:
+        if text is None or len(text) < 40_000:
+            assert q.measure(text or "") == plain(text)
+
+
+def test_ledger_bits_and_policies(spark):
+    rows = cases.documents()
+    docs = cases.clashing(spark, rows)
+    found = q.ledger(docs).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        bits = [
+            r.n_words < 50,
+            100 * r.n_repeat_words > 50 * r.n_words,
+            r.n_symbols * 100 > 10 * r.n_words,
+            r.n_dup_lines * 100 > 40 * r.n_lines,
+            r.n_words > 0 and not 3 <= r.word_chars / r.n_words <= 10,
+            r.n_words > 0 and r.n_stops * 100 < 2 * r.n_words,
+            r.n_words > 0 and r.n_distinct_words * 100 < 5 * r.n_words,
+            r.n_words > 0 and r.n_lettered * 100 < 70 * r.n_words,
+        ]
+        assert r.failed == sum(1 << i for i, b in enumerate(bits) if b)
+    kept = q.drop_failing(docs, q.POLICIES[1])
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(r.failed == 0 for r in found) > 0
+    base = q.ledger(docs).where(q.passes(q.POLICIES[0])).count()
+    assert base == sum(r.failed & 3 == 0 for r in found)
+
+
+def test_ablations_equal_brute_force(spark):
+    rows = cases.documents(1)
+    ledger = q.ledger(cases.frame(spark, rows)).cache()
+    bits = {r.name: 1 << r.bit for r in q.default_rules()}
+    failed = [r.failed for r in ledger.collect()]
+    found = {(r.version, r.rule): (r.kept, r.broken, r.kept_without) for r in q.ablations(ledger).collect()}
+    assert len(found) == sum(len(p.rules) for p in q.POLICIES)
+    for policy in q.POLICIES:
+        mask = sum(bits[n] for n in policy.rules)
+        for name in policy.rules:
+            assert found[policy.version, name] == (
+                sum(f & mask == 0 for f in failed),
+                sum(f & bits[name] != 0 for f in failed),
+                sum(f & (mask & ~bits[name]) == 0 for f in failed),
+            )
+
+
+def test_empty_table(spark):
+    assert q.ledger(cases.frame(spark, [])).count() == 0
