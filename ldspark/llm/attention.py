@@ -65,12 +65,14 @@ def unflatten(flat: np.ndarray, inputs: int, outputs: int, others: int) -> dict[
 def _states(w: dict[str, np.ndarray], x: np.ndarray):
     """The last layer at the last ``STRIDE`` positions of each window of inputs ``x``, and what gradients need."""
     n = len(x)
-    h = w["embed"][x] + w["place"]
+    h = w["embed"].take(x, axis=0).reshape(n, -1)
+    h += w["place"].ravel()
+    h = h.reshape(n, WINDOW, WIDTH)
     kv = (h.reshape(-1, WIDTH) @ w["key_value"]).reshape(n, WINDOW, 2 * WIDTH)
     k, v = kv[..., :WIDTH], kv[..., WIDTH:]
     late = np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
     q = (late @ (w["query"] * _SCALE)).reshape(n, STRIDE, WIDTH)
-    keys = k.transpose(0, 2, 1)
+    keys = np.ascontiguousarray(k.transpose(0, 2, 1))
     a, sums = _exponentials(lambda: np.matmul(q, keys) + _MASK)
     sums = sums[..., None]
     o = (np.matmul(a, v) / sums).reshape(-1, WIDTH)
@@ -98,13 +100,10 @@ def _exponentials(logits: Callable[[], np.ndarray]) -> tuple[np.ndarray, np.ndar
 
 def _softmax(z: np.ndarray, matrix: np.ndarray, bias: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log probability of each row's target, exponentials of its logits, and their sums."""
-
-    def logits() -> np.ndarray:
-        made = z @ matrix
-        made += bias
-        return made
-
-    made, sums = _exponentials(logits)
+    # With a column of ones the bias is part of the product.
+    ones = np.concatenate([z, np.ones((len(z), 1), z.dtype)], axis=1)
+    both = np.concatenate([matrix, bias[None, :]])
+    made, sums = _exponentials(lambda: ones @ both)
     chosen = made[np.arange(len(targets)), targets] / sums
     return np.log(np.maximum(chosen, 1e-30, dtype=np.float64)), made, sums
 

@@ -7,9 +7,11 @@ corpus. Partitions train apart from the same weights, and the weights are averag
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,16 +22,17 @@ from .common import map_text, ready, text_of, write_scratch
 from .packing import SPECIAL, encoding
 
 FOLDS, HELD_OUT = 7, 2
-INPUTS, OUTPUTS, OTHERS = 768, 256, 768
+INPUTS, OUTPUTS, OTHERS = 768, 192, 320
 END_ID = SPECIAL["<|endoftext|>"]
 IDS = END_ID + 1
 FREQUENT_SHARE = 2_000_000
-ROUNDS, TRAIN_SHARE, LEAST_WORDS = 3, 64, 24
-RATE, BATCH_WINDOWS, SCORED_WINDOWS = 0.02, 32, 64
+ROUNDS, TRAIN_SHARE, LEAST_CHARACTERS = 3, 64, 200
+RATE, BATCH_WINDOWS, SCORED_WINDOWS = 0.02, 48, 64
 WAITING_IDS = 1 << 18
 KEPT_WORDS = 300_000
 COUNTED_WORDS = 200_000
-_known: dict[bytes, bytes] = {}
+_END = b"\n"
+_tables: dict[str, np.ndarray] = {}
 
 
 def words_of(text: str) -> list[bytes]:
@@ -37,17 +40,75 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def subwords(words: list[bytes]) -> np.ndarray:
-    """Ids of the words' subwords, each word with a space before it, and the end id. Words met before are kept, up
-    to ``KEPT_WORDS`` of them."""
-    new = [w for w in set(words) if w not in _known]
-    if new:
-        if len(_known) + len(new) > KEPT_WORDS:
-            _known.clear()
-            new = list(set(words))
-        encode = encoding().encode_ordinary
-        _known.update((w, np.array(encode(" " + w.decode()), "<i4").tobytes()) for w in new)
-    return np.frombuffer(b"".join(map(_known.__getitem__, words)) + np.array([END_ID], "<i4").tobytes(), "<i4")
+def _space_first() -> np.ndarray:
+    """Whether the bytes of each id start with a space, as those of a word's first id do."""
+    if "space" not in _tables:
+        codec = encoding()
+        _tables["space"] = np.array([i != END_ID and codec.decode_single_token_bytes(i)[:1] == b" " for i in range(IDS)])
+    return _tables["space"]
+
+
+class Words:
+    """The words a task has met, each looked up once: its subword ids, and its log10 by counts if it is frequent.
+
+    Up to ``KEPT_WORDS`` words and those of one call are kept; then it starts over.
+    """
+
+    def __init__(self, logs: dict[bytes, float] | None = None, end_log: float = 0.0):
+        self.frequent, self.end_log = logs or {}, end_log
+        self._restart()
+
+    def _restart(self) -> None:
+        # The end of a text is entry 0, under a name that no word can have.
+        self.index = {_END: 0}
+        self.pieces = [np.array([END_ID], "<i4").tobytes()]
+        self.logs, self.sizes = np.full(1 << 16, self.end_log), np.ones(1 << 16, np.int64)
+
+    def _learn(self, new: list[bytes]) -> None:
+        """One call encodes all new words, since a word's ids do not depend on its neighbours."""
+        ids = np.array(encoding().encode_ordinary(" " + " ".join([w.decode() for w in new])), "<i4")
+        starts = np.flatnonzero(_space_first()[ids]) * 4
+        raw, ends = ids.tobytes(), np.append(starts[1:], len(ids) * 4)
+        first = len(self.pieces)
+        self.pieces += [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        self.index.update(zip(new, range(first, len(self.pieces)), strict=True))
+        while len(self.pieces) > len(self.logs):
+            self.logs, self.sizes = np.tile(self.logs, 2), np.tile(self.sizes, 2)
+        self.sizes[first : len(self.pieces)] = (ends - starts) // 4
+        self.logs[first : len(self.pieces)] = [self.frequent.get(w, np.nan) for w in new]
+
+    def look_up(self, words: list[bytes]) -> np.ndarray:
+        """The entry of each word, new ones made first."""
+        if len(self.index) > KEPT_WORDS:
+            self._restart()
+        found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys([words[i] for i in missing])))
+            found[missing] = [self.index[words[i]] for i in missing]
+        return found
+
+    def ids(self, entries: np.ndarray) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, entries.tolist())), "<i4")
+
+
+def flattened(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts, each text closed by its end, and where each text starts."""
+    flat: list[bytes] = []
+    starts = []
+    for words in texts:
+        starts.append(len(flat))
+        flat += words
+        flat.append(_END)
+    return flat, np.array(starts, np.int64)
+
+
+def subwords(texts: list[list[bytes]], words: Words) -> list[np.ndarray]:
+    """For each text's words the ids of their subwords, each word with a space before it, and the end id."""
+    flat, starts = flattened(texts)
+    entries = words.look_up(flat)
+    lengths = np.add.reduceat(words.sizes[entries], starts)
+    return np.split(words.ids(entries), np.cumsum(lengths)[:-1])
 
 
 @dataclass(frozen=True)
@@ -81,21 +142,20 @@ class Classes:
         return attention.fresh(INPUTS + 1, self.output_bias, self.other_bias)
 
 
-def _batches(texts: list[np.ndarray], classes: Classes):
-    """Ids and lengths of texts, and of their windows the inputs, target ids, positions and validity."""
-    lengths = np.array([len(t) for t in texts], np.int64)
-    ids = np.concatenate(texts)
+def _batches(ids: np.ndarray, lengths: np.ndarray, classes: Classes):
+    """Of the windows of texts, given by all their ids and their lengths, the inputs, target ids, positions and
+    validity."""
     at, inside = attention.windows(lengths)
     seen = np.empty(len(ids), np.int32)
     seen[1:] = classes.inputs[ids[:-1]]
     seen[np.cumsum(lengths) - lengths] = INPUTS
     scored, live = at[:, attention.CONTEXT :], inside[:, attention.CONTEXT :]
-    return ids, lengths, np.where(inside, seen[at], INPUTS), ids[scored], scored, live
+    return np.where(inside, seen[at], INPUTS), ids[scored], scored, live
 
 
-def score_texts(texts: list[np.ndarray], classes: Classes, weights: dict[str, np.ndarray]) -> np.ndarray:
-    """Log10 probability of each text of ids; every text has its end at least."""
-    ids, lengths, x, targets, scored, live = _batches(texts, classes)
+def score_texts(ids: np.ndarray, lengths: np.ndarray, classes: Classes, weights: dict[str, np.ndarray]) -> np.ndarray:
+    """Log10 probability of each text; every text has its end at least."""
+    x, targets, scored, live = _batches(ids, lengths, classes)
     each = classes.within[ids]
     for i in range(0, len(x), SCORED_WINDOWS):
         part = slice(i, i + SCORED_WINDOWS)
@@ -107,7 +167,7 @@ def score_texts(texts: list[np.ndarray], classes: Classes, weights: dict[str, np
 
 def learn(texts: list[np.ndarray], classes: Classes, adam: attention.Adam, rng: np.random.Generator) -> int:
     """One pass over the windows of the texts in a seeded order; how many positions it learned from."""
-    _, _, x, targets, _, live = _batches(texts, classes)
+    x, targets, _, live = _batches(np.concatenate(texts), np.array([len(t) for t in texts], np.int64), classes)
     order = rng.permutation(len(x))
     for i in range(0, len(x), BATCH_WINDOWS):
         part = order[i : i + BATCH_WINDOWS]
@@ -183,13 +243,14 @@ def count_subwords(words: DataFrame) -> np.ndarray:
     return counts
 
 
-def some_of(words: list[bytes], turn: int) -> np.ndarray:
-    """Ids of the run of words that a text gives in this round: a fixed share of them, and one word or the end at
-    least."""
-    n = max(LEAST_WORDS, len(words) // TRAIN_SHARE)
-    at = (len(words) * 2654435761 + turn * 40503) % max(1, len(words) - n + 1)
-    ids = subwords(words[at : at + n])
-    return ids if at + n >= len(words) else ids[:-1]
+def a_part(text: Column, turn: int) -> list[Column]:
+    """The run of characters that a text gives in a round, and whether it has the text's start and end. It is a
+    fixed share of the text at a place told by its length, and never less than a few words of what there is."""
+    length = F.length(text)
+    n = F.greatest(F.floor(length / TRAIN_SHARE), F.lit(LEAST_CHARACTERS))
+    at = F.pmod(F.xxhash64(length, F.lit(turn)), F.greatest(length - n + 1, F.lit(1)))
+    piece = F.substring(text, (at + 1).cast("int"), n.cast("int"))
+    return [piece.alias("text"), (at == 0).alias("first"), (at + n >= length).alias("last")]
 
 
 def train_round(training: DataFrame, classes: Classes, weights: dict[str, np.ndarray], turn: int, text_col: str = "text") -> dict[str, np.ndarray]:
@@ -200,12 +261,15 @@ def train_round(training: DataFrame, classes: Classes, weights: dict[str, np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         adam = attention.Adam(attention.unflatten(start.copy(), *sizes), RATE)
-        rng, seen, waiting, n_waiting = np.random.default_rng(turn), 0, [], 0
+        rng, words, seen, waiting, n_waiting = np.random.default_rng(turn), Words(), 0, [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                ids = some_of(words_of(text), turn)
-                waiting.append(ids)
-                n_waiting += len(ids)
+            # Words that the cut may have shortened are left out, and the end is only where the text has it.
+            whole = list(zip(*[batch.column(c).to_pylist() for c in ("text", "first", "last")]))
+            parts = [words_of(t)[0 if first else 1 : None if last else -1] for t, first, last in whole]
+            for ids, (_, _, last) in zip(subwords(parts, words), whole):
+                if last or len(ids) > 1:
+                    waiting.append(ids if last else ids[:-1])
+                    n_waiting += len(ids)
                 if n_waiting > WAITING_IDS:
                     seen += learn(waiting, classes, adam, rng)
                     waiting, n_waiting = [], 0
@@ -217,7 +281,8 @@ def train_round(training: DataFrame, classes: Classes, weights: dict[str, np.nda
                 [pa.array([float(seen)]), pa.array([flat], pa.list_(pa.float64()))], names=["seen", "w"]
             )
 
-    trained = map_text(training, {"text": text_of(text_col)}, run, "seen double, w array<double>")
+    columns = dict(zip(("text", "first", "last"), a_part(text_of(text_col), turn)))
+    trained = map_text(training, columns, run, "seen double, w array<double>")
     mean = (
         trained.select("seen", F.posexplode("w").alias("i", "w"))
         .groupBy("i")
@@ -264,26 +329,34 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, classes, weights = shared.value
-        logs = {w: np.log10((n + 1) / smoothing) for w, n in known.items()}
-        end_log = np.log10((ends + 1) / smoothing)
+        logs = {w: math.log10((n + 1) / smoothing) for w, n in known.items()}
+        words = Words(logs, math.log10((ends + 1) / smoothing))
         for batch in batches:
             n_tokens, n_known, base, score, rare, times = [], [], [], [], [], []
             for chunk in _in_chunks(batch.column("text").to_pylist()):
-                score.extend(score_texts([subwords(words) for words in chunk], classes, weights))
-                for words in chunk:
-                    values = [*map(logs.get, words)]
-                    unknown = Counter([w for w, v in zip(words, values) if v is None])
-                    n_tokens.append(len(words) + 1)
-                    n_known.append(len(words) - unknown.total() + (ends > 0))
-                    base.append(sum(filter(None, values)) + end_log)
-                    rare.append(list(unknown))
-                    times.append(list(unknown.values()))
+                flat, starts = flattened(chunk)
+                entries = words.look_up(flat)
+                lengths = np.add.reduceat(words.sizes[entries], starts)
+                score.extend(score_texts(words.ids(entries), lengths, classes, weights))
+                counted = words.logs[entries]
+                unknown = np.isnan(counted)
+                n_tokens.extend(map(len, chunk))
+                base.extend(np.add.reduceat(np.where(unknown, 0.0, counted), starts))
+                places = np.flatnonzero(unknown)
+                cuts = np.searchsorted(places, [*starts[1:], len(flat)])
+                places, begin = places.tolist(), 0
+                for cut, n in zip(cuts.tolist(), map(len, chunk)):
+                    held = Counter([flat[i] for i in places[begin:cut]])
+                    n_known.append(n - (cut - begin))
+                    rare.append(list(held))
+                    times.append(list(held.values()))
+                    begin = cut
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     batch.column("held_out"),
-                    pa.array(n_tokens, pa.int64()),
-                    pa.array(n_known, pa.int64()),
+                    pa.array([n + 1 for n in n_tokens], pa.int64()),
+                    pa.array([n + (ends > 0) for n in n_known], pa.int64()),
                     pa.array(base, pa.float64()),
                     pa.array(score, pa.float64()),
                     pa.array(rare, pa.list_(pa.binary())),

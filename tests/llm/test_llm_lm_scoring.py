@@ -35,14 +35,18 @@ def test_windows_score_every_position_once():
     assert sorted(scored) == list(range(lengths.sum()))
 
 
+def scores(texts, classes, weights):
+    return lm.score_texts(np.concatenate(texts), np.array([len(t) for t in texts]), classes, weights)
+
+
 def trained():
     counts = np.zeros(lm.IDS, np.int64)
-    texts = [lm.subwords(lm.words_of(r[1] or "")) for r in cases.documents() if len(r[1] or "") < 10_000]
+    texts = lm.subwords([lm.words_of(r[1] or "") for r in cases.documents() if len(r[1] or "") < 10_000], lm.Words())
     for t in texts:
         counts += np.bincount(t, minlength=lm.IDS)
     classes = lm.Classes.from_counts(counts)
     adam = attention.Adam(classes.fresh_weights(), lm.RATE)
-    before = sum(lm.score_texts(texts, classes, adam.weights))
+    before = sum(scores(texts, classes, adam.weights))
     for turn in range(3):
         lm.learn(texts, classes, adam, np.random.default_rng(turn))
     return texts, classes, adam.weights, before
@@ -72,7 +76,7 @@ def one_by_one(ids, classes, w):
 
 def test_scores_equal_one_by_one_and_training_helps():
     texts, classes, weights, before = trained()
-    found = lm.score_texts(texts, classes, weights)
+    found = scores(texts, classes, weights)
     assert sum(found) > before
     for i in (0, 5, len(texts) - 1):
         assert found[i] == pytest.approx(one_by_one(texts[i], classes, weights), rel=1e-4)
@@ -80,16 +84,16 @@ def test_scores_equal_one_by_one_and_training_helps():
 
 def test_probabilities_sum_to_one():
     _, classes, weights, _ = trained()
-    after = lm.subwords([b"tare", b"mo"])[:3]
-    each = [lm.score_texts([np.array([*after, i], np.int32)], classes, weights)[0] for i in range(0, lm.IDS, 1)][:3000]
-    prefix = lm.score_texts([after], classes, weights)[0]
+    after = lm.subwords([[b"tare", b"mo"]], lm.Words())[0][:3]
+    each = [scores([np.array([*after, i], np.int32)], classes, weights)[0] for i in range(0, lm.IDS, 1)][:3000]
+    prefix = scores([after], classes, weights)[0]
     assert 0 < sum(10 ** (s - prefix) for s in each) <= 1.001
 
 
 def test_large_logits_do_not_overflow():
     classes = lm.Classes.from_counts(np.ones(lm.IDS, np.int64))
     weights = {k: v * 500 for k, v in classes.fresh_weights().items()}
-    assert np.isfinite(lm.score_texts([lm.subwords([b"a", b"b"] * 30)], classes, weights)).all()
+    assert np.isfinite(scores(lm.subwords([[b"a", b"b"] * 30], lm.Words()), classes, weights)).all()
 
 
 def base(rows):
@@ -120,3 +124,19 @@ def test_no_training_rows_and_empty_table(spark):
     found = lm.score_corpus(cases.frame(spark, only)).collect()
     assert {(r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in found} == {(True, 4, 0, 0)}
     assert lm.score_corpus(cases.frame(spark, [])).count() == 0
+
+
+def test_words_are_encoded_together_as_alone(monkeypatch):
+    monkeypatch.setattr(lm, "KEPT_WORDS", 20)
+    held = lm.Words()
+    for row in cases.documents():
+        words = lm.words_of(row[1] or "")[:300] + ["\u00a0x\u2003y\x1cz".encode(), b"'s", b"<|endoftext|>", b"12a.b"]
+        alone = [i for w in words for i in lm.encoding().encode_ordinary(" " + w.decode())]
+        assert lm.subwords([words, []], held)[0].tolist() == [*alone, lm.END_ID]
+
+
+def test_parts_grow_with_texts(spark):
+    rows = [(i, "word " * n, None, None, 0) for i, n in enumerate((0, 1, 100, 10_000))]
+    parts = cases.frame(spark, rows).select("doc_id", *lm.a_part(lm.text_of("text"), 1)).orderBy("doc_id").collect()
+    assert [len(p.text) for p in parts] == [0, 5, 200, 50_000 // lm.TRAIN_SHARE]
+    assert [(p.first, p.last) for p in parts[:2]] == [(True, True)] * 2
