@@ -151,6 +151,24 @@ CUSTOMER_ORDERS = Model(
     ],
 )
 
+STATUS_ORDERS = Model(
+    base=BASE,
+    root="status",
+    nodes=[
+        Node("status", "Status", "status/{o_orderstatus}", links={"orders": "order"}),
+        Node("order", "Order", "order/{o_orderkey}"),
+    ],
+)
+
+ORDER_AND_CUSTOMER = Model(
+    base=BASE,
+    root="order",
+    nodes=[
+        Node("order", "Order", "order/{o_orderkey}", props={"status": "o_orderstatus"}, links={"customer": "customer"}),
+        Node("customer", "Customer", "customer/{o_custkey}", links={"orders": "order"}),
+    ],
+)
+
 PART_WORDS = Model(
     base=BASE,
     root="part",
@@ -192,6 +210,15 @@ EVENT = Model(
     ],
 )
 
+USER_EVENTS = Model(
+    base=BASE,
+    root="user",
+    nodes=[
+        Node("user", "User", "user/{user_id}", links={"event": "event"}),
+        Node("event", "Event", "event/{event_id}"),
+    ],
+)
+
 PAGE = Model(
     base=BASE,
     root="page",
@@ -202,6 +229,8 @@ CUSTOMER_FRAME = Frame("Customer", {"nation": Frame("Nation")})
 SUPPLIER_FRAME = Frame("Supplier", {"nation": Frame("Nation")})
 DEEP_FRAME = Frame("Customer", {"nation": Frame("Nation", {"region": Frame("Region")})})
 ORDERS_FRAME = Frame("Customer", {"orders": Frame("Order")})
+STATUS_FRAME = Frame("Status", {"orders": Frame("Order")})
+BACK_FRAME = Frame("Order", {"customer": Frame("Customer", keep=("name",))})
 
 
 def entity_statements(spark: SparkSession, sf_dir: str, context: dict[str, str] | None = None) -> DataFrame:
@@ -228,3 +257,17 @@ def entity_types(spark: SparkSession, sf_dir: str, *frames: Frame) -> dict[str,
 def order_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     statements = reduce_statements(apply_model(orders(spark, sf_dir), CUSTOMER_ORDERS))
     return store_by_type(to_nodes(statements), ORDERS_FRAME.types())
+
+
+def status_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    statements = reduce_statements(apply_model(orders(spark, sf_dir), STATUS_ORDERS))
+    return store_by_type(to_nodes(statements), STATUS_FRAME.types())
+
+
+def back_link_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Orders that name their customer, and customers that list all their orders."""
+    statements = reduce_statements(
+        apply_model(orders(spark, sf_dir), ORDER_AND_CUSTOMER),
+        apply_model(customers(spark, sf_dir), CUSTOMER, context=CONTEXT),
+    )
+    return store_by_type(to_nodes(statements), BACK_FRAME.types())

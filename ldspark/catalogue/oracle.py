@@ -35,6 +35,7 @@ S, SN = iri("supplier", "s_suppkey"), iri("nation", "s_nationkey")
 N, NR = iri("nation", "n_nationkey"), iri("region", "n_regionkey")
 R = iri("region", "r_regionkey")
 O, OC = iri("order", "o_orderkey"), iri("customer", "o_custkey")
+ST = f"('{BASE}status/' || o_orderstatus)"
 OP = f"('{BASE}priority/' || url_encode(o_orderpriority))"
 
 CUSTOMER = [
@@ -168,6 +169,10 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_brand, p_type, "
         "CAST(p_size AS VARCHAR) AS p_size FROM part"
     ),
+    "cells_two_families": (
+        "SELECT CAST(p_partkey AS VARCHAR) AS row_key, p_brand AS f_brand, "
+        "CASE WHEN p_size > 25 THEN p_type END AS g_brand FROM part"
+    ),
     "scan_cells": f"SELECT * FROM ({cells_sql}) WHERE row_key >= '1' AND row_key < '3'",
     "cell_lines": "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents",
     "cell_documents": (
@@ -181,7 +186,15 @@ ORACLE: dict[str, str] = {
         "WHERE c_custkey NOT IN (SELECT id FROM u)"
     ),
     "bulk_load_by_id": (
-        "SELECT CAST(page_id AS VARCHAR) AS id, url, CAST(NULL AS VARCHAR) AS extractions FROM pages"
+        "SELECT CAST(page_id AS VARCHAR) AS id, url, CAST(NULL AS VARCHAR) AS body FROM pages "
+        "UNION ALL SELECT DISTINCT CAST(conv_id AS VARCHAR), 'old', 'old' FROM conversations "
+        "WHERE conv_id NOT IN (SELECT page_id FROM pages)"
+    ),
+    "load_rejects": (
+        "SELECT CASE WHEN event_id % 5 > 1 THEN 'loaded' ELSE 'rejected' END AS state, "
+        "CASE WHEN event_id % 5 > 1 THEN CAST(event_id AS VARCHAR) END AS key, "
+        "CASE event_id % 5 WHEN 0 THEN '{\"id\": ' || event_id WHEN 1 THEN '{\"n\": ' || event_id || '}' "
+        "ELSE '{\"id\": ' || event_id || '}' END AS value FROM events"
     ),
     "alias_view": (
         "SELECT c_name AS name, c_nationkey AS nationkey, c_mktsegment AS segment FROM customer "
@@ -270,9 +283,21 @@ ORACLE: dict[str, str] = {
         f"FROM ({statements('orders', ACTIVITY)}) WHERE p = '{VOCAB}largest' GROUP BY s "
         f"UNION ALL SELECT s, '{VOCAB}first', min(o) FROM ({statements('orders', ACTIVITY)}) "
         f"WHERE p = '{VOCAB}first' GROUP BY s "
-        f"UNION ALL SELECT DISTINCT s, p, o FROM ({statements('orders', ACTIVITY)}) WHERE p = '{VOCAB}status'"
+        f"UNION ALL SELECT DISTINCT s, p, o FROM ({statements('orders', ACTIVITY)}) WHERE p = '{VOCAB}status' "
+        f"UNION ALL SELECT DISTINCT {OC}, '{RDF_TYPE}', '{VOCAB}Customer' FROM orders"
+    ),
+    "reduce_large_entity": (
+        f"SELECT {ST} AS uri, CAST(CASE WHEN n > 100 THEN ceil(n / 100.0) ELSE 1 END AS INTEGER) AS parts, "
+        f"'orders' AS p, {O} AS v FROM orders JOIN "
+        "(SELECT o_orderstatus, count(*) + 1 AS n FROM orders GROUP BY o_orderstatus) USING (o_orderstatus)"
     ),
     "apply_context": f"SELECT s, p AS term, o, kind FROM ({short(customer_sql)})",
+    "context_documents": (
+        f"SELECT CAST(event_id AS VARCHAR) AS key, '{{\"@id\": \"{BASE}event/' || event_id || "
+        f"'\", \"@context\": {{\"k\": {{\"@id\": \"{VOCAB}k\"}}}}, \"@type\": [\"Event\", \"Other\"], \"k\": ' || props || "
+        f"', \"price\": 1.50, \"tags\": [\"b\", \"a\", \"a\", \"{VOCAB}k\"], \"in\": {{\"kind\": \"' || event_type || "
+        "'\", \"@type\": \"Event\"}}' AS value FROM events"
+    ),
     "load_context": (
         "SELECT 'term' || CAST(p_partkey AS VARCHAR) AS term, "
         "'http://part.example.org/' || CAST(p_partkey AS VARCHAR) AS iri FROM part"
@@ -300,6 +325,14 @@ ORACLE: dict[str, str] = {
         f"SELECT {OC} AS uri, {O} AS order_uri, "
         f"row_number() OVER (PARTITION BY o_custkey ORDER BY {O}) <= 3 AS embedded FROM orders"
     ),
+    "frame_capped_large": (
+        f"SELECT {ST} AS uri, {O} AS order_uri, "
+        f"row_number() OVER (PARTITION BY o_orderstatus ORDER BY {O}) <= 1200 AS embedded FROM orders"
+    ),
+    "frame_back_links": (
+        f"SELECT {O} AS uri, {OC} AS customer_uri, c_name AS name, CAST(1 AS INTEGER) AS n_props "
+        "FROM orders JOIN customer ON o_custkey = c_custkey"
+    ),
     "frame_json": (
         f"SELECT {C} AS key, '{{\"uri\":\"' || {C} || '\",\"@type\":\"Customer\",\"balance\":\"' || "
         f"{money('c_acctbal')} || '\",\"name\":\"' || c_name || '\",\"segment\":\"' || c_mktsegment || "
@@ -337,3 +370,8 @@ ORACLE: dict[str, str] = {
     ),
     "stream_files_as_messages": "SELECT c_custkey, c_name FROM customer",
 }
+ORACLE["stream_compact"] = ORACLE["stream_upsert_documents"]
+ORACLE["stream_upsert_shrink"] = (
+    f"SELECT {EU} AS entity, CAST(1 AS INTEGER) AS parts, '{{\"uri\":\"' || {EU} || "
+    f"'\",\"@type\":\"User\",\"event\":\"{BASE}event/' || min(event_id) || '\"}}' AS value FROM events GROUP BY user_id"
+)

@@ -124,6 +124,17 @@ def cells_to_columns(spark, sf_dir):
     )
 
 
+@query
+def cells_two_families(spark, sf_dir):
+    """One qualifier in two families, and a row key that has it in one of them only."""
+    some = m.table(spark, sf_dir, "part").filter("p_size > 25")
+    more = ops.docs_to_cells(some.select("p_partkey", F.col("p_type").alias("p_brand")), "p_partkey", "g", ["p_brand"])
+    cells = ops.union_all(part_cells(spark, sf_dir), more)
+    return ops.cells_to_columns(cells, [("f", "p_brand"), ("g", "p_brand")]).withColumnsRenamed(
+        {"f:p_brand": "f_brand", "g:p_brand": "g_brand"}
+    )
+
+
 @query
 def scan_cells(spark, sf_dir):
     """A scan of one row-key range, as a store's scan settings ask for it."""
@@ -161,22 +172,35 @@ def upsert_by_id(spark, sf_dir):
 
 @query
 def bulk_load_by_id(spark, sf_dir):
-    """JSON documents loaded by an identifier inside them, one field dropped."""
+    """JSON documents loaded by an identifier inside them, one field dropped, over what is stored already."""
     pages = m.table(spark, sf_dir, "pages")
     texts = pages.select(
-        json_text(F.col("page_id").alias("cdr_id"), "url", F.col("html").alias("extractions")).alias("value")
+        json_text(F.col("page_id").alias("id"), "url", F.col("html").alias("body")).alias("value")
     )
-    keyed, _ = ops.key_by_field(texts, "$.cdr_id")
+    keyed, _ = ops.key_by_field(texts, "$.id")
     documents = keyed.select(
-        F.col("key").alias("id"), drop_json_fields(F.col("value"), "extractions").alias("value")
+        F.col("key").alias("id"), drop_json_fields(F.col("value"), "body").alias("value")
     )
-    stored = ops.upsert_by_id(documents.limit(0), documents, "id")
+    old = json_text(F.lit("old").alias("url"), F.lit("old").alias("body")).alias("value")
+    stored = m.table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("id"), old).distinct()
     doc = F.parse_json("value")
-    return stored.select(
-        "id",
-        json_value(doc, "$.url").alias("url"),
-        json_value(doc, "$.extractions").alias("extractions"),
+    return ops.upsert_by_id(stored, documents, "id").select(
+        "id", json_value(doc, "$.url").alias("url"), json_value(doc, "$.body").alias("body")
+    )
+
+
+@query
+def load_rejects(spark, sf_dir):
+    """Records that cannot be loaded, for want of JSON or of an identifier, set apart and not lost."""
+    text = (
+        F.when(F.col("event_id") % 5 == 0, F.format_string('{"id": %d', "event_id"))
+        .when(F.col("event_id") % 5 == 1, F.format_string('{"n": %d}', "event_id"))
+        .otherwise(F.format_string('{"id": %d}', "event_id"))
     )
+    events = m.table(spark, sf_dir, "events").select(text.alias("value"))
+    keyed, rejects = ops.key_by_field(events, "$.id")
+    good = keyed.select(F.lit("loaded").alias("state"), "key", "value")
+    return good.unionByName(rejects.select(F.lit("rejected").alias("state"), F.lit(None).cast("string").alias("key"), "value"))
 
 
 @query
@@ -355,8 +379,16 @@ def reduce_single_valued(spark, sf_dir):
     reduced = ops.reduce_statements(
         statements, single_valued={m.v("largest"): ("max", m.MONEY), m.v("first"): "min"}
     )
-    return reduced.filter("kind = 'literal'").select(
-        F.col("s").alias("uri"), "p", F.col("o").alias("v")
+    return reduced.select(F.col("s").alias("uri"), "p", F.col("o").alias("v"))
+
+
+@query
+def reduce_large_entity(spark, sf_dir):
+    """A few entities that hold a third of all values each, in parts, read back as one."""
+    statements = ops.apply_model(m.orders(spark, sf_dir), m.STATUS_ORDERS)
+    nodes = ops.reduce_documents(statements, values_per_row=100)
+    return nodes.select("uri", "parts", F.explode("props").alias("p", "vals")).select(
+        "uri", "parts", "p", F.explode("vals.v").alias("v")
     )
 
 
@@ -369,6 +401,23 @@ def apply_context(spark, sf_dir):
     return ops.apply_context(statements, m.CONTEXT).select("s", F.col("p").alias("term"), "o", "kind")
 
 
+@query
+def context_documents(spark, sf_dir):
+    """Short names in stored JSON: numbers, order, repeats and the inline context stay as they are written."""
+    text = F.format_string(
+        f'{{"@id": "{m.BASE}event/%d", "@context": {{"k": {{"@id": "{m.v("k")}"}}}}, "@type": ["{m.v("Event")}", "Other"], '
+        f'"{m.v("k")}": %s, "price": 1.50, "{m.v("tags")}": ["b", "a", "a", "{m.v("k")}"], '
+        f'"in": {{"{m.v("kind")}": "%s", "@type": "{m.v("Event")}"}}}}',
+        "event_id",
+        "props",
+        "event_type",
+    )
+    records = m.table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("key"), text.alias("value"))
+    context = {**m.CONTEXT, **{name: m.v(name) for name in ("Event", "k", "kind", "tags")}}
+    documents, _ = ops.context_documents(records, context)
+    return documents
+
+
 @query
 def load_context(spark, sf_dir):
     """Context documents, one per part; only their object-valued terms count."""
@@ -409,7 +458,7 @@ def first(props: str, name: str):
 @query
 def frame_one_level(spark, sf_dir):
     framed = ops.frame_documents(m.entity_types(spark, sf_dir, m.CUSTOMER_FRAME), m.CUSTOMER_FRAME)
-    return framed.select("uri", first("props", "name").alias("name"), F.explode("nation").alias("n")).select(
+    return framed.select("uri", first("props", "name").alias("name"), F.explode_outer("nation").alias("n")).select(
         "uri",
         "name",
         F.col("n.uri").alias("nation_uri"),
@@ -420,8 +469,8 @@ def frame_one_level(spark, sf_dir):
 @query
 def frame_two_level(spark, sf_dir):
     framed = ops.frame_documents(m.entity_types(spark, sf_dir, m.DEEP_FRAME), m.DEEP_FRAME)
-    nations = framed.select("uri", first("props", "name").alias("name"), F.explode("nation").alias("n"))
-    return nations.select("uri", "name", F.col("n.uri").alias("nation_uri"), F.explode("n.region").alias("r")).select(
+    nations = framed.select("uri", first("props", "name").alias("name"), F.explode_outer("nation").alias("n"))
+    return nations.select("uri", "name", F.col("n.uri").alias("nation_uri"), F.explode_outer("n.region").alias("r")).select(
         "uri", "name", "nation_uri", first("r.props", "name").alias("region_name")
     )
 
@@ -432,26 +481,46 @@ def frame_multi_root(spark, sf_dir):
     framed = ops.apply_frames(m.entity_types(spark, sf_dir, *frames.values()), frames)
     return ops.union_all(
         *[
-            df.select(F.lit(name).alias("root"), "uri", F.explode("nation.uri").alias("nation_uri"))
+            df.select(F.lit(name).alias("root"), "uri", F.explode_outer("nation.uri").alias("nation_uri"))
             for name, df in framed.items()
         ]
     )
 
 
-@query
-def frame_capped(spark, sf_dir):
-    """At most three embedded orders per customer; the rest stay references."""
-    framed = ops.frame_documents(m.order_types(spark, sf_dir), m.ORDERS_FRAME, merge_limit=3)
-
+def embedded_and_listed(framed, prop):
     def listed(uris, embedded):
         return F.transform(
             F.coalesce(uris, F.array().cast("array<string>")),
             lambda u: F.struct(u.alias("order_uri"), F.lit(embedded).alias("embedded")),
         )
 
-    left = F.transform(F.col("props")["orders"], lambda x: x["v"])
-    return framed.select(
-        "uri", F.inline(F.concat(listed(F.col("orders.uri"), True), listed(left, False)))
+    left = F.transform(F.col("props")[prop], lambda x: x["v"])
+    return framed.select("uri", F.inline(F.concat(listed(F.col(f"{prop}.uri"), True), listed(left, False))))
+
+
+@query
+def frame_capped(spark, sf_dir):
+    """At most three embedded orders per customer; the rest stay references."""
+    framed = ops.frame_documents(m.order_types(spark, sf_dir), m.ORDERS_FRAME, merge_limit=3)
+    return embedded_and_listed(framed, "orders")
+
+
+@query
+def frame_capped_large(spark, sf_dir):
+    """A limit above the one Spark ranks before the shuffle for, on parents that hold a third of the links each."""
+    framed = ops.frame_documents(m.status_types(spark, sf_dir), m.STATUS_FRAME, merge_limit=1_200)
+    return embedded_and_listed(framed, "orders")
+
+
+@query
+def frame_back_links(spark, sf_dir):
+    """Customers embedded in their orders by name only, though each lists all its orders."""
+    framed = ops.frame_documents(m.back_link_types(spark, sf_dir), m.BACK_FRAME)
+    return framed.select("uri", F.explode_outer("customer").alias("c")).select(
+        "uri",
+        F.col("c.uri").alias("customer_uri"),
+        first("c.props", "name").alias("name"),
+        F.size("c.props").alias("n_props"),
     )
 
 
@@ -595,12 +664,40 @@ def stream_files_as_messages(spark, sf_dir):
     )
 
 
-@query
-def stream_upsert_documents(spark, sf_dir):
-    """Events mapped and reduced per batch, the latest document kept per identifier."""
+def stored_documents(spark, sf_dir):
     out = scratch_path(spark, "stream-documents")
     streaming.upsert_documents_stream(
         event_files(spark, sf_dir), [m.EVENT], out, f"{out}-checkpoint", available_now=True
     ).awaitTermination()
-    stored = ops.read_latest(spark.read.parquet(out), "key", ["batch_seq"])
-    return stored.select("key", "value")
+    return ops.read_latest_documents(spark.read.parquet(out))
+
+
+@query
+def stream_upsert_documents(spark, sf_dir):
+    """Events mapped and reduced per batch, the latest document kept per identifier."""
+    return stored_documents(spark, sf_dir).select("key", "value")
+
+
+@query
+def stream_compact(spark, sf_dir):
+    """The same store written anew as one batch."""
+    path = scratch_path(spark, "compacted")
+    ops.compact(stored_documents(spark, sf_dir), path)
+    return ops.read_latest_documents(spark.read.parquet(path)).select("key", "value")
+
+
+@query
+def stream_upsert_shrink(spark, sf_dir):
+    """Large documents of one stream replaced by small ones of another; no part of the old ones is left."""
+    events = m.table(spark, sf_dir, "events").select("user_id", "event_id")
+    firsts = events.groupBy("user_id").agg(F.min("event_id").alias("event_id"))
+    store = scratch_path(spark, "shrinking")
+    for n, rows in enumerate((events, firsts)):
+        folder = scratch_path(spark, "user-events")
+        rows.write.json(folder)
+        stream = streaming.read_json_stream(spark, folder, rows.schema)
+        streaming.upsert_documents_stream(
+            stream, [m.USER_EVENTS], store, f"{store}-checkpoint-{n}", available_now=True, values_per_row=5
+        ).awaitTermination()
+    stored = ops.read_latest_documents(spark.read.parquet(store))
+    return stored.filter(F.col("entity").contains("/user/")).select("entity", "parts", "value")

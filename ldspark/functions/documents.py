@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, functions as F
@@ -29,6 +30,69 @@ def drop_json_fields(value: Column, *names: str) -> Column:
     return F.to_json(F.map_filter(fields, lambda k, _: ~k.isin(*names)))
 
 
+# A JSON string, and what a text of JSON is made of: an inline context, an @type entry, a name, a string, or
+# anything between.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_TYPE = r'"@type"\s*:\s*(?:' + _STRING + r"|\[(?:\s*" + _STRING + r"\s*,?)*+\s*\])"
+_NAME = _STRING + r"\s*:"
+
+
+
+def _object(levels: int) -> str:
+    inner = rf'[^{{}}"]++|{_STRING}' + (f"|{_object(levels - 1)}" if levels else "")
+    return rf"\{{(?:{inner})*+\}}"
+
+
+# An inline context stays whole, with the objects inside it to this many levels.
+_CONTEXT = r'"@context"\s*:\s*' + _object(4)
+_TOKENS = rf'{_CONTEXT}|{_TYPE}|{_NAME}|{_STRING}|[^"]+'
+
+
+def rename_json(value: Column, names: Mapping[str, str], classes: Mapping[str, str]) -> Column:
+    """JSON text with its names, at any depth, and the values of ``@type`` replaced.
+
+    Everything else stays as it is written: numbers, order, repeated elements,
+    white space, an inline context. A string followed by a colon is a name, so
+    the text is cut into tokens and no tree is built. Both tables are literals.
+    """
+
+    def table(entries: Mapping[str, str]) -> Column:
+        pairs = [(json.dumps(k, ensure_ascii=False), json.dumps(v, ensure_ascii=False)) for k, v in entries.items()]
+        if not pairs:
+            return F.create_map().cast("map<string,string>")
+        return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+
+    named, typed = table(names), table(classes)
+
+    def replaced(text: Column, by: Column) -> Column:
+        plain = F.replace(text, F.lit("\\/"), F.lit("/"))
+        return F.coalesce(F.try_element_at(by, plain), text)
+
+    def of_type(token: Column) -> Column:
+        parts = F.regexp_extract_all(token, F.lit(rf'{_STRING}|[^"]+'), F.lit(0))
+        first = F.regexp_extract(token, _STRING, 0)
+        rest = F.slice(parts, F.lit(2), F.size(parts))
+        return F.concat(
+            replaced(first, named),
+            F.array_join(F.transform(rest, lambda x: F.when(x.startswith('"'), replaced(x, typed)).otherwise(x)), ""),
+        )
+
+    def of_name(token: Column) -> Column:
+        text = F.regexp_extract(token, _STRING, 0)
+        return F.concat(replaced(text, named), F.substring(token, F.length(text) + 1, F.length(token)))
+
+    def one(token: Column) -> Column:
+        return (
+            F.when(~token.startswith('"') | token.rlike(f"^{_CONTEXT}$"), token)
+            .when(token.rlike(f"^{_TYPE}$"), of_type(token))
+            .when(token.endswith(":"), of_name(token))
+            .otherwise(token)
+        )
+
+    tokens = F.regexp_extract_all(value, F.lit(_TOKENS), F.lit(0))
+    return F.array_join(F.transform(tokens, one), "")
+
+
 def json_value(value: Column, path: str, dtype: str = "string") -> Column:
     """One value out of a variant, null when the path is absent."""
     return F.try_variant_get(value, path, dtype)

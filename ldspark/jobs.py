@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ldspark import operators as ops, sinks, sources, streaming
 from ldspark.functions import drop_json_fields
 from ldspark.plans import Model
-from ldspark.session import build_session
+from ldspark.session import build_session, scratch_scope
 from ldspark.sources import connectors
 
 KINDS = ("text", "sequence", "json", "csv")
@@ -49,9 +49,22 @@ def _records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return sources.read_records(spark, args.input, args.kind, args.sep)
 
 
+def _usable(records: DataFrame, args: argparse.Namespace) -> DataFrame:
+    """Records to map. Text that is no JSON goes to the rejects' folder, or fails the job without one."""
+    if args.kind == "csv":
+        return records
+    if args.kind == "json":
+        records = records.select(F.lit(None).cast("string").alias("key"), "value")
+    if args.rejects is None:
+        return ops.checked_records(records)
+    good, bad = ops.parsed_records(records)
+    sinks.write_rejects(bad, args.rejects)
+    return good
+
+
 def run_map(spark: SparkSession, args: argparse.Namespace) -> None:
     """Apply models; write documents, or N-Triples lines."""
-    statements = ops.apply_models(_records(spark, args), _models(spark, args))
+    statements = ops.apply_models(_usable(_records(spark, args), args), _models(spark, args))
     if args.output_format == "ntriples":
         sinks.write_lines(ops.ntriples(statements), args.output)
         return
@@ -60,16 +73,26 @@ def run_map(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_context(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Shorten names in documents that are stored already."""
-    statements = ops.document_statements(_records(spark, args), args.id_field, args.link or ())
-    short = ops.apply_context(statements, load_context(spark, args.context))
-    nodes = ops.to_nodes(ops.distinct_statements(short))
-    sinks.write_kv_text(ops.flat_document_json(nodes, args.output_id_field), args.output)
+    """Shorten names in documents that are stored already; nothing else in them changes."""
+    documents, bad = ops.context_documents(
+        _records(spark, args), load_context(spark, args.context), args.id_field, args.output_id_field
+    )
+    _set_apart(bad, args)
+    sinks.write_kv_text(documents, args.output)
+
+
+def _set_apart(bad: DataFrame, args: argparse.Namespace) -> None:
+    if args.rejects is not None:
+        sinks.write_rejects(bad, args.rejects)
+    elif not bad.isEmpty():
+        raise ValueError(f"unusable records, for example {bad.first().asDict()}; --rejects sets them apart")
 
 
 def run_frame(spark: SparkSession, args: argparse.Namespace) -> None:
     """Apply models, reduce, frame; one output folder per frame."""
-    statements = ops.distinct_statements(ops.apply_models(_records(spark, args), _models(spark, args)))
+    statements = ops.distinct_statements(
+        ops.apply_models(_usable(_records(spark, args), args), _models(spark, args))
+    )
     files = sources.read_files(spark, args.frames, "*.json")
     frames = sources.load_frames(ops.list_frames(files))
     classes = set().union(*[frame.types() for frame in frames.values()])
@@ -77,8 +100,7 @@ def run_frame(spark: SparkSession, args: argparse.Namespace) -> None:
     publish = None
     if args.index:
         def publish(name: str, documents: DataFrame) -> None:
-            options = connectors.index_write_options(args.nodes, args.port, f"{args.index}/{name}")
-            sinks.write_json_index(documents, options)
+            sinks.write_json_index(documents, _index(args, "uri", name))
     sinks.write_frames(ops.apply_frames(nodes, frames, args.merge_limit), frames, args.output, publish)
 
 
@@ -105,21 +127,40 @@ def _write_pairs(records: DataFrame, path: str, kind: str) -> None:
 
 def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
     """Bulk-load JSON documents by an identifier inside them."""
-    keyed, _ = ops.key_by_field(_records(spark, args), f"$.{args.key_field}")
+    keyed, bad = ops.key_by_field(_records(spark, args), f"$.{args.key_field}")
+    _set_apart(bad, args)
     value = drop_json_fields(F.col("value"), *args.drop) if args.drop else F.col("value")
     documents = keyed.select("key", value.alias("value"))
-    options = connectors.bulk_load_options(args.nodes, args.port, args.index, args.key_field)
-    sinks.write_json_index(documents, options)
+    if args.output:
+        sinks.write_kv_text(documents, args.output)
+    if args.index:
+        sinks.write_json_index(documents, _index(args, args.key_field))
+
+
+def _index(args: argparse.Namespace, id_field: str, name: str | None = None) -> dict[str, str]:
+    resource = args.index if name is None else f"{args.index}/{name}"
+    more = dict(setting.split("=", 1) for setting in args.index_option or ())
+    return connectors.json_index_options(args.nodes, args.port, resource, id_field, **more)
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Map topic records as they arrive; keep the latest document per identifier."""
-    records = streaming.read_topics(spark, args.brokers, args.topics.split(","), args.from_oldest)
+    bound = {"maxOffsetsPerTrigger": str(args.max_offsets)}
+    records = streaming.read_topics(spark, args.brokers, args.topics.split(","), args.from_oldest, **bound)
+    publish = None
+    if args.index:
+        def publish(documents: DataFrame) -> None:
+            sinks.write_json_index(documents.select("key", "value"), _index(args, "uri"))
     streaming.upsert_documents_stream(
-        records, _models(spark, args), args.output, args.checkpoint
+        ops.checked_records(records), _models(spark, args), args.output, args.checkpoint, publish=publish
     ).awaitTermination()
 
 
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Write the current documents of a stream's store as a new store of one batch."""
+    ops.compact(ops.read_latest_documents(spark.read.parquet(args.input)), args.output)
+
+
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     """Send each file of a folder to a topic as one message."""
     options = connectors.topic_write_options(args.brokers, args.topic)
@@ -150,20 +191,24 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--root")
         return p
 
+    def rejecting(p: argparse.ArgumentParser) -> argparse.ArgumentParser:
+        p.add_argument("--rejects", help="folder for records that cannot be used; without it they fail the job")
+        return p
+
     def indexed(p: argparse.ArgumentParser, required: bool) -> None:
         p.add_argument("--index", required=required)
         p.add_argument("--nodes", default="localhost")
         p.add_argument("--port", type=int, default=9200)
+        p.add_argument("--index-option", action="append", help="any other setting of the connector, as name=value")
 
-    p = modelled(job("map", run_map))
+    p = rejecting(modelled(job("map", run_map)))
     p.add_argument("--output-format", choices=("json", "ntriples"), default="json")
     p.add_argument("--id-field", default="@id")
-    p = job("context", run_context)
+    p = rejecting(job("context", run_context))
     p.add_argument("--context", required=True)
     p.add_argument("--id-field", default="@id")
     p.add_argument("--output-id-field", default="uri")
-    p.add_argument("--link", action="append")
-    p = modelled(job("frame", run_frame))
+    p = rejecting(modelled(job("frame", run_frame)))
     p.add_argument("--frames", required=True)
     p.add_argument("--merge-limit", type=int)
     indexed(p, required=False)
@@ -173,15 +218,19 @@ def parser() -> argparse.ArgumentParser:
     p = job("convert", run_convert)
     p.add_argument("--output-kind", choices=("text", "sequence"), default="text")
     p.add_argument("--key-field", default="url")
-    p = job("load", run_load, output=False)
-    p.add_argument("--key-field", default="cdr_id")
+    p = rejecting(job("load", run_load, output=False))
+    p.add_argument("--output")
+    p.add_argument("--key-field", required=True)
     p.add_argument("--drop", action="append")
-    indexed(p, required=True)
+    indexed(p, required=False)
     p = modelled(job("stream", run_stream, records=False))
     p.add_argument("--brokers", required=True)
     p.add_argument("--topics", required=True)
     p.add_argument("--from-oldest", action="store_true")
+    p.add_argument("--max-offsets", type=int, default=1_000_000, help="most records in one batch")
     p.add_argument("--checkpoint", required=True)
+    indexed(p, required=False)
+    job("compact", run_compact, records=False).add_argument("--input", required=True)
     p = job("publish", run_publish, output=False)
     p.add_argument("--brokers", required=True)
     p.add_argument("--topic", required=True)
@@ -191,7 +240,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(spark or build_session("ldspark"), args)
+    spark = spark or build_session("ldspark")
+    with scratch_scope(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

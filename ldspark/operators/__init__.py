@@ -15,17 +15,19 @@ from ldspark.operators.cells import (
     docs_to_cells,
     scan_cells,
 )
-from ldspark.operators.context import apply_context, parse_contexts
+from ldspark.operators.context import apply_context, context_documents, parse_contexts
 from ldspark.operators.documents import document_statements, node_statements
 from ldspark.operators.filters import (
+    checked_records,
     constant_key,
     drop_keys,
     keep_keys,
     key_by_field,
-    values_only,
+    parsed_records,
 )
 from ldspark.operators.framing import (
     apply_frames,
+    document_rows,
     flat_document_json,
     frame_documents,
     framed_document_json,
@@ -43,7 +45,16 @@ from ldspark.operators.reducing import (
     union_all,
 )
 from ldspark.operators.skew import salted_join, split_groups
-from ldspark.operators.upsert import latest_by_id, read_latest, upsert_by_id, write_batch
+from ldspark.operators.upsert import (
+    compact,
+    latest_by_id,
+    read_latest,
+    read_latest_documents,
+    split_by_id,
+    upsert_by_id,
+    write_batch,
+    write_document_batch,
+)
 from ldspark.operators.views import swap_alias
 
 __all__ = [
@@ -55,9 +66,13 @@ __all__ = [
     "cell_lines",
     "cells_to_columns",
     "cells_to_docs",
+    "checked_records",
+    "compact",
     "constant_key",
+    "context_documents",
     "distinct_statements",
     "docs_to_cells",
+    "document_rows",
     "document_statements",
     "drop_keys",
     "flat_document_json",
@@ -74,12 +89,15 @@ __all__ = [
     "ntriples",
     "pair_models",
     "parse_contexts",
+    "parsed_records",
     "partition_on_types",
     "read_latest",
+    "read_latest_documents",
     "reduce_documents",
     "reduce_statements",
     "salted_join",
     "scan_cells",
+    "split_by_id",
     "split_groups",
     "store_by_type",
     "swap_alias",
@@ -89,6 +107,6 @@ __all__ = [
     "union_all",
     "unknown_types",
     "upsert_by_id",
-    "values_only",
     "write_batch",
+    "write_document_batch",
 ]

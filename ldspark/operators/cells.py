@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ldspark.functions.terms import lexical
 from ldspark.operators.reducing import VALUES_PER_ROW
@@ -51,15 +53,16 @@ def current_cells(cells: DataFrame, version: str | None = None) -> DataFrame:
 def cells_to_docs(
     cells: DataFrame, version: str | None = None, cells_per_row: int = VALUES_PER_ROW
 ) -> DataFrame:
-    """``row_key, part, cells MAP<family:qualifier, value>``.
+    """``row_key, part, parts, cells MAP<family:qualifier, value>``.
 
-    Row keys with more than ``cells_per_row`` cells continue in further parts.
+    Row keys with more than ``cells_per_row`` cells continue in further parts,
+    as many as their own number of cells asks for.
     """
     current = current_cells(cells, version)
     placed = split_groups(current, ["row_key"], ["family", "qualifier"], cells_per_row)
     name = F.concat_ws(":", "family", "qualifier")
     entries = F.sort_array(F.collect_list(F.struct(name.alias("name"), "value")))
-    return placed.groupBy("row_key", "part").agg(F.map_from_entries(entries).alias("cells"))
+    return placed.groupBy("row_key", "part", "parts").agg(F.map_from_entries(entries).alias("cells"))
 
 
 def cells_to_columns(
@@ -67,24 +70,25 @@ def cells_to_columns(
 ) -> DataFrame:
     """One row per row key with the named ``(family, qualifier)`` cells as columns.
 
-    A conditional aggregate with one buffer per column, combined map-side, so a
-    row key of any width is safe.
+    A column is named by its qualifier, or ``family:qualifier`` where two families
+    are asked for the same one. A conditional aggregate with one buffer per
+    column, combined map-side, so a row key of any width is safe.
     """
     value = F.col("value")
+    qualifiers = [q for _, q in columns]
 
-    def pick(family: str, qualifier: str):
-        mine = (F.col("family") == family) & (F.col("qualifier") == qualifier)
+    def is_cell(family: str, qualifier: str) -> Column:
+        return (F.col("family") == family) & (F.col("qualifier") == qualifier)
+
+    def pick(family: str, qualifier: str) -> Column:
+        name = qualifier if qualifiers.count(qualifier) == 1 else f"{family}:{qualifier}"
+        mine = is_cell(family, qualifier)
         if version:
-            rank = F.when(mine, F.struct(version, value))
-            return F.max_by(value, rank).alias(qualifier)
-        return F.max(F.when(mine, value)).alias(qualifier)
+            return F.max_by(value, F.when(mine, F.struct(version, value))).alias(name)
+        return F.max(F.when(mine, value)).alias(name)
 
-    wanted = [q for _, q in columns]
-    return (
-        cells.filter(F.col("qualifier").isin(wanted))
-        .groupBy("row_key")
-        .agg(*[pick(f, q) for f, q in columns])
-    )
+    wanted = reduce(or_, [is_cell(f, q) for f, q in columns])
+    return cells.filter(wanted).groupBy("row_key").agg(*[pick(f, q) for f, q in columns])
 
 
 def cell_lines(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -8,14 +8,9 @@ from typing import Union
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ldspark.functions.documents import document_fields, document_id
-from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, salted_join
+from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, part_of, salted_join, with_parts
 from ldspark.plans.frame import Frame
-from ldspark.session import materialize_by
-
-# up to this limit Spark ranks per input partition before the shuffle
-RANK_BEFORE_SHUFFLE = 1000
-RANK_SALTS = 64
-
+from ldspark.session import materialize, materialize_by
 
 Nodes = Union[DataFrame, Mapping[str, DataFrame]]
 
@@ -59,18 +54,23 @@ def type_members(statements: DataFrame, types: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(links: DataFrame, limit: int) -> DataFrame:
+def _ranked(links: DataFrame, limit: int, rows_per_task: int) -> DataFrame:
     """The first ``limit`` targets of every parent, by identifier.
 
-    A parent may hold any share of the links. Small limits are applied per input
-    partition by Spark itself before the shuffle; for others the links are first
-    ranked in salted groups.
+    A parent may hold any share of the links. Up to the limit Spark's own setting
+    names, Spark ranks per input partition before the shuffle. Above it, the links
+    of parents that hold many are first ranked in as many salted groups as their
+    measured number asks for.
     """
-    if limit > RANK_BEFORE_SHUFFLE:
-        salt = F.pmod(F.xxhash64("target"), F.lit(RANK_SALTS))
-        some = Window.partitionBy("parent", salt).orderBy("target")
-        links = links.withColumn("_rank", F.row_number().over(some)).filter(
-            F.col("_rank") <= limit
+    setting = links.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if limit > int(setting):
+        hot = hot_keys(links, ["parent"], ["target"], rows_per_task)
+        salted = with_parts(links, ["parent"], hot).withColumn("_salt", part_of(["target"]))
+        some = Window.partitionBy("parent", "_salt").orderBy("target")
+        links = (
+            salted.withColumn("_rank", F.row_number().over(some))
+            .filter(F.col("_rank") <= limit)
+            .drop("_rank", "_salt", "_hash", "parts")
         )
     every = Window.partitionBy("parent").orderBy("target")
     return (
@@ -107,29 +107,34 @@ def _without_embedded(prop: str, children: Column) -> Column:
     return F.when(children.isNull(), F.col("props")).otherwise(left)
 
 
+def _links(parents: DataFrame, props: Sequence[str]) -> DataFrame:
+    """``prop, parent, parent_part, target`` of all framed properties, from one read of the parents."""
+    wanted = F.map_filter("props", lambda k, _: k.isin(list(props)))
+    each = parents.select("uri", "part", F.explode(wanted).alias("prop", "values"))
+    targets = F.transform(F.filter("values", lambda x: x["kind"] == "iri"), lambda x: x["v"])
+    return each.select(
+        "prop", F.col("uri").alias("parent"), F.col("part").alias("parent_part"), F.explode(targets).alias("target")
+    )
+
+
 def _embed(
     out: DataFrame,
-    parents: DataFrame,
+    links: DataFrame,
     prop: str,
     children: DataFrame,
     members: DataFrame,
     merge_limit: int | None,
     rows_per_task: int,
 ) -> DataFrame:
-    """Adds the documents ``prop`` leads to; the links come from the plain parents."""
-    references = F.filter(F.col("props")[prop], lambda x: x["kind"] == "iri")
-    links = parents.select(
-        F.col("uri").alias("parent"),
-        F.col("part").alias("parent_part"),
-        F.explode(F.transform(references, lambda x: x["v"])).alias("target"),
-    )
+    """Adds the documents ``prop`` leads to by its ``parent, parent_part, target`` links."""
     # one list of hot targets serves both joins: salting more than needed is harmless
     spread = ["parent", "parent_part"]
     hot = hot_keys(links, ["target"], spread, rows_per_task)
     if merge_limit is not None:
         # every document has a part 0, so identifiers are unique without a distinct
         uris = members.filter(F.col("part") == 0).select(F.col("uri").alias("target"))
-        links = _ranked(salted_join(links, uris, "target", spread, "left_semi", hot=hot), merge_limit)
+        known = salted_join(links, uris, "target", spread, "left_semi", hot=hot)
+        links = _ranked(known, merge_limit, rows_per_task)
     documents = children.select(
         F.col("uri").alias("target"),
         F.struct(*[F.col(f"`{c}`") for c in children.columns]).alias("child"),
@@ -154,43 +159,71 @@ def _embed(
     )
 
 
+RESERVED = ("uri", "part", "types", "props")
+
+
 def frame_documents(
     nodes: Nodes,
     frame: Frame,
     merge_limit: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    built: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Nested documents of one frame, joined bottom-up.
 
     The result has ``uri, part, types, props`` and one array of child documents
     per framed property, null when nothing was embedded. A reference whose
     target is absent, has another type or falls beyond ``merge_limit`` stays a
-    reference in ``props``. The depth is the frame's, so cycles end.
+    reference in ``props``. The depth is the frame's, so cycles end. A framed
+    property may not be named like a fixed column.
 
     The documents are read several times: pass the result of
-    :func:`store_by_type`, or at least a materialized table.
+    :func:`store_by_type`, or at least a materialized table. A frame's parents
+    are read twice, for their links, which are written once, and for themselves;
+    nested documents are written once. ``built`` shares them between frames.
     """
-    parents = of_type(nodes, frame.type).select("uri", "part", "types", "props")
+    built = {} if built is None else built
+    clashing = sorted(set(frame.edges) & set(RESERVED))
+    if clashing:
+        raise ValueError(f"framed properties cannot be named {clashing}")
+    parents = of_type(nodes, frame.type).select(*RESERVED)
     out = parents.withColumn("_hash", F.xxhash64("uri"))
+    if frame.edges:
+        links = materialize(_links(parents, list(frame.edges)), "links")
     for prop, sub in frame.edges.items():
-        children = frame_documents(nodes, sub, merge_limit, rows_per_task)
+        name = repr(sub)
+        if name not in built:
+            children = frame_documents(nodes, sub, merge_limit, rows_per_task, built)
+            built[name] = materialize(children, "framed") if sub.edges else children
+        mine = links.filter(F.col("prop") == prop).drop("prop")
         members = of_type(nodes, sub.type)
-        out = _embed(out, parents, prop, children, members, merge_limit, rows_per_task)
+        out = _embed(out, mine, prop, built[name], members, merge_limit, rows_per_task)
+    if frame.keep is not None:
+        own = F.map_filter("props", lambda k, _: k.isin([*frame.keep, *frame.edges]))
+        out = out.withColumn("props", own)
     return out.drop("_hash")
 
 
 def apply_frames(
     nodes: Nodes, frames: Mapping[str, Frame], merge_limit: int | None = None
 ) -> dict[str, DataFrame]:
-    """One lazy collection per named frame over the same documents."""
-    return {name: frame_documents(nodes, f, merge_limit) for name, f in frames.items()}
+    """One lazy collection per named frame over the same documents; equal sub-frames are built once."""
+    built: dict[str, DataFrame] = {}
+    return {name: frame_documents(nodes, f, merge_limit, built=built) for name, f in frames.items()}
 
 
-def flat_document_json(nodes: DataFrame, id_field: str = "uri") -> DataFrame:
-    """``key, value`` with the JSON text of flat documents."""
+def document_rows(nodes: DataFrame, id_field: str = "uri") -> DataFrame:
+    """``entity, part, parts, key, value``: JSON text with what a store needs to replace a whole document."""
     fields = document_fields(*[F.col(c) for c in ("uri", "part", "types", "props")], id_field)
     key = document_id(F.col("uri"), F.col("part"))
-    return nodes.select(key.alias("key"), F.to_json(fields).alias("value"))
+    return nodes.select(
+        F.col("uri").alias("entity"), "part", "parts", key.alias("key"), F.to_json(fields).alias("value")
+    )
+
+
+def flat_document_json(nodes: DataFrame, id_field: str = "uri") -> DataFrame:
+    """``key, value`` with the JSON text of flat documents."""
+    return document_rows(nodes, id_field).select("key", "value")
 
 
 def _nested_fields(document: Callable[[str], Column], frame: Frame, id_field: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ldspark.functions.documents import json_elements, json_strings, json_value
+from ldspark.functions.documents import json_elements, json_strings, json_value, let
 from ldspark.functions.terms import (
     ABSOLUTE_IRI,
     encode_part,
@@ -212,10 +212,16 @@ def _list_statements(
 
     def of_element(value: Column) -> Column:
         element = (value, dtype)
-        own = {n.id: inputs.subject(n, model.base, element) for n in nodes}
-        single, several = _statements_of(inputs, nodes, {**outer, **own}, element)
-        single += [_statement(outer[n], predicate, own[t], "iri") for n, predicate, t in into]
-        return _joined(single, several)
+        # inside a lambda Spark shares nothing: the subjects are made once and looked up
+        made = F.struct(*[inputs.subject(n, model.base, element).alias(f"s{i}") for i, n in enumerate(nodes)])
+
+        def with_subjects(subjects: Column) -> Column:
+            own = {n.id: subjects[f"s{i}"] for i, n in enumerate(nodes)}
+            single, several = _statements_of(inputs, nodes, {**outer, **own}, element)
+            single += [_statement(outer[n], predicate, own[t], "iri") for n, predicate, t in into]
+            return _joined(single, several)
+
+        return let(made, with_subjects)
 
     none = F.array().cast("array<struct<s: string, p: string, o: string, kind: string>>")
     return F.coalesce(F.flatten(F.transform(elements, of_element)), none)

@@ -83,12 +83,13 @@ def reduce_statements(
 def to_nodes(statements: DataFrame, values_per_row: int = VALUES_PER_ROW) -> DataFrame:
     """Document view of a *set* of statements.
 
-    ``uri, part, types ARRAY<STRING>, props MAP<STRING, ARRAY<STRUCT<kind, v>>>``
-    with every array sorted. A subject with up to about ``values_per_row`` values
-    is one row with part 0. A larger one continues in further parts, each with its
-    types and some of its values; together the parts hold every value. That is
-    how no task ever gathers an unbounded group. Node objects that share an
-    identifier describe one node in JSON-LD, so part documents stay valid.
+    ``uri, part, parts, types ARRAY<STRING>, props MAP<STRING, ARRAY<STRUCT<kind, v>>>``
+    with every array sorted. A subject with up to ``values_per_row`` values is one
+    row with part 0 of 1. A larger one has as many parts as its own number of
+    values asks for, each with its types and some of its values; together the
+    parts hold every value. That is how no task ever gathers an unbounded group.
+    Node objects that share an identifier describe one node in JSON-LD, so part
+    documents stay valid. The statements are written to the scratch folder once.
     """
     marked = split_groups(statements, ["s"], ["p", "kind", "o"], values_per_row)
     is_type = F.col("kind") == "type"
@@ -102,17 +103,18 @@ def to_nodes(statements: DataFrame, values_per_row: int = VALUES_PER_ROW) -> Dat
     # they sort without comparing identifiers that share long prefixes
     by_property = (
         placed.repartition("s", "part")
-        .groupBy(F.xxhash64("s").alias("_hash"), "s", "part", "p")
+        .groupBy(F.xxhash64("s").alias("_hash"), "s", "part", "parts", "p")
         .agg(F.sort_array(F.collect_list(F.struct("kind", F.col("o").alias("v")))).alias("vals"))
     )
     entries = F.sort_array(F.collect_list(F.struct("p", "vals")))
     props = F.map_from_entries(entries)
     return (
-        by_property.groupBy("_hash", "s", "part")
+        by_property.groupBy("_hash", "s", "part", "parts")
         .agg(props.alias("all"))
         .select(
             F.col("s").alias("uri"),
             "part",
+            "parts",
             F.coalesce(
                 F.transform(F.col("all")[RDF_TYPE], lambda x: x["v"]),
                 F.array().cast("array<string>"),

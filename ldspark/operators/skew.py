@@ -1,16 +1,16 @@
 """Splitting keys that hold too many rows for one task.
 
-A key is hot when it holds more rows than asked for *and* more than one
-millionth of all rows. The second condition bounds the list: at most one million
-keys can be hot, whatever the data. The list carries a 64-bit hash and a count
-per key, about 16 MB at most, so it is the one thing here that may be broadcast.
-Keys below the bound hold at most a millionth of the rows each.
-
-Finding hot keys must not cost a shuffle as large as the work itself. Rows are
-counted in a share picked by hash, so that a key at the limit still has about
-``COUNTED_AT_LIMIT`` rows in it; small limits are counted in full. The share only
-decides how finely a key is split: every row is processed, and any list of hot
-keys gives the same rows.
+Two things are told apart. Where the split shows in the result, as in the parts
+of a large document, it depends on the key's own rows alone: they are counted in
+full, and the counts of large keys are joined back without a forced broadcast.
+
+Where it only spreads work, as in a join, any list of hot keys gives the same
+rows. A key is then hot when it holds more rows than asked for *and* more than
+one millionth of all rows. The second condition bounds the list: at most one
+million keys can be hot, whatever the data. The list carries a 64-bit hash and a
+count per key, about 16 MB at most, so it is the one thing here that may be
+broadcast. Rows are counted in a share picked by hash, so that a key at the limit
+still has about ``COUNTED_AT_LIMIT`` rows in it.
 
 Splitting is by hash of the row's own values, never by position, so a task that
 runs again puts every row where it was.
@@ -22,6 +22,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ldspark.session import materialize
+
 MAX_HOT_KEYS = 1_000_000
 ROWS_PER_TASK = 500_000
 COUNTED_AT_LIMIT = 200
@@ -47,7 +49,7 @@ def hot_keys(
     )
 
 
-def _with_parts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+def with_parts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     marked = df.withColumn("_hash", F.xxhash64(*keys))
     return (
         marked.join(F.broadcast(hot), marked["_hash"] == hot["key_hash"], "left")
@@ -63,9 +65,19 @@ def part_of(spread: Sequence[str]) -> Column:
 def split_groups(
     df: DataFrame, keys: Sequence[str], spread: Sequence[str], rows_per_part: int
 ) -> DataFrame:
-    """Adds ``part`` and ``parts``: a hot key's rows go to several parts by ``spread``."""
-    marked = _with_parts(df, keys, hot_keys(df, keys, spread, rows_per_part))
-    return marked.withColumn("part", part_of(spread)).drop("_hash")
+    """Adds ``part`` and ``parts``: the rows of a key with more than
+    ``rows_per_part`` of them go to several parts by ``spread``.
+
+    The number of parts is the key's own, whatever else the collection holds. The
+    rows are written once and counted from there, so the input is read once, and
+    the list of large keys has a measured size when the join is planned.
+    """
+    rows = materialize(df, "grouped")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_part)
+    parts = F.ceil(F.col("n") / F.lit(rows_per_part)).cast("int").alias("parts")
+    large = materialize(counts.select(*keys, parts), "large-groups")
+    marked = rows.join(large, list(keys), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return marked.withColumn("part", part_of(spread))
 
 
 def salted_join(
@@ -85,9 +97,9 @@ def salted_join(
     """
     if hot is None:
         hot = hot_keys(many, [on], spread, rows_per_task)
-    left = _with_parts(many, [on], hot).withColumn("_salt", part_of(spread)).drop("parts")
+    left = with_parts(many, [on], hot).withColumn("_salt", part_of(spread)).drop("parts")
     right = (
-        _with_parts(one, [on], hot)
+        with_parts(one, [on], hot)
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .drop("parts")
     )

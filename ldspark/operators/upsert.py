@@ -9,15 +9,21 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ldspark.operators.filters import drop_keys
 
 
+def split_by_id(updates: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with an identifier, and those without."""
+    named = F.col(id_col).isNotNull()
+    return updates.filter(named), updates.filter(~named)
+
+
 def latest_by_id(updates: DataFrame, id_col: str, order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per identifier; rows without one are left out.
+    """One row per identifier; a row without one is an error.
 
-    With ``order_by`` the greatest row wins and the other columns break ties.
+    :func:`split_by_id` sets such rows apart first. With ``order_by`` the greatest row wins and the other columns break ties.
     Without it two rows for one identifier are an error, since an unordered
     collection has no last row. The aggregate keeps one row per identifier and
     task before the shuffle, so a hot identifier costs nothing.
     """
-    named = updates.filter(F.col(id_col).isNotNull())
+    unnamed = F.raise_error(F.lit(f"a row without {id_col!r}"))
     rest = [c for c in updates.columns if c != id_col and c not in order_by]
     unordered = [
         c for c in rest if isinstance(updates.schema[c].dataType, (T.MapType, T.VariantType))
@@ -25,6 +31,8 @@ def latest_by_id(updates: DataFrame, id_col: str, order_by: Sequence[str] = ())
     if unordered:
         raise ValueError(f"write {unordered} as JSON text first: such columns have no order")
     ranked = F.struct(*order_by, *rest)
+    checked = F.when(F.col(id_col).isNull(), unnamed).otherwise(F.col(id_col))
+    named = updates.withColumn(id_col, checked.cast(updates.schema[id_col].dataType))
     if order_by:
         best = named.groupBy(id_col).agg(F.max(ranked).alias("row"))
     else:
@@ -42,21 +50,55 @@ def upsert_by_id(
     if updates is None:
         return target
     fresh = latest_by_id(updates, id_col, order_by)
-    ids = updates.select(id_col)
-    return drop_keys(target, ids, id_col).unionByName(fresh)
+    return drop_keys(target, fresh.select(id_col), id_col).unionByName(fresh)
+
 
+def _batch_path(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/run={run}/batch={batch_id}"
 
-def write_batch(updates: DataFrame, path: str, batch_id: int, id_col: str, order_by: Sequence[str]) -> None:
+
+def write_batch(
+    updates: DataFrame, path: str, batch_id: int, id_col: str, order_by: Sequence[str], run: str = "0"
+) -> None:
     """Add one batch of updates below ``path``.
 
     Only the batch is written, never the rows already there. Its folder is named
-    by the batch, so running a batch again replaces it and changes nothing.
+    by the run and the batch, so running a batch again replaces it and changes
+    nothing, and a run that numbers its batches from 0 again touches no other.
     """
-    latest_by_id(updates, id_col, order_by).write.mode("overwrite").parquet(
-        f"{path}/batch={batch_id}"
-    )
+    latest_by_id(updates, id_col, order_by).write.mode("overwrite").parquet(_batch_path(path, run, batch_id))
 
 
 def read_latest(df: DataFrame, id_col: str, order_by: Sequence[str]) -> DataFrame:
     """Current rows of batches written by :func:`write_batch`."""
-    return latest_by_id(df.drop("batch"), id_col, order_by)
+    return latest_by_id(df.drop("run", "batch"), id_col, order_by)
+
+
+DOCUMENT_ORDER = ("run_started", "batch_seq")
+
+
+def write_document_batch(documents: DataFrame, path: str, batch_id: int, run: str, run_started: str) -> None:
+    """Add one batch of ``entity, part, parts, key, value`` documents below ``path``."""
+    numbered = documents.withColumns(
+        {"run_started": F.lit(run_started).cast("string"), "batch_seq": F.lit(batch_id).cast("bigint")}
+    )
+    numbered.write.mode("overwrite").parquet(_batch_path(path, run, batch_id))
+
+
+def read_latest_documents(df: DataFrame) -> DataFrame:
+    """Current documents of batches written by :func:`write_document_batch`.
+
+    An entity's document is replaced as a whole: all its parts are those of the
+    last batch it was in, so a document that shrinks leaves no part behind.
+    """
+    last = df.groupBy("entity").agg(F.max(F.struct(*DOCUMENT_ORDER, "run")).alias("last"))
+    current = df.join(last, "entity").filter(F.struct(*DOCUMENT_ORDER, "run") == F.col("last"))
+    return current.drop("last", "run", "batch")
+
+
+def compact(current: DataFrame, path: str) -> None:
+    """Write what :func:`read_latest` or :func:`read_latest_documents` gave as a new store of one batch.
+
+    The rows keep their order columns, so later batches may be added to it.
+    """
+    current.write.parquet(_batch_path(path, "compacted", 0))

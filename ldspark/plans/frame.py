@@ -10,21 +10,35 @@ from typing import Any
 
 @dataclass(frozen=True)
 class Frame:
-    """Root type and, per framed property, the frame of the documents below it."""
+    """Root type and, per framed property, the frame of the documents below it.
+
+    With ``keep`` only those of a document's own properties are written, besides
+    the framed ones; without it all are. It bounds what an embedded document
+    brings along, for example a customer's name in each of its orders and not the
+    list of all its orders.
+    """
 
     type: str
     edges: Mapping[str, "Frame"] = field(default_factory=dict)
+    keep: tuple[str, ...] | None = None
 
     @classmethod
     def from_dict(cls, spec: Mapping[str, Any]) -> "Frame":
+        """A frame from its JSON form.
+
+        ``"@explicit": true`` keeps only the properties that are named; a named
+        property without a frame below it has ``{}``. A list as a sub-frame, or a
+        sub-frame without a type, is an error.
+        """
         if not isinstance(spec.get("@type"), str):
             raise ValueError("a frame needs one @type")
-        edges = {
-            name: cls.from_dict(sub)
-            for name, sub in spec.items()
-            if isinstance(sub, Mapping) and name != "@context"
-        }
-        return cls(spec["@type"], edges)
+        named = {k: v for k, v in spec.items() if not k.startswith("@")}
+        lists = sorted(k for k, v in named.items() if isinstance(v, (list, tuple)))
+        if lists:
+            raise ValueError(f"a frame's properties take one frame each, not a list: {lists}")
+        edges = {k: cls.from_dict(v) for k, v in named.items() if isinstance(v, Mapping) and v}
+        keep = tuple(k for k in named if k not in edges) if spec.get("@explicit") else None
+        return cls(spec["@type"], edges, keep)
 
     @classmethod
     def from_json(cls, text: str) -> "Frame":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_roots: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def build_session(app_name: str = "ldspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,14 +48,34 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_roots.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="ldspark-")
-    )
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="ldspark-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the scratch folder that nothing else uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in getattr(_scopes, "open", [])[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what was written to scratch paths inside the block when it ends.
+
+    For jobs and stream batches, whose results are stored elsewhere by then.
+    """
+    stack = _scopes.__dict__.setdefault("open", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in stack.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -39,11 +39,6 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexis
     df.write.mode(mode).option("header", True).option("sep", sep).option("escape", '"').csv(path)
 
 
-def write_documents(df: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
-    """Append documents through a connector; its id setting makes retries harmless."""
-    df.write.format(fmt).options(**options).mode("append").save()
-
-
 def write_json_index(records: DataFrame, options: Mapping[str, str]) -> None:
     """Send JSON text in ``value`` to a search index through its Hadoop output format.
 
@@ -61,6 +56,11 @@ def write_json_index(records: DataFrame, options: Mapping[str, str]) -> None:
     texts.rdd.map(tuple).saveAsNewAPIHadoopDataset(conf)
 
 
+def write_rejects(rejects: DataFrame, path: str) -> None:
+    """Records a job could not use, as JSON lines with all their columns."""
+    rejects.write.json(path)
+
+
 def write_frames(
     framed: Mapping[str, DataFrame],
     frames: Mapping[str, Frame],

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ldspark.plans.frame import Frame
 
-MAX_FRAMES = 1_000
-
 
 def read_files(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False) -> DataFrame:
     """``path, text``: every file that matches, whole."""
@@ -20,8 +18,5 @@ def read_files(spark: SparkSession, folder: str, glob: str = "*", recursive: boo
 
 
 def load_frames(frames: DataFrame) -> dict[str, Frame]:
-    """Frames by name, to plan with; they are settings, so their number is bounded."""
-    rows = frames.select("name", "text").limit(MAX_FRAMES + 1).collect()
-    if len(rows) > MAX_FRAMES:
-        raise ValueError(f"more than {MAX_FRAMES} frames in one run")
-    return {r["name"]: Frame.from_json(r["text"]) for r in rows}
+    """Frames by name. They are settings to plan with, so all of them are read by the driver."""
+    return {r["name"]: Frame.from_json(r["text"]) for r in frames.select("name", "text").collect()}

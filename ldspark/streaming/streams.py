@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ldspark.operators.framing import flat_document_json
+from ldspark.operators.framing import document_rows
 from ldspark.operators.mapping import apply_models
-from ldspark.operators.reducing import reduce_documents
-from ldspark.operators.upsert import write_batch
+from ldspark.operators.reducing import VALUES_PER_ROW, reduce_documents
+from ldspark.operators.upsert import write_batch, write_document_batch
 from ldspark.plans.model import Model
-from ldspark.session import persisted
+from ldspark.session import materialize, scratch_scope
 from ldspark.sources.connectors import TOPIC_FORMAT, topic_read_options
 from ldspark.sources.records import Schema
 
@@ -52,6 +53,13 @@ def read_message_files(spark: SparkSession, folder: str, files_per_batch: int =
     )
 
 
+def _run_of(spark: SparkSession, checkpoint: str) -> tuple[str, str]:
+    """The id of a checkpoint and when it was made; both stay when the query starts again."""
+    made = F.col("_metadata.file_modification_time").cast("string")
+    (row,) = spark.read.text(f"{checkpoint}/metadata", wholetext=True).select("value", made.alias("made")).take(1)
+    return json.loads(row["value"])["id"], row["made"]
+
+
 def write_stream(
     stream: DataFrame,
     fmt: str,
@@ -102,13 +110,15 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Keyed writes of a stream, one small folder per batch.
 
-    A batch is reduced to its latest row per identifier and written under its
-    number, so a batch that is replayed overwrites itself. Readers take the
+    A batch is reduced to its latest row per identifier and written under the
+    checkpoint's id and its number, so a batch that is replayed overwrites itself
+    and a stream with a new checkpoint overwrites nothing. Readers take the
     latest over all batches with :func:`ldspark.operators.read_latest`.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, id_col, order_by)
+        run, _ = _run_of(batch.sparkSession, checkpoint)
+        write_batch(batch, path, batch_id, id_col, order_by, run)
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(available_now, every)).start()
@@ -121,19 +131,29 @@ def upsert_documents_stream(
     checkpoint: str,
     every: str = EVERY_BATCH,
     available_now: bool = False,
+    publish: Callable[[DataFrame], None] | None = None,
+    values_per_row: int = VALUES_PER_ROW,
 ) -> StreamingQuery:
-    """Map, reduce and store each batch's documents as ``key, value, batch_seq``.
+    """Map, reduce and store each batch's documents.
 
-    A document of a later batch replaces the one before it as a whole; read them
-    with ``read_latest(df, "key", ["batch_seq"])``.
+    A document of a later batch replaces the one before it as a whole, however
+    many parts either has; read them with
+    :func:`ldspark.operators.read_latest_documents`. ``publish`` gets the stored
+    documents of every batch, for example to index them; a batch that is replayed
+    is published again, under the same keys.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        # reducing reads its input twice; the source should deliver a batch once
-        with persisted(apply_models(batch, models)) as statements:
-            documents = flat_document_json(reduce_documents(statements))
-            numbered = documents.withColumn("batch_seq", F.lit(batch_id).cast("bigint"))
-            write_batch(numbered, path, batch_id, "key", ["batch_seq"])
+        session = batch.sparkSession
+        run, started = _run_of(session, checkpoint)
+        with scratch_scope(session):
+            nodes = reduce_documents(apply_models(batch, models), values_per_row=values_per_row)
+            documents = document_rows(nodes)
+            if publish is not None:
+                documents = materialize(documents, "batch-documents")
+            write_document_batch(documents, path, batch_id, run, started)
+            if publish is not None:
+                publish(documents)
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(available_now, every)).start()
