@@ -1,7 +1,7 @@
 """Fuzzy dedup of lines: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
 
-Lines are lower-cased and their white space collapsed. The 64-bit SimHash of a line's words is cut into five
-blocks; lines that agree in two of them are candidates (always so at three or fewer differing bits), and those are
+Lines are lower-cased and their white space collapsed. The 64-bit SimHash of a line's words is cut into four
+blocks; lines that agree in two of them are candidates (always so at two or fewer differing bits), and those are
 linked whose words are at an edit similarity of 0.8 or more. Everything is DataFrame code.
 """
 
@@ -17,10 +17,11 @@ from .components import components
 SIMILARITY = 0.8
 LEAST_WORDS = 5
 FAR_BITS = 22
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 16))
 EQUAL_BLOCKS = 2
-_LANES = 32
-_LOW = 0xFFFFFFFF
+COUNTED_TOGETHER = 65_535
+LOOKUP_BITS = 1 << 24
+_LANES = 16
 # One character for each word when words are compared; 1920 of them take two bytes.
 _ALPHABET = " ".join(map(chr, range(0x80, 0x800)))
 _SYMBOLS = 0x800 - 0x80
@@ -28,36 +29,47 @@ _SYMBOLS = 0x800 - 0x80
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``line_no`` (from 0) and normalised ``line`` of every line with a word."""
-    split = F.posexplode(F.split(text_of(text_col), "\n")).alias("line_no", "raw")
-    norm = F.trim(F.regexp_replace(F.lower("raw"), SPACE, " "))
-    return docs.select(F.col(id_col).alias("id"), split).select("id", "line_no", norm.alias("line")).where("line <> ''")
+    norm = F.regexp_replace(F.lower(text_of(text_col)), r"[\x20\x09\x0B-\x0D]+", " ")
+    split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(norm, "\n")).alias("line_no", "line"))
+    return split.where("line <> '' AND line <> ' '").select("id", "line_no", F.trim("line").alias("line"))
 
 
 def _digests() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
 
+def _bit(k: int) -> Column:
+    return F.lit((1 << k) - ((1 << 64) if k == 63 else 0)).cast("long")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``line_no``, ``h1``, ``h2`` (digest of the line), ``n_words``, ``fp``; one row per line with a word.
 
-    A bit of the SimHash is set when over half of the line's words have it set in their hash. Two counters share
-    a long, so 32 sums count all 64 bits; a line's words are summed in the task that reads them, before the shuffle.
+    A bit of the SimHash is set when over half of the line's words have it set in their hash. Four counters share
+    a long, so 16 sums count all 64 bits of a line of at most 65,535 words; longer lines, which only texts of
+    twice as many bytes can hold, are counted bit by bit. A line's words are summed in the task that reads them,
+    before the shuffle.
     """
-    words = _lines(docs, id_col, text_col).select(
-        "id", "line_no", *_digests(), F.explode(F.split("line", " ")).alias("word")
+
+    def counted(some: DataFrame, sums: list[Column], chosen: Column, bits: list[Column]) -> DataFrame:
+        hashes = F.transform(F.split("line", " "), lambda w: F.xxhash64(w))
+        lines = _lines(some, id_col, text_col).select("id", "line_no", *_digests(), hashes.alias("hashes")).where(chosen)
+        words = lines.select("id", "line_no", "h1", "h2", F.explode("hashes").alias("w"))
+        summed = words.groupBy("id", "line_no", "h1", "h2").agg(F.count(F.lit(1)).alias("n_words"), *sums)
+        fp = _bit(0) - _bit(0)
+        for k, bit in enumerate(bits):
+            fp = fp.bitwiseOR(F.when(bit * 2 > F.col("n_words"), _bit(k)).otherwise(F.lit(0).cast("long")))
+        return summed.select("id", "line_no", "h1", "h2", "n_words", fp.alias("fp"))
+
+    four = F.lit(sum(1 << 16 * i for i in range(4)))
+    lanes = [F.sum(F.shiftrightunsigned("w", k).bitwiseAND(four)).alias(f"s{k}") for k in range(_LANES)]
+    in_lanes = [F.shiftrightunsigned(f"s{k % _LANES}", k - k % _LANES).bitwiseAND(F.lit(0xFFFF)) for k in range(64)]
+    singles = [F.sum(F.shiftrightunsigned("w", k).bitwiseAND(F.lit(1))).alias(f"s{k}") for k in range(64)]
+    short = F.size("hashes") <= COUNTED_TOGETHER
+    large = docs.where(F.octet_length(text_of(text_col)) > 2 * COUNTED_TOGETHER)
+    return counted(docs, lanes, short, in_lanes).union(
+        counted(large, singles, ~short, [F.col(f"s{k}") for k in range(64)])
     )
-    hashed = words.select("id", "line_no", "h1", "h2", F.xxhash64("word").alias("w"))
-    pair = F.lit(1 | 1 << _LANES)
-    sums = [F.sum(F.shiftrightunsigned("w", k).bitwiseAND(pair)).alias(f"s{k}") for k in range(_LANES)]
-    summed = hashed.groupBy("id", "line_no", "h1", "h2").agg(F.count(F.lit(1)).alias("n_words"), *sums)
-    fp = F.lit(0).cast("long")
-    for k in range(_LANES):
-        low = F.col(f"s{k}").bitwiseAND(F.lit(_LOW)) * 2 > F.col("n_words")
-        high = F.shiftrightunsigned(f"s{k}", _LANES) * 2 > F.col("n_words")
-        fp = fp.bitwiseOR(F.when(low, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
-        top = (1 << (k + _LANES)) - ((1 << 64) if k + _LANES == 63 else 0)
-        fp = fp.bitwiseOR(F.when(high, F.lit(top).cast("long")).otherwise(F.lit(0).cast("long")))
-    return summed.select("id", "line_no", "h1", "h2", "n_words", fp.alias("fp"))
 
 
 def _block_keys() -> Column:
@@ -76,28 +88,36 @@ def _near(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= FAR_BITS
 
 
-def _verified(candidates: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Of the pairs ``a``, ``b`` of line digests those at the edit similarity, compared word by word.
+def _words_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``h1``, ``words`` of the lines listed by ``h1``: a symbol for each word, by its hash, so that lines are
+    compared in one native call.
 
-    Words stand as one of 1920 symbols by their hash, so that a line is compared in one native call."""
-    candidates = write_scratch(candidates.distinct(), "candidate-lines")
-    if candidates.isEmpty():
-        return candidates
-    nodes = candidates.select(F.col("a").alias("h1")).union(candidates.select(F.col("b").alias("h1"))).distinct()
+    The texts are read once more. A bit for each listed line, in a table of at most 16 million bits, is broadcast
+    and leaves out most other lines before the join that settles it.
+    """
+    slot = F.pmod("h1", F.lit(LOOKUP_BITS))
+    one = F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")
+    bits = (
+        nodes.select(slot.alias("slot"))
+        .groupBy(F.expr("slot div 64").alias("part"))
+        .agg(F.bit_or(one).alias("bits"))
+    )
     alphabet = F.split(F.lit(_ALPHABET), " ")
     symbols = F.array_join(
         F.transform(F.split("line", " "), lambda w: F.element_at(alphabet, (F.pmod(F.xxhash64(w), F.lit(_SYMBOLS)) + 1).cast("int"))), ""
     )
-    found = _lines(docs, id_col, text_col).select(F.xxhash64("line").alias("h1"), symbols.alias("words"))
-    lines = write_scratch(
-        found.join(nodes.hint("shuffle_hash"), "h1", "left_semi").dropDuplicates(["h1"]), "candidate-words"
-    )
-    first = lines.select(F.col("h1").alias("a"), F.col("words").alias("left"))
-    second = lines.select(F.col("h1").alias("b"), F.col("words").alias("right"))
+    hashed = _lines(docs, id_col, text_col).select(F.xxhash64("line").alias("h1"), "line").withColumn("slot", slot)
+    likely = hashed.join(F.broadcast(bits), F.expr("slot div 64") == F.col("part")).where(F.col("bits").bitwiseAND(one) != 0)
+    return likely.join(nodes, "h1", "left_semi").select("h1", symbols.alias("words")).dropDuplicates(["h1"])
+
+
+def _verified(candidates: DataFrame, words: DataFrame) -> DataFrame:
+    """Of the pairs ``a``, ``b`` of line digests those at the edit similarity, counted in words."""
+    first = words.select(F.col("h1").alias("a"), F.col("words").alias("left"))
+    second = words.select(F.col("h1").alias("b"), F.col("words").alias("right"))
     edits = f"CAST(FLOOR({1 - SIMILARITY:.6f}D * GREATEST(LENGTH(left), LENGTH(right)) + 1e-9D) AS INT)"
-    return (
-        candidates.join(first, "a").join(second, "b").where(F.expr(f"LEVENSHTEIN(left, right, {edits}) >= 0")).select("a", "b")
-    )
+    pairs = candidates.distinct().join(first, "a").join(second, "b")
+    return write_scratch(pairs.where(F.expr(f"LEVENSHTEIN(left, right, {edits}) >= 0")).select("a", "b"), "line-links")
 
 
 def line_links(distinct: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,23 +127,19 @@ def line_links(distinct: DataFrame, docs: DataFrame, id_col: str = "doc_id", tex
     that one, it is then compared with every line of the key that is in another group than its own. A key full of
     variants of one line so costs one comparison a line, and no pair of different groups is left out.
     """
-    keyed = distinct.where(F.col("n_words") >= LEAST_WORDS).select("h1", "fp", F.explode(_block_keys()).alias("key"))
+    long = distinct.where(F.col("n_words") >= LEAST_WORDS)
+    keyed = long.select("h1", F.explode(_block_keys()).alias("key"))
     leaders = (
-        keyed.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("leader"), F.min_by("fp", "h1").alias("leader_fp"))
-        .where("n > 1")
-        .drop("n")
+        keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("leader")).where("n > 1").drop("n")
     )
-    shared = write_scratch(keyed.join(leaders.hint("shuffle_hash"), "key"), "shared-keys")
-    stars = _verified(
-        shared.where((F.col("h1") != F.col("leader")) & _near("fp", "leader_fp")).select(
-            F.col("leader").alias("a"), F.col("h1").alias("b")
-        ),
-        docs,
-        id_col,
-        text_col,
+    shared = keyed.join(leaders.hint("shuffle_hash"), "key")
+    fps = long.select("h1", "fp")
+    shared = write_scratch(
+        shared.join(fps, "h1").join(fps.select(F.col("h1").alias("leader"), F.col("fp").alias("leader_fp")), "leader"), "shared-keys"
     )
-    stars = write_scratch(stars, "line-links")
+    words = write_scratch(_words_of(shared.select("h1").distinct(), docs, id_col, text_col), "line-words")
+    near = shared.where((F.col("h1") != F.col("leader")) & _near("fp", "leader_fp"))
+    stars = _verified(near.select(F.col("leader").alias("a"), F.col("h1").alias("b")), words)
     groups = components(stars)
     grouped = (
         shared.join(groups.select(F.col("node").alias("h1"), F.col("root").alias("own")), "h1", "left")
@@ -133,7 +149,7 @@ def line_links(distinct: DataFrame, docs: DataFrame, id_col: str = "doc_id", tex
     apart = grouped.where("own <> led").select("key", F.col("h1").alias("a"), F.col("fp").alias("a_fp"), F.col("own").alias("a_own"))
     members = grouped.where("h1 <> leader").select("key", F.col("h1").alias("b"), F.col("fp").alias("b_fp"), F.col("own").alias("b_own"))
     others = apart.join(members, (apart["key"] == members["key"]) & (F.col("a_own") != F.col("b_own")) & _near("a_fp", "b_fp"))
-    rest = _verified(others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), docs, id_col, text_col)
+    rest = _verified(others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), words)
     return stars.union(rest)
 
 

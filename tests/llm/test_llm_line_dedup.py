@@ -101,6 +101,12 @@ def test_fingerprints_equal_the_long_way(spark):
     }
 
 
+def test_few_lookup_bits_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(d, "LOOKUP_BITS", 64)
+    rows = variants(4, 6)
+    assert found(d.dedup_lines(cases.frame(spark, rows))) == sorted(map(str, expected(rows)))
+
+
 def test_texts_without_repeated_lines(spark):
     rows = [(1, "keep this one line here\nother words stand in it\n", "en", None, 3), (2, "x\nkeep this one line here\n\nx", None, None, 4), (3, None, None, None, 0), (4, "", None, None, 0)]
     docs = cases.clashing(spark, rows)
