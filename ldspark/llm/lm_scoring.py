@@ -15,6 +15,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import attention
@@ -26,11 +27,11 @@ INPUTS, OUTPUTS, OTHERS = 768, 192, 320
 END_ID = SPECIAL["<|endoftext|>"]
 IDS = END_ID + 1
 FREQUENT_SHARE = 2_000_000
-ROUNDS, TRAIN_SHARE, LEAST_CHARACTERS = 3, 64, 200
-RATE, BATCH_WINDOWS, SCORED_WINDOWS = 0.02, 48, 64
+ROUNDS, TRAIN_SHARE, LEAST_CHARACTERS = 2, 64, 100
+RATE, BATCH_WINDOWS, SCORED_WINDOWS = 0.02, 64, 64
 WAITING_IDS = 1 << 18
 KEPT_WORDS = 300_000
-COUNTED_WORDS = 200_000
+COUNTED_WORDS = 400_000
 _END = b"\n"
 _tables: dict[str, np.ndarray] = {}
 
@@ -48,6 +49,16 @@ def _space_first() -> np.ndarray:
     return _tables["space"]
 
 
+def encode_words(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the words, each with a space before it, and where each word's start. One call encodes them
+    together, since a word's ids do not depend on its neighbours."""
+    ids = np.array(encoding().encode_ordinary(" " + " ".join([w.decode() for w in words])), "<i4")
+    starts = np.flatnonzero(_space_first()[ids])
+    if len(starts) != len(words):
+        raise AssertionError("a word's ids do not start with a space")
+    return ids, starts
+
+
 class Words:
     """The words a task has met, each looked up once: its subword ids, and its log10 by counts if it is frequent.
 
@@ -65,9 +76,8 @@ class Words:
         self.logs, self.sizes = np.full(1 << 16, self.end_log), np.ones(1 << 16, np.int64)
 
     def _learn(self, new: list[bytes]) -> None:
-        """One call encodes all new words, since a word's ids do not depend on its neighbours."""
-        ids = np.array(encoding().encode_ordinary(" " + " ".join([w.decode() for w in new])), "<i4")
-        starts = np.flatnonzero(_space_first()[ids]) * 4
+        ids, starts = encode_words(new)
+        starts = starts * 4
         raw, ends = ids.tobytes(), np.append(starts[1:], len(ids) * 4)
         first = len(self.pieces)
         self.pieces += [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -225,14 +235,14 @@ def count_subwords(words: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(IDS, np.int64)
-        encode = encoding().encode_ordinary
         for batch in batches:
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                if word is None:
-                    totals[END_ID] += n
-                else:
-                    for i in encode(" " + word.decode()):
-                        totals[i] += n
+            held = batch.filter(pc.is_valid(batch.column("word")))
+            times = np.array(batch.column("n"))
+            totals[END_ID] += times.sum() - np.array(held.column("n")).sum()
+            if held.num_rows:
+                ids, starts = encode_words(held.column("word").to_pylist())
+                sizes = np.diff(np.append(starts, len(ids)))
+                np.add.at(totals, ids, np.repeat(np.array(held.column("n")), sizes))
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["i", "n"])
 
@@ -333,7 +343,9 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         words = Words(logs, math.log10((ends + 1) / smoothing))
         for batch in batches:
             n_tokens, n_known, base, score, rare, times = [], [], [], [], [], []
-            for chunk in _in_chunks(batch.column("text").to_pylist()):
+            # Equal texts of a batch are scored once.
+            texts = batch.column("text").dictionary_encode()
+            for chunk in _in_chunks(texts.dictionary.to_pylist()):
                 flat, starts = flattened(chunk)
                 entries = words.look_up(flat)
                 lengths = np.add.reduceat(words.sizes[entries], starts)
@@ -351,17 +363,16 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     rare.append(list(held))
                     times.append(list(held.values()))
                     begin = cut
+            made = [
+                pa.array([n + 1 for n in n_tokens], pa.int64()),
+                pa.array([n + (ends > 0) for n in n_known], pa.int64()),
+                pa.array(base, pa.float64()),
+                pa.array(score, pa.float64()),
+                pa.array(rare, pa.list_(pa.binary())),
+                pa.array(times, pa.list_(pa.int32())),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("held_out"),
-                    pa.array([n + 1 for n in n_tokens], pa.int64()),
-                    pa.array([n + (ends > 0) for n in n_known], pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(score, pa.float64()),
-                    pa.array(rare, pa.list_(pa.binary())),
-                    pa.array(times, pa.list_(pa.int32())),
-                ],
+                [batch.column("id"), batch.column("held_out"), *[column.take(texts.indices) for column in made]],
                 names=["id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
             )
 

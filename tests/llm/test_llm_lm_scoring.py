@@ -138,5 +138,5 @@ def test_words_are_encoded_together_as_alone(monkeypatch):
 def test_parts_grow_with_texts(spark):
     rows = [(i, "word " * n, None, None, 0) for i, n in enumerate((0, 1, 100, 10_000))]
     parts = cases.frame(spark, rows).select("doc_id", *lm.a_part(lm.text_of("text"), 1)).orderBy("doc_id").collect()
-    assert [len(p.text) for p in parts] == [0, 5, 200, 50_000 // lm.TRAIN_SHARE]
+    assert [len(p.text) for p in parts] == [0, 5, lm.LEAST_CHARACTERS, 50_000 // lm.TRAIN_SHARE]
     assert [(p.first, p.last) for p in parts[:2]] == [(True, True)] * 2
