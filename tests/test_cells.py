@@ -19,7 +19,7 @@ def test_round_trip_without_nulls(spark):
     cells = docs_to_cells(df, "id", "f", ["x", "y"])
     assert rows(cells) == [("1", "f", "x", "a"), ("1", "f", "y", "2"), ("2", "f", "y", "3")]
     assert rows(cells_to_docs(cells)) == sorted(
-        [("1", 0, {"f:x": "a", "f:y": "2"}), ("2", 0, {"f:y": "3"})], key=repr
+        [("1", 0, 1, {"f:x": "a", "f:y": "2"}), ("2", 0, 1, {"f:y": "3"})], key=repr
     )
     assert rows(cells_to_columns(cells, [("f", "x"), ("f", "y")])) == [("1", "a", "2"), ("2", None, "3")]
 
@@ -28,7 +28,7 @@ def test_the_newest_version_of_a_cell_counts(spark):
     cells = spark.createDataFrame(
         [("r", "f", "q", "old", 1), ("r", "f", "q", "new", 2), ("r", "g", "q", "other", 1)], CELL
     )
-    assert rows(cells_to_docs(cells, "version")) == [("r", 0, {"f:q": "new", "g:q": "other"})]
+    assert rows(cells_to_docs(cells, "version")) == [("r", 0, 1, {"f:q": "new", "g:q": "other"})]
     assert rows(cells_to_columns(cells, [("f", "q")], "version")) == [("r", "new")]
     assert rows(cells_to_docs(cells)) == [("r", 0, {"f:q": "old", "g:q": "other"})]
 
@@ -61,3 +61,12 @@ def test_lines_of_a_cell(spark):
     )
     parsed = cell_documents(df, "key", "v").select("key", F.to_json("doc")).filter("doc IS NOT NULL")
     assert rows(parsed) == [("a", '{"k":1}')]
+
+
+def test_one_qualifier_in_two_families(spark):
+    data = [("a", "f", "q", "1"), ("a", "g", "q", "2"), ("b", "h", "q", "3"), ("c", "g", "q", "4")]
+    cells = spark.createDataFrame(data, "row_key STRING, family STRING, qualifier STRING, value STRING")
+    both = cells_to_columns(cells, [("f", "q"), ("g", "q")])
+    assert both.columns == ["row_key", "f:q", "g:q"]
+    assert rows(both) == [("a", "1", "2"), ("c", None, "4")]
+    assert rows(cells_to_columns(cells, [("f", "q")])) == [("a", "1")]

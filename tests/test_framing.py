@@ -142,3 +142,33 @@ def test_frame_from_json():
     assert TWO.types() == {"C", "N", "R"}
     with pytest.raises(ValueError):
         Frame.from_json('{"n": {}}')
+
+
+def test_named_properties_only(spark):
+    frame = Frame.from_json('{"@type": "C", "n": {"@type": "N", "@explicit": true, "name": {}}}')
+    assert frame == Frame("C", {"n": Frame("N", keep=("name",))})
+    got = docs(frame_documents(to_nodes(statements(spark, DATA)), frame), frame)
+    assert got["c:1"]["n"] == {"uri": "n:1", "@type": "N", "name": "North"}
+    assert got["c:1"]["name"] == "one"
+
+
+def test_frames_that_cannot_be_honoured_are_errors(spark):
+    with pytest.raises(ValueError, match="not a list"):
+        Frame.from_json('{"@type": "A", "p": [{"@type": "B"}]}')
+    with pytest.raises(ValueError, match="one @type"):
+        Frame.from_json('{"@type": "A", "p": {"q": {}}}')
+    with pytest.raises(ValueError, match="cannot be named"):
+        frame_documents(to_nodes(statements(spark, DATA)), Frame("C", {"types": Frame("N")}))
+
+
+def test_limits_above_sparks_own_rank_in_salted_groups(spark):
+    data = [("p:1", RDF_TYPE, "P", "type")]
+    data += [("p:1", "c", f"c:{n:03}", "iri") for n in range(60)] + [(f"c:{n:03}", RDF_TYPE, "C", "type") for n in range(60)]
+    frame = Frame("P", {"c": Frame("C")})
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        framed = frame_documents(to_nodes(statements(spark, data)), frame, merge_limit=20, rows_per_task=10)
+        (row,) = framed.select(F.transform("c", lambda c: c["uri"]).alias("c")).collect()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert row["c"] == [f"c:{n:03}" for n in range(20)]

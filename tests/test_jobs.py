@@ -1,10 +1,12 @@
 import json
+import os
 
 import pytest
 
 from helpers import rows
 from ldspark import sources
 from ldspark.jobs import main
+from ldspark.session import scratch_root
 
 MODEL = {
     "base": "http://d.example/",
@@ -55,7 +57,7 @@ def test_map_reduce_and_context(spark, files):
         "@id": "http://d.example/c/x%20y", "@type": "http://v.example/City", "http://v.example/label": "x y",
     }
     main(
-        ["context", f"{files}/out", f"{files}/short", "--context", f"{files}/context.json", "--link", "http://v.example/city"],
+        ["context", f"{files}/out", f"{files}/short", "--context", f"{files}/context.json"],
         spark,
     )
     assert pairs(spark, f"{files}/short")["http://d.example/p/1"] == {
@@ -97,3 +99,46 @@ def test_json_lines_to_pairs(spark, files):
     (files / "bad.json").write_text('{"n": 1}\n')
     with pytest.raises(ValueError, match="without 'url'"):
         main(["convert", f"{files}/bad.json", f"{files}/never", "--kind", "json"], spark)
+
+
+JOBS = {
+    "map": ["--model", "{0}/model.json"],
+    "context": ["--context", "{0}/context.json"],
+    "frame": ["--model", "{0}/model.json", "--frames", "{0}/frames"],
+}
+
+
+@pytest.mark.parametrize("job", sorted(JOBS))
+def test_records_that_do_not_parse_fail_a_job_or_are_set_apart(spark, files, job):
+    with open(f"{files}/in.txt", "a", encoding="utf-8") as out:
+        out.write('9\t{"id": "9", \n')
+    args = [a.format(files) for a in JOBS[job]]
+    with pytest.raises(Exception, match="not JSON, key: 9|unusable records"):
+        main([job, f"{files}/in.txt", f"{files}/never", *args], spark)
+    main([job, f"{files}/in.txt", f"{files}/good", *args, "--rejects", f"{files}/rejects"], spark)
+    assert [r["key"] for r in spark.read.json(f"{files}/rejects").collect()] == ["9"]
+
+
+def test_load_writes_documents_and_rejects(spark, files):
+    (files / "load.txt").write_text('k\t{"id": 1, "big": "x", "n": 1.50}\nk\t{"n": 2}\nk\tbroken\n')
+    args = ["load", f"{files}/load.txt", "--key-field", "id", "--drop", "big", "--output", f"{files}/loaded"]
+    with pytest.raises(ValueError, match="unusable records"):
+        main(args, spark)
+    main([*args, "--rejects", f"{files}/rejects"], spark)
+    assert pairs(spark, f"{files}/loaded") == {"1": {"id": 1, "n": 1.5}}
+    assert sorted(r["value"] for r in spark.read.json(f"{files}/rejects").collect()) == ["broken", '{"n": 2}']
+
+
+def test_context_changes_names_only(spark, files):
+    text = '{"http://v.example/name":{"http://v.example/label":1.50,"l":["b","a","a"]},"ok":true,"@type":["http://v.example/City","x"]}'
+    (files / "docs.txt").write_text(f"k\t{text}\n")
+    main(["context", f"{files}/docs.txt", f"{files}/renamed", "--context", f"{files}/context.json"], spark)
+    (row,) = sources.read_kv_text(spark, f"{files}/renamed").collect()
+    assert row["value"] == '{"name":{"label":1.50,"l":["b","a","a"]},"ok":true,"@type":["City","x"]}'
+
+
+def test_compact_and_scratch_is_empty_after_a_job(spark, files):
+    root = scratch_root(spark).removeprefix("file://")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    main(["frame", f"{files}/in.txt", f"{files}/f", "--model", f"{files}/model.json", "--frames", f"{files}/frames"], spark)
+    assert set(os.listdir(root)) == before

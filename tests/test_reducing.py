@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows, statements
 from ldspark.operators import (
@@ -108,3 +109,24 @@ def test_single_valued_properties(spark):
 
 def test_distinct(spark):
     assert rows(distinct_statements(statements(spark, A + A))) == sorted(set(A), key=repr)
+
+
+def test_parts_depend_on_the_entity_alone(spark):
+    own = [("u:hot", "p", str(n), "literal") for n in range(25)]
+    others = [(f"u:{n}", "p", "x", "literal") for n in range(500)]
+    alone = to_nodes(statements(spark, own), values_per_row=10)
+    among = to_nodes(statements(spark, own + others), values_per_row=10).filter("uri = 'u:hot'")
+    assert rows(alone.select("part", "parts", "props")) == rows(among.select("part", "parts", "props"))
+    assert {r["parts"] for r in alone.collect()} == {3}
+
+
+def test_the_source_is_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        read.add(1)
+        return text
+
+    source = statements(spark, A + B).withColumn("o", F.udf(count)("o"))
+    reduce_documents(source).collect()
+    assert read.value == len(A + B)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from helpers import plan, rows
 from ldspark import sinks, sources
 from ldspark.functions import drop_json_fields
-from ldspark.operators import constant_key, keep_keys, key_by_field, swap_alias, values_only
+from ldspark.operators import checked_records, constant_key, keep_keys, key_by_field, parsed_records, swap_alias
 from ldspark.sources import connectors
 
 PAIRS = [
@@ -110,7 +110,6 @@ def test_key_list_is_pushed_to_the_scan(spark, tmp_path):
 
 def test_constant_keys_and_bare_values(spark):
     assert {r[0] for r in constant_key(pairs(spark), "one").select("key").collect()} == {"one"}
-    assert values_only(pairs(spark)).columns == ["value"]
 
 
 def test_alias_names_exactly_the_given_tables(spark):
@@ -126,14 +125,22 @@ def test_alias_names_exactly_the_given_tables(spark):
 
 
 def test_connector_options():
-    write = connectors.index_write_options("h", 9200, "i/t", batch_docs=500)
-    assert write["es.mapping.id"] == "uri"
-    assert write["es.batch.size.entries"] == "500" and write["es.batch.size.bytes"] == "512000"
-    read = connectors.index_read_options("h", "i/t", '{"query": {}}')
-    assert read["es.query"] == '{"query": {}}' and read["es.index.read.missing.as.empty"] == "true"
-    load = connectors.bulk_load_options("h", 9200, "i/t", **{"es.http.retries": "1"})
-    assert load["es.mapping.id"] == "cdr_id" and load["es.http.retries"] == "1"
-    topic = connectors.topic_read_options("b:9092", ["t1", "t2"], from_oldest=True)
+    assert connectors.index_options("h", 9200, "i/t") == {"es.nodes": "h", "es.port": "9200", "es.resource": "i/t"}
+    load = connectors.json_index_options("h", 9200, "i/t", "id", **{"es.http.retries": "1"})
+    assert load["es.mapping.id"] == "id" and load["es.input.json"] == "true" and load["es.http.retries"] == "1"
+    topic = connectors.topic_read_options("b:9092", ["t1", "t2"], from_oldest=True, maxOffsetsPerTrigger="10")
     assert topic["subscribe"] == "t1,t2" and topic["startingOffsets"] == "earliest"
+    assert topic["maxOffsetsPerTrigger"] == "10"
     assert connectors.topic_read_options("b", ["t"])["startingOffsets"] == "latest"
-    assert connectors.cell_options("z", "t", **{"hbase.table": "u"})["hbase.table"] == "u"
+    cells = connectors.cell_options("t", "f", ["a", "b"])
+    assert cells["hbase.columns.mapping"] == "row_key STRING :key, a STRING f:a, b STRING f:b"
+
+
+def test_records_that_are_no_json_are_told(spark):
+    data = [("a", '{"x": 1}'), ("b", '{"x": 1'), ("c", None)]
+    records = spark.createDataFrame(data, "key STRING, value STRING")
+    good, bad = parsed_records(records.filter("key <> 'c'"))
+    assert rows(good) == [data[0]] and rows(bad) == [data[1]]
+    assert rows(checked_records(good)) == [data[0]]
+    with pytest.raises(Exception, match="not JSON, key: [bc]"):
+        checked_records(records).collect()

@@ -1,10 +1,11 @@
 import json
+import os
 
 import pytest
 
 from helpers import rows
 from ldspark import Model, Node, streaming
-from ldspark.operators import apply_model, read_latest
+from ldspark.operators import apply_model, read_latest, read_latest_documents
 from ldspark.session import scratch_root
 
 SCHEMA = "id BIGINT, name STRING, at BIGINT"
@@ -48,6 +49,31 @@ def test_upsert_over_batches_keeps_the_latest(spark, tmp_path):
     assert rows(got) == sorted([(1, "a"), (2, "😀"), (3, None)], key=repr)
 
 
+def test_streams_with_their_own_checkpoints_keep_each_other(spark, tmp_path):
+    store = f"{tmp_path}/store"
+    for n, batch in enumerate(BATCHES[:1] + BATCHES[2:]):
+        (tmp_path / str(n)).mkdir()
+        path = folder(spark, tmp_path / str(n), [batch])
+        stream = streaming.read_json_stream(spark, path, SCHEMA)
+        streaming.upsert_stream(stream, store, f"{tmp_path}/c{n}", "id", ["at"], available_now=True).awaitTermination()
+    got = read_latest(spark.read.parquet(store), "id", ["at"]).select("id", "name")
+    assert rows(got) == sorted([(1, "a"), (2, "😀"), (3, None)], key=repr)
+
+
+def test_documents_are_published_and_scratch_is_removed(spark, tmp_path):
+    published = []
+    root = scratch_root(spark).removeprefix("file://")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    stream = streaming.read_json_stream(spark, folder(spark, tmp_path, BATCHES), SCHEMA, files_per_batch=1)
+    streaming.upsert_documents_stream(
+        stream, [MODEL], f"{tmp_path}/store", f"{tmp_path}/c", available_now=True,
+        publish=lambda documents: published.extend(r["key"] for r in documents.collect()),
+    ).awaitTermination()
+    stored = read_latest_documents(spark.read.parquet(f"{tmp_path}/store"))
+    assert {r["key"] for r in stored.collect()} == set(published) == {"u:r/1", "u:r/2", "u:r/3"}
+    assert set(os.listdir(root)) == before
+
+
 def test_files_become_messages(spark, tmp_path):
     path, out = folder(spark, tmp_path, BATCHES), f"{tmp_path}/messages"
     streaming.publish_folder(

@@ -1,7 +1,16 @@
 import pytest
 
 from helpers import rows
-from ldspark.operators import latest_by_id, read_latest, upsert_by_id, write_batch
+from ldspark.operators import (
+    compact,
+    latest_by_id,
+    read_latest,
+    read_latest_documents,
+    split_by_id,
+    upsert_by_id,
+    write_batch,
+    write_document_batch,
+)
 
 SCHEMA = "id STRING, at INT, v STRING"
 
@@ -11,10 +20,18 @@ def frame(spark, data):
 
 
 def test_the_greatest_row_wins_and_ties_go_by_value(spark):
-    data = [("a", 1, "x"), ("a", 2, "b"), ("a", 2, "c"), ("b", 1, "y"), (None, 9, "no id")]
+    data = [("a", 1, "x"), ("a", 2, "b"), ("a", 2, "c"), ("b", 1, "y")]
     assert rows(latest_by_id(frame(spark, data), "id", ["at"])) == [("a", 2, "c"), ("b", 1, "y")]
 
 
+def test_rows_without_an_id_are_returned_or_an_error(spark):
+    data = [("a", 1, "x"), (None, 9, "no id")]
+    named, unnamed = split_by_id(frame(spark, data), "id")
+    assert rows(named) == data[:1] and rows(unnamed) == data[1:]
+    with pytest.raises(Exception, match="without 'id'"):
+        latest_by_id(frame(spark, data), "id", ["at"]).collect()
+
+
 def test_without_an_order_two_rows_for_one_id_are_an_error(spark):
     assert rows(latest_by_id(frame(spark, [("a", 1, "x")]), "id")) == [("a", 1, "x")]
     with pytest.raises(Exception, match="several rows for id a"):
@@ -47,3 +64,30 @@ def test_columns_without_an_order_are_named(spark):
     df = spark.sql("SELECT 'a' AS id, map('k', 1) AS m")
     with pytest.raises(ValueError, match="JSON text"):
         latest_by_id(df, "id")
+
+
+def documents(spark, data):
+    return spark.createDataFrame(
+        [(e, p, n, f"{e}#{p}", v) for e, p, n, v in data], "entity STRING, part INT, parts INT, key STRING, value STRING"
+    )
+
+
+def test_documents_are_replaced_as_a_whole(spark, tmp_path):
+    path, fresh = f"{tmp_path}/store", f"{tmp_path}/fresh"
+    write_document_batch(documents(spark, [("a", 0, 2, "x"), ("a", 1, 2, "y"), ("b", 0, 1, "z")]), path, 0, "r1", "2020")
+    write_document_batch(documents(spark, [("a", 0, 1, "small")]), path, 0, "r2", "2021")
+    current = read_latest_documents(spark.read.parquet(path))
+    want = [("a#0", "small"), ("b#0", "z")]
+    assert rows(current.select("key", "value")) == want
+    compact(current, fresh)
+    assert rows(read_latest_documents(spark.read.parquet(fresh)).select("key", "value")) == want
+    write_document_batch(documents(spark, [("b", 0, 2, "p"), ("b", 1, 2, "q")]), fresh, 0, "r3", "2022")
+    later = read_latest_documents(spark.read.parquet(fresh)).select("key", "value")
+    assert rows(later) == [("a#0", "small"), ("b#0", "p"), ("b#1", "q")]
+
+
+def test_runs_that_number_their_batches_alike_keep_each_other(spark, tmp_path):
+    path = f"{tmp_path}/store"
+    write_batch(frame(spark, [("a", 1, "x")]), path, 0, "id", ["at"], "r1")
+    write_batch(frame(spark, [("b", 1, "y")]), path, 0, "id", ["at"], "r2")
+    assert rows(read_latest(spark.read.parquet(path), "id", ["at"])) == [("a", 1, "x"), ("b", 1, "y")]
