@@ -108,7 +108,8 @@ def _words_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     )
     hashed = _lines(docs, id_col, text_col).select(F.xxhash64("line").alias("h1"), "line").withColumn("slot", slot)
     likely = hashed.join(F.broadcast(bits), F.expr("slot div 64") == F.col("part")).where(F.col("bits").bitwiseAND(one) != 0)
-    return likely.join(nodes, "h1", "left_semi").select("h1", symbols.alias("words")).dropDuplicates(["h1"])
+    # An inner join: a semi join would be moved below the broadcast one, and shuffle all lines.
+    return likely.select("h1", symbols.alias("words")).join(nodes, "h1").dropDuplicates(["h1"])
 
 
 def _verified(candidates: DataFrame, words: DataFrame) -> DataFrame:
@@ -164,6 +165,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Null text counts as empty; an empty table gives no rows; other columns are not read. Rows that repeat an
     identifier, or have none, are one document: the same line at the same place is listed once. Null identifiers
     sort last. Equal lines meet before any are compared, so copies cost one row each.
+    Links name lines by 64 bits of their digest, groups of equal lines by all 128.
     """
     lines = write_scratch(fingerprints(docs, id_col, text_col), "lines")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "line_no")
@@ -174,22 +176,22 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "distinct-lines",
     )
     groups = components(line_links(distinct, docs, id_col, text_col))
-    # Lines without a link are their own group, told by the whole digest.
-    rooted = distinct.join(groups.select(F.col("node").alias("h1"), "root"), "h1", "left").select(
-        "h1", "h2", "first", "n", F.coalesce("root", "h1").alias("r1"), F.when(F.col("root").isNull(), F.col("h2")).alias("r2")
+    linked = distinct.join(groups.withColumnRenamed("node", "h1"), "h1")
+    least = linked.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("group_lines"))
+    equal_only = distinct.where("n > 1").join(groups.select(F.col("node").alias("h1")), "h1", "left_anti")
+    classes = linked.join(least, "root").select("h1", "h2", "keep", "group_lines").union(
+        equal_only.select("h1", "h2", F.col("first").alias("keep"), F.col("n").alias("group_lines"))
     )
-    least = rooted.groupBy("r1", "r2").agg(F.min("first").alias("keep"), F.sum("n").alias("group_lines"))
-    least = least.withColumnsRenamed({"r1": "g1", "r2": "g2"})
-    classes = rooted.join(least, (F.col("r1") == F.col("g1")) & F.col("r2").eqNullSafe(F.col("g2"))).select(
-        "h1", "h2", "keep", "group_lines"
-    )
-    keep_id, keep_line = F.col("keep.id"), F.col("keep.line_no")
-    return lines.join(classes, ["h1", "h2"]).select(
+    grouped = F.col("keep").isNotNull()
+    keep_id = F.when(grouped, F.col("keep.id")).otherwise(F.col("id"))
+    keep_line = F.when(grouped, F.col("keep.line_no")).otherwise(F.col("line_no"))
+    # Most lines are alone; only groups of two or more meet the lines.
+    return lines.join(classes, ["h1", "h2"], "left").select(
         "id",
         "line_no",
         keep_id.alias("keep_id"),
         keep_line.alias("keep_line_no"),
-        "group_lines",
+        F.coalesce("group_lines", F.lit(1).cast("long")).alias("group_lines"),
         (F.col("id").eqNullSafe(keep_id) & (F.col("line_no") == keep_line)).alias("kept"),
     )
 
