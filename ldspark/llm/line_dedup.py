@@ -1,7 +1,7 @@
 """Fuzzy dedup of lines: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
 
-Lines are lower-cased and their white space collapsed. The 64-bit SimHash of a line's words is cut into four
-blocks; lines that agree in two of them are candidates (always so at two or fewer differing bits), and those are
+Lines are lower-cased and their white space collapsed. The 64-bit SimHash of a line's distinct words, so that no
+separator outvotes the rest, is cut into four blocks; lines that agree in two of them are candidates (always so at two or fewer differing bits), and those are
 linked whose words are at an edit similarity of 0.8 or more. Everything is DataFrame code.
 """
 
@@ -45,8 +45,8 @@ def _bit(k: int) -> Column:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``line_no``, ``h1``, ``h2`` (digest of the line), ``n_words``, ``fp``; one row per line with a word.
 
-    A bit of the SimHash is set when over half of the line's words have it set in their hash. Four counters share
-    a long, so 16 sums count all 64 bits of a line of at most 65,535 words; longer lines, which only texts of
+    A bit of the SimHash is set when over half of the line's distinct words have it set in their hash. Four counters
+    share a long, so 16 sums count all 64 bits of a line of at most 65,535 words; longer lines, which only texts of
     twice as many bytes can hold, are counted bit by bit. A line's words are summed in the task that reads them,
     before the shuffle.
     """
@@ -54,12 +54,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def counted(some: DataFrame, sums: list[Column], chosen: Column, bits: list[Column]) -> DataFrame:
         hashes = F.transform(F.split("line", " "), lambda w: F.xxhash64(w))
         lines = _lines(some, id_col, text_col).select("id", "line_no", *_digests(), hashes.alias("hashes")).where(chosen)
-        words = lines.select("id", "line_no", "h1", "h2", F.explode("hashes").alias("w"))
-        summed = words.groupBy("id", "line_no", "h1", "h2").agg(F.count(F.lit(1)).alias("n_words"), *sums)
-        fp = _bit(0) - _bit(0)
+        told = ["id", "line_no", "h1", "h2", "n_words"]
+        words = lines.select(*told[:4], F.size("hashes").alias("n_words"), F.explode(F.array_distinct("hashes")).alias("w"))
+        summed = words.groupBy(*told).agg(F.count(F.lit(1)).alias("n"), *sums)
+        fp = F.lit(0).cast("long")
         for k, bit in enumerate(bits):
-            fp = fp.bitwiseOR(F.when(bit * 2 > F.col("n_words"), _bit(k)).otherwise(F.lit(0).cast("long")))
-        return summed.select("id", "line_no", "h1", "h2", "n_words", fp.alias("fp"))
+            fp = fp.bitwiseOR(F.when(bit * 2 > F.col("n"), _bit(k)).otherwise(F.lit(0).cast("long")))
+        return summed.select(*told, fp.alias("fp"))
 
     four = F.lit(sum(1 << 16 * i for i in range(4)))
     lanes = [F.sum(F.shiftrightunsigned("w", k).bitwiseAND(four)).alias(f"s{k}") for k in range(_LANES)]
@@ -84,8 +85,10 @@ def _block_keys() -> Column:
     return F.array(*keys)
 
 
-def _near(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= FAR_BITS
+def _near(a: str, b: str, a_words: str, b_words: str) -> Column:
+    """Fingerprints and lengths that a pair at the edit similarity can have."""
+    short, long = F.least(a_words, b_words), F.greatest(a_words, b_words)
+    return (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= FAR_BITS) & (long - short <= F.floor(long * (1 - SIMILARITY) + 1e-9))
 
 
 def _words_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -134,22 +137,22 @@ def line_links(distinct: DataFrame, docs: DataFrame, id_col: str = "doc_id", tex
         keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("leader")).where("n > 1").drop("n")
     )
     shared = keyed.join(leaders.hint("shuffle_hash"), "key")
-    fps = long.select("h1", "fp")
-    shared = write_scratch(
-        shared.join(fps, "h1").join(fps.select(F.col("h1").alias("leader"), F.col("fp").alias("leader_fp")), "leader"), "shared-keys"
-    )
+    fps = long.select("h1", "fp", "n_words")
+    of_leader = long.select(F.col("h1").alias("leader"), F.col("fp").alias("leader_fp"), F.col("n_words").alias("leader_words"))
+    shared = write_scratch(shared.join(fps, "h1").join(of_leader, "leader"), "shared-keys")
     words = write_scratch(_words_of(shared.select("h1").distinct(), docs, id_col, text_col), "line-words")
-    near = shared.where((F.col("h1") != F.col("leader")) & _near("fp", "leader_fp"))
+    near = shared.where((F.col("h1") != F.col("leader")) & _near("fp", "leader_fp", "n_words", "leader_words"))
     stars = _verified(near.select(F.col("leader").alias("a"), F.col("h1").alias("b")), words)
     groups = components(stars)
     grouped = (
         shared.join(groups.select(F.col("node").alias("h1"), F.col("root").alias("own")), "h1", "left")
         .join(groups.select(F.col("node").alias("leader"), F.col("root").alias("led")), "leader", "left")
-        .select("key", "h1", "fp", "leader", F.coalesce("own", "h1").alias("own"), F.coalesce("led", "leader").alias("led"))
+        .select("key", "h1", "fp", "n_words", "leader", F.coalesce("own", "h1").alias("own"), F.coalesce("led", "leader").alias("led"))
     )
-    apart = grouped.where("own <> led").select("key", F.col("h1").alias("a"), F.col("fp").alias("a_fp"), F.col("own").alias("a_own"))
-    members = grouped.where("h1 <> leader").select("key", F.col("h1").alias("b"), F.col("fp").alias("b_fp"), F.col("own").alias("b_own"))
-    others = apart.join(members, (apart["key"] == members["key"]) & (F.col("a_own") != F.col("b_own")) & _near("a_fp", "b_fp"))
+    apart = grouped.where("own <> led").select("key", F.col("h1").alias("a"), F.col("fp").alias("a_fp"), F.col("n_words").alias("a_words"), F.col("own").alias("a_own"))
+    members = grouped.where("h1 <> leader").select("key", F.col("h1").alias("b"), F.col("fp").alias("b_fp"), F.col("n_words").alias("b_words"), F.col("own").alias("b_own"))
+    near = _near("a_fp", "b_fp", "a_words", "b_words")
+    others = apart.join(members, (apart["key"] == members["key"]) & (F.col("a_own") != F.col("b_own")) & near)
     rest = _verified(others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), words)
     return stars.union(rest)
 
