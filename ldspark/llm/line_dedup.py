@@ -7,7 +7,9 @@ linked whose words are at an edit similarity of 0.8 or more. Everything is DataF
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,7 +21,7 @@ LEAST_WORDS = 5
 FAR_BITS = 22
 BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 16))
 EQUAL_BLOCKS = 2
-COUNTED_TOGETHER = 65_535
+COUNTED_TOGETHER = 16_383
 LOOKUP_BITS = 1 << 24
 _LANES = 16
 # One character for each word when words are compared; 1920 of them take two bytes.
@@ -29,7 +31,10 @@ _SYMBOLS = 0x800 - 0x80
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``line_no`` (from 0) and normalised ``line`` of every line with a word."""
-    norm = F.regexp_replace(F.lower(text_of(text_col)), r"[\x20\x09\x0B-\x0D]+", " ")
+    lower = F.lower(text_of(text_col))
+    # Few texts have white space to collapse, and looking for it is many times cheaper than replacing it.
+    uneven = reduce(or_, [lower.contains(mark) for mark in ("  ", "\t", "\x0b", "\x0c", "\r")])
+    norm = F.when(uneven, F.regexp_replace(lower, r"[\x20\x09\x0B-\x0D]+", " ")).otherwise(lower)
     split = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(norm, "\n")).alias("line_no", "line"))
     return split.where("line <> '' AND line <> ' '").select("id", "line_no", F.trim("line").alias("line"))
 
@@ -38,38 +43,43 @@ def _digests() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
 
-def _bit(k: int) -> Column:
-    return F.lit((1 << k) - ((1 << 64) if k == 63 else 0)).cast("long")
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``line_no``, ``h1``, ``h2`` (digest of the line), ``n_words``, ``fp``; one row per line with a word.
 
     A bit of the SimHash is set when over half of the line's distinct words have it set in their hash. Four counters
-    share a long, so 16 sums count all 64 bits of a line of at most 65,535 words; longer lines, which only texts of
+    share a long, so 16 sums count all 64 bits of a line of at most 16,383 words; longer lines, which only texts of
     twice as many bytes can hold, are counted bit by bit. A line's words are summed in the task that reads them,
     before the shuffle.
     """
 
-    def counted(some: DataFrame, sums: list[Column], chosen: Column, bits: list[Column]) -> DataFrame:
+    def counted(some: DataFrame, sums: list[Column], chosen: Column, fp: Column) -> DataFrame:
         hashes = F.transform(F.split("line", " "), lambda w: F.xxhash64(w))
         lines = _lines(some, id_col, text_col).select("id", "line_no", *_digests(), hashes.alias("hashes")).where(chosen)
         told = ["id", "line_no", "h1", "h2", "n_words"]
         words = lines.select(*told[:4], F.size("hashes").alias("n_words"), F.explode(F.array_distinct("hashes")).alias("w"))
-        summed = words.groupBy(*told).agg(F.count(F.lit(1)).alias("n"), *sums)
-        fp = F.lit(0).cast("long")
-        for k, bit in enumerate(bits):
-            fp = fp.bitwiseOR(F.when(bit * 2 > F.col("n"), _bit(k)).otherwise(F.lit(0).cast("long")))
-        return summed.select(*told, fp.alias("fp"))
-
-    four = F.lit(sum(1 << 16 * i for i in range(4)))
-    lanes = [F.sum(F.shiftrightunsigned("w", k).bitwiseAND(four)).alias(f"s{k}") for k in range(_LANES)]
-    in_lanes = [F.shiftrightunsigned(f"s{k % _LANES}", k - k % _LANES).bitwiseAND(F.lit(0xFFFF)) for k in range(64)]
+        return words.groupBy(*told).agg(F.count(F.lit(1)).alias("n"), *sums).select(*told, fp.alias("fp"))
+
+    each_lane = sum(1 << 16 * i for i in range(4))
+    tops = F.lit(each_lane << 14)
+    lanes = [F.sum(F.shiftrightunsigned("w", k).bitwiseAND(F.lit(each_lane))).alias(f"s{k}") for k in range(_LANES)]
+    # A bit set above each counter stays after the subtraction if the counter was over half.
+    half = (F.floor(F.col("n") / 2) + 1) * F.lit(each_lane)
+
+    def over_half(k: int) -> Column:
+        kept = (F.col(f"s{k}").bitwiseOR(tops) - half).bitwiseAND(tops)
+        return F.shiftleft(F.shiftrightunsigned(kept, 14), k)
+
     singles = [F.sum(F.shiftrightunsigned("w", k).bitwiseAND(F.lit(1))).alias(f"s{k}") for k in range(64)]
+    zero = F.lit(0).cast("long")
+    one_by_one = [F.when(F.col(f"s{k}") * 2 > F.col("n"), F.lit(_signed(1 << k)).cast("long")).otherwise(zero) for k in range(64)]
     short = F.size("hashes") <= COUNTED_TOGETHER
     large = docs.where(F.octet_length(text_of(text_col)) > 2 * COUNTED_TOGETHER)
-    return counted(docs, lanes, short, in_lanes).union(
-        counted(large, singles, ~short, [F.col(f"s{k}") for k in range(64)])
+    return counted(docs, lanes, short, reduce(Column.bitwiseOR, [over_half(k) for k in range(_LANES)])).union(
+        counted(large, singles, ~short, reduce(Column.bitwiseOR, one_by_one))
     )
 
 
@@ -185,6 +195,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = linked.join(least, "root").select("h1", "h2", "keep", "group_lines").union(
         equal_only.select("h1", "h2", F.col("first").alias("keep"), F.col("n").alias("group_lines"))
     )
+    classes = write_scratch(classes, "line-classes")
     grouped = F.col("keep").isNotNull()
     keep_id = F.when(grouped, F.col("keep.id")).otherwise(F.col("id"))
     keep_line = F.when(grouped, F.col("keep.line_no")).otherwise(F.col("line_no"))
