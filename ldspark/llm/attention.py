@@ -15,7 +15,7 @@ import numpy as np
 
 CONTEXT, STRIDE = 8, 24
 WINDOW = CONTEXT + STRIDE
-WIDTH, HIDDEN = 16, 32
+WIDTH = 16
 _SCALE = np.float32(1 / np.sqrt(WIDTH))
 _MASK = np.where(np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None], 0, -1e9).astype(np.float32)
 STEADY = 50
@@ -28,9 +28,6 @@ def shapes(inputs: int, outputs: int, others: int) -> dict[str, tuple[int, ...]]
         "query": (WIDTH, WIDTH),
         "key_value": (WIDTH, 2 * WIDTH),
         "mixed": (WIDTH, WIDTH),
-        "up": (WIDTH, HIDDEN),
-        "up_bias": (HIDDEN,),
-        "down": (HIDDEN, WIDTH),
         "out": (WIDTH, outputs),
         "out_bias": (outputs,),
         "other": (WIDTH, others),
@@ -43,7 +40,7 @@ def fresh(inputs: int, out_bias: np.ndarray, other_bias: np.ndarray, seed: int =
     rng = np.random.default_rng(seed)
     made = {}
     for name, shape in shapes(inputs, len(out_bias), len(other_bias)).items():
-        scale = 0.0 if name == "up_bias" else 0.05 if name in ("out", "other") else 0.3 if name in ("embed", "place") else shape[0] ** -0.5
+        scale = 0.05 if name in ("out", "other") else 0.3 if name in ("embed", "place") else shape[0] ** -0.5
         made[name] = (rng.standard_normal(shape) * scale).astype(np.float32)
     made["out_bias"], made["other_bias"] = out_bias.astype(np.float32), other_bias.astype(np.float32)
     return made
@@ -76,11 +73,7 @@ def _states(w: dict[str, np.ndarray], x: np.ndarray):
     a, sums = _exponentials(lambda: np.matmul(q, keys) + _MASK)
     sums = sums[..., None]
     o = (np.matmul(a, v) / sums).reshape(-1, WIDTH)
-    r = late + o @ w["mixed"]
-    f = r @ w["up"]
-    f += w["up_bias"]
-    np.maximum(f, 0, out=f)
-    return r + f @ w["down"], (h, k, v, late, q, a, sums, o, r, f)
+    return late + o @ w["mixed"], (h, k, v, late, q, a, sums, o)
 
 
 def _exponentials(logits: Callable[[], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +117,7 @@ def gradients(
 ) -> tuple[dict[str, np.ndarray], float]:
     """Gradients of the mean loss over valid positions, and that loss."""
     n = len(x)
-    z, (h, k, v, late, q, a, sums, o, r, f) = _states(w, x)
+    z, (h, k, v, late, q, a, sums, o) = _states(w, x)
     a = a / sums
     targets, live = y.ravel(), valid.ravel()
     count = max(1, int(live.sum()))
@@ -144,20 +137,15 @@ def gradients(
     others = np.flatnonzero(live & (targets == 0))
     more, second_loss = output("other", others, second.ravel()[others])
     dz[others] += more
-    g["down"] = f.T @ dz
-    df = dz @ w["down"].T
-    df[f <= 0] = 0
-    g["up"], g["up_bias"] = r.T @ df, df.sum(axis=0)
-    dr = dz + df @ w["up"].T
-    g["mixed"] = o.T @ dr
-    do = (dr @ w["mixed"].T).reshape(n, STRIDE, WIDTH)
+    g["mixed"] = o.T @ dz
+    do = (dz @ w["mixed"].T).reshape(n, STRIDE, WIDTH)
     da = np.matmul(do, v.transpose(0, 2, 1))
     dv = np.matmul(a.transpose(0, 2, 1), do)
     ds = a * (da - (da * a).sum(axis=2, keepdims=True))
     dq = np.matmul(ds, k).reshape(-1, WIDTH)
     dk = np.matmul(ds.transpose(0, 2, 1), q)
     g["query"] = late.T @ dq * _SCALE
-    dlate = dr + dq @ (w["query"].T * _SCALE)
+    dlate = dz + dq @ (w["query"].T * _SCALE)
     dkv = np.concatenate([dk, dv], axis=2).reshape(-1, 2 * WIDTH)
     g["key_value"] = h.reshape(-1, WIDTH).T @ dkv
     dh = (dkv @ w["key_value"].T).reshape(n, WINDOW, WIDTH)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from .common import write_scratch
 
@@ -21,8 +21,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written to the scratch folder, and their number and digest, observed while they are written."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("digest")
+    stored = write_scratch(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest), "edges")
+    return stored, (seen.get["n"], seen.get["digest"])
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b", rounds: int = 60) -> DataFrame:
@@ -33,13 +37,10 @@ def components(edges: DataFrame, left: str = "a", right: str = "b", rounds: int
     neighbourhood of a node, however large, is only ever aggregated to its minimum and joined, never gathered.
     """
     a, b = F.col(left), F.col(right)
-    edges = write_scratch(
-        edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges"
-    )
-    state = _state(edges)
+    edges, state = _written(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
     for _ in range(rounds if state[0] else 0):
-        edges = write_scratch(_small_star(_large_star(edges).distinct()), "edges")
-        before, state = state, _state(edges)
+        before = state
+        edges, state = _written(_small_star(_large_star(edges).distinct()))
         if state == before:
             break
     else:

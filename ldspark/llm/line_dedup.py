@@ -56,9 +56,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     before the shuffle.
     """
 
-    def counted(some: DataFrame, sums: list[Column], chosen: Column, fp: Column) -> DataFrame:
+    def counted(some: DataFrame, least_bytes: int, sums: list[Column], chosen: Column, fp: Column) -> DataFrame:
         hashes = F.transform(F.split("line", " "), lambda w: F.xxhash64(w))
-        lines = _lines(some, id_col, text_col).select("id", "line_no", *_digests(), hashes.alias("hashes")).where(chosen)
+        found = _lines(some, id_col, text_col).where(F.octet_length("line") > least_bytes)
+        lines = found.select("id", "line_no", *_digests(), hashes.alias("hashes")).where(chosen)
         told = ["id", "line_no", "h1", "h2", "n_words"]
         words = lines.select(*told[:4], F.size("hashes").alias("n_words"), F.explode(F.array_distinct("hashes")).alias("w"))
         return words.groupBy(*told).agg(F.count(F.lit(1)).alias("n"), *sums).select(*told, fp.alias("fp"))
@@ -77,9 +78,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     zero = F.lit(0).cast("long")
     one_by_one = [F.when(F.col(f"s{k}") * 2 > F.col("n"), F.lit(_signed(1 << k)).cast("long")).otherwise(zero) for k in range(64)]
     short = F.size("hashes") <= COUNTED_TOGETHER
-    large = docs.where(F.octet_length(text_of(text_col)) > 2 * COUNTED_TOGETHER)
-    return counted(docs, lanes, short, reduce(Column.bitwiseOR, [over_half(k) for k in range(_LANES)])).union(
-        counted(large, singles, ~short, reduce(Column.bitwiseOR, one_by_one))
+    bytes_of_long = 2 * COUNTED_TOGETHER
+    large = docs.where(F.octet_length(text_of(text_col)) > bytes_of_long)
+    return counted(docs, 0, lanes, short, reduce(Column.bitwiseOR, [over_half(k) for k in range(_LANES)])).union(
+        counted(large, bytes_of_long, singles, ~short, reduce(Column.bitwiseOR, one_by_one))
     )
 
 

@@ -23,11 +23,11 @@ from .common import map_text, ready, text_of, write_scratch
 from .packing import SPECIAL, encoding
 
 FOLDS, HELD_OUT = 7, 2
-INPUTS, OUTPUTS, OTHERS = 768, 128, 320
+INPUTS, OUTPUTS, OTHERS = 768, 192, 256
 END_ID = SPECIAL["<|endoftext|>"]
 IDS = END_ID + 1
 FREQUENT_SHARE = 2_000_000
-ROUNDS, TRAIN_SHARE, LEAST_CHARACTERS = 2, 64, 100
+ROUNDS, TRAIN_SHARE, LEAST_CHARACTERS = 2, 64, 80
 RATE, BATCH_WINDOWS, SCORED_WINDOWS = 0.02, 48, 32
 WAITING_IDS = 1 << 18
 KEPT_WORDS = 300_000

@@ -62,8 +62,7 @@ def one_by_one(ids, classes, w):
         kv = h @ w["key_value"]
         q = h[-1] @ w["query"] / math.sqrt(attention.WIDTH)
         a = np.exp(kv[:, : attention.WIDTH] @ q)
-        r = h[-1] + (a / a.sum()) @ kv[:, attention.WIDTH :] @ w["mixed"]
-        z = r + np.maximum(r @ w["up"] + w["up_bias"], 0) @ w["down"]
+        z = h[-1] + (a / a.sum()) @ kv[:, attention.WIDTH :] @ w["mixed"]
         logits = z @ w["out"] + w["out_bias"]
         c = classes.outputs[ids[t]]
         total += logits[c] - np.log(np.exp(logits).sum())
