@@ -30,7 +30,7 @@ def test_the_newest_version_of_a_cell_counts(spark):
     )
     assert rows(cells_to_docs(cells, "version")) == [("r", 0, 1, {"f:q": "new", "g:q": "other"})]
     assert rows(cells_to_columns(cells, [("f", "q")], "version")) == [("r", "new")]
-    assert rows(cells_to_docs(cells)) == [("r", 0, {"f:q": "old", "g:q": "other"})]
+    assert rows(cells_to_docs(cells)) == [("r", 0, 1, {"f:q": "old", "g:q": "other"})]
 
 
 def test_scan_range_and_families(spark):
