@@ -4,9 +4,8 @@ import os
 import pytest
 
 from helpers import rows
-from ldspark import sources
+from ldspark import operators as ops, session, sources
 from ldspark.jobs import main
-from ldspark.session import scratch_root
 
 MODEL = {
     "base": "http://d.example/",
@@ -137,8 +136,17 @@ def test_context_changes_names_only(spark, files):
     assert row["value"] == '{"name":{"label":1.50,"l":["b","a","a"]},"ok":true,"@type":["City","x"]}'
 
 
-def test_compact_and_scratch_is_empty_after_a_job(spark, files):
-    root = scratch_root(spark).removeprefix("file://")
-    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+def test_scratch_is_empty_after_a_job(spark, files, monkeypatch):
+    (files / "scratch").mkdir()
+    monkeypatch.setattr(session, "scratch_root", lambda _: f"file://{files}/scratch")
     main(["frame", f"{files}/in.txt", f"{files}/f", "--model", f"{files}/model.json", "--frames", f"{files}/frames"], spark)
-    assert set(os.listdir(root)) == before
+    assert pairs(spark, f"{files}/f/none") == {} and os.listdir(files / "scratch") == []
+
+
+def test_compact_keeps_the_current_documents(spark, tmp_path):
+    store = f"{tmp_path}/store"
+    for run, value in (("2020", "old"), ("2021", "new")):
+        rows_ = spark.createDataFrame([("a", 0, 1, "a", value)], "entity STRING, part INT, parts INT, key STRING, value STRING")
+        ops.write_document_batch(rows_, store, 0, run, run)
+    main(["compact", f"{tmp_path}/fresh", "--input", store], spark)
+    assert [r["value"] for r in ops.read_latest_documents(spark.read.parquet(f"{tmp_path}/fresh")).collect()] == ["new"]

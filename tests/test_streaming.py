@@ -4,7 +4,7 @@ import os
 import pytest
 
 from helpers import rows
-from ldspark import Model, Node, streaming
+from ldspark import Model, Node, session, streaming
 from ldspark.operators import apply_model, read_latest, read_latest_documents
 from ldspark.session import scratch_root
 
@@ -60,10 +60,10 @@ def test_streams_with_their_own_checkpoints_keep_each_other(spark, tmp_path):
     assert rows(got) == sorted([(1, "a"), (2, "😀"), (3, None)], key=repr)
 
 
-def test_documents_are_published_and_scratch_is_removed(spark, tmp_path):
+def test_documents_are_published_and_scratch_is_removed(spark, tmp_path, monkeypatch):
     published = []
-    root = scratch_root(spark).removeprefix("file://")
-    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    (tmp_path / "scratch").mkdir()
+    monkeypatch.setattr(session, "scratch_root", lambda _: f"file://{tmp_path}/scratch")
     stream = streaming.read_json_stream(spark, folder(spark, tmp_path, BATCHES), SCHEMA, files_per_batch=1)
     streaming.upsert_documents_stream(
         stream, [MODEL], f"{tmp_path}/store", f"{tmp_path}/c", available_now=True,
@@ -71,7 +71,7 @@ def test_documents_are_published_and_scratch_is_removed(spark, tmp_path):
     ).awaitTermination()
     stored = read_latest_documents(spark.read.parquet(f"{tmp_path}/store"))
     assert {r["key"] for r in stored.collect()} == set(published) == {"u:r/1", "u:r/2", "u:r/3"}
-    assert set(os.listdir(root)) == before
+    assert os.listdir(tmp_path / "scratch") == []
 
 
 def test_files_become_messages(spark, tmp_path):
