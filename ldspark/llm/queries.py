@@ -168,6 +168,36 @@ def mixture_sql(percent: int, epochs: int, seed: int) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op2_quality_rules": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ), w AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS times
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d)
+        ), r AS (
+            SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+            FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM w WHERE times > 1) GROUP BY doc_id
+        ), m AS (
+            SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   len(list_distinct(words)) AS n_distinct_words,
+                   len(list_filter(words, lambda x: right(x, 1) IN ('.', ',', ';', ':', '!', '?'))) AS n_stops,
+                   len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_lettered
+            FROM d LEFT JOIN r USING (doc_id)
+        ), f AS (
+            SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+                   + 4 * (100 * n_symbols > 10 * n_words)::BIGINT + 8 * (100 * n_dup_lines > 40 * n_lines)::BIGINT
+                   + 16 * (n_words > 0 AND (100 * word_chars < 300 * n_words OR 100 * word_chars > 1000 * n_words))::BIGINT
+                   + 32 * (n_words > 0 AND 100 * n_stops < 2 * n_words)::BIGINT
+                   + 64 * (n_words > 0 AND 100 * n_distinct_words < 5 * n_words)::BIGINT
+                   + 128 * (n_words > 0 AND 100 * n_lettered < 70 * n_words)::BIGINT AS failed FROM m
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed,
+               failed = 0 AS kept, failed FROM f
+    """,
     "op5_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
