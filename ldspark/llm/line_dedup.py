@@ -1,8 +1,9 @@
-"""Fuzzy dedup of lines: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
+"""Fuzzy dedup of lines: SimHash blocks and word pairs, edit similarity, one occurrence per connected group.
 
-Lines are lower-cased and their white space collapsed. The 64-bit SimHash of a line's distinct words, so that no
-separator outvotes the rest, is cut into four blocks; lines that agree in two of them are candidates (always so at two or fewer differing bits), and those are
-linked whose words are at an edit similarity of 0.8 or more. Everything is DataFrame code.
+Lines are lower-cased and their white space collapsed. Candidates are lines that agree in two of four blocks of the
+64-bit SimHash of their distinct words, and lines that share one of their first word pairs in a common order; the
+latter are all lines within the edits allowed. Candidates are linked whose words are at an edit similarity of 0.8 or
+more. Everything is DataFrame code.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ from .components import components
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5
-FAR_BITS = 22
 BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 16))
 EQUAL_BLOCKS = 2
 COUNTED_TOGETHER = 16_383
 LOOKUP_BITS = 1 << 24
 _LANES = 16
+_PARITIES = [f"p{i}" for i in range(4)]
 # One character for each word when words are compared; 1920 of them take two bytes.
 _ALPHABET = " ".join(map(chr, range(0x80, 0x800)))
 _SYMBOLS = 0x800 - 0x80
@@ -48,13 +49,20 @@ def _signed(bits: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``line_no``, ``h1``, ``h2`` (digest of the line), ``n_words``, ``fp``; one row per line with a word.
+    """``id``, ``line_no``, ``h1``, ``h2`` (digest of the line), ``n_words``, ``fp`` and the parities ``p0`` to ``p3``;
+    one row per line with a word.
 
     A bit of the SimHash is set when over half of the line's distinct words have it set in their hash. Four counters
     share a long, so 16 sums count all 64 bits of a line of at most 16,383 words; longer lines, which only texts of
     twice as many bytes can hold, are counted bit by bit. A line's words are summed in the task that reads them,
     before the shuffle.
+
+    Each distinct word flips one of the 256 parity bits.
     """
+    parities = [
+        F.bit_xor(F.expr(f"IF(((w >> 6) & 3) = {i}, shiftleft(1L, CAST(w & 63 AS INT)), 0L)")).alias(name)
+        for i, name in enumerate(_PARITIES)
+    ]
 
     def counted(some: DataFrame, least_bytes: int, sums: list[Column], chosen: Column, fp: Column) -> DataFrame:
         hashes = F.transform(F.split("line", " "), lambda w: F.xxhash64(w))
@@ -62,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         lines = found.select("id", "line_no", *_digests(), hashes.alias("hashes")).where(chosen)
         told = ["id", "line_no", "h1", "h2", "n_words"]
         words = lines.select(*told[:4], F.size("hashes").alias("n_words"), F.explode(F.array_distinct("hashes")).alias("w"))
-        return words.groupBy(*told).agg(F.count(F.lit(1)).alias("n"), *sums).select(*told, fp.alias("fp"))
+        return words.groupBy(*told).agg(F.count(F.lit(1)).alias("n"), *sums, *parities).select(*told, fp.alias("fp"), *_PARITIES)
 
     each_lane = sum(1 << 16 * i for i in range(4))
     tops = F.lit(each_lane << 14)
@@ -97,10 +105,34 @@ def _block_keys() -> Column:
     return F.array(*keys)
 
 
-def _near(a: str, b: str, a_words: str, b_words: str) -> Column:
-    """Fingerprints and lengths that a pair at the edit similarity can have."""
-    short, long = F.least(a_words, b_words), F.greatest(a_words, b_words)
-    return (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= FAR_BITS) & (long - short <= F.floor(long * (1 - SIMILARITY) + 1e-9))
+def _pair_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``h1``, ``key`` for the first word pairs of every line of enough words; repeated lines repeat their rows.
+
+    All lines order their distinct pairs of neighbouring words alike: longer pairs first, which are rarer, then by
+    hash. Of two lines within the edits allowed, each of n words loses at most 2n/5 pairs to the other: an edit of
+    a word takes two pairs and one between words takes one. So the first pair that they share is among the first
+    floor(2n/5) + 1 of both, and there is one, since n - 1 is more.
+    """
+    lines = _lines(docs, id_col, text_col).select(F.xxhash64("line").alias("h1"), F.split("line", " ").alias("w"))
+    lines = lines.where(F.size("w") >= LEAST_WORDS)
+
+    def ranked(word: Column, i: Column) -> Column:
+        other = F.get("w", i + 1)
+        bytes_of_both = F.octet_length(word) + F.coalesce(F.octet_length(other), F.lit(0))
+        rank = F.shiftleft((F.lit(127) - F.least(F.coalesce(bytes_of_both, F.lit(0)), F.lit(127))).cast("long"), 56)
+        return rank.bitwiseOR(F.xxhash64(word, other).bitwiseAND(F.lit((1 << 56) - 1)))
+
+    pairs = lines.select("h1", F.size("w").alias("n"), F.transform(F.slice("w", F.lit(1), F.size("w") - 1), ranked).alias("pairs"))
+    first = F.slice(F.sort_array(F.array_distinct("pairs")), F.lit(1), F.floor(F.col("n") * 2 / 5).cast("int") + 1)
+    return pairs.select("h1", F.explode(first).alias("key"))
+
+
+def _near(a: str, b: str) -> Column:
+    """Lengths and parities that a pair at the edit similarity can have: an edit changes at most two parity bits."""
+    short, long = F.least(f"{a}_words", f"{b}_words"), F.greatest(f"{a}_words", f"{b}_words")
+    edits = F.floor(long * (1 - SIMILARITY) + 1e-9)
+    changed = sum((F.bit_count(F.col(f"{a}_{p}").bitwiseXOR(F.col(f"{b}_{p}"))) for p in _PARITIES), F.lit(0))
+    return (long - short <= edits) & (changed <= 2 * edits)
 
 
 def _words_of(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -144,27 +176,33 @@ def line_links(distinct: DataFrame, docs: DataFrame, id_col: str = "doc_id", tex
     variants of one line so costs one comparison a line, and no pair of different groups is left out.
     """
     long = distinct.where(F.col("n_words") >= LEAST_WORDS)
-    keyed = long.select("h1", F.explode(_block_keys()).alias("key"))
+    blocks = long.select("h1", F.explode(_block_keys()).alias("key"))
+    # Dealt by key once for both uses.
+    keyed = blocks.union(_pair_keys(docs, id_col, text_col)).repartition("key")
     leaders = (
-        keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("leader")).where("n > 1").drop("n")
+        keyed.groupBy("key").agg(F.min("h1").alias("leader"), F.max("h1").alias("last")).where("leader <> last").drop("last")
     )
-    shared = keyed.join(leaders.hint("shuffle_hash"), "key")
-    fps = long.select("h1", "fp", "n_words")
-    of_leader = long.select(F.col("h1").alias("leader"), F.col("fp").alias("leader_fp"), F.col("n_words").alias("leader_words"))
-    shared = write_scratch(shared.join(fps, "h1").join(of_leader, "leader"), "shared-keys")
+    shared = write_scratch(keyed.join(leaders.hint("shuffle_hash"), "key").distinct(), "shared-keys")
     words = write_scratch(_words_of(shared.select("h1").distinct(), docs, id_col, text_col), "line-words")
-    near = shared.where((F.col("h1") != F.col("leader")) & _near("fp", "leader_fp", "n_words", "leader_words"))
-    stars = _verified(near.select(F.col("leader").alias("a"), F.col("h1").alias("b")), words)
+
+    def told(side: str) -> DataFrame:
+        """What ``_near`` asks of a line, named for a side of the pair."""
+        return long.select(
+            F.col("h1").alias(side), F.col("n_words").alias(f"{side}_words"), *[F.col(p).alias(f"{side}_{p}") for p in _PARITIES]
+        )
+
+    pairs = shared.where("h1 <> leader").select(F.col("leader").alias("a"), F.col("h1").alias("b")).distinct()
+    near = pairs.join(told("a"), "a").join(told("b"), "b").where(_near("a", "b"))
+    stars = _verified(near.select("a", "b"), words)
     groups = components(stars)
     grouped = (
         shared.join(groups.select(F.col("node").alias("h1"), F.col("root").alias("own")), "h1", "left")
         .join(groups.select(F.col("node").alias("leader"), F.col("root").alias("led")), "leader", "left")
-        .select("key", "h1", "fp", "n_words", "leader", F.coalesce("own", "h1").alias("own"), F.coalesce("led", "leader").alias("led"))
+        .select("key", "h1", "leader", F.coalesce("own", "h1").alias("own"), F.coalesce("led", "leader").alias("led"))
     )
-    apart = grouped.where("own <> led").select("key", F.col("h1").alias("a"), F.col("fp").alias("a_fp"), F.col("n_words").alias("a_words"), F.col("own").alias("a_own"))
-    members = grouped.where("h1 <> leader").select("key", F.col("h1").alias("b"), F.col("fp").alias("b_fp"), F.col("n_words").alias("b_words"), F.col("own").alias("b_own"))
-    near = _near("a_fp", "b_fp", "a_words", "b_words")
-    others = apart.join(members, (apart["key"] == members["key"]) & (F.col("a_own") != F.col("b_own")) & near)
+    apart = grouped.where("own <> led").select("key", F.col("h1").alias("a"), F.col("own").alias("a_own")).join(told("a"), "a")
+    members = grouped.where("h1 <> leader").select(F.col("key").alias("b_key"), F.col("h1").alias("b"), F.col("own").alias("b_own")).join(told("b"), "b")
+    others = apart.join(members, (F.col("key") == F.col("b_key")) & (F.col("a_own") != F.col("b_own")) & _near("a", "b"))
     rest = _verified(others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), words)
     return stars.union(rest)
 
@@ -186,7 +224,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "line_no")
     distinct = write_scratch(
         lines.groupBy("h1", "h2").agg(
-            F.min("fp").alias("fp"), F.min("n_words").alias("n_words"), F.min(place).alias("first"), F.count(F.lit(1)).alias("n")
+            F.min("fp").alias("fp"), F.min("n_words").alias("n_words"), *[F.min(p).alias(p) for p in _PARITIES], F.min(place).alias("first"), F.count(F.lit(1)).alias("n")
         ),
         "distinct-lines",
     )
