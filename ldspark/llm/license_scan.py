@@ -1,8 +1,8 @@
 """Licences in texts, by a positional index of rare licence words.
 
-Each template's words are posted with their positions. For a file, its licence words of the highest inverse
-document frequency are looked up; a posting votes for the place where its template would start, and places with
-the votes of enough rare words are verified word by word and by the template's key phrases.
+The rarest words of each template are posted with their positions. All of them that a file has are looked up; a
+posting votes for the place where its template would start, and places with the votes of enough words are verified
+word by word and by the template's key phrases.
 """
 
 from __future__ import annotations
@@ -76,7 +76,6 @@ TEMPLATES = (
     Template(("cc-by-nc-4.0",), "Licensed under CC BY-NC 4.0", ("cc by nc 4 0",)),
 )
 POSTED = 5
-LOOKED_UP = 12
 COVERAGE = 0.8
 SLACK = 3
 PHRASE_SCORE = 0.5
@@ -111,11 +110,10 @@ class Index:
         for i, word in enumerate(words):
             if word in postings:
                 places[word].append(i)
-        rare = sorted(places, key=lambda w: (-self.idf[w], w))[:LOOKED_UP]
         votes: dict[tuple[int, int], set[bytes]] = defaultdict(set)
-        for word in rare:
+        for word, held in places.items():
             for t, q in postings[word]:
-                for i in places[word]:
+                for i in held:
                     votes[t, i - q].add(word)
         found: dict[int, tuple[float, int]] = {}
         for t, start in sorted(votes):

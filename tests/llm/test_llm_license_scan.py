@@ -64,3 +64,14 @@ def test_frequencies_count_all_documents(spark):
 
 def test_empty_table(spark):
     assert s.scan_licenses(cases.frame(spark, [])).count() == 0
+
+
+def test_every_notice_of_a_long_text_is_found():
+    stray = "any copies the following conditions either free or redistribution permitted express distributed "
+    text = stray * 40 + (" " + stray * 5).join(t.text for t in s.TEMPLATES) + " " + stray * 40
+    vocabulary = s.Index(s.TEMPLATES).vocabulary
+    for frequencies in ({}, {w: len(w) for w in vocabulary}, {w: 20 - len(w) for w in vocabulary}):
+        index = s.Index(s.TEMPLATES, frequencies, 1000)
+        found = index.matches(s.words_of(text))
+        assert sorted(found) == list(range(len(s.TEMPLATES)))
+        assert all(covered == 1.0 for covered, _ in found.values())
