@@ -1,8 +1,7 @@
 """Scores of texts by two models learned from the corpus: words counted, and causal self-attention on subwords.
 
 Both learn from the training rows. Word counts cover all of them; the attention model starts from the counts of
-all subwords, and every training text gives it the same share of its words, so what it learns from grows with the
-corpus. Partitions train apart from the same weights, and the weights are averaged.
+all subwords and learns from every window of every training text once, each in one of the rounds. Partitions train apart from the same weights, and the weights are averaged.
 """
 
 from __future__ import annotations
@@ -175,17 +174,29 @@ def score_texts(ids: np.ndarray, lengths: np.ndarray, classes: Classes, weights:
     return np.add.reduceat(each, np.cumsum(lengths) - lengths) / np.log(10)
 
 
-def learn(texts: list[np.ndarray], classes: Classes, adam: attention.Adam, rng: np.random.Generator) -> int:
-    """One pass over the windows of the texts in a seeded order; how many positions it learned from."""
-    x, targets, _, live = _batches(np.concatenate(texts), np.array([len(t) for t in texts], np.int64), classes)
-    order = rng.permutation(len(x))
-    for i in range(0, len(x), BATCH_WINDOWS):
+def of_round(lengths: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Numbers of the windows that a round learns from. A text's windows are dealt over the rounds in turn, from a
+    place told by the text's length, so every window is in just one round, however rows are ordered."""
+    per_text = -(-lengths // attention.STRIDE)
+    nth = np.arange(per_text.sum()) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    return np.flatnonzero((nth + np.repeat(lengths, per_text)) % rounds == turn)
+
+
+def learn(
+    texts: list[np.ndarray], classes: Classes, adam: attention.Adam, rng: np.random.Generator, turn: int = 0, rounds: int = 1
+) -> int:
+    """One pass over the round's windows of the texts in a seeded order; how many positions it learned from."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    x, targets, _, live = _batches(np.concatenate(texts), lengths, classes)
+    chosen = of_round(lengths, turn, rounds)
+    order = rng.permutation(chosen)
+    for i in range(0, len(order), BATCH_WINDOWS):
         part = order[i : i + BATCH_WINDOWS]
         gradient, _ = attention.gradients(
             adam.weights, x[part], classes.outputs[targets[part]], classes.others[targets[part]], live[part]
         )
         adam.step(gradient)
-    return int(live.sum())
+    return int(live[chosen].sum())
 
 
 def _in_chunks(batch_texts: list[str], size: int = 1 << 20) -> Iterator[list[list[bytes]]]:
@@ -255,7 +266,8 @@ def count_subwords(words: DataFrame) -> np.ndarray:
 
 def a_part(text: Column, turn: int) -> list[Column]:
     """The run of characters that a text gives in a round, and whether it has the text's start and end. It is a
-    fixed share of the text at a place told by its length, and never less than a few words of what there is."""
+    fixed share of the text at a place told by its length, and never less than a few words of what there is.
+    Training reads whole texts and does not use it; a test still holds it."""
     length = F.length(text)
     n = F.greatest(F.floor(length / TRAIN_SHARE), F.lit(LEAST_CHARACTERS))
     at = F.pmod(F.xxhash64(length, F.lit(turn)), F.greatest(length - n + 1, F.lit(1)))
@@ -264,7 +276,7 @@ def a_part(text: Column, turn: int) -> list[Column]:
 
 
 def train_round(training: DataFrame, classes: Classes, weights: dict[str, np.ndarray], turn: int, text_col: str = "text") -> dict[str, np.ndarray]:
-    """One round: every partition trains on a run of each text's words, and the weights are averaged by how much
+    """One round: every partition trains on the round's windows of its texts, and the weights are averaged by how much
     each has seen. Only the average, a list as long as the weights, reaches the driver."""
     start = attention.flatten(weights)
     sizes = INPUTS + 1, OUTPUTS, OTHERS
@@ -273,26 +285,22 @@ def train_round(training: DataFrame, classes: Classes, weights: dict[str, np.nda
         adam = attention.Adam(attention.unflatten(start.copy(), *sizes), RATE)
         rng, words, seen, waiting, n_waiting = np.random.default_rng(turn), Words(), 0, [], 0
         for batch in batches:
-            # Words that the cut may have shortened are left out, and the end is only where the text has it.
-            whole = list(zip(*[batch.column(c).to_pylist() for c in ("text", "first", "last")]))
-            parts = [words_of(t)[0 if first else 1 : None if last else -1] for t, first, last in whole]
-            for ids, (_, _, last) in zip(subwords(parts, words), whole):
-                if last or len(ids) > 1:
-                    waiting.append(ids if last else ids[:-1])
+            for chunk in _in_chunks(batch.column("text").to_pylist()):
+                for ids in subwords(chunk, words):
+                    waiting.append(ids)
                     n_waiting += len(ids)
-                if n_waiting > WAITING_IDS:
-                    seen += learn(waiting, classes, adam, rng)
-                    waiting, n_waiting = [], 0
+                    if n_waiting > WAITING_IDS:
+                        seen += learn(waiting, classes, adam, rng, turn, ROUNDS)
+                        waiting, n_waiting = [], 0
         if waiting:
-            seen += learn(waiting, classes, adam, rng)
+            seen += learn(waiting, classes, adam, rng, turn, ROUNDS)
         if seen:
             flat = attention.flatten(adam.weights).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([float(seen)]), pa.array([flat], pa.list_(pa.float64()))], names=["seen", "w"]
             )
 
-    columns = dict(zip(("text", "first", "last"), a_part(text_of(text_col), turn)))
-    trained = map_text(training, columns, run, "seen double, w array<double>")
+    trained = map_text(training, {"text": text_of(text_col)}, run, "seen double, w array<double>")
     mean = (
         trained.select("seen", F.posexplode("w").alias("i", "w"))
         .groupBy("i")

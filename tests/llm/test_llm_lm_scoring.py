@@ -139,3 +139,24 @@ def test_parts_grow_with_texts(spark):
     parts = cases.frame(spark, rows).select("doc_id", *lm.a_part(lm.text_of("text"), 1)).orderBy("doc_id").collect()
     assert [len(p.text) for p in parts] == [0, 5, lm.LEAST_CHARACTERS, 50_000 // lm.TRAIN_SHARE]
     assert [(p.first, p.last) for p in parts[:2]] == [(True, True)] * 2
+
+
+def test_every_word_of_a_training_text_is_learned_from(spark):
+    codec = lm.encoding()
+    raw = [codec.decode_single_token_bytes(i) for i in range(300, 6_000)]
+    words = list(dict.fromkeys(w[1:].decode() for w in raw if w[:1] == b" " and w[1:].isalpha() and w[1:].isascii() and w[1:].islower()))[:600]
+    text = " ".join(words)
+    ids = lm.subwords([lm.words_of(text)], lm.Words())[0]
+    assert len(ids) == 601
+    classes = lm.Classes.from_counts(np.bincount(ids, minlength=lm.IDS))
+    start = weights = classes.fresh_weights()
+    for turn in range(lm.ROUNDS):
+        weights = lm.train_round(cases.frame(spark, [(0, text, None, None, 0)]), classes, weights, turn)
+    moved = (weights["embed"] != start["embed"]).any(axis=1)
+    assert moved[classes.inputs[ids[:-1]]].all()
+
+
+def test_rounds_tile_the_windows():
+    lengths = np.array([1, 24, 25, 24, 1000, 7, 49])
+    held = np.concatenate([lm.of_round(lengths, turn, 3) for turn in range(3)])
+    assert sorted(held) == list(range(len(attention.windows(lengths)[0])))
