@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, license_scan, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
+from . import content_sort, conversation_repair, license_scan, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +91,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_repair.audit_conversations(damaged, gone=F.col("gone"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,6 +109,7 @@ QUERIES = {
         op8_packing,
         op9_lm_scoring,
         op10_mixing,
+        op11_conversation_repair,
     )
 }
 
@@ -167,6 +173,73 @@ def mixture_sql(percent: int, epochs: int, seed: int) -> str:
     return ", ".join(parts)
 
 
+# The damage, the faults, and the cheapest edits by one row of the recursion per conversation, place and state: 0 before
+# the first message, 1 after s, 2 after u, 3 after a.
+CONVERSATION_SQL = r"""
+    WITH RECURSIVE hashed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               xor(list_reduce(flatten(list_transform(
+                   string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                   lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+                   lambda a, b: CASE WHEN xor(a, b) % 2 = 1 THEN xor(xor(a, b) // 2, 3988292384) ELSE xor(a, b) // 2 END,
+                   4294967295::BIGINT), 4294967295) % 20 AS kind
+        FROM conversations
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+        FROM hashed WHERE kind <> 0
+    ), known AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen FROM damaged
+    ), told AS (
+        SELECT *, left(role, 1) AS initial, trim(text, E' \t\n\x0b\x0c\r') AS bare,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen) AS place FROM known
+    ), rows AS (
+        SELECT conv_id, turn, role, text, initial, place,
+               CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+               lag(initial) OVER (PARTITION BY conv_id ORDER BY place) AS before
+        FROM told
+    ), counted AS (
+        SELECT conv_id, count(*) AS n,
+               coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows GROUP BY conv_id
+    ), inserts(state, after, letters, cost, lines) AS (
+        VALUES (0, 0, '', 0, ''), (0, 2, 'I', 3, E'\nuser:'), (0, 3, 'II', 6, E'\nuser:\nassistant:'),
+               (1, 1, '', 0, ''), (1, 2, 'I', 3, E'\nuser:'), (1, 3, 'II', 6, E'\nuser:\nassistant:'),
+               (2, 2, '', 0, ''), (2, 3, 'I', 3, E'\nassistant:'), (2, 2, 'II', 6, E'\nassistant:\nuser:'),
+               (3, 3, '', 0, ''), (3, 2, 'I', 3, E'\nuser:'), (3, 3, 'II', 6, E'\nuser:\nassistant:')
+    ), edits(state, after, letter, cost, initial, role) AS (
+        VALUES (0, 0, 'D', 4, NULL, NULL), (1, 1, 'D', 4, NULL, NULL), (2, 2, 'D', 4, NULL, NULL), (3, 3, 'D', 4, NULL, NULL),
+               (0, 2, 'R', 3, NULL, 'user'), (1, 2, 'R', 3, NULL, 'user'), (2, 3, 'R', 3, NULL, 'assistant'), (3, 2, 'R', 3, NULL, 'user'),
+               (0, 1, 'K', 0, 's', NULL), (0, 2, 'K', 0, 'u', NULL), (1, 2, 'K', 0, 'u', NULL), (2, 3, 'K', 0, 'a', NULL), (3, 2, 'K', 0, 'u', NULL)
+    ), best AS (
+        SELECT conv_id, 0::BIGINT AS place, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'lines': ''} AS way FROM counted
+        UNION ALL
+        SELECT r.conv_id, r.place, e.after, min({
+                   'cost': b.way.cost + i.cost + e.cost + CASE WHEN r.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END,
+                   'audit': b.way.audit || i.letters || e.letter,
+                   'lines': b.way.lines || i.lines || CASE WHEN e.letter = 'D' THEN '' ELSE chr(10) || coalesce(e.role, r.role) || ':' || r.text END})
+        FROM best b JOIN rows r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.place = b.place + 1
+             JOIN inserts i ON i.state = b.state
+             JOIN edits e ON e.state = i.after AND (e.initial IS NULL OR e.initial = r.initial) AND (e.letter = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+        GROUP BY ALL
+    ), ended AS (
+        SELECT b.conv_id, min({'cost': b.way.cost + i.cost, 'audit': b.way.audit || i.letters, 'lines': b.way.lines || i.lines}) AS way
+        FROM best b JOIN counted c ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND c.n = b.place
+             JOIN inserts i ON i.state = b.state AND i.after IN (0, 3)
+        GROUP BY b.conv_id
+    )
+    SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+           coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.way.cost, 0)::BIGINT AS cost,
+           coalesce(e.way.audit, '') AS audit, sha256(coalesce(substr(e.way.lines, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a
+         LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": r"""
         WITH d AS (
@@ -207,4 +280,5 @@ ORACLE: dict[str, str] = {
         FROM n WINDOW w AS (PARTITION BY norm)
     """,
     "op10_mixing": mixture_sql(MIX_PERCENT, MIX_EPOCHS, MIX_SEED),
+    "op11_conversation_repair": CONVERSATION_SQL,
 }
