@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, conversation_repair, license_scan, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_cache
+from . import content_sort, conversation_repair, license_scan, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_alignment, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +96,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audit_conversations(damaged, gone=F.col("gone"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_corpus(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -110,6 +114,7 @@ QUERIES = {
         op9_lm_scoring,
         op10_mixing,
         op11_conversation_repair,
+        op12_token_alignment,
     )
 }
 
