@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import content_sort, conversation_repair, license_scan, line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash_dedup, token_alignment, token_cache
+from . import content_sort, conversation_repair, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, token_alignment, token_cache
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +100,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_corpus(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.classify(documents(spark, sf_dir), labels).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,6 +120,7 @@ QUERIES = {
         op10_mixing,
         op11_conversation_repair,
         op12_token_alignment,
+        op13_quality_classifier,
     )
 }
 
