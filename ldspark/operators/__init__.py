@@ -35,7 +35,19 @@ from ldspark.operators.framing import (
     store_by_type,
     type_members,
 )
+from ldspark.operators.increments import (
+    add_load,
+    create_collection,
+    create_framed,
+    expire_collection,
+    open_collection,
+    open_framed,
+    refresh_framed,
+    replace_load,
+    withdraw_load,
+)
 from ldspark.operators.mapping import apply_model, apply_models, model_documents, ntriples
+from ldspark.operators.recursive import expand_frames, recursive_document_json
 from ldspark.operators.reducing import (
     distinct_statements,
     node_values,
@@ -45,6 +57,13 @@ from ldspark.operators.reducing import (
     union_all,
 )
 from ldspark.operators.skew import salted_join, split_groups
+from ldspark.operators.store import (
+    create_store,
+    delete_from_store,
+    expire_store,
+    open_store,
+    upsert_store,
+)
 from ldspark.operators.upsert import (
     compact,
     latest_by_id,
@@ -55,9 +74,12 @@ from ldspark.operators.upsert import (
     write_batch,
     write_document_batch,
 )
+from ldspark.operators.versions import Conflict, open_alias, restore_alias, set_alias
 from ldspark.operators.views import swap_alias
 
 __all__ = [
+    "Conflict",
+    "add_load",
     "apply_context",
     "apply_frames",
     "apply_model",
@@ -70,11 +92,18 @@ __all__ = [
     "compact",
     "constant_key",
     "context_documents",
+    "create_collection",
+    "create_framed",
+    "create_store",
+    "delete_from_store",
     "distinct_statements",
     "docs_to_cells",
     "document_rows",
     "document_statements",
     "drop_keys",
+    "expand_frames",
+    "expire_collection",
+    "expire_store",
     "flat_document_json",
     "frame_documents",
     "frame_types",
@@ -87,16 +116,25 @@ __all__ = [
     "node_statements",
     "node_values",
     "ntriples",
+    "open_alias",
+    "open_collection",
+    "open_framed",
+    "open_store",
     "pair_models",
     "parse_contexts",
     "parsed_records",
     "partition_on_types",
     "read_latest",
     "read_latest_documents",
+    "recursive_document_json",
     "reduce_documents",
     "reduce_statements",
+    "refresh_framed",
+    "replace_load",
+    "restore_alias",
     "salted_join",
     "scan_cells",
+    "set_alias",
     "split_by_id",
     "split_groups",
     "store_by_type",
@@ -107,6 +145,8 @@ __all__ = [
     "union_all",
     "unknown_types",
     "upsert_by_id",
+    "upsert_store",
+    "withdraw_load",
     "write_batch",
     "write_document_batch",
 ]

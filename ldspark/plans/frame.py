@@ -44,8 +44,61 @@ class Frame:
     def from_json(cls, text: str) -> "Frame":
         return cls.from_dict(json.loads(text))
 
+    def to_dict(self) -> dict[str, Any]:
+        """The JSON form :meth:`from_dict` reads."""
+        spec: dict[str, Any] = {"@type": self.type}
+        if self.keep is not None:
+            spec |= {"@explicit": True, **{p: {} for p in self.keep}}
+        return spec | {p: sub.to_dict() for p, sub in self.edges.items()}
+
     def types(self) -> set[str]:
         out = {self.type}
         for sub in self.edges.values():
             out |= sub.types()
         return out
+
+
+@dataclass(frozen=True)
+class FrameRule:
+    """A type and, per framed property, the name of the rule its documents follow."""
+
+    type: str
+    edges: Mapping[str, str] = field(default_factory=dict)
+    keep: tuple[str, ...] | None = None
+
+
+@dataclass(frozen=True)
+class FrameRules:
+    """Frames that name each other, or themselves, so that the data and not the plan ends the nesting."""
+
+    root: str
+    rules: Mapping[str, FrameRule]
+
+    def __post_init__(self) -> None:
+        named = {self.root, *[target for rule in self.rules.values() for target in rule.edges.values()]}
+        unknown = sorted(named - set(self.rules))
+        if unknown:
+            raise ValueError(f"no frame is named {unknown}")
+
+    def props(self) -> list[str]:
+        return sorted({prop for rule in self.rules.values() for prop in rule.edges})
+
+    @classmethod
+    def from_json(cls, text: str) -> "FrameRules":
+        """``{"root": name, "frames": {name: frame}}``, where a property is framed by the name of a frame.
+
+        ``{}`` names a property that ``"@explicit": true`` keeps.
+        """
+        spec = json.loads(text)
+        rules = {}
+        for name, frame in spec["frames"].items():
+            if not isinstance(frame.get("@type"), str):
+                raise ValueError(f"frame {name!r} needs one @type")
+            named = {k: v for k, v in frame.items() if not k.startswith("@")}
+            wrong = sorted(k for k, v in named.items() if not isinstance(v, str) and v != {})
+            if wrong:
+                raise ValueError(f"frame {name!r}: properties take the name of a frame: {wrong}")
+            edges = {k: v for k, v in named.items() if v != {}}
+            keep = tuple(k for k in named if k not in edges) if frame.get("@explicit") else None
+            rules[name] = FrameRule(frame["@type"], edges, keep)
+        return cls(spec["root"], rules)
