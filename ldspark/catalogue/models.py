@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ldspark.operators import apply_model, reduce_statements, store_by_type, to_nodes
-from ldspark.plans import Field, Frame, Iri, JsonPath, Model, Node, Template
+from ldspark.plans import Field, Frame, FrameRule, FrameRules, Iri, JsonPath, Model, Node, Template
 from ldspark.session import materialize
 
 BASE = "http://data.example.org/"
@@ -195,6 +195,15 @@ PART_WORD_ENTITIES = Model(
     ],
 )
 
+PART_TREE = Model(
+    base=BASE,
+    root="part",
+    nodes=[
+        Node("part", "Part", "part/{p_partkey}", {"name": "p_name"}, {"above": "above"}),
+        Node("above", "Part", "part/{above}"),
+    ],
+)
+
 EVENT = Model(
     base=BASE,
     root="event",
@@ -230,6 +239,7 @@ SUPPLIER_FRAME = Frame("Supplier", {"nation": Frame("Nation")})
 DEEP_FRAME = Frame("Customer", {"nation": Frame("Nation", {"region": Frame("Region")})})
 ORDERS_FRAME = Frame("Customer", {"orders": Frame("Order")})
 STATUS_FRAME = Frame("Status", {"orders": Frame("Order")})
+PART_RULES = FrameRules("part", {"part": FrameRule("Part", {"above": "part"})})
 BACK_FRAME = Frame("Order", {"customer": Frame("Customer", keep=("name",))})
 
 
@@ -271,3 +281,11 @@ def back_link_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         apply_model(customers(spark, sf_dir), CUSTOMER, context=CONTEXT),
     )
     return store_by_type(to_nodes(statements), BACK_FRAME.types())
+
+
+def part_tree_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Parts that name the one above them: four to one, and the first three in a ring."""
+    n = F.col("p_partkey")
+    above = F.when(n < 3, n + 1).when(n == 3, 1).otherwise(F.floor(n / 4))
+    statements = reduce_statements(apply_model(table(spark, sf_dir, "part").withColumn("above", above), PART_TREE))
+    return store_by_type(to_nodes(statements), {"Part"})

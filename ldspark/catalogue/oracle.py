@@ -375,3 +375,45 @@ ORACLE["stream_upsert_shrink"] = (
     f"SELECT {EU} AS entity, CAST(1 AS INTEGER) AS parts, '{{\"uri\":\"' || {EU} || "
     f"'\",\"@type\":\"User\",\"event\":\"{BASE}event/' || min(event_id) || '\"}}' AS value FROM events GROUP BY user_id"
 )
+
+customer_names = "SELECT c_custkey AS id, c_name AS v FROM customer"
+ORACLE["store_upsert"] = (
+    "WITH u AS (SELECT o_custkey AS id, 'order ' || CAST(o_orderkey AS VARCHAR) AS v, o_orderdate AS at, o_orderkey AS n, "
+    "row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) "
+    "SELECT id, v FROM u WHERE r = 1 UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT id FROM u)"
+)
+ORACLE["store_delete"] = (
+    f"SELECT 'left' AS state, * FROM ({customer_names}) WHERE id NOT IN (SELECT o_custkey FROM orders) "
+    f"UNION ALL SELECT 'found', * FROM ({customer_names}) WHERE id IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)"
+)
+customer_party = "SELECT c_name AS name, c_nationkey AS nationkey FROM customer"
+ORACLE["alias_versions"] = (
+    f"SELECT 'before' AS reader, * FROM ({customer_party}) UNION ALL SELECT 'back', * FROM ({customer_party}) "
+    f"UNION ALL SELECT 'after', * FROM ({customer_party}) UNION ALL SELECT 'after', s_name, s_nationkey FROM supplier"
+)
+renamed = "(SELECT n_nationkey, n_regionkey, CASE WHEN n_regionkey = 1 THEN lower(n_name) ELSE n_name END AS n_name FROM nation)"
+loads_left = [customer_sql, statements(renamed, NATION), statements("region", REGION)]
+ORACLE["incremental_reduce"] = joined(short(" UNION ALL ".join(loads_left)))
+every_load = [customer_sql, statements("supplier", SUPPLIER), statements("nation", NATION), statements("region", REGION)]
+ORACLE["incremental_counts"] = "SELECT s, p, o, kind, count(*) AS n FROM (" + " UNION ALL ".join(
+    f"SELECT DISTINCT * FROM ({short(sql)})" for sql in every_load
+) + ") GROUP BY ALL"
+ORACLE["incremental_frames"] = (
+    f"SELECT {C} AS uri, c_name AS name, n_name AS nation_name, r_name AS region_name "
+    f"FROM customer JOIN {renamed} ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+)
+part_ways = (
+    "WITH RECURSIVE e AS (SELECT p_partkey AS k, p_name, CASE WHEN p_partkey < 3 THEN p_partkey + 1 WHEN p_partkey = 3 THEN 1 "
+    "ELSE p_partkey // 4 END AS above FROM part), "
+    "w AS (SELECT k AS root, k, 0::BIGINT AS depth, [k] AS seen FROM e UNION ALL "
+    "SELECT w.root, e.above, w.depth + 1, list_append(seen, e.above) FROM w JOIN e ON w.k = e.k WHERE NOT list_contains(seen, e.above)) "
+)
+ORACLE["frame_recursive"] = part_ways + f"SELECT {iri('part', 'root')} AS root, depth, {iri('part', 'k')} AS uri FROM w"
+# the root's fields in the order they are built, those of embedded documents by name
+ORACLE["frame_recursive_json"] = part_ways + (
+    ", j AS (SELECT root, depth, above, CASE WHEN depth = 0 THEN '{\"uri\":\"' || " + iri("part", "k") + " || '\",\"@type\":\"Part\",\"name\":\"' || p_name || "
+    "'\",\"above\":' ELSE '{\"@type\":\"Part\",\"above\":' END AS head, CASE WHEN depth = 0 THEN '}' ELSE ',\"name\":\"' || p_name || '\",\"uri\":\"' || "
+    + iri("part", "k") + " || '\"}' END AS tail FROM w JOIN e USING (k)) "
+    f"SELECT {iri('part', 'root')} AS key, string_agg(head, '' ORDER BY depth) || '\"' || max_by({iri('part', 'above')}, depth) || '\"' || "
+    "string_agg(tail, '' ORDER BY depth DESC) AS value FROM j GROUP BY root"
+)

@@ -216,6 +216,58 @@ def alias_view(spark, sf_dir):
     )
 
 
+# --- stores ------------------------------------------------------------------
+
+
+def customer_store(spark, sf_dir):
+    rows = m.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("v"))
+    return ops.create_store(rows, scratch_path(spark, "store"), "id", buckets=16)
+
+
+@query
+def store_upsert(spark, sf_dir):
+    """Customers in buckets by key; the last order of those that have one replaces them, in its own buckets."""
+    store = customer_store(spark, sf_dir)
+    seen = m.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("v"),
+        F.col("o_orderdate").alias("at"),
+        F.col("o_orderkey").alias("n"),
+    )
+    return ops.upsert_store(store, seen, ["at", "n"]).read()
+
+
+@query
+def store_delete(spark, sf_dir):
+    """Customers with an order deleted, and what an earlier version still has of those with a large one."""
+    store = customer_store(spark, sf_dir)
+    orders = m.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), "o_totalprice")
+    left = ops.delete_from_store(store, orders).read().select(F.lit("left").alias("state"), "id", "v")
+    found = ops.open_store(spark, store.path, 1).lookup(orders.filter("o_totalprice > 400000"))
+    return left.unionByName(found.select(F.lit("found").alias("state"), "id", "v"))
+
+
+@query
+def alias_versions(spark, sf_dir):
+    """What a reader sees that opened an alias before it was pointed elsewhere, one after that, and after going back."""
+    folder = scratch_path(spark, "aliased")
+    for name, key in (("customer", "c"), ("supplier", "s")):
+        rows = m.table(spark, sf_dir, name)
+        rows.select(F.col(f"{key}_name").alias("name"), F.col(f"{key}_nationkey").alias("nationkey")).write.parquet(
+            f"{folder}/{name}"
+        )
+    alias = f"{folder}/parties"
+    ops.set_alias(spark, alias, [f"{folder}/customer"])
+    before = ops.open_alias(spark, alias)
+    ops.set_alias(spark, alias, [f"{folder}/supplier", f"{folder}/customer"], based_on=1)
+    after = ops.open_alias(spark, alias)
+    ops.restore_alias(spark, alias, 1)
+    back = ops.open_alias(spark, alias)
+    return ops.union_all(
+        *[df.select(F.lit(when).alias("reader"), "name", "nationkey") for when, df in (("before", before), ("after", after), ("back", back))]
+    )
+
+
 # --- records -----------------------------------------------------------------
 
 
@@ -392,6 +444,41 @@ def reduce_large_entity(spark, sf_dir):
     )
 
 
+def loaded(spark, sf_dir, **nations):
+    """Customers, suppliers, nations and regions as four loads of one collection."""
+    collection = ops.create_collection(spark, scratch_path(spark, "collection"), buckets=8)
+    for name, rows, model in (
+        ("customer", m.customers(spark, sf_dir), m.CUSTOMER),
+        ("supplier", m.suppliers(spark, sf_dir), m.SUPPLIER),
+        ("nation", m.table(spark, sf_dir, "nation"), m.NATION),
+        ("region", m.table(spark, sf_dir, "region"), m.REGION),
+    ):
+        collection = ops.add_load(collection, name, ops.apply_model(rows, model, context=m.CONTEXT))
+    return collection
+
+
+def renamed_nations(spark, sf_dir):
+    """Nations of one region under another name; the rest as it is."""
+    name = F.when(F.col("n_regionkey") == 1, F.lower("n_name")).otherwise(F.col("n_name"))
+    rows = m.table(spark, sf_dir, "nation").withColumn("n_name", name)
+    return ops.apply_model(rows, m.NATION, context=m.CONTEXT)
+
+
+@query
+def incremental_reduce(spark, sf_dir):
+    """Documents after one load was withdrawn and another replaced: those of the loads that are left."""
+    collection = ops.withdraw_load(loaded(spark, sf_dir), "supplier")
+    return joined_values(ops.replace_load(collection, "nation", renamed_nations(spark, sf_dir)).read_documents())
+
+
+@query
+def incremental_counts(spark, sf_dir):
+    """How many loads state each statement, after one was withdrawn and added again."""
+    collection = loaded(spark, sf_dir)
+    load = collection.read_load("customer")
+    return ops.add_load(ops.withdraw_load(collection, "customer"), "customer", load).read_statements()
+
+
 # --- context -----------------------------------------------------------------
 
 
@@ -524,6 +611,32 @@ def frame_back_links(spark, sf_dir):
     )
 
 
+@query
+def incremental_frames(spark, sf_dir):
+    """Customers framed once, then brought up to date where a nation they show has another name."""
+    collection = loaded(spark, sf_dir)
+    framed = ops.create_framed(collection, scratch_path(spark, "framed"), {"customer": m.DEEP_FRAME}, buckets=8)
+    later = ops.replace_load(collection, "nation", renamed_nations(spark, sf_dir))
+    nations = ops.refresh_framed(framed, later).read("customer").select(
+        "uri", first("props", "name").alias("name"), F.explode_outer("nation").alias("n")
+    )
+    return nations.select(
+        "uri", "name", first("n.props", "name").alias("nation_name"), F.explode_outer("n.region").alias("r")
+    ).select("uri", "name", "nation_name", first("r.props", "name").alias("region_name"))
+
+
+@query
+def frame_recursive(spark, sf_dir):
+    """Parts that embed the part above them, as far as that goes; a ring ends where it would come round."""
+    places = ops.expand_frames(m.part_tree_types(spark, sf_dir), m.PART_RULES).places()
+    return places.select("root", F.col("depth").cast("bigint").alias("depth"), "uri")
+
+
+@query
+def frame_recursive_json(spark, sf_dir):
+    return ops.recursive_document_json(ops.expand_frames(m.part_tree_types(spark, sf_dir), m.PART_RULES))
+
+
 @query
 def frame_json(spark, sf_dir):
     framed = ops.frame_documents(m.entity_types(spark, sf_dir, m.DEEP_FRAME), m.DEEP_FRAME)
