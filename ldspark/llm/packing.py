@@ -24,6 +24,7 @@ TIERS = (128, 256, 512, 1024)
 STEP_TOKENS = 16384
 END = 0
 RANKS = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 SPECIAL = {"<|endoftext|>": 50256}
 PIECE = (
     "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, "
@@ -46,6 +47,22 @@ def encoding(ranks_path: str | None = None) -> tiktoken.Encoding:
     return _encodings[path]
 
 
+_slow: dict[str, object] = {}
+
+
+def token_ids(codec: tiktoken.Encoding, text: str, json_path: str) -> list[int]:
+    """The ids of a text; by the tokenizers library where the fast reader gives up, as on white space of a million
+    characters."""
+    try:
+        return codec.encode(text, allowed_special="all")
+    except ValueError:
+        if json_path not in _slow:
+            from tokenizers import Tokenizer
+
+            _slow[json_path] = Tokenizer.from_file(json_path)
+        return _slow[json_path].encode(text, add_special_tokens=False).ids
+
+
 class _Piece:
     """A run of one document's ids that has no place yet."""
 
@@ -159,20 +176,21 @@ def pack(
     tiers: tuple[int, ...] = TIERS,
     step_tokens: int = STEP_TOKENS,
     ranks_path: str | None = None,
+    json_path: str | None = None,
 ) -> DataFrame:
     """One row per piece: ``id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``,
     ``offset``, ``tier``, ``step_group``.
 
     Every document is its ids and then id 0; null text is empty, so it is that one id. Whole documents are placed
-    where they fit, and only what fills a window's last gap is cut. All windows are full; a partition's last one is cut into powers of two, so nothing is padded.
-    A partition packs what it reads, so nothing is shuffled and a lost task packs the same rows to the
-    same windows again. Repeated rows and identifiers are packed each; an empty table gives no rows; other
+    where they fit, and only what fills a window's last gap is cut. All windows are full; a partition's last one is cut
+    into powers of two, so nothing is padded. A partition packs what it reads, so nothing is shuffled and a lost task
+    packs the same rows to the same windows again. ``ranks_path`` and ``json_path`` hold one vocabulary in two forms. Repeated rows and identifiers are packed each; an empty table gives no rows; other
     columns are not read. ``sequence_id`` and ``step_group`` carry the partition in their upper bits.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoding(ranks_path)
+        codec, slow = encoding(ranks_path), json_path or public_tokenizers.path(VOCABULARY)
         packer = Packer(tiers, step_tokens, TaskContext.get().partitionId() << 33)
         names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
 
@@ -187,7 +205,7 @@ def pack(
             id_type = batch.schema.field("id").type
             rows = []
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.array([*codec.encode(text, allowed_special="all"), END], dtype="<u4")
+                ids = np.array([*token_ids(codec, text, slow), END], dtype="<u4")
                 rows.extend(packer.add(doc, ids))
             yield made(rows, id_type)
         if id_type is not None:

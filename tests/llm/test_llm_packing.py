@@ -71,3 +71,11 @@ def test_tiers_and_steps():
 
 def test_empty_table(spark):
     assert packing.pack(cases.frame(spark, [])).count() == 0
+
+
+def test_long_runs_of_one_kind(spark):
+    """White space, letters, marks and a mixture, a million characters each; the fast reader gives up on some."""
+    n = 1_000_000
+    texts = [" " * n + "a", "\t" * n, "\n" * n + "b", "x" * n, "%" * n, " \n\t" * (n // 3) + "z <|endoftext|>"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    check(packing.pack(cases.frame(spark, rows).repartition(3)).collect(), dict(enumerate(ids_of(texts))))
