@@ -50,7 +50,7 @@ _NAME = rb"[A-Za-z_][A-Za-z0-9_.\-]*"
 _STRING = rb"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'"
 # name, an operator, and operands joined by +; each operand a quoted literal or a bare word
 _STATEMENT = re.compile(
-    rb"(?<![A-Za-z0-9_.\-])[\"']?(?P<name>" + _NAME + rb")[\"']?[ \t]*(?::=|=>|[:=])[ \t]*(?P<value>(?:" + _STRING + rb"|[^\s\"',;{}()\[\]+#]+)"
+    rb"(?<![A-Za-z0-9_.\-])[\"']?(?P<name>" + _NAME + rb")[\"']?[ \t]*(?P<operator>:=|=>|\+=|[:=])[ \t]*(?P<value>(?:" + _STRING + rb"|[^\s\"',;{}()\[\]+#]+)"
     rb"(?:[ \t]*\+[ \t]*(?:" + _STRING + rb"|" + _NAME + rb"))*)"
 )
 _OPERAND = re.compile(_STRING + rb"|[^\s\"'+]+(?:\+[^\s\"'+]+)*")
@@ -87,34 +87,59 @@ def base_spans(raw: bytes) -> list[tuple[int, int, str]]:
     return found
 
 
+class _Constant:
+    """What a name was given: literals of its own and the constants it was put together from.
+
+    A constant is looked into once per weight above those it was reached with, so chains of any length and names that
+    use them any number of times cost no more than their statements.
+    """
+
+    __slots__ = ("spans", "parts", "weight")
+
+    def __init__(self) -> None:
+        self.spans: list[tuple[int, int]] = []
+        self.parts: list[_Constant] = []
+        self.weight = 0.0
+
+    def reached(self, weight: float) -> Iterator[tuple[int, int]]:
+        todo = [self]
+        while todo:
+            one = todo.pop()
+            if one.weight < weight:
+                one.weight = weight
+                yield from one.spans
+                todo += one.parts
+
+
 def named_literals(raw: bytes) -> list[tuple[int, int, float]]:
     """Byte spans and scores of literals that reach a sensitive name.
 
-    An operand that is a bare word naming an earlier constant stands for that constant's literals; any other bare
-    word is itself a literal, as in configuration files.
+    An operand that is a bare word naming an earlier constant stands for that constant's literals, as does the name
+    itself before ``+=``; any other bare word is itself a literal, as in configuration files.
     """
     lower = raw.lower()
     if not (b"=" in raw or b":" in raw) or not any(part in lower for part in _CANDIDATE):
         return []
-    constants: dict[str, tuple[tuple[int, int], ...]] = {}
+    constants: dict[str, _Constant] = {}
     best: dict[tuple[int, int], float] = {}
     for m in _STATEMENT.finditer(raw):
         name, begin = m.group("name").decode(), m.start("value")
-        spans: list[tuple[int, int]] = []
+        made = _Constant()
+        if m.group("operator") == b"+=" and name in constants:
+            made.parts.append(constants[name])
         for operand in _OPERAND.finditer(m.group("value")):
             text = operand.group()
             start, end = begin + operand.start(), begin + operand.end()
             if text[:1] in b"\"'" and len(text) > 1:
-                spans.append((start + 1, end - 1))
+                made.spans.append((start + 1, end - 1))
             elif (known := constants.get(text.decode(errors="replace"))) is not None:
-                spans.extend(known)
+                made.parts.append(known)
             else:
-                spans.append((start, end))
-        # A name given many parts keeps the first of them, so a chain of concatenations stays short.
-        constants[name] = tuple(dict.fromkeys(spans))[:16]
+                made.spans.append((start, end))
+        constants[name] = made
         weight = sensitivity(name)
         if weight:
-            for span in spans:
+            for span in made.reached(weight):
                 score = weight * randomness(raw[slice(*span)].decode(errors="replace"))
                 if score >= LEAST_SCORE:
                     best[span] = max(score, best.get(span, 0.0))

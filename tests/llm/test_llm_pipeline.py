@@ -100,3 +100,10 @@ def test_odd_rows_pass_through_every_stage(spark):
     for rows in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, rows, SF).collect()
+
+
+def test_entry_has_the_queries_of_this_package():
+    import __spark_entry__
+
+    assert __spark_entry__.OPTIONAL_ERROR is None
+    assert {"pipeline", *queries.QUERIES} <= set(__spark_entry__.queries())

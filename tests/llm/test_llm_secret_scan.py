@@ -56,6 +56,21 @@ def test_names_and_constants():
     assert named('é = "ü9dkWq81"\npass_phrase = 1\nsecret_id = "ü9dkWq81Zt"') == ["ü9dkWq81Zt"]
 
 
+def test_constants_of_any_number_of_parts():
+    parts = [f"Xk{i:03d}qLm29" for i in range(40)]
+    steps = ["k = ''"] + [f"k = k + '{p}'" for p in parts] + ["password = k"]
+    assert named("\n".join(steps)) == parts
+    steps = [f"k = '{parts[0]}'"] + [f"k += '{p}'" for p in parts[1:]] + ["auth = k", "password = k", "token = k + k"]
+    assert named("\n".join(steps)) == parts
+    assert named("db_password += 'Xk29dkWq81'") == ["Xk29dkWq81"]
+
+
+def test_long_chains_used_often_take_linear_time():
+    n = 20_000
+    text = "\n".join(["k = 'a'"] + [f"k = k + 'Xk{i:05d}qLm'\npassword = k" for i in range(n)])
+    assert len(named(text)) == n
+
+
 def test_long_runs_take_linear_time():
     for text in ("token " + "a" * 400_000, "token=" + "'" * 100_000, "secret " + "a=" * 100_000, "token:" + "+" * 100_000):
         s.scan(text)
