@@ -70,12 +70,15 @@ def split_groups(
 
     The number of parts is the key's own, whatever else the collection holds. The
     rows are written once and counted from there, so the input is read once, and
-    the list of large keys has a measured size when the join is planned.
+    the list of large keys has a measured size when the join is planned; where it
+    is empty there is no join.
     """
     rows = materialize(df, "grouped")
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_part)
     parts = F.ceil(F.col("n") / F.lit(rows_per_part)).cast("int").alias("parts")
     large = materialize(counts.select(*keys, parts), "large-groups")
+    if large.isEmpty():
+        return rows.withColumn("parts", F.lit(1)).withColumn("part", F.lit(0))
     marked = rows.join(large, list(keys), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     return marked.withColumn("part", part_of(spread))
 
