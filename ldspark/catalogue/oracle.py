@@ -417,3 +417,7 @@ ORACLE["frame_recursive_json"] = part_ways + (
     f"SELECT {iri('part', 'root')} AS key, string_agg(head, '' ORDER BY depth) || '\"' || max_by({iri('part', 'above')}, depth) || '\"' || "
     "string_agg(tail, '' ORDER BY depth DESC) AS value FROM j GROUP BY root"
 )
+ORACLE["stream_merge_documents"] = (
+    f"SELECT {EU} AS uri, CAST(0 AS INTEGER) AS part, 'event' AS p, string_agg({E_}, '|' ORDER BY {E_}) AS vals "
+    "FROM events GROUP BY user_id"
+)

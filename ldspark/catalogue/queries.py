@@ -814,3 +814,15 @@ def stream_upsert_shrink(spark, sf_dir):
         ).awaitTermination()
     stored = ops.read_latest_documents(spark.read.parquet(store))
     return stored.filter(F.col("entity").contains("/user/")).select("entity", "parts", "value")
+
+
+@query
+def stream_merge_documents(spark, sf_dir):
+    """Users whose events come in several batches: each batch adds to a user's document."""
+    store = scratch_path(spark, "merging")
+    folder = scratch_path(spark, "merged-files")
+    m.table(spark, sf_dir, "events").select("user_id", "event_id").repartition(3, "event_id").write.json(folder)
+    stream = streaming.read_json_stream(spark, folder, "user_id BIGINT, event_id BIGINT", files_per_batch=1)
+    streaming.merge_documents_stream(stream, [m.USER_EVENTS], store, f"{store}-checkpoint", available_now=True).awaitTermination()
+    nodes = ops.reduce_documents(ops.read_stated(spark.read.parquet(store)))
+    return joined_values(nodes)

@@ -69,10 +69,12 @@ from ldspark.operators.upsert import (
     latest_by_id,
     read_latest,
     read_latest_documents,
+    read_stated,
     split_by_id,
     upsert_by_id,
     write_batch,
     write_document_batch,
+    write_stated_batch,
 )
 from ldspark.operators.versions import Conflict, open_alias, restore_alias, set_alias
 from ldspark.operators.views import swap_alias
@@ -126,6 +128,7 @@ __all__ = [
     "partition_on_types",
     "read_latest",
     "read_latest_documents",
+    "read_stated",
     "recursive_document_json",
     "reduce_documents",
     "reduce_statements",
@@ -149,4 +152,5 @@ __all__ = [
     "withdraw_load",
     "write_batch",
     "write_document_batch",
+    "write_stated_batch",
 ]

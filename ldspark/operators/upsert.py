@@ -96,6 +96,26 @@ def read_latest_documents(df: DataFrame) -> DataFrame:
     return current.drop("last", "run", "batch")
 
 
+def write_stated_batch(stated: DataFrame, path: str, batch_id: int, run: str, run_started: str) -> None:
+    """Add one batch of ``period, s, part, stated`` sets of statements below ``path``; a replay overwrites itself."""
+    numbered = stated.withColumns({"run_started": F.lit(run_started).cast("string"), "batch_seq": F.lit(batch_id).cast("bigint")})
+    numbered.select("period", "s", "part", "stated", *DOCUMENT_ORDER).write.mode("overwrite").parquet(
+        _batch_path(path, run, batch_id)
+    )
+
+
+def read_stated(df: DataFrame, since: str | None = None) -> DataFrame:
+    """Current statements of batches written by :func:`write_stated_batch`, each once.
+
+    A run's last set of a subject holds all that run's earlier ones; the sets of several runs and periods are united.
+    ``since`` leaves out periods that begin before that time.
+    """
+    if since is not None:
+        df = df.filter(F.col("period") >= F.lit(since).cast("timestamp"))
+    last = df.groupBy("run", "period", "s", "part").agg(F.max_by("stated", F.struct("batch_seq")).alias("stated"))
+    return last.select("s", F.inline("stated")).select("s", "p", "o", "kind").distinct()
+
+
 def compact(current: DataFrame, path: str) -> None:
     """Write what :func:`read_latest` or :func:`read_latest_documents` gave as a new store of one batch.
 

@@ -1,6 +1,7 @@
 """Streams: the batch operators between a streaming source and sink."""
 
 from ldspark.streaming.streams import (
+    merge_documents_stream,
     print_stream,
     publish_folder,
     read_json_stream,
@@ -12,6 +13,7 @@ from ldspark.streaming.streams import (
 )
 
 __all__ = [
+    "merge_documents_stream",
     "print_stream",
     "publish_folder",
     "read_json_stream",

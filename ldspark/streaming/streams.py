@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ldspark.operators.framing import document_rows
 from ldspark.operators.mapping import apply_models
-from ldspark.operators.reducing import VALUES_PER_ROW, reduce_documents
-from ldspark.operators.upsert import write_batch, write_document_batch
+from ldspark.operators.reducing import COLUMNS, VALUES_PER_ROW, reduce_documents
+from ldspark.operators.upsert import write_batch, write_document_batch, write_stated_batch
 from ldspark.plans.model import Model
 from ldspark.session import materialize, scratch_scope
 from ldspark.sources.connectors import TOPIC_FORMAT, topic_read_options
@@ -157,3 +157,74 @@ def upsert_documents_stream(
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(available_now, every)).start()
+
+
+def _stated(stream: DataFrame, models: Sequence[Model], event_time: str | None, keep_for: str, parts: int) -> DataFrame:
+    """``period, s, part, stated``: the statements about a subject so far, each time one is added."""
+    if event_time is None:
+        once = apply_models(stream, models).dropDuplicates(COLUMNS).withColumn("period", F.lit(None).cast("timestamp"))
+    else:
+        timed = stream.withWatermark(event_time, keep_for)
+        statements = apply_models(timed, models, keep=[event_time])
+        dated = statements.select(F.window(event_time, keep_for).alias("period"), *COLUMNS)
+        once = dated.dropDuplicatesWithinWatermark(["period", *COLUMNS])
+    own = F.array(F.pmod(F.xxhash64("p", "kind", "o"), F.lit(parts)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(parts - 1))
+    placed = once.withColumn("part", F.explode(F.when(F.col("kind") == "type", every).otherwise(own)))
+    sets = placed.groupBy("period", "s", "part").agg(F.collect_set(F.struct("p", "o", "kind")).alias("stated"))
+    return sets if event_time is None else sets.withColumn("period", F.col("period.start"))
+
+
+def merge_documents_stream(
+    stream: DataFrame,
+    models: Sequence[Model],
+    path: str,
+    checkpoint: str,
+    event_time: str | None = None,
+    keep_for: str = "30 days",
+    parts: int = 1,
+    every: str = EVERY_BATCH,
+    available_now: bool = False,
+    publish: Callable[[DataFrame], None] | None = None,
+) -> StreamingQuery:
+    """Map a stream and merge what its batches state about a subject; a later batch adds and replaces nothing.
+
+    The state store holds every statement once and, per subject, the set of them. A batch writes the sets of subjects
+    that it adds a statement to, and no others; read them with :func:`ldspark.operators.read_stated`. A batch that is
+    replayed writes the same folder again, and a query that starts again goes on from its state. With ``event_time``
+    sets are per period of ``keep_for``, and the state of a period is given up once the stream is that much past it:
+    what comes later still for it is left out. ``parts`` deals a subject's statements to several sets, each with its
+    types, for subjects of very many; large states belong into the store that Spark's
+    ``spark.sql.streaming.stateStore.providerClass`` names for disks. ``publish`` gets the changed documents of every
+    batch, as :func:`upsert_documents_stream` does.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        run, started = _run_of(session, checkpoint)
+        with scratch_scope(session):
+            if publish is not None:
+                batch = materialize(batch, "batch-stated")
+            write_stated_batch(batch, path, batch_id, run, started)
+            if publish is not None:
+                # one row is one document already: its statements are a set
+                statements = batch.select("s", "part", F.inline("stated"))
+                publish(document_rows(_nodes_of_sets(statements, parts)))
+
+    writer = _stated(stream, models, event_time, keep_for, parts).writeStream.foreachBatch(save).outputMode("update")
+    return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(available_now, every)).start()
+
+
+def _nodes_of_sets(statements: DataFrame, parts: int) -> DataFrame:
+    """Documents of ``s, part, p, o, kind`` rows, one per subject and part."""
+    is_type = F.col("kind") == "type"
+    values = F.collect_list(F.when(~is_type, F.struct("kind", F.col("o").alias("v"))))
+    by_property = statements.groupBy("s", "part", "p").agg(
+        F.sort_array(values).alias("vals"), F.sort_array(F.collect_list(F.when(is_type, F.col("o")))).alias("own_types")
+    )
+    entries = F.sort_array(F.collect_list(F.when(F.size("vals") > 0, F.struct("p", "vals"))))
+    return by_property.groupBy(F.col("s").alias("uri"), "part").agg(
+        F.lit(parts).alias("parts"),
+        F.flatten(F.collect_list("own_types")).alias("types"),
+        F.map_from_entries(entries).alias("props"),
+    )
