@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ldspark.operators import apply_model, reduce_statements, store_by_type, to_nodes
+from ldspark.operators import apply_model, reduce_statements, store_by_type, store_colocated, to_nodes
+from ldspark.operators.framing import Colocated
 from ldspark.plans import Field, Frame, FrameRule, FrameRules, Iri, JsonPath, Model, Node, Template
 from ldspark.session import materialize
 
@@ -264,6 +265,11 @@ def entity_types(spark: SparkSession, sf_dir: str, *frames: Frame) -> dict[str,
     return store_by_type(to_nodes(entity_statements(spark, sf_dir, CONTEXT)), classes)
 
 
+def colocated_types(spark: SparkSession, sf_dir: str, frame: Frame) -> Colocated:
+    """The same documents in a table bucketed by document."""
+    return store_colocated(to_nodes(entity_statements(spark, sf_dir, CONTEXT)), frame.types(), buckets=8)
+
+
 def order_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     statements = reduce_statements(apply_model(orders(spark, sf_dir), CUSTOMER_ORDERS))
     return store_by_type(to_nodes(statements), ORDERS_FRAME.types())

@@ -421,3 +421,4 @@ ORACLE["stream_merge_documents"] = (
     f"SELECT {EU} AS uri, CAST(0 AS INTEGER) AS part, 'event' AS p, string_agg({E_}, '|' ORDER BY {E_}) AS vals "
     "FROM events GROUP BY user_id"
 )
+ORACLE["frame_colocated"] = ORACLE["frame_two_level"]

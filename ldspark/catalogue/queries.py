@@ -562,6 +562,16 @@ def frame_two_level(spark, sf_dir):
     )
 
 
+@query
+def frame_colocated(spark, sf_dir):
+    """The two-level frame over documents that stay where they are stored."""
+    framed = ops.frame_documents(m.colocated_types(spark, sf_dir, m.DEEP_FRAME), m.DEEP_FRAME)
+    nations = framed.select("uri", first("props", "name").alias("name"), F.explode_outer("nation").alias("n"))
+    return nations.select("uri", "name", F.col("n.uri").alias("nation_uri"), F.explode_outer("n.region").alias("r")).select(
+        "uri", "name", "nation_uri", first("r.props", "name").alias("region_name")
+    )
+
+
 @query
 def frame_multi_root(spark, sf_dir):
     frames = {"customer": m.CUSTOMER_FRAME, "supplier": m.SUPPLIER_FRAME}

@@ -33,6 +33,7 @@ from ldspark.operators.framing import (
     framed_document_json,
     partition_on_types,
     store_by_type,
+    store_colocated,
     type_members,
 )
 from ldspark.operators.increments import (
@@ -141,6 +142,7 @@ __all__ = [
     "split_by_id",
     "split_groups",
     "store_by_type",
+    "store_colocated",
     "swap_alias",
     "to_nodes",
     "type_members",

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Union
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ldspark.functions.documents import document_fields, document_id
 from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, part_of, salted_join, with_parts
 from ldspark.plans.frame import Frame
-from ldspark.session import materialize, materialize_by
+from ldspark.session import materialize, materialize_by, scratch_path
 
 Nodes = Union[DataFrame, Mapping[str, DataFrame]]
 
@@ -35,6 +36,45 @@ def store_by_type(nodes: DataFrame, classes: Iterable[str], label: str = "types"
     return {c: stored.filter(F.col("class") == c).drop("class") for c in names}
 
 
+@dataclass(frozen=True)
+class Colocated(Mapping):
+    """Type to documents, in a table bucketed and sorted by document."""
+
+    spark: SparkSession
+    table: str
+    buckets: int
+    classes: tuple[str, ...]
+
+    def __getitem__(self, cls: str) -> DataFrame:
+        if cls not in self.classes:
+            raise KeyError(cls)
+        return self.spark.table(self.table).filter(F.col("class") == cls).drop("class")
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.classes)
+
+    def __len__(self) -> int:
+        return len(self.classes)
+
+
+def store_colocated(nodes: DataFrame, classes: Iterable[str], buckets: int, label: str = "documents") -> Colocated:
+    """Like :func:`store_by_type`, in a table bucketed by ``uri, part``; frames over it never shuffle their documents.
+
+    What a frame embeds is dealt to the same buckets, so a document is read, sorted as it lies, and joined where it
+    is; every frame and every run over the table saves that shuffle. A document's part is in the key, so a large
+    entity is in many buckets. Files are below the scratch folder; the session's catalog knows the table.
+    """
+    spark = nodes.sparkSession
+    names = tuple(sorted(set(classes)))
+    path = scratch_path(spark, label)
+    table = path.rpartition("/")[2].replace("-", "_")
+    wanted = F.array(*[F.lit(c) for c in names])
+    placed = nodes.withColumn("class", F.explode(F.array_intersect("types", wanted)))
+    writer = placed.repartition(buckets, "uri", "part").write.partitionBy("class")
+    writer.bucketBy(buckets, "uri", "part").sortBy("uri", "part").option("path", path).saveAsTable(table)
+    return Colocated(spark, table, buckets, names)
+
+
 def partition_on_types(nodes: DataFrame, types: Sequence[Mapping[str, str]]) -> dict[str, DataFrame]:
     """Per ``{"name", "uri"}`` entry the documents that carry the type.
 
@@ -125,6 +165,7 @@ def _embed(
     members: DataFrame,
     merge_limit: int | None,
     rows_per_task: int,
+    buckets: int | None,
 ) -> DataFrame:
     """Adds the documents ``prop`` leads to by its ``parent, parent_part, target`` links."""
     # one list of hot targets serves both joins: salting more than needed is harmless
@@ -141,18 +182,17 @@ def _embed(
     )
     pairs = salted_join(links, documents, "target", spread, "inner", hot=hot)
     # at most a part's share of links per group, whoever the parent is
-    grouped = pairs.groupBy(F.xxhash64("parent").alias("_parent"), "parent", "parent_part").agg(
-        F.array_sort(F.collect_list("child"), _by_uri).alias("_children")
-    )
     children_of = F.col("_children")
+    gathered = F.array_sort(F.collect_list("child"), _by_uri).alias("_children")
+    if buckets is None:
+        grouped = pairs.groupBy(F.xxhash64("parent").alias("_parent"), "parent", "parent_part").agg(gathered)
+    else:
+        grouped = pairs.repartition(buckets, "parent", "parent_part").groupBy("parent", "parent_part").agg(gathered)
+    same = (out["uri"] == grouped["parent"]) & (out["part"] == grouped["parent_part"])
+    if buckets is None:
+        same = (out["_hash"] == grouped["_parent"]) & same
     # both sides arrive by these keys, so a second edge does not shuffle parents again
-    joined = out.join(
-        grouped,
-        (out["_hash"] == grouped["_parent"])
-        & (out["uri"] == grouped["parent"])
-        & (out["part"] == grouped["parent_part"]),
-        "left",
-    )
+    joined = out.join(grouped, same, "left")
     carried = [F.col(f"`{c}`") for c in out.columns if c != "props"]
     return joined.select(
         *carried, _without_embedded(prop, children_of).alias("props"), children_of.alias(prop)
@@ -178,7 +218,7 @@ def frame_documents(
     property may not be named like a fixed column.
 
     The documents are read several times: pass the result of
-    :func:`store_by_type`, or at least a materialized table. A frame's parents
+    :func:`store_by_type` or :func:`store_colocated`, or at least a materialized table. A frame's parents
     are read twice, for their links, which are written once, and for themselves;
     nested documents are written once. ``built`` shares them between frames.
     """
@@ -187,7 +227,9 @@ def frame_documents(
     if clashing:
         raise ValueError(f"framed properties cannot be named {clashing}")
     parents = of_type(nodes, frame.type).select(*RESERVED)
-    out = parents.withColumn("_hash", F.xxhash64("uri"))
+    buckets = nodes.buckets if isinstance(nodes, Colocated) else None
+    # identifiers share long prefixes; with the hash first the join sorts by a number
+    out = parents.withColumn("_hash", F.xxhash64("uri")) if buckets is None else parents
     if frame.edges:
         links = materialize(_links(parents, list(frame.edges)), "links")
     for prop, sub in frame.edges.items():
@@ -197,7 +239,7 @@ def frame_documents(
             built[name] = materialize(children, "framed") if sub.edges else children
         mine = links.filter(F.col("prop") == prop).drop("prop")
         members = of_type(nodes, sub.type)
-        out = _embed(out, mine, prop, built[name], members, merge_limit, rows_per_task)
+        out = _embed(out, mine, prop, built[name], members, merge_limit, rows_per_task, buckets)
     if frame.keep is not None:
         own = F.map_filter("props", lambda k, _: k.isin([*frame.keep, *frame.edges]))
         out = out.withColumn("props", own)

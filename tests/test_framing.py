@@ -10,6 +10,7 @@ from ldspark.operators import (
     framed_document_json,
     partition_on_types,
     store_by_type,
+    store_colocated,
     to_nodes,
     type_members,
 )
@@ -172,3 +173,25 @@ def test_limits_above_sparks_own_rank_in_salted_groups(spark):
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert row["c"] == [f"c:{n:03}" for n in range(20)]
+
+
+def test_colocated_documents_are_not_shuffled(spark):
+    """Equal to the frame over other documents, and without an exchange on the parents' side at either level."""
+    nodes = to_nodes(statements(spark, DATA))
+    stored = store_colocated(nodes, TWO.types(), buckets=3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame in (ONE, TWO, Frame("C", {"n": Frame("N"), "name": Frame("R")})):
+            framed = frame_documents(stored, frame)
+            text = plan(framed)
+            assert "Bucketed: true" in text
+            assert "Exchange hashpartitioning(uri" not in text and "Exchange hashpartitioning(_hash" not in text.split("[parent")[0]
+            exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+            assert all("uri" not in line for line in exchanges), exchanges
+            assert docs(framed, frame) == docs(frame_documents(store_by_type(nodes, frame.types()), frame), frame)
+            assert docs(frame_documents(stored, frame, merge_limit=1), frame) == docs(frame_documents(nodes, frame, merge_limit=1), frame)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    with pytest.raises(KeyError):
+        stored["unknown"]
