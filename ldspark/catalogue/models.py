@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ldspark.operators import apply_model, reduce_statements, store_by_type, store_colocated, to_nodes
 from ldspark.operators.framing import Colocated
-from ldspark.plans import Field, Frame, FrameRule, FrameRules, Iri, JsonPath, Model, Node, Template
+from ldspark.plans import Field, Frame, FrameRule, FrameRules, Iri, JoinedModel, JoinLink, JsonPath, Model, Node, Template
 from ldspark.session import materialize
 
 BASE = "http://data.example.org/"
@@ -170,6 +170,21 @@ ORDER_AND_CUSTOMER = Model(
     ],
 )
 
+LINE = Model(
+    base=BASE,
+    root="line",
+    nodes=[Node("line", v("Line"), "order/{l_orderkey}/line/{l_linenumber}", props={v("quantity"): "l_quantity"})],
+)
+
+ORDER_LINES = JoinedModel(
+    {"order": ORDER_AND_CUSTOMER, "line": LINE, "customer": CUSTOMER},
+    [
+        JoinLink(v("line"), ("order", "order"), ("line", "line"), [("o_orderkey", "l_orderkey")]),
+        JoinLink(v("boughtBy"), ("line", "line"), ("order", "customer"), [("l_orderkey", "o_orderkey")]),
+        JoinLink(v("buyerNation"), ("order", "order"), ("customer", "nation"), [("o_custkey", "c_custkey")]),
+    ],
+)
+
 PART_WORDS = Model(
     base=BASE,
     root="part",

@@ -422,3 +422,25 @@ ORACLE["stream_merge_documents"] = (
     "FROM events GROUP BY user_id"
 )
 ORACLE["frame_colocated"] = ORACLE["frame_two_level"]
+LI = f"('{BASE}order/' || CAST(l_orderkey AS VARCHAR) || '/line/' || CAST(l_linenumber AS VARCHAR))"
+short_order = [(O, "", "Order", "type"), (O, "status", "o_orderstatus", "literal"), (O, "customer", OC, "iri"), (OC, "", "Customer", "type"), (OC, "orders", O, "iri")]
+order_lines = "orders JOIN lineitem ON o_orderkey = l_orderkey"
+ORACLE["apply_joined_models"] = " UNION ALL ".join(
+    [
+        statements("orders", short_order, vocab="").replace(f"'{VOCAB}", "'"),
+        statements("lineitem", [(LI, "", "Line", "type"), (LI, "quantity", money("l_quantity"), "literal")]),
+        customer_sql,
+        f"SELECT DISTINCT * FROM ({statements(order_lines, [(O, 'line', LI, 'iri'), (LI, 'boughtBy', OC, 'iri')])})",
+        f"SELECT DISTINCT * FROM ({statements('orders JOIN customer ON o_custkey = c_custkey', [(O, 'buyerNation', CN, 'iri')])})",
+    ]
+)
+ORACLE["cells_clustered"] = ORACLE["scan_cells"]
+ORACLE["cells_versions"] = (
+    "WITH p AS (SELECT CAST(user_id AS VARCHAR) AS row_key, 'e' AS family, event_type AS qualifier, event_id AS version, "
+    "json_extract_string(props, '$.k') AS value, event_id % 40 AS mark FROM events), "
+    "d AS (SELECT *, max(CASE WHEN mark = 0 THEN version END) OVER (PARTITION BY row_key) AS row_upto, "
+    "max(CASE WHEN mark = 1 THEN version END) OVER (PARTITION BY row_key, qualifier) AS column_upto FROM p), "
+    "k AS (SELECT *, row_number() OVER (PARTITION BY row_key, qualifier ORDER BY version DESC) AS r FROM d "
+    "WHERE mark <> 2 AND version > coalesce(row_upto, -1) AND version > coalesce(column_upto, -1) AND version >= 100) "
+    "SELECT row_key, family, qualifier, version, value FROM k WHERE r <= 2"
+)

@@ -141,6 +141,31 @@ def scan_cells(spark, sf_dir):
     return ops.scan_cells(part_cells(spark, sf_dir), start="1", stop="3", families=["f"])
 
 
+@query
+def cells_clustered(spark, sf_dir):
+    """The same range from cells clustered by row key, of which it reads only some files."""
+    path = scratch_path(spark, "clustered")
+    cells = part_cells(spark, sf_dir)
+    ops.write_clustered(cells, path, files=16)
+    return ops.read_clustered(spark, path, cells.schema, start="1", stop="3", families=["f"])
+
+
+@query
+def cells_versions(spark, sf_dir):
+    """The last two values of each cell from version 100 on, where some events take back a row, a column or themselves."""
+    events = m.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("row_key"),
+        F.lit("e").alias("family"),
+        F.col("event_type").alias("qualifier"),
+        F.col("event_id").alias("version"),
+        json_value(F.parse_json("props"), "$.k").alias("value"),
+    )
+    kind = F.col("version") % 40
+    op = F.when(kind == 0, "delete_row").when(kind == 1, "delete_column").when(kind == 2, "delete_version")
+    markers = events.filter(kind < 3).withColumn("op", op)
+    return ops.latest_versions(events.withColumn("op", F.lit("put")).unionByName(markers), versions=2, since=100)
+
+
 @query
 def cell_lines(spark, sf_dir):
     return ops.cell_lines(m.table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -399,6 +424,14 @@ def apply_model_absolute(spark, sf_dir):
     return ops.apply_model(m.table(spark, sf_dir, "pages"), m.PAGE)
 
 
+@query
+def apply_joined_models(spark, sf_dir):
+    """Orders, their lines and their customers, and the links that rows of two of these make."""
+    lines = m.table(spark, sf_dir, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast(m.MONEY))
+    frames = {"order": m.orders(spark, sf_dir), "line": lines, "customer": m.customers(spark, sf_dir)}
+    return ops.apply_joined_model(frames, m.ORDER_LINES)
+
+
 @query
 def apply_model_context(spark, sf_dir):
     return ops.apply_model(m.customers(spark, sf_dir), m.CUSTOMER, context=m.CONTEXT)

@@ -7,6 +7,7 @@ from ldspark.operators.catalog import (
     types_with_uris,
     unknown_types,
 )
+from ldspark.operators.cell_versions import latest_versions, read_clustered, write_clustered
 from ldspark.operators.cells import (
     cell_documents,
     cell_lines,
@@ -47,6 +48,7 @@ from ldspark.operators.increments import (
     replace_load,
     withdraw_load,
 )
+from ldspark.operators.joining import apply_joined_model
 from ldspark.operators.mapping import apply_model, apply_models, model_documents, ntriples
 from ldspark.operators.recursive import expand_frames, recursive_document_json
 from ldspark.operators.reducing import (
@@ -85,6 +87,7 @@ __all__ = [
     "add_load",
     "apply_context",
     "apply_frames",
+    "apply_joined_model",
     "apply_model",
     "apply_models",
     "cell_documents",
@@ -114,6 +117,7 @@ __all__ = [
     "keep_keys",
     "key_by_field",
     "latest_by_id",
+    "latest_versions",
     "list_frames",
     "model_documents",
     "node_statements",
@@ -127,6 +131,7 @@ __all__ = [
     "parse_contexts",
     "parsed_records",
     "partition_on_types",
+    "read_clustered",
     "read_latest",
     "read_latest_documents",
     "read_stated",
@@ -153,6 +158,7 @@ __all__ = [
     "upsert_store",
     "withdraw_load",
     "write_batch",
+    "write_clustered",
     "write_document_batch",
     "write_stated_batch",
 ]

@@ -1,6 +1,6 @@
 """Plan-time specifications: plain values that shape a DataFrame, no data."""
 
 from ldspark.plans.frame import Frame, FrameRule, FrameRules
-from ldspark.plans.model import RDF_TYPE, Const, Field, Iri, JsonPath, Model, Node, Template
+from ldspark.plans.model import RDF_TYPE, Const, Field, Iri, JoinedModel, JoinLink, JsonPath, Model, Node, Template
 
-__all__ = ["Const", "Field", "Frame", "FrameRule", "FrameRules", "Iri", "JsonPath", "Model", "Node", "RDF_TYPE", "Template"]
+__all__ = ["Const", "Field", "Frame", "FrameRule", "FrameRules", "Iri", "JoinLink", "JoinedModel", "JsonPath", "Model", "Node", "RDF_TYPE", "Template"]

@@ -195,7 +195,10 @@ class Model:
     @classmethod
     def from_json(cls, text: str) -> "Model":
         """Read the JSON form: the constructor's arguments as an object."""
-        spec = json.loads(text)
+        return cls.from_dict(json.loads(text))
+
+    @classmethod
+    def from_dict(cls, spec: Mapping[str, Any]) -> "Model":
         nodes = [
             Node(
                 id=n["id"],
@@ -208,3 +211,47 @@ class Model:
             for n in spec["nodes"]
         ]
         return cls(base=spec["base"], root=spec["root"], nodes=nodes)
+
+
+@dataclass(frozen=True)
+class JoinLink:
+    """A link from a node of one input to a node of another, for rows whose columns ``on`` are equal pair by pair.
+
+    ``source`` and ``target`` are ``(input, node)``.
+    """
+
+    predicate: str
+    source: tuple[str, str]
+    target: tuple[str, str]
+    on: Sequence[tuple[str, str]]
+
+
+@dataclass(frozen=True)
+class JoinedModel:
+    """A model per input, and links between their nodes."""
+
+    inputs: Mapping[str, Model]
+    links: Sequence[JoinLink]
+
+    def __post_init__(self) -> None:
+        for link in self.links:
+            if not link.on:
+                raise ValueError(f"link {link.predicate!r} has no columns to join on")
+            for name, node in (link.source, link.target):
+                if name not in self.inputs:
+                    raise ValueError(f"link {link.predicate!r} names the unknown input {name!r}")
+                found = [n for n in self.inputs[name].nodes if n.id == node]
+                if not found:
+                    raise ValueError(f"link {link.predicate!r} names the unknown node {node!r} of {name!r}")
+                if found[0].each is not None:
+                    raise ValueError(f"node {node!r} of {name!r} is made for each element of a list and takes no join")
+
+    @classmethod
+    def from_json(cls, text: str) -> "JoinedModel":
+        """``{"inputs": {name: model}, "links": [{"predicate", "source", "target", "on"}]}``."""
+        spec = json.loads(text)
+        links = [
+            JoinLink(x["predicate"], tuple(x["source"]), tuple(x["target"]), tuple(tuple(pair) for pair in x["on"]))
+            for x in spec["links"]
+        ]
+        return cls({name: Model.from_dict(one) for name, one in spec["inputs"].items()}, links)
