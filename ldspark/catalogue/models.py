@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ldspark.operators import apply_model, reduce_statements, store_by_type, store_colocated, to_nodes
 from ldspark.operators.framing import Colocated
-from ldspark.plans import Field, Frame, FrameRule, FrameRules, Iri, JoinedModel, JoinLink, JsonPath, Model, Node, Template
+from ldspark.plans import Field, Frame, FrameRule, FrameRules, FullContext, Iri, JoinedModel, JoinLink, JsonPath, Model, Node, Template
 from ldspark.session import materialize
 
 BASE = "http://data.example.org/"
@@ -27,6 +29,25 @@ CONTEXT = {
 }
 
 
+FULL_CONTEXT = FullContext.from_json(
+    json.dumps(
+        {
+            "@context": {
+                "@vocab": VOCAB,
+                "@base": BASE,
+                "v": VOCAB,
+                "Event": {"@id": "v:Event", "@context": {"kind": "v:eventKind"}},
+                "user": {"@id": "v:user", "@type": "@id"},
+                "nation": {"@id": "v:nation", "@type": "@id"},
+                "tags": {"@id": "v:tags", "@container": "@list"},
+                "label": {"@id": "v:label", "@container": "@language"},
+                "segment": {"@id": "v:segment", "@type": "@vocab"},
+            }
+        }
+    )
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -444,3 +444,44 @@ ORACLE["cells_versions"] = (
     "WHERE mark <> 2 AND version > coalesce(row_upto, -1) AND version > coalesce(column_upto, -1) AND version >= 100) "
     "SELECT row_key, family, qualifier, version, value FROM k WHERE r <= 2"
 )
+
+
+def facts(table: str, rules: list[tuple[str, str, str, str, str | None, int | None]]) -> str:
+    """A UNION ALL of one SELECT per statement with its language and its place in a list."""
+    return " UNION ALL ".join(
+        f"SELECT {s} AS s, '{RDF_TYPE if kind == 'type' else VOCAB + p}' AS p, {o} AS o, '{kind}' AS kind, "
+        f"{'CAST(NULL AS VARCHAR)' if lang is None else repr(lang)} AS lang, CAST({'NULL' if place is None else place} AS INTEGER) AS place FROM {table}"
+        for s, p, o, kind, lang, place in rules
+    )
+
+
+ORACLE["context_expand"] = " UNION ALL ".join(
+    [
+        facts(
+            "events",
+            [
+                (E_, "", f"'{VOCAB}Event'", "type", None, None), (E_, "user", EU, "iri", None, None),
+                (E_, "eventKind", "event_type", "literal", None, None),
+                *[(E_, "tags", f"'{tag}'", "literal", None, i) for i, tag in enumerate("bab")],
+                (E_, "label", "event_type", "literal", "en", None), (E_, "label", "'k' || event_id", "literal", "de", None),
+                (E_, "k", "json_extract_string(props, '$.k')", "literal", None, None),
+                (E_, "mine", f"'{VOCAB}x' || event_id", "iri", None, None),
+            ],
+        ),
+        facts(
+            "customer",
+            [
+                (C, "", f"'{VOCAB}Customer'", "type", None, None), (C, "name", "c_name", "literal", None, None),
+                (C, "kind", "'plain'", "literal", None, None), (C, "nation", CN, "iri", None, None),
+                (C, "segment", f"'{VOCAB}' || c_mktsegment", "iri", None, None),
+            ],
+        ),
+    ]
+)
+ORACLE["context_compact"] = (
+    f"SELECT {E_} AS key, '{{\"@id\":\"event/' || event_id || '\",\"@type\":\"Event\",\"k\":\"' || json_extract_string(props, '$.k') || "
+    "'\",\"kind\":\"' || event_type || '\",\"label\":{\"de\":\"k' || event_id || '\",\"en\":\"' || event_type || "
+    "'\"},\"mine\":{\"@id\":\"v:x' || event_id || '\"},\"tags\":[\"b\",\"a\",\"b\"],\"user\":\"user/' || user_id || '\"}' AS value FROM events "
+    f"UNION ALL SELECT {C}, '{{\"@id\":\"customer/' || c_custkey || '\",\"@type\":\"Customer\",\"kind\":\"plain\",\"name\":\"' || c_name || "
+    "'\",\"nation\":\"nation/' || c_nationkey || '\",\"segment\":\"' || c_mktsegment || '\"}' FROM customer"
+)

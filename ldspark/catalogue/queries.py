@@ -552,6 +552,37 @@ def load_context(spark, sf_dir):
     return ops.parse_contexts(files)
 
 
+def written_records(spark, sf_dir):
+    """Events and customers as JSON under a context: references, languages, lists, a name of its own for a class."""
+    event = F.format_string(
+        '{"@id": "event/%d", "@type": "Event", "user": "user/%d", "kind": "%s", "tags": ["b", "a", "b"], '
+        '"label": {"en": "%s", "de": ["k%d"]}, "v:k": %s, "mine": {"@id": "v:x%d"}}',
+        *("event_id", "user_id", "event_type", "event_type", "event_id"),
+        json_value(F.parse_json("props"), "$.k"),
+        "event_id",
+    )
+    customer = F.format_string(
+        '{"@id": "customer/%d", "@type": "Customer", "name": "%s", "kind": "plain", "nation": ["nation/%d"], "segment": "%s"}',
+        *("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+    )
+    texts = [
+        m.table(spark, sf_dir, "events").select(event.alias("value")),
+        m.table(spark, sf_dir, "customer").select(customer.alias("value")),
+    ]
+    return ops.union_all(*texts).select(F.lit("").alias("key"), "value")
+
+
+@query
+def context_expand(spark, sf_dir):
+    return ops.expand_documents(written_records(spark, sf_dir), m.FULL_CONTEXT)
+
+
+@query
+def context_compact(spark, sf_dir):
+    """The same documents written again from their statements."""
+    return ops.compact_statements(context_expand(spark, sf_dir), m.FULL_CONTEXT)
+
+
 # --- types and frames --------------------------------------------------------
 
 

@@ -37,6 +37,7 @@ from ldspark.operators.framing import (
     store_colocated,
     type_members,
 )
+from ldspark.operators.full_context import compact_statements, expand_documents
 from ldspark.operators.increments import (
     add_load,
     create_collection,
@@ -96,6 +97,7 @@ __all__ = [
     "cells_to_docs",
     "checked_records",
     "compact",
+    "compact_statements",
     "constant_key",
     "context_documents",
     "create_collection",
@@ -107,6 +109,7 @@ __all__ = [
     "document_rows",
     "document_statements",
     "drop_keys",
+    "expand_documents",
     "expand_frames",
     "expire_collection",
     "expire_store",
