@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ldspark.operators import apply_model, reduce_statements, store_by_type, store_colocated, to_nodes
 from ldspark.operators.framing import Colocated
-from ldspark.plans import Field, Frame, FrameRule, FrameRules, FullContext, Iri, JoinedModel, JoinLink, JsonPath, Model, Node, Template
+from ldspark.plans import Field, Frame, FrameRule, FrameRules, FullContext, Iri, JoinedModel, JoinLink, JsonPath, Match, Model, Node, Template
 from ldspark.session import materialize
 
 BASE = "http://data.example.org/"
@@ -276,6 +276,12 @@ SUPPLIER_FRAME = Frame("Supplier", {"nation": Frame("Nation")})
 DEEP_FRAME = Frame("Customer", {"nation": Frame("Nation", {"region": Frame("Region")})})
 ORDERS_FRAME = Frame("Customer", {"orders": Frame("Order")})
 STATUS_FRAME = Frame("Status", {"orders": Frame("Order")})
+CHOSEN_FRAME = Frame(
+    "Customer",
+    {"nation": Frame("Nation", where=(Match("name", ("NATION_1", "NATION_2", "NATION_3")), Match("region")))},
+    where=(Match("segment", ("BUILDING", "MACHINERY")), Match("closed", absent=True), Match("name")),
+    defaults={"rating": "none", "segment": "unknown"},
+)
 PART_RULES = FrameRules("part", {"part": FrameRule("Part", {"above": "part"})})
 BACK_FRAME = Frame("Order", {"customer": Frame("Customer", keep=("name",))})
 

@@ -485,3 +485,7 @@ ORACLE["context_compact"] = (
     f"UNION ALL SELECT {C}, '{{\"@id\":\"customer/' || c_custkey || '\",\"@type\":\"Customer\",\"kind\":\"plain\",\"name\":\"' || c_name || "
     "'\",\"nation\":\"nation/' || c_nationkey || '\",\"segment\":\"' || c_mktsegment || '\"}' FROM customer"
 )
+ORACLE["frame_matching"] = (
+    f"SELECT {C} AS uri, c_mktsegment AS segment, 'none' AS rating, CASE WHEN n_nationkey IN (1, 2, 3) THEN n_name END AS nation_name, "
+    f"CASE WHEN n_nationkey NOT IN (1, 2, 3) THEN {CN} END AS nation_uri FROM {customer_nation} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')"
+)

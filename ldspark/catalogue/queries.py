@@ -636,6 +636,19 @@ def frame_colocated(spark, sf_dir):
     )
 
 
+@query
+def frame_matching(spark, sf_dir):
+    """Customers of two segments, with their nation where it is one of three; the others name it, all have a rating."""
+    framed = ops.frame_documents(m.entity_types(spark, sf_dir, m.CHOSEN_FRAME), m.CHOSEN_FRAME)
+    return framed.select(
+        "uri",
+        first("props", "segment").alias("segment"),
+        first("props", "rating").alias("rating"),
+        F.col("nation")[0]["props"]["name"][0]["v"].alias("nation_name"),
+        first("props", "nation").alias("nation_uri"),
+    )
+
+
 @query
 def frame_multi_root(spark, sf_dir):
     frames = {"customer": m.CUSTOMER_FRAME, "supplier": m.SUPPLIER_FRAME}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 from typing import Union
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -147,6 +149,38 @@ def _without_embedded(prop: str, children: Column) -> Column:
     return F.when(children.isNull(), F.col("props")).otherwise(left)
 
 
+def _has(prop: str, values: tuple[str, ...] | None = None) -> Column:
+    """Whether a document has a property, or one of some values for it."""
+    own = F.coalesce(F.try_element_at(F.col("props"), F.lit(prop)), F.array().cast("array<struct<kind: string, v: string>>"))
+    return F.size(own) > 0 if values is None else F.exists(own, lambda x: x["v"].isin(list(values)))
+
+
+def matching(documents: DataFrame, frame: Frame) -> DataFrame:
+    """The documents that meet a frame's conditions, with its defaults for properties they lack.
+
+    One predicate over ``props`` where a document is one row. The parts of a large entity count as one: what each
+    part has is combined by entity, and only such entities are looked up again.
+    """
+    if not frame.where and not frame.defaults:
+        return documents
+    asked = [_has(m.prop, m.values) for m in frame.where] + [_has(p) for p in frame.defaults]
+    names = [f"_has{i}" for i in range(len(asked))]
+    marked = documents.withColumns(dict(zip(names, asked)))
+    if "parts" in documents.columns:
+        several = F.col("parts") > 1
+        large = marked.filter(several)
+        whole = large.groupBy("uri").agg(*[F.max(n).alias(n) for n in names])
+        marked = marked.filter(~several).unionByName(large.drop(*names).join(whole, "uri").select(*marked.columns))
+    met = [~F.col(n) if m.absent else F.col(n) for n, m in zip(names, frame.where)]
+    if met:
+        marked = marked.filter(reduce(and_ if frame.require_all else or_, met))
+    for name, (prop, value) in zip(names[len(met) :], frame.defaults.items()):
+        added = F.create_map(F.lit(prop), F.array(F.struct(F.lit("literal").alias("kind"), F.lit(value).alias("v"))))
+        lacks = ~F.col(name) & (F.col("part") == 0)
+        marked = marked.withColumn("props", F.when(lacks, F.map_concat("props", added)).otherwise(F.col("props")))
+    return marked.drop(*names)
+
+
 def _links(parents: DataFrame, props: Sequence[str]) -> DataFrame:
     """``prop, parent, parent_part, target`` of all framed properties, from one read of the parents."""
     wanted = F.map_filter("props", lambda k, _: k.isin(list(props)))
@@ -214,8 +248,9 @@ def frame_documents(
     The result has ``uri, part, types, props`` and one array of child documents
     per framed property, null when nothing was embedded. A reference whose
     target is absent, has another type or falls beyond ``merge_limit`` stays a
-    reference in ``props``. The depth is the frame's, so cycles end. A framed
-    property may not be named like a fixed column.
+    reference in ``props``, as does one that does not meet the conditions of its
+    frame. The depth is the frame's, so cycles end. A framed property may not be
+    named like a fixed column.
 
     The documents are read several times: pass the result of
     :func:`store_by_type` or :func:`store_colocated`, or at least a materialized table. A frame's parents
@@ -226,7 +261,7 @@ def frame_documents(
     clashing = sorted(set(frame.edges) & set(RESERVED))
     if clashing:
         raise ValueError(f"framed properties cannot be named {clashing}")
-    parents = of_type(nodes, frame.type).select(*RESERVED)
+    parents = matching(of_type(nodes, frame.type), frame).select(*RESERVED)
     buckets = nodes.buckets if isinstance(nodes, Colocated) else None
     # identifiers share long prefixes; with the hash first the join sorts by a number
     out = parents.withColumn("_hash", F.xxhash64("uri")) if buckets is None else parents
@@ -238,7 +273,7 @@ def frame_documents(
             children = frame_documents(nodes, sub, merge_limit, rows_per_task, built)
             built[name] = materialize(children, "framed") if sub.edges else children
         mine = links.filter(F.col("prop") == prop).drop("prop")
-        members = of_type(nodes, sub.type)
+        members = matching(of_type(nodes, sub.type), sub)
         out = _embed(out, mine, prop, built[name], members, merge_limit, rows_per_task, buckets)
     if frame.keep is not None:
         own = F.map_filter("props", lambda k, _: k.isin([*frame.keep, *frame.edges]))

@@ -338,7 +338,7 @@ def refresh_framed(framed: FramedCollection, collection: Collection) -> FramedCo
             roots[name] = framed.roots[name]
             if not rebuilt:
                 continue
-            needed, *more = [df.select(*RESERVED) for df in _shown(frame, showing, collection.documents)]
+            needed, *more = [df.select(*NODES.names) for df in _shown(frame, showing, collection.documents)]
             for df in more:
                 needed = needed.unionByName(df)
             by_type = store_by_type(needed.dropDuplicates(["uri", "part"]), frame.types())
