@@ -120,3 +120,41 @@ def test_empty_table(spark):
 def test_no_python(spark):
     plan = d.fingerprints(cases.frame(spark, cases.documents()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def told(spark, rows):
+    found = d.dedup_lines(cases.frame(spark, rows)).collect()
+    return sorted(((r.id, r.line_no, r.keep_id, r.keep_line_no, r.group_lines, r.kept) for r in found), key=repr)
+
+
+def test_repeated_rows_count_once(spark):
+    """Rows repeated an even and an odd number of times, null identifiers, and other texts under one identifier."""
+    text = "one two three four five six seven eight nine ten\nshort line here"
+    near = "one two three four five six seven eight nine eleven\nanother line"
+    for times in (2, 3):
+        rows = [(1, text, None, None, 0)] * times + [(2, near, None, None, 0)] * (times + 1)
+        rows += [(None, text, None, None, 0)] * times + [(3, near + "\nextra words of row three only", None, None, 0), (3, near, None, None, 0)]
+        assert told(spark, rows) == sorted(expected(rows), key=repr)
+
+
+def test_many_equal_rows(spark):
+    """More copies than the counters could sum."""
+    line = "alpha bravo charlie delta echo foxtrot golf hotel india juliett"
+    rows = [(1, line, None, None, 0)] * 20_001 + [(2, line.replace("golf", "gulf"), None, None, 0)]
+    found = d.fingerprints(cases.frame(spark, rows)).collect()
+    assert {r.id: r.fp & ((1 << 64) - 1) for r in found} == {r[0]: simhash(r[1].split(" ")) for r in rows} and len(found) == 2
+    assert told(spark, rows) == sorted(expected([rows[0], rows[-1]]), key=repr)
+
+
+def test_words_of_one_symbol_are_told_apart(spark):
+    """Two words that the first alphabet writes alike; with them as equal the lines would be similar."""
+    seen, twins = {}, None
+    for i in itertools.count():
+        word = f"w{i}"
+        other = seen.setdefault(h64(word) % d._SYMBOLS, word)
+        if other != word:
+            twins = other, word
+            break
+    lines = [f"alpha bravo charlie {x} {y}" for x, y in zip(("delta", "omega"), twins)]
+    rows = [(i, line, None, None, 0) for i, line in enumerate(lines)]
+    assert told(spark, rows) == [(0, 0, 0, 0, 1, True), (1, 0, 1, 0, 1, True)]
