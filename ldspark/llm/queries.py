@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import content_sort, conversation_repair, license_scan, line_dedup, lm_scoring, mixing, packing, quality_classifier, quality_rules, secret_scan, simhash_dedup, token_alignment, token_cache
+from .common import write_scratch
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,11 @@ def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, sf_dir), labels).withColumnRenamed("id", "doc_id")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy costs, from the ledger that op2 measures, written once."""
+    return quality_rules.ablations(write_scratch(quality_rules.ledger(documents(spark, sf_dir)), "ledger"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -121,6 +127,7 @@ QUERIES = {
         op11_conversation_repair,
         op12_token_alignment,
         op13_quality_classifier,
+        quality_ablations,
     )
 }
 
@@ -293,3 +300,14 @@ ORACLE: dict[str, str] = {
     "op10_mixing": mixture_sql(MIX_PERCENT, MIX_EPOCHS, MIX_SEED),
     "op11_conversation_repair": CONVERSATION_SQL,
 }
+
+# the bits the SQL above gives the rules, which strict-1 has all of, in their order
+_bits = {rule: 1 << k for k, rule in enumerate(quality_rules.POLICIES[-1].rules)}
+_asked = ", ".join(
+    f"('{p.version}', '{rule}', {sum(_bits[name] for name in p.rules)}, {_bits[rule]})" for p in quality_rules.POLICIES for rule in p.rules
+)
+ORACLE["quality_ablations"] = f"""
+    SELECT version, rule, count(*) FILTER (failed & mask = 0) AS kept, count(*) FILTER (failed & bit <> 0) AS broken,
+           count(*) FILTER (failed & (mask - bit) = 0) AS kept_without
+    FROM ({ORACLE["op2_quality_rules"]}) l, (VALUES {_asked}) p(version, rule, mask, bit) GROUP BY version, rule
+"""
