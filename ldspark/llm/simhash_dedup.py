@@ -146,6 +146,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.col("k.id").alias("keep_id"), F.col("k.digest").alias("keep_digest")
     ).distinct()
     rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("digest"))
-    kept = rows.join(keepers, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest")))
+    # By file size alone Spark may take the rows for the smaller side and broadcast whole texts.
+    kept = rows.join(
+        keepers.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest"))
+    )
     place = F.row_number().over(Window.partitionBy("id", "digest").orderBy(F.lit(0)))
     return unpack(kept.withColumn("place", place).where("place = 1"), "row", docs.columns)
