@@ -477,17 +477,16 @@ def reduce_large_entity(spark, sf_dir):
     )
 
 
-def loaded(spark, sf_dir, **nations):
+def loaded(spark, sf_dir):
     """Customers, suppliers, nations and regions as four loads of one collection."""
-    collection = ops.create_collection(spark, scratch_path(spark, "collection"), buckets=8)
-    for name, rows, model in (
-        ("customer", m.customers(spark, sf_dir), m.CUSTOMER),
-        ("supplier", m.suppliers(spark, sf_dir), m.SUPPLIER),
-        ("nation", m.table(spark, sf_dir, "nation"), m.NATION),
-        ("region", m.table(spark, sf_dir, "region"), m.REGION),
-    ):
-        collection = ops.add_load(collection, name, ops.apply_model(rows, model, context=m.CONTEXT))
-    return collection
+    inputs = {
+        "customer": (m.customers(spark, sf_dir), m.CUSTOMER),
+        "supplier": (m.suppliers(spark, sf_dir), m.SUPPLIER),
+        "nation": (m.table(spark, sf_dir, "nation"), m.NATION),
+        "region": (m.table(spark, sf_dir, "region"), m.REGION),
+    }
+    loads = {name: ops.apply_model(rows, model, context=m.CONTEXT) for name, (rows, model) in inputs.items()}
+    return ops.add_loads(ops.create_collection(spark, scratch_path(spark, "collection"), buckets=8), loads)
 
 
 def renamed_nations(spark, sf_dir):

@@ -40,6 +40,7 @@ from ldspark.operators.framing import (
 from ldspark.operators.full_context import compact_statements, expand_documents
 from ldspark.operators.increments import (
     add_load,
+    add_loads,
     create_collection,
     create_framed,
     expire_collection,
@@ -86,6 +87,7 @@ from ldspark.operators.views import swap_alias
 __all__ = [
     "Conflict",
     "add_load",
+    "add_loads",
     "apply_context",
     "apply_frames",
     "apply_joined_model",

@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ldspark.operators.framing import RESERVED, _links, frame_documents, store_by_type
-from ldspark.operators.reducing import COLUMNS, VALUES_PER_ROW, reduce_statements, to_nodes
+from ldspark.operators.reducing import COLUMNS, VALUES_PER_ROW, reduce_statements, to_nodes, union_all
 from ldspark.operators.store import BUCKETS, Buckets, remove_unnamed
 from ldspark.operators.versions import commit, forget_versions, read_version
 from ldspark.plans.frame import Frame
@@ -152,16 +152,26 @@ def _applied(collection: Collection, delta: DataFrame, loads: Mapping[str, str])
     )._committed()
 
 
-def add_load(collection: Collection, name: str, statements: DataFrame) -> Collection:
-    """The next version, with one more load. Its statements are a set and are kept, so its name can withdraw it.
+def add_loads(collection: Collection, loads: Mapping[str, DataFrame]) -> Collection:
+    """The next version, with more loads in one step. The statements of a load are a set and are kept, so its name can
+    withdraw it.
 
     A name that is in use is an error; :func:`replace_load` is for new contents.
     """
-    if name in collection.loads:
-        raise ValueError(f"a load {name!r} is there already")
-    loads = {**collection.loads, name: _stored_load(collection, statements)}
-    delta = _weighted(replace(collection, loads=loads).read_load(name), 1)
-    return _applied(collection, delta, loads)
+    used = sorted(set(loads) & set(collection.loads))
+    if used:
+        raise ValueError(f"loads {used} are there already")
+    if not loads:
+        return collection
+    named = {**collection.loads, **{name: _stored_load(collection, rows) for name, rows in loads.items()}}
+    stored = replace(collection, loads=named)
+    delta = union_all(*[_weighted(stored.read_load(name), 1) for name in loads])
+    return _applied(collection, delta, named)
+
+
+def add_load(collection: Collection, name: str, statements: DataFrame) -> Collection:
+    """The next version, with one more load; see :func:`add_loads`."""
+    return add_loads(collection, {name: statements})
 
 
 def withdraw_load(collection: Collection, name: str) -> Collection:

@@ -94,6 +94,15 @@ def test_counts_keep_what_another_load_states(spark, tmp_path):
         inc.add_load(collection, "b", statements(spark, both))
 
 
+def test_several_loads_in_one_step(spark, tmp_path):
+    a, b = entity("c1", "C", ("name", "x", "literal")), entity("c1", "C", ("name", "y", "literal"))
+    collection = inc.create_collection(spark, str(tmp_path / "c"), buckets=2)
+    both = inc.add_loads(collection, {"a": statements(spark, a), "b": statements(spark, b)})
+    assert both.version == collection.version + 1 and inc.add_loads(both, {}) is both
+    assert {(r.o, r.n) for r in both.read_statements().collect()} == {("C", 2), ("x", 1), ("y", 1)}
+    assert flat(inc.withdraw_load(both, "a").read_documents()) == flat(anew(spark, [b]))
+
+
 def test_settings_of_the_reduce_are_kept(spark, tmp_path):
     loads = [entity("c1", "C", ("n", str(n), "literal"), ("m", str(n), "literal")) for n in (9, 10, 1)]
     rule = {"n": ("max", "int")}
