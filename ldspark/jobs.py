@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ldspark import operators as ops, sinks, sources, streaming
 from ldspark.functions import drop_json_fields
+from ldspark.operators.store import BUCKETS
+from ldspark.operators.versions import versions
 from ldspark.plans import Model
 from ldspark.session import build_session, scratch_scope
 from ldspark.sources import connectors
@@ -144,16 +146,45 @@ def _index(args: argparse.Namespace, id_field: str, name: str | None = None) ->
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Map topic records as they arrive; keep the latest document per identifier."""
+    """Map topic records as they arrive; keep the latest document per identifier, or merge all of them."""
     bound = {"maxOffsetsPerTrigger": str(args.max_offsets)}
     records = streaming.read_topics(spark, args.brokers, args.topics.split(","), args.from_oldest, **bound)
     publish = None
     if args.index:
         def publish(documents: DataFrame) -> None:
             sinks.write_json_index(documents.select("key", "value"), _index(args, "uri"))
-    streaming.upsert_documents_stream(
-        ops.checked_records(records), _models(spark, args), args.output, args.checkpoint, publish=publish
-    ).awaitTermination()
+    write = streaming.merge_documents_stream if args.merge else streaming.upsert_documents_stream
+    write(ops.checked_records(records), _models(spark, args), args.output, args.checkpoint, publish=publish).awaitTermination()
+
+
+def _is_store(spark: SparkSession, path: str) -> bool:
+    return bool(versions(spark, path))
+
+
+def run_add(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Apply models and put the statements into a collection under a load's name, in place of what it had."""
+    statements = ops.apply_models(_usable(_records(spark, args), args), _models(spark, args))
+    if _is_store(spark, args.output):
+        collection = ops.open_collection(spark, args.output)
+    else:
+        collection = ops.create_collection(spark, args.output, args.buckets)
+    put = ops.replace_load if args.load in collection.loads else ops.add_load
+    put(collection, args.load, statements)
+
+
+def run_withdraw(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Take a load out of a collection."""
+    ops.withdraw_load(ops.open_collection(spark, args.collection), args.load)
+
+
+def run_refresh(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Bring a framed collection up to date with its collection, or make one."""
+    collection = ops.open_collection(spark, args.collection)
+    if _is_store(spark, args.output):
+        ops.refresh_framed(ops.open_framed(spark, args.output), collection)
+        return
+    frames = sources.load_frames(ops.list_frames(sources.read_files(spark, args.frames, "*.json")))
+    ops.create_framed(collection, args.output, frames, args.merge_limit, args.buckets)
 
 
 def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -229,7 +260,20 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--from-oldest", action="store_true")
     p.add_argument("--max-offsets", type=int, default=1_000_000, help="most records in one batch")
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--merge", action="store_true", help="add to documents instead of replacing them")
     indexed(p, required=False)
+    p = rejecting(modelled(job("add", run_add)))
+    p.add_argument("--load", required=True)
+    p.add_argument("--buckets", type=int, default=BUCKETS)
+    p = job("withdraw", run_withdraw, output=False, records=False)
+    p.add_argument("collection")
+    p.add_argument("--load", required=True)
+    p = job("refresh", run_refresh, output=False, records=False)
+    p.add_argument("collection")
+    p.add_argument("output")
+    p.add_argument("--frames", help="folder of frames, for a framed collection that is not there yet")
+    p.add_argument("--merge-limit", type=int)
+    p.add_argument("--buckets", type=int, default=BUCKETS)
     job("compact", run_compact, records=False).add_argument("--input", required=True)
     p = job("publish", run_publish, output=False)
     p.add_argument("--brokers", required=True)

@@ -150,3 +150,24 @@ def test_compact_keeps_the_current_documents(spark, tmp_path):
         ops.write_document_batch(rows_, store, 0, run, run)
     main(["compact", f"{tmp_path}/fresh", "--input", store], spark)
     assert [r["value"] for r in ops.read_latest_documents(spark.read.parquet(f"{tmp_path}/fresh")).collect()] == ["new"]
+
+
+def test_collections_and_frames_that_follow(spark, files):
+    """Loads added, replaced and withdrawn; the frames are made once and follow."""
+    store, framed = f"{files}/store", f"{files}/framed"
+    put = ["--model", f"{files}/model.json", "--context", f"{files}/context.json", "--buckets", "2"]
+    city = ["--model", f"{files}/city.json", "--context", f"{files}/context.json"]
+    main(["add", f"{files}/in.txt", store, "--load", "people", *put], spark)
+    main(["add", f"{files}/in.txt", store, "--load", "cities", *city], spark)
+    main(["refresh", store, framed, "--frames", f"{files}/frames", "--buckets", "2"], spark)
+
+    def labels():
+        found = ops.open_framed(spark, framed).read("person").collect()
+        return {r["uri"]: [x["v"] for c in r["city"] for x in c["props"].get("label", [])] for r in found}
+
+    assert labels() == {"http://d.example/p/1": ["x y"], "http://d.example/p/2": ["x y"]}
+    main(["withdraw", store, "--load", "cities"], spark)
+    (files / "in.txt").write_text(f"1\t{json.dumps(RECORDS[0])}\n", encoding="utf-8")
+    main(["add", f"{files}/in.txt", store, "--load", "people", *put], spark)
+    main(["refresh", store, framed], spark)
+    assert labels() == {"http://d.example/p/1": []}
