@@ -189,7 +189,9 @@ class Aligner:
         for word in missing:
             if len(word) > LONGEST_KEPT:
                 known.pop(word)
-                self.parts.pop(word, None)
+                found = _MARKED.fullmatch(word)
+                for part in found.groups() if found else (word,):
+                    self.parts.pop(part, None)
         if len(known) > self.kept:
             self.older_words, self.words = known, {}
         if len(self.parts) > self.kept:

@@ -79,6 +79,7 @@ def test_long_word_and_long_white_space():
         assert [i for a, _ in groups for i in a] == A.encode(" " + text, add_special_tokens=False).ids
         assert [i for _, b in groups for i in b] == B.encode(text)
         assert all(sum(len(a_bytes(i)) for i in a) == sum(len(b_bytes(i)) for i in b) for a, b in groups)
+    assert max(map(len, [*aligner.words, *aligner.parts])) <= t.LONGEST_KEPT, "long words are not kept"
 
 
 def expected(texts):
