@@ -82,12 +82,13 @@ def links(fingerprints: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
         "fp", "seg", "rest", "flip", F.col("key").bitwiseXOR(F.col("flip")).alias("key")
     )
     entries = index.groupBy("seg", "key").agg(F.count(F.lit(1)).alias("n"))
-    met = probes.join(entries, ["seg", "key"]).where("flip <> 0 OR n > 1")
+    # Probes are many times the rows they are made from, which their estimated size does not show: never broadcast.
+    met = probes.join(entries.hint("merge"), ["seg", "key"]).where("flip <> 0 OR n > 1")
 
     other = index.select("seg", "key", F.col("fp").alias("other"))
     pairs = (
         met.where(F.col("n") <= bucket_rows)
-        .join(other, ["seg", "key"])
+        .join(other.hint("merge"), ["seg", "key"])
         .where("flip <> 0 OR fp < other")
         .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= DISTANCE)
         .select(F.col("fp").alias("a"), F.col("other").alias("b"))
