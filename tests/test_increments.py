@@ -53,7 +53,7 @@ def test_any_order_of_loads_equals_full_reduce_and_full_frames(spark, tmp_path,
     collection = inc.create_collection(spark, str(tmp_path / "c"), buckets=3)
     frames = {"people": FRAME, "regions": BACK}
     framed, loads = None, {}
-    for step in range(5):
+    for step in range(4):
         name = rng.choice("abc")
         if name not in loads:
             loads[name] = load(rng)
