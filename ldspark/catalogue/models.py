@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ldspark.operators import apply_model, reduce_statements, store_by_type, store_colocated, to_nodes
 from ldspark.operators.framing import Colocated
+from ldspark.operators.skew import spread_rows
 from ldspark.plans import Field, Frame, FrameRule, FrameRules, FullContext, Iri, JoinedModel, JoinLink, JsonPath, Match, Model, Node, Template
 from ldspark.session import materialize
 
@@ -52,16 +53,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def mapped_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table, or some of its columns, in tasks that are small enough to map."""
+    return spread_rows(table(spark, sf_dir, name).select(*(columns or "*")))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast(MONEY))
+    return mapped_table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast(MONEY))
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").withColumn("s_acctbal", F.col("s_acctbal").cast(MONEY))
+    return mapped_table(spark, sf_dir, "supplier").withColumn("s_acctbal", F.col("s_acctbal").cast(MONEY))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "orders")
+    df = mapped_table(spark, sf_dir, "orders")
     return df.withColumn("o_totalprice", F.col("o_totalprice").cast(MONEY))
 
 

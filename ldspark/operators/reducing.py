@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ldspark.operators.skew import split_groups
+from ldspark.operators.skew import sized_groups
 from ldspark.plans.model import RDF_TYPE
 
 COLUMNS = ("s", "p", "o", "kind")
@@ -91,7 +91,7 @@ def to_nodes(statements: DataFrame, values_per_row: int = VALUES_PER_ROW) -> Dat
     Node objects that share an identifier describe one node in JSON-LD, so part
     documents stay valid. The statements are written to the scratch folder once.
     """
-    marked = split_groups(statements, ["s"], ["p", "kind", "o"], values_per_row)
+    marked, tasks = sized_groups(statements, ["s"], ["p", "kind", "o"], values_per_row)
     is_type = F.col("kind") == "type"
     placed = marked.withColumn(
         "part",
@@ -102,7 +102,7 @@ def to_nodes(statements: DataFrame, values_per_row: int = VALUES_PER_ROW) -> Dat
     # both aggregates below run on this one shuffle; with a number as the first key
     # they sort without comparing identifiers that share long prefixes
     by_property = (
-        placed.repartition("s", "part")
+        placed.repartition(tasks, "s", "part")
         .groupBy(F.xxhash64("s").alias("_hash"), "s", "part", "parts", "p")
         .agg(F.sort_array(F.collect_list(F.struct("kind", F.col("o").alias("v")))).alias("vals"))
     )

@@ -27,6 +27,9 @@ from ldspark.session import materialize
 MAX_HOT_KEYS = 1_000_000
 ROWS_PER_TASK = 500_000
 COUNTED_AT_LIMIT = 200
+MAPPED_ROWS = 100_000
+GROUPED_ROWS = 500_000
+KEY_BINS = 1 << 18
 
 
 def hot_keys(
@@ -62,6 +65,21 @@ def part_of(spread: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*spread), F.col("parts")).cast("int")
 
 
+def spread_rows(df: DataFrame, rows_per_task: int = MAPPED_ROWS) -> DataFrame:
+    """The same rows, dealt to tasks of about ``rows_per_task`` by hash of their values.
+
+    A small file may hold millions of short rows and be one task, whatever the size of a split. For inputs of models:
+    a task makes several statements of a row and holds the distinct ones. Rows are counted from the files' footers;
+    where one task is enough nothing is moved.
+    """
+    tasks = _tasks(df.count(), rows_per_task)
+    return df if tasks == 1 else df.repartition(tasks, F.xxhash64(*df.columns))
+
+
+def _tasks(rows: int, rows_per_task: int) -> int:
+    return max(1, -(-rows // rows_per_task))
+
+
 def split_groups(
     df: DataFrame, keys: Sequence[str], spread: Sequence[str], rows_per_part: int
 ) -> DataFrame:
@@ -69,18 +87,35 @@ def split_groups(
     ``rows_per_part`` of them go to several parts by ``spread``.
 
     The number of parts is the key's own, whatever else the collection holds. The
-    rows are written once and counted from there, so the input is read once, and
-    the list of large keys has a measured size when the join is planned; where it
-    is empty there is no join.
+    rows are written once and counted from there, so the input is read once. They
+    are counted by bins of keys first, of which there are few; a key can only be
+    large in a bin that is, and only keys of such bins are counted one by one. The
+    list of large keys has a measured size when the join is planned; where it is
+    empty there is no join.
     """
+    return sized_groups(df, keys, spread, rows_per_part)[0]
+
+
+def sized_groups(
+    df: DataFrame, keys: Sequence[str], spread: Sequence[str], rows_per_part: int
+) -> tuple[DataFrame, int]:
+    """:func:`split_groups`, and how many tasks its rows should be grouped in."""
     rows = materialize(df, "grouped")
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_part)
+    bin_of = F.pmod(F.xxhash64(*keys), F.lit(KEY_BINS)).cast("int").alias("_bin")
+    bins = materialize(rows.groupBy(bin_of).agg(F.count(F.lit(1)).alias("n")), "group-bins")
+    tasks = _tasks(bins.agg(F.sum("n")).first()[0] or 0, GROUPED_ROWS)
+    whole = rows.withColumn("parts", F.lit(1)).withColumn("part", F.lit(0))
+    full = bins.filter(F.col("n") > rows_per_part).select("_bin")
+    if full.isEmpty():
+        return whole, tasks
+    some = rows.select(*keys, bin_of).join(full, "_bin", "left_semi")
+    counts = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_part)
     parts = F.ceil(F.col("n") / F.lit(rows_per_part)).cast("int").alias("parts")
     large = materialize(counts.select(*keys, parts), "large-groups")
     if large.isEmpty():
-        return rows.withColumn("parts", F.lit(1)).withColumn("part", F.lit(0))
+        return whole, tasks
     marked = rows.join(large, list(keys), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    return marked.withColumn("part", part_of(spread))
+    return marked.withColumn("part", part_of(spread)), tasks
 
 
 def salted_join(

@@ -130,3 +130,15 @@ def test_the_source_is_read_once(spark):
     source = statements(spark, A + B).withColumn("o", F.udf(count)("o"))
     reduce_documents(source).collect()
     assert read.value == len(A + B)
+
+
+def test_grouping_is_in_tasks_of_bounded_rows(spark):
+    """However small the shuffle is, adaptive execution gathers no more statements in a task."""
+    n = 200_000
+    subject = F.concat(F.lit("http://x/"), F.col("id").cast("string"))
+    facts = spark.range(n).select(
+        subject.alias("s"), F.explode(F.array(*[F.struct(F.lit(f"p{i}").alias("p"), F.lit(str(i)).alias("o")) for i in range(6)])).alias("x")
+    ).select("s", "x.p", "x.o", F.lit("literal").alias("kind"))
+    nodes = to_nodes(facts).select("uri", F.spark_partition_id().alias("task"))
+    counts = [r["n"] for r in nodes.groupBy("task").agg(F.count("*").alias("n")).collect()]
+    assert len(counts) == 3 and sum(counts) == n

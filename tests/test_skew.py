@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, rows
 from ldspark.operators import salted_join, split_groups
-from ldspark.operators.skew import hot_keys
+from ldspark.operators.skew import hot_keys, sized_groups, spread_rows
 
 
 def skewed(spark, n=900):
@@ -66,3 +66,25 @@ def test_large_limits_count_a_share_only(spark):
         r["part"] for r in split_groups(df, ["k"], ["v"], 10_000).filter("k = 'hot'").collect()
     )
     assert sum(sizes.values()) == 100_000 and max(sizes.values()) < 15_000
+
+
+def test_rows_of_one_task_are_spread_and_stay_the_same(spark, tmp_path):
+    """A file with one row group is one task; repeated rows and nulls stay."""
+    null = F.when(F.col("id") % 10 > 0, F.col("id"))
+    made = spark.range(1_000).select(null.alias("a"), F.lit("x").alias("b"))
+    made.union(made).coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    got = spread_rows(df, 200)
+    assert df.rdd.getNumPartitions() == 1 and got.rdd.getNumPartitions() == 10
+    assert rows(got) == rows(df)
+    assert max(collections.Counter(r[0] for r in got.select(F.spark_partition_id()).collect()).values()) < 600
+    assert spread_rows(df, 2_000).rdd.getNumPartitions() == 1
+
+
+def test_groups_ask_for_tasks_by_their_rows(spark):
+    """Small groups that share a bin stay whole, the large one is still found."""
+    with_nulls = F.when(F.col("k") != "k1", F.col("k"))
+    got, tasks = sized_groups(skewed(spark, 1_200_000).withColumn("k", with_nulls), ["k"], ["v"], 100_000)
+    sizes = {r["k"]: (r["parts"], r["n"]) for r in got.filter("part = 0").groupBy("k", "parts").agg(F.count("*").alias("n")).filter("n > 1").collect()}
+    assert tasks == 3 and set(sizes) == {"hot"} and sizes["hot"][0] == 4
+    assert sized_groups(skewed(spark, 0), ["k"], ["v"], 5)[1] == 1
