@@ -565,8 +565,8 @@ def written_records(spark, sf_dir):
         *("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
     )
     texts = [
-        m.table(spark, sf_dir, "events").select(event.alias("value")),
-        m.table(spark, sf_dir, "customer").select(customer.alias("value")),
+        m.mapped_table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "props").select(event.alias("value")),
+        m.mapped_table(spark, sf_dir, "customer").select(customer.alias("value")),
     ]
     return ops.union_all(*texts).select(F.lit("").alias("key"), "value")
 

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ldspark.functions.documents import JSON_MAP, PART_OF, document_id, is_object, json_elements, json_value
 from ldspark.functions.terms import ABSOLUTE_IRI
 from ldspark.operators.reducing import VALUES_PER_ROW
-from ldspark.operators.skew import split_groups
+from ldspark.operators.skew import sized_groups
 from ldspark.plans.context import FullContext, Term
 from ldspark.plans.model import RDF_TYPE
+from ldspark.session import materialize
 
 FACT = ("s", "p", "o", "kind", "lang", "place")
 _SEP = "\x1f"
@@ -67,7 +68,7 @@ def expand_documents(records: DataFrame, context: FullContext, id_field: str = "
         {f"{cls}{_SEP}{name}": _definition(t) for cls, own in context.scoped.items() for name, t in own.items()}, kind
     )
     doc = F.try_variant_get(F.try_parse_json("value"), "$", JSON_MAP)
-    rows = records.select("key", doc.alias("doc")).filter("doc IS NOT NULL")
+    rows = records.select("key", doc.alias("doc"))
     listed = F.filter(
         F.transform(json_elements(_looked_up(F.col("doc"), F.lit("@type"))), lambda t: json_value(t, "$")), lambda t: t.isNotNull()
     )
@@ -76,7 +77,8 @@ def expand_documents(records: DataFrame, context: FullContext, id_field: str = "
         json_value(_looked_up(F.col("doc"), F.lit(PART_OF)), "$"), json_value(_looked_up(F.col("doc"), F.lit(id_field)), "$")
     )
     subject = F.coalesce(expand_iri(named, context, vocab=False), F.col("key"))
-    fields = rows.select(subject.alias("s"), types.alias("types"), F.explode("doc").alias("name", "raw")).filter(
+    # a text that does not parse has no name here; a condition on the document would be moved below and parse it again
+    fields = rows.select(subject.alias("s"), types.alias("types"), F.explode_outer("doc").alias("name", "raw")).filter(
         ~F.col("name").isin(id_field, PART_OF, "@context")
     )
     default = F.struct(
@@ -197,7 +199,7 @@ def compact_statements(
     A subject has one list at most for a property. Documents of more than ``values_per_row`` values go on in parts,
     each with the types, whose lists stay whole.
     """
-    rows = facts.select(*FACT).distinct()
+    rows = materialize(facts.select(*FACT).distinct(), "facts")
     classes = sorted(context.scoped)
     if classes:
         of_class = rows.filter((F.col("kind") == "type") & F.col("o").isin(*classes))
@@ -264,12 +266,12 @@ def compact_statements(
         F.when(F.col("place").isNotNull(), F.when(F.col("term").isNull(), "object").otherwise("list")).alias("list"),
         F.when(F.col("place").isNull(), F.concat_ws(_SEP, "p", "o", "lang")).otherwise(F.col("p")).alias("spread"), "kind",
     )
-    marked = split_groups(written, ["s"], ["spread"], values_per_row)
+    marked, tasks = sized_groups(written, ["s"], ["spread"], values_per_row)
     placed = marked.withColumn(
         "part", F.explode(F.when(F.col("kind") == "type", F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part")))
     )
     keys = ["s", "part", "parts", "name"]
-    by_language = placed.repartition("s", "part").groupBy(*keys, "lang", "list").agg(
+    by_language = placed.repartition(tasks, "s", "part").groupBy(*keys, "lang", "list").agg(
         F.sort_array(F.collect_list(F.struct("place", "text"))).alias("values")
     )
     texts = F.transform("values", lambda v: v["text"])

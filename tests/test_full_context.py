@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 
 from ldspark.operators.full_context import FACT, compact_statements, expand_documents
 from ldspark.plans import RDF_TYPE
@@ -116,3 +116,21 @@ def test_plain_context_and_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert compact_statements(none, CONTEXT).isEmpty() and expand_documents(compact_statements(none, CONTEXT), CONTEXT).isEmpty()
     assert FACT == tuple(none.columns)
+
+
+def test_documents_are_parsed_and_expanded_once(spark):
+    context = FullContext(scoped={"C": {"n": Term("http://x/n")}})
+    texts = [("a", '{"@type": "C", "n": 1}'), ("b", "no json"), ("c", None), ("d", "{}"), ("e", "[1]")]
+    records = spark.createDataFrame(texts, "key STRING, value STRING").repartition(3, "key")
+    facts = expand_documents(records, context)
+    assert plan(facts).count("parseJson") == 1
+    assert {r[0] for r in rows(facts)} == {"a"}
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(parts):
+        for part in parts:
+            reads.add(part.num_rows)
+            yield part
+
+    counted = facts.mapInArrow(seen, facts.schema)
+    assert [r[0] for r in rows(compact_statements(counted, context))] == ["a"] and reads.value == 2
