@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ldspark.operators.filters import drop_keys
+from ldspark.operators.skew import KEY_BINS
 
 
 def split_by_id(updates: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
@@ -90,10 +91,22 @@ def read_latest_documents(df: DataFrame) -> DataFrame:
 
     An entity's document is replaced as a whole: all its parts are those of the
     last batch it was in, so a document that shrinks leaves no part behind.
+
+    Only entities in several batches have documents to leave out. They are looked
+    for in bins of hashes that hold several batches; the documents of all other
+    bins are read as they lie. The list of bins is bounded, so it is broadcast.
     """
-    last = df.groupBy("entity").agg(F.max(F.struct(*DOCUMENT_ORDER, "run")).alias("last"))
-    current = df.join(last, "entity").filter(F.struct(*DOCUMENT_ORDER, "run") == F.col("last"))
-    return current.drop("last", "run", "batch")
+    bin_of = F.pmod(F.xxhash64("entity"), F.lit(KEY_BINS)).cast("int")
+    named = df.filter(F.col("entity").isNotNull()).withColumn("_bin", bin_of)
+    batches = named.select("_bin", *DOCUMENT_ORDER, "run").distinct()
+    mixed = batches.groupBy("_bin").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_bin")
+    if mixed.isEmpty():
+        return named.drop("run", "batch", "_bin")
+    alone = named.join(F.broadcast(mixed), "_bin", "left_anti")
+    some = named.join(F.broadcast(mixed), "_bin", "left_semi")
+    last = some.groupBy("entity").agg(F.max(F.struct(*DOCUMENT_ORDER, "run")).alias("last"))
+    current = some.join(last, "entity").filter(F.struct(*DOCUMENT_ORDER, "run") == F.col("last"))
+    return alone.unionByName(current.drop("last")).drop("run", "batch", "_bin")
 
 
 def write_stated_batch(stated: DataFrame, path: str, batch_id: int, run: str, run_started: str) -> None:

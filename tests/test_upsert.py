@@ -1,6 +1,6 @@
 import pytest
 
-from helpers import rows
+from helpers import plan, rows
 from ldspark.operators import (
     compact,
     latest_by_id,
@@ -86,6 +86,31 @@ def test_documents_are_replaced_as_a_whole(spark, tmp_path):
     assert rows(later) == [("a#0", "small"), ("b#0", "p"), ("b#1", "q")]
 
 
+def test_documents_of_one_batch_are_read_where_they_lie(spark, tmp_path):
+    """Only entities of several batches are compared; a document without an entity is no document."""
+    path = f"{tmp_path}/store"
+    first = [(f"e{n}", 0, 1, "old") for n in range(50)] + [(None, 0, 1, "lost")]
+    write_document_batch(documents(spark, first), path, 0, "r1", "2020")
+    alone = read_latest_documents(spark.read.parquet(path))
+    assert "Exchange" not in plan(alone)
+    assert rows(alone.select("entity", "value")) == sorted((f"e{n}", "old") for n in range(50))
+    write_document_batch(documents(spark, [("e7", 0, 2, "a"), ("e7", 1, 2, "b"), ("new", 0, 1, "c")]), path, 1, "r1", "2020")
+    both = read_latest_documents(spark.read.parquet(path))
+    assert "LeftAnti" in plan(both)
+    want = [(f"e{n}", 0, "old") for n in range(50) if n != 7] + [("e7", 0, "a"), ("e7", 1, "b"), ("new", 0, "c")]
+    assert rows(both.select("entity", "part", "value")) == sorted(want, key=repr)
+    assert both.columns == alone.columns == ["entity", "part", "parts", "key", "value", "run_started", "batch_seq"]
+
+
+def test_entities_that_share_a_bin_are_told_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("ldspark.operators.upsert.KEY_BINS", 1)
+    path = f"{tmp_path}/store"
+    write_document_batch(documents(spark, [("a", 0, 1, "x"), ("b", 0, 1, "y")]), path, 0, "r1", "2020")
+    write_document_batch(documents(spark, [("c", 0, 1, "z")]), path, 1, "r1", "2020")
+    every = read_latest_documents(spark.read.parquet(path)).select("key", "value")
+    assert rows(every) == [("a#0", "x"), ("b#0", "y"), ("c#0", "z")]
+
+
 def test_runs_that_number_their_batches_alike_keep_each_other(spark, tmp_path):
     path = f"{tmp_path}/store"
     write_batch(frame(spark, [("a", 1, "x")]), path, 0, "id", ["at"], "r1")
