@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan, rows, statements
+from ldspark.catalogue import models
 from ldspark.operators import (
     apply_frames,
     frame_documents,
@@ -195,3 +196,16 @@ def test_colocated_documents_are_not_shuffled(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     with pytest.raises(KeyError):
         stored["unknown"]
+
+
+def test_only_columns_of_the_documents_are_dealt(spark, tmp_path):
+    """Orders in one row group are dealt to tasks by what their documents are made of, and nothing else is read."""
+    made = spark.range(250_000).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'O' AS o_orderstatus", "1.5D AS o_totalprice",
+        "timestamp_ntz'2020-01-01' AS o_orderdate", "uuid() AS o_orderpriority",
+    )
+    made.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    links = models.order_links(spark, str(tmp_path))
+    text = plan(links)
+    assert "Exchange hashpartitioning" in text and "o_orderpriority" not in text and "o_totalprice" not in text
+    assert links.rdd.getNumPartitions() == 3 and links.agg(F.sum("o_orderkey"), F.count("*")).first()[:] == (31_249_875_000, 250_000)
