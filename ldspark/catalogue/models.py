@@ -320,7 +320,7 @@ def entity_types(spark: SparkSession, sf_dir: str, *frames: Frame) -> dict[str,
 
 def colocated_types(spark: SparkSession, sf_dir: str, frame: Frame) -> Colocated:
     """The same documents in a table bucketed by document."""
-    return store_colocated(to_nodes(entity_statements(spark, sf_dir, CONTEXT)), frame.types(), buckets=8)
+    return store_colocated(entity_nodes(spark, sf_dir), frame.types())
 
 
 def order_types(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

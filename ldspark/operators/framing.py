@@ -11,11 +11,13 @@ from typing import Union
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ldspark.functions.documents import document_fields, document_id
-from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, part_of, salted_join, with_parts
+from ldspark.operators.skew import ROWS_PER_TASK, hot_keys, tasks_of, part_of, salted_join, with_parts
 from ldspark.plans.frame import Frame
 from ldspark.session import materialize, materialize_by, scratch_path
 
 Nodes = Union[DataFrame, Mapping[str, DataFrame]]
+LEAST_BUCKETS = 8
+BUCKET_ROWS = 100_000
 
 
 def of_type(nodes: Nodes, cls: str) -> DataFrame:
@@ -59,14 +61,21 @@ class Colocated(Mapping):
         return len(self.classes)
 
 
-def store_colocated(nodes: DataFrame, classes: Iterable[str], buckets: int, label: str = "documents") -> Colocated:
+def store_colocated(
+    nodes: DataFrame, classes: Iterable[str], buckets: int | None = None, label: str = "documents"
+) -> Colocated:
     """Like :func:`store_by_type`, in a table bucketed by ``uri, part``; frames over it never shuffle their documents.
 
     What a frame embeds is dealt to the same buckets, so a document is read, sorted as it lies, and joined where it
     is; every frame and every run over the table saves that shuffle. A document's part is in the key, so a large
     entity is in many buckets. Files are below the scratch folder; the session's catalog knows the table.
+
+    A bucket is one task of every frame over it. Without a number there are as many as the documents ask for, which
+    are then read twice and should be a written table.
     """
     spark = nodes.sparkSession
+    if buckets is None:
+        buckets = max(LEAST_BUCKETS, tasks_of(nodes.count(), BUCKET_ROWS))
     names = tuple(sorted(set(classes)))
     path = scratch_path(spark, label)
     table = path.rpartition("/")[2].replace("-", "_")

@@ -72,11 +72,11 @@ def spread_rows(df: DataFrame, rows_per_task: int = MAPPED_ROWS) -> DataFrame:
     a task makes several statements of a row and holds the distinct ones. Rows are counted from the files' footers;
     where one task is enough nothing is moved.
     """
-    tasks = _tasks(df.count(), rows_per_task)
+    tasks = tasks_of(df.count(), rows_per_task)
     return df if tasks == 1 else df.repartition(tasks, F.xxhash64(*df.columns))
 
 
-def _tasks(rows: int, rows_per_task: int) -> int:
+def tasks_of(rows: int, rows_per_task: int) -> int:
     return max(1, -(-rows // rows_per_task))
 
 
@@ -103,7 +103,7 @@ def sized_groups(
     rows = materialize(df, "grouped")
     bin_of = F.pmod(F.xxhash64(*keys), F.lit(KEY_BINS)).cast("int").alias("_bin")
     bins = materialize(rows.groupBy(bin_of).agg(F.count(F.lit(1)).alias("n")), "group-bins")
-    tasks = _tasks(bins.agg(F.sum("n")).first()[0] or 0, GROUPED_ROWS)
+    tasks = tasks_of(bins.agg(F.sum("n")).first()[0] or 0, GROUPED_ROWS)
     whole = rows.withColumn("parts", F.lit(1)).withColumn("part", F.lit(0))
     full = bins.filter(F.col("n") > rows_per_part).select("_bin")
     if full.isEmpty():

@@ -198,6 +198,17 @@ def test_colocated_documents_are_not_shuffled(spark):
         stored["unknown"]
 
 
+def test_buckets_grow_with_the_documents(spark, monkeypatch):
+    """A bucket is one task, so their number must not be fixed whatever the documents."""
+    nodes = to_nodes(statements(spark, DATA))
+    assert store_colocated(nodes, TWO.types()).buckets == 8
+    monkeypatch.setattr("ldspark.operators.framing.LEAST_BUCKETS", 1)
+    monkeypatch.setattr("ldspark.operators.framing.BUCKET_ROWS", 2)
+    stored = store_colocated(nodes, TWO.types())
+    assert stored.buckets == -(-nodes.count() // 2) > 1
+    assert docs(frame_documents(stored, TWO), TWO) == docs(frame_documents(store_by_type(nodes, TWO.types()), TWO), TWO)
+
+
 def test_only_columns_of_the_documents_are_dealt(spark, tmp_path):
     """Orders in one row group are dealt to tasks by what their documents are made of, and nothing else is read."""
     made = spark.range(250_000).selectExpr(
