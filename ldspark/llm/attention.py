@@ -9,16 +9,18 @@ The output has two levels. A first softmax is over the most frequent targets and
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 
 CONTEXT, STRIDE = 8, 24
 WINDOW = CONTEXT + STRIDE
 WIDTH = 16
 _SCALE = np.float32(1 / np.sqrt(WIDTH))
-_MASK = np.where(np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None], 0, -1e9).astype(np.float32)
+# Powers of two take half the time of powers of e; logits are scaled on the narrow side of the product they come from.
+_LOG2_E = np.float32(1 / np.log(2))
+_SHOWN = (np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]).astype(np.float32)
 STEADY = 50
+BLOCK = 288
+_HIGHEST_QUOTIENT = np.float32(3.4e8)
 
 
 def shapes(inputs: int, outputs: int, others: int) -> dict[str, tuple[int, ...]]:
@@ -68,91 +70,135 @@ def _states(w: dict[str, np.ndarray], x: np.ndarray):
     kv = (h.reshape(-1, WIDTH) @ w["key_value"]).reshape(n, WINDOW, 2 * WIDTH)
     k, v = kv[..., :WIDTH], kv[..., WIDTH:]
     late = np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
-    q = (late @ (w["query"] * _SCALE)).reshape(n, STRIDE, WIDTH)
+    q = (late @ (w["query"] * (_SCALE * _LOG2_E))).reshape(n, STRIDE, WIDTH)
     keys = np.ascontiguousarray(k.transpose(0, 2, 1))
-    a, sums = _exponentials(lambda: np.matmul(q, keys) + _MASK)
-    sums = sums[..., None]
-    o = (np.matmul(a, v) / sums).reshape(-1, WIDTH)
+    a = np.matmul(q, keys)
+    np.exp2(a, out=a)
+    a *= _SHOWN
+    sums = a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)
+    if not _in_range(sums):
+        a = _from_highest(np.where(_SHOWN, np.matmul(q, keys), -np.inf))
+        sums = a.sum(axis=-1)
+    sums = sums.reshape(n, STRIDE, 1)
+    o = np.matmul(a, v)
+    o /= sums
+    o = o.reshape(-1, WIDTH)
     return late + o @ w["mixed"], (h, k, v, late, q, a, sums, o)
 
 
-def _exponentials(logits: Callable[[], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials over the last axis and their sums. The logits are made again and their highest taken off first
-    only where the plain exponentials leave the range of floats, which trained weights hardly do."""
-    made = logits()
-    with np.errstate(over="ignore"):
-        np.exp(made, out=made)
-    sums = made @ np.ones(made.shape[-1], made.dtype)
-    if np.isfinite(sums).all() and sums.min(initial=1) > 1e-30:
-        return made, sums
-    made = logits()
-    made -= made.max(axis=-1, keepdims=True)
-    np.exp(made, out=made)
-    return made, made.sum(axis=-1)
+def _from_highest(logits: np.ndarray) -> np.ndarray:
+    """Two to the power of each logit, the highest taken off first. Needed only where the plain powers leave the range
+    of floats, which trained weights hardly do."""
+    return np.exp2(logits - logits.max(axis=-1, keepdims=True))
+
+
+def _in_range(sums: np.ndarray) -> bool:
+    """Whether all are finite and above 1e-30: of any other, the quotient or its product with the sum is not finite."""
+    return bool(np.isfinite(sums @ (_HIGHEST_QUOTIENT / sums)))
 
 
-def _softmax(z: np.ndarray, matrix: np.ndarray, bias: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log probability of each row's target, exponentials of its logits, and their sums."""
+def _softmax(z: np.ndarray, matrix: np.ndarray, bias: np.ndarray, targets: np.ndarray):
+    """Per block of rows, which stays in a core's cache: the rows, each one's probability of its target, the powers of
+    its logits and their sums, where its target is, and the rows with a one."""
     # With a column of ones the bias is part of the product.
-    ones = np.concatenate([z, np.ones((len(z), 1), z.dtype)], axis=1)
-    both = np.concatenate([matrix, bias[None, :]])
-    made, sums = _exponentials(lambda: ones @ both)
-    chosen = made[np.arange(len(targets)), targets] / sums
-    return np.log(np.maximum(chosen, 1e-30, dtype=np.float64)), made, sums
+    both = np.concatenate([matrix, bias[None, :]]) * _LOG2_E
+    each = np.ones(matrix.shape[1], matrix.dtype)
+    firsts = np.arange(0, BLOCK * matrix.shape[1], matrix.shape[1])
+    for i in range(0, len(z), BLOCK):
+        rows = slice(i, i + BLOCK)
+        some = z[rows]
+        ones = np.empty((len(some), WIDTH + 1), z.dtype)
+        ones[:, :WIDTH] = some
+        ones[:, WIDTH] = 1
+        made = ones @ both
+        np.exp2(made, out=made)
+        sums = made @ each
+        if not _in_range(sums):
+            made = _from_highest(ones @ both)
+            sums = made @ each
+        at = firsts[: len(some)] + targets[rows]
+        yield rows, made.take(at) / sums, made, sums, at, ones
+
+
+def _log(probabilities: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(probabilities, 1e-30, dtype=np.float64))
+
+
+def _log_softmax(z: np.ndarray, matrix: np.ndarray, bias: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    return _log(np.concatenate([found for _, found, *_ in _softmax(z, matrix, bias, targets)]))
 
 
 def log_probabilities(w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Natural log probability of the targets of every scored position: class ``y``, and ``second`` where that is 0."""
-    z, _ = _states(w, x)
-    targets = y.ravel()
-    found = _softmax(z, w["out"], w["out_bias"], targets)[0]
-    others = np.flatnonzero(targets == 0)
-    if len(others):
-        found[others] += _softmax(z[others], w["other"], w["other_bias"], second.ravel()[others])[0]
-    return found
+    with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+        z, _ = _states(w, x)
+        targets = y.ravel()
+        found = _log_softmax(z, w["out"], w["out_bias"], targets)
+        others = np.flatnonzero(targets == 0)
+        if len(others):
+            found[others] += _log_softmax(z.take(others, axis=0), w["other"], w["other_bias"], second.ravel()[others])
+        return found
 
 
 def gradients(
     w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, second: np.ndarray, valid: np.ndarray
 ) -> tuple[dict[str, np.ndarray], float]:
     """Gradients of the mean loss over valid positions, and that loss."""
+    with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+        return _gradients(w, x, y, second, valid)
+
+
+def _gradients(
+    w: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, second: np.ndarray, valid: np.ndarray
+) -> tuple[dict[str, np.ndarray], float]:
     n = len(x)
     z, (h, k, v, late, q, a, sums, o) = _states(w, x)
-    a = a / sums
+    a /= sums
     targets, live = y.ravel(), valid.ravel()
     count = max(1, int(live.sum()))
 
-    def output(name: str, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, float]:
-        found, d, total = _softmax(z[rows], w[name], w[f"{name}_bias"], chosen)
-        d /= total[:, None]
-        d[np.arange(len(rows)), chosen] -= 1
-        d /= count
-        g[name], g[f"{name}_bias"] = z[rows].T @ d, d.sum(axis=0)
-        return d @ w[name].T, -float(found.sum())
+    def output(name: str, some: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, float]:
+        matrix = w[name]
+        into, found = np.empty_like(some), np.empty(len(some), z.dtype)
+        total = np.zeros((WIDTH + 1, matrix.shape[1]), z.dtype)
+        for rows, found[rows], made, sums, at, ones in _softmax(some, matrix, w[f"{name}_bias"], chosen):
+            # The powers stay as they are: what they are divided by is taken to the narrow side of each product.
+            made.ravel()[at] -= sums
+            share = (1 / (sums * count))[:, None]
+            np.multiply(made @ matrix.T, share, out=into[rows])
+            ones *= share
+            total += ones.T @ made
+        g[name], g[f"{name}_bias"] = total[:WIDTH], total[WIDTH]
+        return into, -float(_log(found).sum())
 
     g: dict[str, np.ndarray] = {}
     dz = np.zeros_like(z)
     first = np.flatnonzero(live)
-    dz[first], loss = output("out", first, targets[first])
+    dz[first], loss = output("out", z.take(first, axis=0), targets[first])
     others = np.flatnonzero(live & (targets == 0))
-    more, second_loss = output("other", others, second.ravel()[others])
+    more, second_loss = output("other", z.take(others, axis=0), second.ravel()[others])
     dz[others] += more
     g["mixed"] = o.T @ dz
     do = (dz @ w["mixed"].T).reshape(n, STRIDE, WIDTH)
-    da = np.matmul(do, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), do)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+    dkv = np.empty((n, WINDOW, 2 * WIDTH), z.dtype)
+    np.matmul(a.transpose(0, 2, 1), do, out=dkv[..., WIDTH:])
+    ds = np.matmul(do, v.transpose(0, 2, 1))
+    # The mean of da under a row of a is the product of that row's output and its gradient.
+    ds -= ((do.reshape(-1, WIDTH) * o) @ np.ones(WIDTH, z.dtype)).reshape(n, STRIDE, 1)
+    ds *= a
     dq = np.matmul(ds, k).reshape(-1, WIDTH)
-    dk = np.matmul(ds.transpose(0, 2, 1), q)
+    # The queries hold the scale of powers of two, their gradients that of powers of e.
+    q /= _LOG2_E
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[..., :WIDTH])
+    dkv = dkv.reshape(-1, 2 * WIDTH)
     g["query"] = late.T @ dq * _SCALE
     dlate = dz + dq @ (w["query"].T * _SCALE)
-    dkv = np.concatenate([dk, dv], axis=2).reshape(-1, 2 * WIDTH)
     g["key_value"] = h.reshape(-1, WIDTH).T @ dkv
     dh = (dkv @ w["key_value"].T).reshape(n, WINDOW, WIDTH)
     dh[:, CONTEXT:] += dlate.reshape(n, STRIDE, WIDTH)
     g["place"] = dh.sum(axis=0)
     g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], x.ravel(), dh.reshape(-1, WIDTH))
+    np.add.at(g["embed"].ravel(), (x.reshape(-1, 1) * WIDTH + np.arange(WIDTH, dtype=x.dtype)).ravel(), dh.ravel())
     return g, (loss + second_loss) / count
 
 
@@ -160,23 +206,32 @@ class Adam:
     """Adam with clipped gradients and a rate that falls with the root of the steps after the first ``STEADY``."""
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float):
-        self.weights, self.rate, self.steps = weights, rate, 0
-        self.first = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.second = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.rate, self.steps = rate, 0
+        # One array for all weights; their names are views of it.
+        self.flat = flatten(weights)
+        self.weights, at = {}, 0
+        for name, w in weights.items():
+            self.weights[name] = self.flat[at : at + w.size].reshape(w.shape)
+            at += w.size
+        self.first, self.second = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def step(self, gradient: dict[str, np.ndarray]) -> None:
         self.steps += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in gradient.values()))
-        shrink = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
-        rate = self.rate * min(1.0, (STEADY / self.steps) ** 0.5) * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        for name, g in gradient.items():
-            g = g * shrink
-            m, s = self.first[name], self.second[name]
-            m *= 0.9
-            m += 0.1 * g
-            s *= 0.99
-            s += 0.01 * g * g
-            self.weights[name] -= (rate * m / (np.sqrt(s) + 1e-8)).astype(np.float32)
+        g = np.concatenate([gradient[name].ravel() for name in self.weights])
+        norm = float(np.sqrt(g @ g))
+        g *= np.float32(min(1.0, 1.0 / (norm + 1e-9)))
+        rate = self.rate * min(1.0, (STEADY / self.steps) ** 0.5) * (1 - 0.99**self.steps) ** 0.5 / (1 - 0.9**self.steps)
+        self.first *= 0.9
+        self.first += 0.1 * g
+        g *= g
+        g *= 0.01
+        self.second *= 0.99
+        self.second += g
+        np.sqrt(self.second, out=g)
+        g += 1e-8
+        np.divide(self.first, g, out=g)
+        g *= rate
+        self.flat -= g
 
 
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -14,7 +14,6 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import attention
@@ -25,9 +24,10 @@ FOLDS, HELD_OUT = 7, 2
 INPUTS, OUTPUTS, OTHERS = 768, 192, 256
 END_ID = SPECIAL["<|endoftext|>"]
 IDS = END_ID + 1
+STORED_ID = np.dtype("<u2")  # holds all of them
 FREQUENT_SHARE = 2_000_000
 ROUNDS, TRAIN_SHARE, LEAST_CHARACTERS = 2, 64, 80
-RATE, BATCH_WINDOWS, SCORED_WINDOWS = 0.02, 48, 32
+RATE, BATCH_WINDOWS, SCORED_WINDOWS = 0.02, 48, 64
 WAITING_IDS = 1 << 18
 KEPT_WORDS = 300_000
 COUNTED_WORDS = 400_000
@@ -241,23 +241,26 @@ def count_words(training: DataFrame, text_col: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def count_subwords(words: DataFrame) -> np.ndarray:
-    """How often each subword id stands in the counted words; one sum per id of the vocabulary reaches the driver."""
+def _texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of them, one after the other, and how many each row has."""
+    if not len(column):
+        return np.empty(0, STORED_ID), np.empty(0, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    return raw.view(STORED_ID), np.diff(offsets) // STORED_ID.itemsize
+
+
+def count_subwords(rows: DataFrame) -> np.ndarray:
+    """How often each subword id stands in the rows' ``ids``; one sum per id of the vocabulary reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(IDS, np.int64)
         for batch in batches:
-            held = batch.filter(pc.is_valid(batch.column("word")))
-            times = np.array(batch.column("n"))
-            totals[END_ID] += times.sum() - np.array(held.column("n")).sum()
-            if held.num_rows:
-                ids, starts = encode_words(held.column("word").to_pylist())
-                sizes = np.diff(np.append(starts, len(ids)))
-                np.add.at(totals, ids, np.repeat(np.array(held.column("n")), sizes))
+            totals += np.bincount(_texts_of(batch.column("ids"))[0], minlength=IDS)
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["i", "n"])
 
-    sums = words.mapInArrow(run, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    sums = rows.select("ids").mapInArrow(run, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(IDS, np.int64)
     for row in sums:
         counts[row["i"]] = row["n"]
@@ -275,23 +278,33 @@ def a_part(text: Column, turn: int) -> list[Column]:
     return [piece.alias("text"), (at == 0).alias("first"), (at + n >= length).alias("last")]
 
 
-def train_round(training: DataFrame, classes: Classes, weights: dict[str, np.ndarray], turn: int, text_col: str = "text") -> dict[str, np.ndarray]:
+def train_round(
+    training: DataFrame, classes: Classes, weights: dict[str, np.ndarray], turn: int, text_col: str = "text", ids_col: str | None = None
+) -> dict[str, np.ndarray]:
     """One round: every partition trains on the round's windows of its texts, and the weights are averaged by how much
-    each has seen. Only the average, a list as long as the weights, reaches the driver."""
+    each has seen. Only the average, a list as long as the weights, reaches the driver. Texts are looked up unless
+    ``ids_col`` holds their ids."""
     start = attention.flatten(weights)
     sizes = INPUTS + 1, OUTPUTS, OTHERS
 
+    def texts_of(batch: pa.RecordBatch, words: Words) -> Iterator[np.ndarray]:
+        if ids_col is not None:
+            ids, lengths = _texts_of(batch.column("ids"))
+            yield from np.split(ids, np.cumsum(lengths)[:-1]) if len(lengths) else ()
+            return
+        for chunk in _in_chunks(batch.column("text").to_pylist()):
+            yield from subwords(chunk, words)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         adam = attention.Adam(attention.unflatten(start.copy(), *sizes), RATE)
         rng, words, seen, waiting, n_waiting = np.random.default_rng(turn), Words(), 0, [], 0
         for batch in batches:
-            for chunk in _in_chunks(batch.column("text").to_pylist()):
-                for ids in subwords(chunk, words):
-                    waiting.append(ids)
-                    n_waiting += len(ids)
-                    if n_waiting > WAITING_IDS:
-                        seen += learn(waiting, classes, adam, rng, turn, ROUNDS)
-                        waiting, n_waiting = [], 0
+            for ids in texts_of(batch, words):
+                waiting.append(ids)
+                n_waiting += len(ids)
+                if n_waiting > WAITING_IDS:
+                    seen += learn(waiting, classes, adam, rng, turn, ROUNDS)
+                    waiting, n_waiting = [], 0
         if waiting:
             seen += learn(waiting, classes, adam, rng, turn, ROUNDS)
         if seen:
@@ -300,7 +313,8 @@ def train_round(training: DataFrame, classes: Classes, weights: dict[str, np.nda
                 [pa.array([float(seen)]), pa.array([flat], pa.list_(pa.float64()))], names=["seen", "w"]
             )
 
-    trained = map_text(training, {"text": text_of(text_col)}, run, "seen double, w array<double>")
+    read = {"text": text_of(text_col)} if ids_col is None else {"ids": F.col(ids_col)}
+    trained = map_text(training, read, run, "seen double, w array<double>")
     mean = (
         trained.select("seen", F.posexplode("w").alias("i", "w"))
         .groupBy("i")
@@ -332,32 +346,27 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = write_scratch(count_words(training, text_col), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent = counts.where(F.col("word").isNotNull() & (F.col("n") * FREQUENT_SHARE >= total))
-    rows = frequent.toArrow()
-    known = dict(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist()))
+    known = frequent.toArrow()
     ends = sum(r["n"] for r in counts.where("word IS NULL").collect())
 
-    classes = Classes.from_counts(count_subwords(counts))
-    weights = classes.fresh_weights()
-    for turn in range(ROUNDS):
-        weights = train_round(training, classes, weights, turn, text_col)
-
-    shared = spark.sparkContext.broadcast((known, classes, weights))
     smoothing = total + distinct + 1
+    # Logarithms are taken here, so that a worker holds one dictionary.
+    logs = [math.log10((n + 1) / smoothing) for n in known.column("n").to_pylist()]
+    shared = spark.sparkContext.broadcast(dict(zip(known.column("word").to_pylist(), logs)))
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, classes, weights = shared.value
-        logs = {w: math.log10((n + 1) / smoothing) for w, n in known.items()}
-        words = Words(logs, math.log10((ends + 1) / smoothing))
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(shared.value, math.log10((ends + 1) / smoothing))
         for batch in batches:
-            n_tokens, n_known, base, score, rare, times = [], [], [], [], [], []
-            # Equal texts of a batch are scored once.
+            n_tokens, n_known, base, rare, times, ids = [], [], [], [], [], []
+            # Equal texts of a batch are looked up once.
             texts = batch.column("text").dictionary_encode()
             for chunk in _in_chunks(texts.dictionary.to_pylist()):
                 flat, starts = flattened(chunk)
                 entries = words.look_up(flat)
                 lengths = np.add.reduceat(words.sizes[entries], starts)
-                score.extend(score_texts(words.ids(entries), lengths, classes, weights))
+                stored = words.ids(entries).astype(STORED_ID)
+                ids.extend(part.tobytes() for part in np.split(stored, np.cumsum(lengths)[:-1]))
                 counted = words.logs[entries]
                 unknown = np.isnan(counted)
                 n_tokens.extend(map(len, chunk))
@@ -375,25 +384,55 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 pa.array([n + 1 for n in n_tokens], pa.int64()),
                 pa.array([n + (ends > 0) for n in n_known], pa.int64()),
                 pa.array(base, pa.float64()),
-                pa.array(score, pa.float64()),
                 pa.array(rare, pa.list_(pa.binary())),
                 pa.array(times, pa.list_(pa.int32())),
+                pa.array(ids, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("held_out"), *[column.take(texts.indices) for column in made]],
-                names=["id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                names=["id", "held_out", "n_tokens", "n_known", "base", "rare", "times", "ids"],
             )
 
-    scored = map_text(
+    told = f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double"
+    looked = map_text(
         docs,
         {"id": F.col(id_col), "held_out": held_out(id_col), "text": text_of(text_col)},
-        run,
-        f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-        "rare array<binary>, times array<int>",
+        looked_up,
+        f"{told}, rare array<binary>, times array<int>, ids binary",
     )
-    # Numbered before it is written, so that the numbers stay with the rows.
-    rows = write_scratch(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    # Words are looked up once; both rounds and the scores read the ids that are written here. Rows are numbered before
+    # they are written, so that the numbers stay with them.
+    rows = write_scratch(looked.withColumn("row", F.monotonically_increasing_id()), "looked-up")
     shared.unpersist()
+
+    learned = rows.where("NOT held_out")
+    classes = Classes.from_counts(count_subwords(learned))
+    weights = classes.fresh_weights()
+    for turn in range(ROUNDS):
+        weights = train_round(learned, classes, weights, turn, ids_col="ids")
+    model = spark.sparkContext.broadcast((classes, weights))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, weights = model.value
+        for batch in batches:
+            # Equal texts of a batch are scored once.
+            texts = batch.column("ids").dictionary_encode()
+            ids, lengths = _texts_of(texts.dictionary)
+            found, first, start = [], 0, 0
+            held = np.cumsum(lengths)
+            while first < len(lengths):
+                last = max(first + 1, int(np.searchsorted(held, start + WAITING_IDS, "right")))
+                found.append(score_texts(ids[start : held[last - 1]], lengths[first:last], classes, weights))
+                first, start = last, held[last - 1]
+            scores = pa.array(np.concatenate([np.empty(0), *found]), pa.float64()).take(texts.indices)
+            kept = [name for name in batch.schema.names if name != "ids"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(name) for name in kept], scores], names=[*kept, "score"])
+
+    scored = rows.select("row", "id", "held_out", "n_tokens", "n_known", "base", "ids").mapInArrow(
+        score, f"row bigint, {told}, score double"
+    )
+    scored = write_scratch(scored, "scored")
+    model.unpersist()
     log_count = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(smoothing)))
     tails = (
         rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("t"))
@@ -405,7 +444,7 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(F.lit(0))).alias("tail_known"),
         )
     )
-    return rows.drop("rare", "times").join(tails, "row", "left").select(
+    return scored.join(tails, "row", "left").select(
         "id",
         "held_out",
         "n_tokens",

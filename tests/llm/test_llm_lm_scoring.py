@@ -160,3 +160,36 @@ def test_rounds_tile_the_windows():
     lengths = np.array([1, 24, 25, 24, 1000, 7, 49])
     held = np.concatenate([lm.of_round(lengths, turn, 3) for turn in range(3)])
     assert sorted(held) == list(range(len(attention.windows(lengths)[0])))
+
+
+def test_rounds_read_stored_ids_as_they_do_texts(spark):
+    rows = [r for r in cases.documents() if len(r[1] or "") < 10_000]
+    texts = cases.frame(spark, rows).coalesce(1)
+    told = [lm.words_of(r.text or "") for r in texts.select("text").collect()]
+    ids = lm.subwords(told, lm.Words())
+    stored = spark.createDataFrame([(bytearray(i.astype("<u2").tobytes()),) for i in ids], "ids binary").coalesce(1)
+    counts = np.bincount(np.concatenate(ids), minlength=lm.IDS)
+    assert (lm.count_subwords(stored) == counts).all()
+    classes = lm.Classes.from_counts(counts)
+    start = classes.fresh_weights()
+    plain, read = lm.train_round(texts, classes, start, 0), lm.train_round(stored, classes, start, 0, ids_col="ids")
+    for name in start:
+        assert (plain[name] != start[name]).any()
+        assert read[name] == pytest.approx(plain[name], rel=1e-6, abs=1e-7)
+
+
+def test_blocks_do_not_change_gradients_or_scores(monkeypatch):
+    rng = np.random.default_rng(2)
+    weights = attention.fresh(20, np.zeros(10), np.zeros(7))
+    x = rng.integers(0, 20, (5, attention.WINDOW))
+    y, second = rng.integers(0, 10, (5, attention.STRIDE)), rng.integers(0, 7, (5, attention.STRIDE))
+    valid = rng.random(y.shape) < 0.8
+    made = []
+    for rows in (7, 10_000):
+        monkeypatch.setattr(attention, "BLOCK", rows)
+        made.append((attention.gradients(weights, x, y, second, valid), attention.log_probabilities(weights, x, y, second)))
+    (few, loss), found = made[0]
+    (whole, all_loss), told = made[1]
+    assert loss == pytest.approx(all_loss, rel=1e-5) and found == pytest.approx(told, rel=1e-5)
+    for name in whole:
+        assert few[name] == pytest.approx(whole[name], rel=1e-4, abs=1e-6)
