@@ -1,10 +1,13 @@
 import collections
 import itertools
+import pathlib
 import random
+import tempfile
 
 import cases
 import xxhash
 
+from ldspark import session
 from ldspark.llm import line_dedup as d
 
 
@@ -158,3 +161,36 @@ def test_words_of_one_symbol_are_told_apart(spark):
     lines = [f"alpha bravo charlie {x} {y}" for x, y in zip(("delta", "omega"), twins)]
     rows = [(i, line, None, None, 0) for i, line in enumerate(lines)]
     assert told(spark, rows) == [(0, 0, 0, 0, 1, True), (1, 0, 1, 0, 1, True)]
+
+
+def stored(spark, monkeypatch, rows):
+    """Shuffle files on disk and folders of keys, words and pairs kept after the lines are compared."""
+    scratch = pathlib.Path(tempfile.mkdtemp(prefix="line-dedup-"))
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(scratch))
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    before = {p for d in local for p in pathlib.Path(d).rglob("shuffle_*")}
+    result = d.dedup_lines(cases.frame(spark, rows))
+    after = {p for d in local for p in pathlib.Path(d).rglob("shuffle_*")}
+    return result, after - before, {p.name.rpartition("-")[0] for p in scratch.iterdir()}
+
+
+def test_keys_leave_the_disk(spark, monkeypatch):
+    """Nothing that was shuffled for the comparison is left, nor keys and words; the setting is as it was."""
+    rows = variants(5, 6)
+    result, files, folders = stored(spark, monkeypatch, rows)
+    assert files == set()
+    assert not folders & {"fingerprints", "shared-keys", "key-members", "line-words", "met-pairs", "near-pairs"}
+    assert spark.conf.get(d._FREED, None) != "true"
+    assert found(result) == sorted(map(str, expected(rows)))
+
+
+def test_lines_of_one_key_in_several_groups(spark):
+    """Lines that share a long word pair, of many lengths; some are similar to each other and not to the key's first."""
+    rng = random.Random(7)
+    lines = []
+    for n in (6, 7, 8, 15, 16, 17, 31, 33, 40, 64):
+        for _ in range(3):
+            words = [*(f"w{rng.randrange(10**6)}" for _ in range(n - 2)), "verylongsharedword", "anotherlongsharedword"]
+            lines += [" ".join(words), " ".join([f"x{rng.randrange(10**6)}", *words[1:]]), " ".join([*words[: n // 10], "y", *words[n // 10 :]])]
+    rows = [(i, line, None, None, 0) for i, line in enumerate(lines)]
+    assert told(spark, rows) == sorted(expected(rows), key=repr)
